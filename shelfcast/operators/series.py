@@ -14,6 +14,8 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from shelfcast.functions.moments import std_samp
+
 SERIES_KEYS = ("store_nbr", "family")
 
 # Fixed values of the original feature set.
@@ -50,7 +52,7 @@ def rolling_columns(target: str, windows: Iterable[int], w: WindowSpec,
     for n in windows:
         frame = shifted_frame(w, shift, n)
         cols.append(F.avg(target).over(frame).alias(mean_name.format(t=target, n=n)))
-        cols.append(F.stddev_samp(target).over(frame).alias(std_name.format(t=target, n=n)))
+        cols.append(std_samp(target, frame).alias(std_name.format(t=target, n=n)))
     return cols
 
 
@@ -112,7 +114,7 @@ def add_rolling_minmax(df: DataFrame, target: str = "sales",
         frame = shifted_frame(w, shift, n)
         cols += [F.min(target).over(frame).alias(f"{target}_rolling_min_{n}"),
                  F.max(target).over(frame).alias(f"{target}_rolling_max_{n}"),
-                 F.try_divide(F.stddev_samp(target).over(frame),
+                 F.try_divide(std_samp(target, frame),
                               F.nullif(F.avg(target).over(frame), F.lit(0.0)))
                  .alias(f"{target}_rolling_cv_{n}")]
     return df.select("*", *cols)

@@ -90,10 +90,37 @@ oil_file_filled AS (
 """
 
 
+def _decimal_rounding(text: str) -> str:
+    """Rewrite ``ROUND(x, 6)`` to round the decimal value half away from zero.
+
+    DuckDB rounds a double by scaling it in floating point, so exact ties such
+    as 1.0171875 come out as 1.017187; Spark rounds the decimal value
+    (1.017188). Casting to DECIMAL first gives Spark's rounding.
+    """
+    out, i, key = [], 0, "ROUND("
+    while True:
+        j = text.find(key, i)
+        if j < 0:
+            out.append(text[i:])
+            return "".join(out)
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(text[k], 0)
+            k += 1
+        inner = text[j + len(key):k - 1]
+        arg, sep, digits = inner.rpartition(",")
+        if sep and digits.strip() == "6":
+            arg = _decimal_rounding(arg)
+            out.append(text[i:j] + f"CAST(ROUND(CAST(({arg}) AS DECIMAL(38,12)), 6) AS DOUBLE)")
+        else:
+            out.append(text[i:k])
+        i = k
+
+
 def sql(body: str) -> str:
     """Prefix a query body with the base CTEs (the body may add its own
     CTEs after a leading comma: ``sql(", x AS (...) SELECT ...")``)."""
-    body = body.strip()
+    body = _decimal_rounding(body.strip())
     if body.startswith(","):
         return "WITH " + BASE.strip() + body
     return "WITH " + BASE.strip() + "\n" + body
