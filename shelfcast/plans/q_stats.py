@@ -1 +1,80 @@
-"""Queries (filled in below)."""
+"""Queries: target statistics fitted as of train_end and applied by joins (inventory 33, 50-59)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shelfcast.functions.moments import std_sql
+from shelfcast.operators import stats
+from shelfcast.plans.catalog import register
+from shelfcast.plans.oracle import sql
+
+TR = """
+, tr AS (SELECT t.*, s.cluster, CAST(isodow(t.date) - 1 AS INTEGER) AS _dow
+         FROM train t JOIN stores s USING (store_nbr) WHERE t.sales IS NOT NULL),
+rc AS (SELECT * FROM tr WHERE date >= (SELECT MAX(date) FROM tr) - 90)"""
+
+KIND_SQL = {
+    "mean": "ROUND(AVG(sales), 6)",
+    "std": "ROUND(" + std_sql("sales") + ", 6)",
+    "median": "ROUND(quantile_cont(sales, 0.5), 6)",
+    "q25": "ROUND(quantile_cont(sales, 0.25), 6)",
+    "q75": "ROUND(quantile_cont(sales, 0.75), 6)",
+    "zero": "ROUND(AVG(CAST(sales = 0 AS DOUBLE)), 6)",
+}
+
+
+def stat_sql(name: str) -> str:
+    keys, aggs = stats.STAT_SPECS[name]
+    src = "rc" if name in stats.RECENT else "tr"
+    cols = ", ".join(f"{KIND_SQL[kind]} AS {col}" for col, kind in aggs)
+    return f"SELECT {', '.join(keys)}, {cols} FROM {src} GROUP BY {', '.join(keys)}"
+
+
+def fitted(src):
+    """Statistics fitted on the training rows (cluster from the store table)."""
+    train = src.train_rows().join(src.stores.select("store_nbr", "cluster"), "store_nbr", "left")
+    return stats.fit_target_stats(train, as_of=src.train_end)
+
+
+def _make(name: str, key: str, doc: str):
+    def q(src):
+        return fitted(src)[name]
+    q.__doc__ = doc
+    register(key, sql(TR + "\n" + stat_sql(name)))(q)
+
+
+_make("store_family", "stats_store_family",
+      "Per series mean, median, sample std, exact 25/75% quantiles (linear interpolation).")
+_make("store_family_zero", "stats_zero_ratio", "Per series share of zero-sales days.")
+_make("store_family_dow", "stats_store_family_dow", "Per series and weekday (Monday = 0) mean.")
+_make("family", "stats_family", "Per family mean and std.")
+_make("family_dow", "stats_family_dow", "Per family and weekday mean.")
+_make("store", "stats_store", "Per store mean and std.")
+_make("store_dow", "stats_store_dow", "Per store and weekday mean.")
+_make("store_family_recent", "stats_recent", "Per series mean/std over the last 90 days.")
+_make("store_family_dow_recent", "stats_recent_dow", "Per series and weekday mean over the last 90 days.")
+_make("cluster_family", "stats_cluster_family", "Per cluster and family mean and std.")
+
+
+def _applied_sql() -> str:
+    ctes, joins, cols = [], [], []
+    for i, (name, (keys, aggs)) in enumerate(stats.STAT_SPECS.items()):
+        ctes.append(f"s{i} AS ({stat_sql(name)})")
+        cond = " AND ".join(f"s{i}.{k} = p.{k}" for k in keys)
+        joins.append(f"LEFT JOIN s{i} ON {cond}")
+        cols += [f"s{i}.{c}" for c, _k in aggs]
+    return (TR + ",\n" + ",\n".join(ctes) + """,
+p AS (SELECT q.store_nbr, q.family, q.date, s.cluster, CAST(isodow(q.date) - 1 AS INTEGER) AS _dow
+      FROM panel q JOIN stores s USING (store_nbr))
+SELECT p.store_nbr, p.family, p.date, """ + ", ".join(cols) + "\nFROM p " + "\n".join(joins))
+
+
+@register("target_stats_applied", sql(_applied_sql()))
+def target_stats_applied(src):
+    """Every panel row (train and horizon) with the 18 fitted statistics."""
+    st = fitted(src)
+    p = src.panel.select("store_nbr", "family", "date").join(
+        src.stores.select("store_nbr", "cluster"), "store_nbr", "left")
+    return stats.apply_target_stats(p, st).select(
+        "store_nbr", "family", "date", *stats.stat_columns())
