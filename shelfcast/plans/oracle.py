@@ -124,3 +124,12 @@ def sql(body: str) -> str:
     if body.startswith(","):
         return "WITH " + BASE.strip() + body
     return "WITH " + BASE.strip() + "\n" + body
+
+
+def sub(body: str) -> str:
+    """A query body (as passed to ``sql``) as a parenthesised subquery that can
+    be joined inside another oracle query (the base CTEs stay at the top)."""
+    body = _decimal_rounding(body.strip())
+    if body.startswith(","):
+        body = "WITH " + body[1:].lstrip()
+    return "(" + body + ")"

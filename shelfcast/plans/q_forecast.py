@@ -1 +1,478 @@
-"""Queries (filled in below)."""
+"""Queries: statistical forecasts, hurdle, blend searches, thresholds, AUC,
+segments, submission (inventory 11, 20, 26, 41-44, 48, 62, 67-70, 76, 98, 103,
+135, 139, 142-150, 157)."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from shelfcast.functions.metrics import rmsle, roc_auc, squared_log_error
+from shelfcast.operators import forecast as fc
+from shelfcast.operators import series
+from shelfcast.operators.clean import postprocess
+from shelfcast.operators.folds import GAP_DAYS, VAL_DAYS, holdout_bounds
+from shelfcast.plans.catalog import register
+from shelfcast.plans.oracle import sql
+
+PREDS = ["p_lag28", "p_mean28", "p_dow4", "p_fallback"]
+SW = "PARTITION BY store_nbr, family ORDER BY date"
+
+
+def holdout_frame(src):
+    """Validation rows (last 16 known days) with four statistical predictors,
+    the hurdle parts and the series segment, all fitted on rows up to the
+    fold's training end (max - 31 days)."""
+    fit_end, val_start, val_end = holdout_bounds(src.train_end)
+    w = series.series_window()
+    dow4 = series.mean_ignoring_nulls([F.lag("sales", 7 * k).over(w) for k in series.SAME_DOW_MEAN_WEEKS])
+    feats = src.panel.select(
+        "store_nbr", "family", "date", "sales",
+        F.coalesce(F.lag("sales", 28).over(w), F.lit(0.0)).alias("p_lag28"),
+        F.coalesce(F.avg("sales").over(series.shifted_frame(w, 16, 28)), F.lit(0.0)).alias("p_mean28"),
+        F.coalesce(dow4, F.lit(0.0)).alias("p_dow4"))
+    val = feats.filter(F.col("date").between(val_start, val_end))
+    train = src.train_rows()
+    fit = train.filter(F.col("date") <= fit_end)
+    out = fc.fallback_forecast(train, val, fit_end).withColumnRenamed("pred", "p_fallback")
+    out = fc.hurdle_inputs(train, out, fit_end)
+    seg = fc.series_segments(fit).select("store_nbr", "family", "segment")
+    return out.join(seg, ["store_nbr", "family"], "left")
+
+
+HOLDOUT_SQL = f"""
+, hb AS (SELECT train_end - 15 AS val_start, train_end AS val_end, train_end - 31 AS fit_end FROM bounds),
+f AS (
+  SELECT store_nbr, family, date, sales,
+    COALESCE(LAG(sales, 28) OVER ({SW}), 0.0) AS p_lag28,
+    COALESCE(AVG(sales) OVER ({SW} ROWS BETWEEN 43 PRECEDING AND 16 PRECEDING), 0.0) AS p_mean28,
+    COALESCE((COALESCE(LAG(sales, 21) OVER ({SW}), 0) + COALESCE(LAG(sales, 28) OVER ({SW}), 0)
+            + COALESCE(LAG(sales, 35) OVER ({SW}), 0) + COALESCE(LAG(sales, 42) OVER ({SW}), 0))
+      / NULLIF(CAST(LAG(sales, 21) OVER ({SW}) IS NOT NULL AS INTEGER) + CAST(LAG(sales, 28) OVER ({SW}) IS NOT NULL AS INTEGER)
+             + CAST(LAG(sales, 35) OVER ({SW}) IS NOT NULL AS INTEGER) + CAST(LAG(sales, 42) OVER ({SW}) IS NOT NULL AS INTEGER), 0),
+      0.0) AS p_dow4
+  FROM panel),
+fit AS (SELECT t.* FROM train t, hb WHERE t.date <= hb.fit_end),
+rec AS (SELECT t.*, isodow(t.date) - 1 AS _dow FROM train t, hb
+        WHERE t.date <= hb.fit_end AND t.date >= hb.fit_end - 90),
+sfd AS (SELECT store_nbr, family, _dow, AVG(sales) AS m FROM rec GROUP BY 1, 2, 3),
+sfm AS (SELECT store_nbr, family, AVG(sales) AS m FROM rec GROUP BY 1, 2),
+fdm AS (SELECT family, _dow, AVG(sales) AS m FROM rec GROUP BY 1, 2),
+fmm AS (SELECT family, AVG(sales) AS m FROM rec GROUP BY 1),
+val AS (SELECT f.*, isodow(f.date) - 1 AS _dow FROM f, hb WHERE f.date BETWEEN hb.val_start AND hb.val_end),
+hp AS (SELECT store_nbr, family, AVG(CAST(sales > 0 AS DOUBLE)) AS p_nonzero,
+              COALESCE(AVG(CASE WHEN sales > 0 THEN sales END), 0.0) AS amount FROM fit GROUP BY 1, 2),
+seg AS (SELECT store_nbr, family,
+          CASE WHEN AVG(sales) / (SELECT AVG(sales) FROM fit) > 1.25 THEN 'HIGH'
+               WHEN AVG(sales) / (SELECT AVG(sales) FROM fit) > 0.75 THEN 'MEDIUM' ELSE 'LOW' END AS segment
+        FROM fit GROUP BY 1, 2),
+ho AS (
+  SELECT val.store_nbr, val.family, val.date, val.sales, val.p_lag28, val.p_mean28, val.p_dow4,
+         COALESCE(sfd.m, sfm.m, fdm.m, fmm.m, 0.0) AS p_fallback,
+         COALESCE(hp.p_nonzero, 0.0) AS p_nonzero, COALESCE(hp.amount, 0.0) AS amount, seg.segment
+  FROM val
+  LEFT JOIN sfd ON sfd.store_nbr = val.store_nbr AND sfd.family = val.family AND sfd._dow = val._dow
+  LEFT JOIN sfm ON sfm.store_nbr = val.store_nbr AND sfm.family = val.family
+  LEFT JOIN fdm ON fdm.family = val.family AND fdm._dow = val._dow
+  LEFT JOIN fmm ON fmm.family = val.family
+  LEFT JOIN hp ON hp.store_nbr = val.store_nbr AND hp.family = val.family
+  LEFT JOIN seg ON seg.store_nbr = val.store_nbr AND seg.family = val.family)"""
+
+
+def sle_sql(pred: str) -> str:
+    return f"POW(ln(1 + GREATEST({pred}, 0)) - ln(1 + sales), 2)"
+
+
+def rmsle_sql(pred: str) -> str:
+    return f"SQRT(AVG({sle_sql(pred)}))"
+
+
+@register("holdout_split", sql(HOLDOUT_SQL + """
+SELECT store_nbr, family, date, sales, ROUND(p_lag28, 6) AS p_lag28, ROUND(p_mean28, 6) AS p_mean28,
+  ROUND(p_dow4, 6) AS p_dow4, ROUND(p_fallback, 6) AS p_fallback, ROUND(p_nonzero, 6) AS p_nonzero,
+  ROUND(amount, 6) AS amount, segment FROM ho"""))
+def holdout_split_q(src):
+    """Holdout validation rows (16 days after a 16-day gap) with the statistical predictors."""
+    return holdout_frame(src)
+
+
+@register("fallback_forecast", sql("""
+, rec AS (SELECT t.*, isodow(t.date) - 1 AS _dow FROM train t, bounds b WHERE t.date >= b.train_end - 90),
+sfd AS (SELECT store_nbr, family, _dow, AVG(sales) AS m FROM rec GROUP BY 1, 2, 3),
+sfm AS (SELECT store_nbr, family, AVG(sales) AS m FROM rec GROUP BY 1, 2),
+fdm AS (SELECT family, _dow, AVG(sales) AS m FROM rec GROUP BY 1, 2),
+fmm AS (SELECT family, AVG(sales) AS m FROM rec GROUP BY 1),
+h AS (SELECT p.store_nbr, p.family, p.date, p.onpromotion, isodow(p.date) - 1 AS _dow FROM panel p, bounds b WHERE p.date > b.train_end)
+SELECT h.store_nbr, h.family, h.date, h.onpromotion, ROUND(COALESCE(sfd.m, sfm.m, fdm.m, fmm.m, 0.0), 6) AS pred
+FROM h LEFT JOIN sfd ON sfd.store_nbr = h.store_nbr AND sfd.family = h.family AND sfd._dow = h._dow
+LEFT JOIN sfm ON sfm.store_nbr = h.store_nbr AND sfm.family = h.family
+LEFT JOIN fdm ON fdm.family = h.family AND fdm._dow = h._dow
+LEFT JOIN fmm ON fmm.family = h.family"""))
+def fallback_forecast_q(src):
+    """Horizon forecast by the hierarchical recent-mean fallback."""
+    return fc.fallback_forecast(src.train_rows(), src.horizon_rows(), src.train_end)
+
+
+POST_SQL = """
+, rec AS (SELECT t.*, isodow(t.date) - 1 AS _dow FROM train t, bounds b WHERE t.date >= b.train_end - 90),
+sfd AS (SELECT store_nbr, family, _dow, AVG(sales) AS m FROM rec GROUP BY 1, 2, 3),
+sfm AS (SELECT store_nbr, family, AVG(sales) AS m FROM rec GROUP BY 1, 2),
+h AS (SELECT p.store_nbr, p.family, p.date, isodow(p.date) - 1 AS _dow FROM panel p, bounds b WHERE p.date > b.train_end),
+pr AS (SELECT h.*, COALESCE(sfd.m, sfm.m, 0.0) * 0.01 - 0.005 AS raw FROM h
+       LEFT JOIN sfd ON sfd.store_nbr = h.store_nbr AND sfd.family = h.family AND sfd._dow = h._dow
+       LEFT JOIN sfm ON sfm.store_nbr = h.store_nbr AND sfm.family = h.family)"""
+
+
+def _horizon_raw(src):
+    """Horizon fallback forecast scaled to the order of magnitude of a share
+    (×0.01 − 0.005), so clipping and the 0.01 threshold both have work."""
+    f = fc.fallback_forecast(src.train_rows(), src.horizon_rows(), src.train_end)
+    return f.withColumn("raw", F.col("pred") * 0.01 - 0.005)
+
+
+@register("postprocess", sql(POST_SQL + """
+SELECT store_nbr, family, date, ROUND(raw, 6) AS raw,
+  ROUND(CASE WHEN GREATEST(raw, 0.0) < 0.01 THEN 0.0 ELSE GREATEST(raw, 0.0) END, 6) AS pred FROM pr"""))
+def postprocess_q(src):
+    """Clip predictions at 0 and zero those below 0.01."""
+    r = _horizon_raw(src)
+    return r.select("store_nbr", "family", "date", "raw", postprocess(F.col("raw")).alias("pred"))
+
+
+SUB_SQL = """
+, rec AS (SELECT t.*, isodow(t.date) - 1 AS _dow FROM train t, bounds b WHERE t.date >= b.train_end - 90),
+sfd AS (SELECT store_nbr, family, _dow, AVG(sales) AS m FROM rec GROUP BY 1, 2, 3),
+sfm AS (SELECT store_nbr, family, AVG(sales) AS m FROM rec GROUP BY 1, 2),
+fdm AS (SELECT family, _dow, AVG(sales) AS m FROM rec GROUP BY 1, 2),
+fmm AS (SELECT family, AVG(sales) AS m FROM rec GROUP BY 1),
+h AS (SELECT p.store_nbr, p.family, p.date, isodow(p.date) - 1 AS _dow,
+        CAST((p.date - b.d0) AS BIGINT) * 1000000 + CAST(p.store_nbr AS BIGINT) * 1000 + fa.family_code AS id
+      FROM panel p JOIN families fa USING (family) CROSS JOIN bounds b WHERE p.date > b.train_end),
+sub AS (
+  SELECT h.id, CASE WHEN GREATEST(COALESCE(sfd.m, sfm.m, fdm.m, fmm.m, 0.0), 0.0) < 0.01 THEN 0.0
+                    ELSE GREATEST(COALESCE(sfd.m, sfm.m, fdm.m, fmm.m, 0.0), 0.0) END AS sales
+  FROM h LEFT JOIN sfd ON sfd.store_nbr = h.store_nbr AND sfd.family = h.family AND sfd._dow = h._dow
+  LEFT JOIN sfm ON sfm.store_nbr = h.store_nbr AND sfm.family = h.family
+  LEFT JOIN fdm ON fdm.family = h.family AND fdm._dow = h._dow
+  LEFT JOIN fmm ON fmm.family = h.family)"""
+
+
+def submission_frame(src):
+    """(id, sales) of the horizon: fallback forecast, post-processed."""
+    f = fc.fallback_forecast(src.train_rows(), src.horizon_rows(), src.train_end)
+    return src.with_id(f).select("id", postprocess(F.col("pred")).alias("sales"))
+
+
+@register("submission", sql(SUB_SQL + "\nSELECT id, ROUND(sales, 6) AS sales FROM sub"))
+def submission(src):
+    """The submission rows: one (id, sales) per horizon row."""
+    return submission_frame(src)
+
+
+@register("prediction_summary", sql(SUB_SQL + """
+SELECT COUNT(*) AS n_rows, ROUND(AVG(sales), 6) AS mean_pred, ROUND(quantile_cont(sales, 0.5), 6) AS median_pred,
+  ROUND(MIN(sales), 6) AS min_pred, ROUND(MAX(sales), 6) AS max_pred,
+  ROUND(AVG(CAST(sales = 0 AS DOUBLE)), 6) AS zero_share FROM sub"""))
+def prediction_summary(src):
+    """Rows, mean, median, min, max and zero share of the submission."""
+    s = submission_frame(src)
+    return s.agg(F.count(F.lit(1)).alias("n_rows"), F.avg("sales").alias("mean_pred"),
+                 F.percentile(F.col("sales"), F.lit(0.5)).alias("median_pred"),
+                 F.min("sales").alias("min_pred"), F.max("sales").alias("max_pred"),
+                 F.avg((F.col("sales") == 0).cast("double")).alias("zero_share"))
+
+
+@register("prediction_quartiles", sql(SUB_SQL + """
+SELECT ROUND(quantile_cont(sales, 0.25), 6) AS q25, ROUND(quantile_cont(sales, 0.5), 6) AS q50,
+  ROUND(quantile_cont(sales, 0.75), 6) AS q75 FROM sub"""))
+def prediction_quartiles(src):
+    """Box-plot quartiles of the submission (exact, linear interpolation)."""
+    s = submission_frame(src)
+    q = F.percentile(F.col("sales"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    return s.agg(q.alias("q")).select(F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"),
+                                      F.col("q")[2].alias("q75"))
+
+
+@register("family_segments", sql("""
+SELECT family, ROUND(AVG(sales), 6) AS mean_sales,
+  CASE WHEN AVG(sales) > 100 THEN 'HIGH' WHEN AVG(sales) > 10 THEN 'MEDIUM' ELSE 'LOW' END AS segment
+FROM train GROUP BY family"""))
+def family_segments(src):
+    """Family segment by mean daily sales: HIGH > 100, MEDIUM 10..100, LOW <= 10."""
+    return fc.family_segments(src.train_rows())
+
+
+@register("series_segments", sql("""
+SELECT store_nbr, family, ROUND(AVG(sales), 6) AS mean_sales,
+  CASE WHEN AVG(sales) / (SELECT AVG(sales) FROM train) > 1.25 THEN 'HIGH'
+       WHEN AVG(sales) / (SELECT AVG(sales) FROM train) > 0.75 THEN 'MEDIUM' ELSE 'LOW' END AS segment
+FROM train GROUP BY 1, 2"""))
+def series_segments_q(src):
+    """Series segment by its mean relative to the overall mean (scale free)."""
+    return fc.series_segments(src.train_rows())
+
+
+# ------------------------------------------------------------------ scoring
+@register("model_comparison", sql(HOLDOUT_SQL + "\n" + " UNION ALL ".join(
+    f"SELECT '{p}' AS model, ROUND({rmsle_sql(p)}, 6) AS rmsle, COUNT(*) AS n FROM ho" for p in PREDS)))
+def model_comparison(src):
+    """RMSLE per predictor over the holdout (long format: unpivot, group by model)."""
+    ho = holdout_frame(src)
+    long = ho.unpivot(["store_nbr", "family", "date", "sales"], PREDS, "model", "pred")
+    return long.groupBy("model").agg(rmsle("sales", "pred").alias("rmsle"),
+                                     F.count(F.lit(1)).alias("n"))
+
+
+METHODS = {
+    "lag28": "p_lag28", "mean28": "p_mean28", "dow4": "p_dow4", "fallback": "p_fallback",
+    "blend_50_50": "(0.5 * p_lag28 + 0.5 * p_fallback)",
+    "blend_equal3": "((p_lag28 + p_mean28 + p_fallback) / 3.0)",
+}
+
+
+@register("method_selection", sql(HOLDOUT_SQL + ", sc AS (" + " UNION ALL ".join(
+    f"SELECT '{m}' AS method, {rmsle_sql(e)} AS rmsle FROM ho" for m, e in METHODS.items()) + """)
+SELECT method, ROUND(rmsle, 6) AS rmsle, CAST(ROW_NUMBER() OVER (ORDER BY rmsle, method) AS INTEGER) AS rank FROM sc"""))
+def method_selection(src):
+    """Candidate methods (single predictors, 50/50 and equal blends) ranked by RMSLE."""
+    ho = holdout_frame(src)
+    exprs = {"lag28": F.col("p_lag28"), "mean28": F.col("p_mean28"), "dow4": F.col("p_dow4"),
+             "fallback": F.col("p_fallback"),
+             "blend_50_50": 0.5 * F.col("p_lag28") + 0.5 * F.col("p_fallback"),
+             "blend_equal3": (F.col("p_lag28") + F.col("p_mean28") + F.col("p_fallback")) / 3.0}
+    scores = ho.agg(*[rmsle("sales", e).alias(m) for m, e in exprs.items()])
+    long = scores.unpivot([], list(exprs), "method", "rmsle")
+    # a handful of candidate rows: the global ordering window is bounded
+    w = F.row_number().over(Window.orderBy("rmsle", "method"))
+    return long.select("method", "rmsle", w.cast("int").alias("rank"))
+
+
+@register("blend_weighted", sql(HOLDOUT_SQL + """
+SELECT store_nbr, family, date, ROUND(GREATEST(0.5 * p_lag28 + 0.3 * p_mean28 + 0.2 * p_fallback, 0.0), 6) AS pred
+FROM ho"""))
+def blend_weighted(src):
+    """Fixed-weight blend 0.5 / 0.3 / 0.2, clipped at 0."""
+    ho = holdout_frame(src)
+    return ho.select("store_nbr", "family", "date",
+                     fc.weighted_blend(["p_lag28", "p_mean28", "p_fallback"], [0.5, 0.3, 0.2]).alias("pred"))
+
+
+def _grid_sql(preds, grid, steps, names) -> str:
+    vals = ", ".join("(" + ", ".join(str(k) for k in g) + ")" for g in grid)
+    blend = " + ".join(f"CAST(g.{n} AS DOUBLE) / {steps} * ho.{p}" for n, p in zip(names, preds))
+    cols = ", ".join(f"CAST(g.{n} AS DOUBLE) / {steps} AS {n}" for n in names)
+    return (f", g({', '.join(names)}) AS (VALUES {vals})\n"
+            f"SELECT {cols}, ROUND(SQRT(AVG(POW(ln(1 + GREATEST({blend}, 0)) - ln(1 + ho.sales), 2))), 6) AS rmsle\n"
+            f"FROM ho CROSS JOIN g GROUP BY {', '.join('g.' + n for n in names)}")
+
+
+ALPHA = [(k, 20 - k) for k in range(21)]
+
+
+@register("blend_grid_alpha", sql(HOLDOUT_SQL + _grid_sql(["p_lag28", "p_fallback"], ALPHA, 20,
+                                                          ["alpha", "beta"])))
+def blend_grid_alpha(src):
+    """Two-way α blend of lag-28 and fallback, α step 0.05 (21 points)."""
+    return fc.grid_scores(holdout_frame(src), "sales", ["p_lag28", "p_fallback"], ALPHA, 20,
+                          ["alpha", "beta"])
+
+
+GRID3 = [(a, b, 10 - a - b) for a in range(6) for b in range(6)]
+
+
+@register("blend_grid_3way", sql(HOLDOUT_SQL + _grid_sql(["p_lag28", "p_mean28", "p_fallback"], GRID3, 10,
+                                                         ["w1", "w2", "w3"])))
+def blend_grid_3way(src):
+    """Three-way grid, step 0.1, w1, w2 <= 0.5, w3 = 1 - w1 - w2."""
+    return fc.grid_scores(holdout_frame(src), "sales", ["p_lag28", "p_mean28", "p_fallback"], GRID3, 10)
+
+
+SIMPLEX = fc.simplex_grid(4, 20)
+
+
+@register("blend_simplex", sql(HOLDOUT_SQL + ", sc AS (" + _grid_sql(PREDS, SIMPLEX, 20, ["w1", "w2", "w3", "w4"])[1:]
+                               .replace("g(w1", "WITH g(w1", 1) + ")\nSELECT * FROM sc ORDER BY rmsle, w1, w2, w3, w4 LIMIT 1"))
+def blend_simplex(src):
+    """Weights >= 0 summing to 1 that minimise RMSLE: exhaustive 0.05 simplex grid
+    over the four predictors (1,771 points), argmin with tie-breaks."""
+    scores = fc.grid_scores(holdout_frame(src), "sales", PREDS, SIMPLEX, 20)
+    return fc.best_of(scores, ["w1", "w2", "w3", "w4"])
+
+
+@register("blend_near_best", sql(HOLDOUT_SQL + ", sc AS (" + _grid_sql(PREDS, SIMPLEX, 20, ["w1", "w2", "w3", "w4"])[1:]
+                                 .replace("g(w1", "WITH g(w1", 1) + ")\nSELECT * FROM sc WHERE rmsle < (SELECT MIN(rmsle) FROM sc) * 1.001"))
+def blend_near_best(src):
+    """Simplex grid points within 0.1 % of the best score."""
+    scores = fc.grid_scores(holdout_frame(src), "sales", PREDS, SIMPLEX, 20)
+    return fc.near_best(scores)
+
+
+HYB = [(a, w1, w2, 10 - w1 - w2) for a in range(11) for w1 in range(11) for w2 in range(11 - w1)]
+
+
+@register("blend_grid_hybrid", sql(HOLDOUT_SQL + """
+, g(a, w1, w2, w3) AS (VALUES """ + ", ".join(f"({a}, {b}, {c}, {d})" for a, b, c, d in HYB) + """),
+x AS (SELECT ho.sales, ho.segment = 'HIGH' AS hi, g.*,
+        (g.w1 * ho.p_lag28 + g.w2 * ho.p_mean28 + g.w3 * ho.p_dow4) / 10.0 AS gbl, ho.p_fallback
+      FROM ho CROSS JOIN g)
+SELECT a / 10.0 AS alpha, w1 / 10.0 AS w1, w2 / 10.0 AS w2, w3 / 10.0 AS w3,
+  ROUND(SQRT(AVG(POW(ln(1 + GREATEST(CASE WHEN hi THEN a / 10.0 * p_fallback + (1 - a / 10.0) * gbl ELSE gbl END, 0))
+                 - ln(1 + sales), 2))), 6) AS rmsle
+FROM x GROUP BY a, w1, w2, w3"""))
+def blend_grid_hybrid(src):
+    """Hybrid grid: HIGH-segment rows use α·fallback + (1−α)·global blend, other rows
+    the global blend; α × simplex (step 0.1) = 726 points."""
+    ho = holdout_frame(src)
+    arr = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("w1"), F.lit(c).alias("w2"),
+                             F.lit(d).alias("w3")) for a, b, c, d in HYB])
+    x = ho.select("sales", (F.col("segment") == "HIGH").alias("hi"), "p_lag28", "p_mean28", "p_dow4",
+                  "p_fallback", F.explode(arr).alias("g"))
+    glob = (F.col("g.w1") * F.col("p_lag28") + F.col("g.w2") * F.col("p_mean28")
+            + F.col("g.w3") * F.col("p_dow4")) / 10.0
+    a = F.col("g.a") / 10.0
+    pred = F.when(F.col("hi"), a * F.col("p_fallback") + (1 - a) * glob).otherwise(glob)
+    scored = x.groupBy(F.col("g.a").alias("a"), F.col("g.w1").alias("w1"), F.col("g.w2").alias("w2"),
+                       F.col("g.w3").alias("w3")).agg(
+        F.sqrt(F.avg(squared_log_error(F.col("sales"), F.greatest(pred, F.lit(0.0))))).alias("rmsle"))
+    return scored.select((F.col("a") / 10.0).alias("alpha"), (F.col("w1") / 10.0).alias("w1"),
+                         (F.col("w2") / 10.0).alias("w2"), (F.col("w3") / 10.0).alias("w3"), "rmsle")
+
+
+@register("blend_grid_segment", sql(HOLDOUT_SQL + """
+, g(k) AS (SELECT * FROM range(0, 21)),
+se AS (SELECT ho.segment = 'HIGH' AS hi, g.k,
+         SUM(POW(ln(1 + GREATEST(g.k / 20.0 * ho.p_fallback + (1 - g.k / 20.0) * ho.p_lag28, 0)) - ln(1 + ho.sales), 2)) AS s,
+         COUNT(*) AS n
+       FROM ho CROSS JOIN g GROUP BY 1, 2)
+SELECT h.k / 20.0 AS alpha_high, r.k / 20.0 AS alpha_rest, ROUND(SQRT((h.s + r.s) / (h.n + r.n)), 6) AS rmsle
+FROM se h JOIN se r ON h.hi AND NOT r.hi"""))
+def blend_grid_segment(src):
+    """Per-segment α pair grid 21×21 for α·fallback + (1−α)·lag28, from 42 partial sums."""
+    ho = holdout_frame(src)
+    return fc.segment_alpha_grid(ho, "sales", "p_fallback", "p_lag28", F.col("segment") == "HIGH")
+
+
+@register("segment_assembly", sql(HOLDOUT_SQL + """
+SELECT store_nbr, family, date, segment, ROUND(CASE segment WHEN 'HIGH' THEN p_mean28 WHEN 'MEDIUM' THEN p_dow4
+  ELSE p_fallback END, 6) AS pred FROM ho"""))
+def segment_assembly(src):
+    """Per-segment predictions (HIGH: 28-day mean, MEDIUM: same-weekday mean,
+    LOW: fallback) reassembled into one set by a union on the key."""
+    ho = holdout_frame(src)
+    parts = [ho.filter(F.col("segment") == s).select("store_nbr", "family", "date", "segment",
+                                                     F.col(p).alias("pred"))
+             for s, p in [("HIGH", "p_mean28"), ("MEDIUM", "p_dow4"), ("LOW", "p_fallback")]]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# ------------------------------------------------------------------ hurdle
+HARD = "CASE WHEN p_nonzero >= 0.5 THEN amount ELSE 0.0 END"
+SOFT = "(p_nonzero * amount)"
+
+
+@register("hurdle_hard", sql(HOLDOUT_SQL + f"\nSELECT store_nbr, family, date, ROUND({HARD}, 6) AS pred FROM ho"))
+def hurdle_hard(src):
+    """Hard hurdle: amount when P(non-zero) >= 0.5, else 0."""
+    ho = holdout_frame(src)
+    return ho.select("store_nbr", "family", "date",
+                     fc.hurdle_hard(F.col("p_nonzero"), F.col("amount")).alias("pred"))
+
+
+@register("hurdle_soft", sql(HOLDOUT_SQL + f"\nSELECT store_nbr, family, date, ROUND({SOFT}, 6) AS pred FROM ho"))
+def hurdle_soft(src):
+    """Soft hurdle: P(non-zero) × amount."""
+    ho = holdout_frame(src)
+    return ho.select("store_nbr", "family", "date",
+                     fc.hurdle_soft(F.col("p_nonzero"), F.col("amount")).alias("pred"))
+
+
+HURDLE_METHODS = {"hard": HARD, "soft": SOFT, "baseline": "p_fallback",
+                  "blend": f"(0.5 * {SOFT} + 0.5 * p_fallback)"}
+
+
+@register("hurdle_select", sql(HOLDOUT_SQL + ", sc AS (" + " UNION ALL ".join(
+    f"SELECT '{m}' AS method, {rmsle_sql(e)} AS rmsle FROM ho" for m, e in HURDLE_METHODS.items()) + """)
+SELECT method, ROUND(rmsle, 6) AS rmsle, method = (SELECT method FROM sc ORDER BY rmsle, method LIMIT 1) AS selected FROM sc"""))
+def hurdle_select(src):
+    """Scores of hard / soft / baseline / 50-50 and the selected (lowest RMSLE) method."""
+    ho = holdout_frame(src)
+    p, a = F.col("p_nonzero"), F.col("amount")
+    exprs = {"hard": fc.hurdle_hard(p, a), "soft": fc.hurdle_soft(p, a), "baseline": F.col("p_fallback"),
+             "blend": 0.5 * fc.hurdle_soft(p, a) + 0.5 * F.col("p_fallback")}
+    long = ho.agg(*[rmsle("sales", e).alias(m) for m, e in exprs.items()]).unpivot(
+        [], list(exprs), "method", "rmsle")
+    best = fc.best_of(long, ["method"]).select("method").scalar()
+    return long.select("method", "rmsle", (F.col("method") == best).alias("selected"))
+
+
+@register("f1_threshold", sql(HOLDOUT_SQL + """
+, t(threshold) AS (VALUES """ + ", ".join(f"({t})" for t in fc.F1_THRESHOLDS) + """),
+c AS (SELECT CAST(t.threshold AS DOUBLE) AS threshold,
+        COUNT(*) FILTER (WHERE ho.p_nonzero >= t.threshold AND ho.sales > 0) AS tp,
+        COUNT(*) FILTER (WHERE ho.p_nonzero >= t.threshold AND NOT ho.sales > 0) AS fp,
+        COUNT(*) FILTER (WHERE ho.p_nonzero < t.threshold AND ho.sales > 0) AS fn
+      FROM ho CROSS JOIN t GROUP BY 1)
+SELECT threshold, tp, fp, fn, ROUND(COALESCE(2.0 * tp / NULLIF(2 * tp + fp + fn, 0), 0.0), 6) AS f1,
+  threshold = (SELECT threshold FROM c ORDER BY COALESCE(2.0 * tp / NULLIF(2 * tp + fp + fn, 0), 0.0) DESC, threshold LIMIT 1) AS best
+FROM c"""))
+def f1_threshold(src):
+    """F1 of P(non-zero) >= t for t in 0.30..0.75 (step 0.05); best = first maximum."""
+    ho = holdout_frame(src)
+    sw = fc.f1_sweep(ho, (F.col("sales") > 0).cast("int"), F.col("p_nonzero"))
+    best = sw.orderBy(F.col("f1").desc(), F.col("threshold").asc()).limit(1).select(
+        "threshold").scalar()
+    return sw.select(F.col("threshold").cast("double").alias("threshold"), "tp", "fp", "fn", "f1",
+                     (F.col("threshold") == best).alias("best"))
+
+
+@register("auc", sql(HOLDOUT_SQL + """
+, r AS (SELECT CAST(sales > 0 AS INTEGER) AS y, RANK() OVER (ORDER BY p_nonzero) AS r0,
+               COUNT(*) OVER (PARTITION BY p_nonzero) AS c FROM ho),
+rr AS (SELECT y, r0 + (c - 1) / 2.0 AS rk FROM r)
+SELECT CAST(SUM(y) AS BIGINT) AS n_pos, CAST(COUNT(*) - SUM(y) AS BIGINT) AS n_neg,
+  ROUND((SUM(rk) FILTER (WHERE y = 1) - SUM(y) * (SUM(y) + 1) / 2.0) / (SUM(y) * (COUNT(*) - SUM(y))), 6) AS auc
+FROM rr"""))
+def auc(src):
+    """ROC AUC of P(non-zero) against the non-zero label (exact rank-sum)."""
+    ho = holdout_frame(src).withColumn("y", (F.col("sales") > 0).cast("int"))
+    return roc_auc(ho, "y", "p_nonzero")
+
+
+# ---------------------------------------------------------- seed averaging
+SEEDS, WINDOWS = [1, 2, 3], [28, 56, 91]
+
+
+def _sampled(d, store, seed):
+    return ((F.datediff(d, F.lit("1970-01-01")) * 7 + store * 13 + seed * 31) % 10) < 7
+
+
+@register("seed_average", sql(HOLDOUT_SQL + """
+, v(win, seed) AS (VALUES """ + ", ".join(f"({w}, {s})" for w in WINDOWS for s in SEEDS) + """),
+smp AS (SELECT f.store_nbr, f.family, f.sales, isodow(f.date) - 1 AS _dow, v.win, v.seed
+        FROM fit f CROSS JOIN v CROSS JOIN hb
+        WHERE f.date >= hb.fit_end - v.win AND ((f.date - DATE '1970-01-01') * 7 + f.store_nbr * 13 + v.seed * 31) % 10 < 7),
+m AS (SELECT store_nbr, family, _dow, win, seed, AVG(sales) AS m FROM smp GROUP BY ALL),
+vs AS (SELECT ho.store_nbr, ho.family, ho.date, ho.sales, isodow(ho.date) - 1 AS _dow, v.win, v.seed FROM ho CROSS JOIN v),
+p AS (SELECT vs.store_nbr, vs.family, vs.date, vs.win, COALESCE(m.m, 0.0) AS pred FROM vs LEFT JOIN m
+      ON m.store_nbr = vs.store_nbr AND m.family = vs.family AND m._dow = vs._dow AND m.win = vs.win AND m.seed = vs.seed),
+pw AS (SELECT store_nbr, family, date, win, AVG(pred) AS pred FROM p GROUP BY ALL)
+SELECT store_nbr, family, date, ROUND(AVG(pred), 6) AS pred FROM pw GROUP BY ALL"""))
+def seed_average(src):
+    """Mean over seeds, then over variants: per (window, seed) a series×weekday mean
+    over a deterministic 70 % row sample; long format, two group-bys."""
+    fit_end, _, _ = holdout_bounds(src.train_end)
+    ho = holdout_frame(src).select("store_nbr", "family", "date", "sales")
+    fit = src.train_rows().filter(F.col("date") <= fit_end)
+    variants = F.array(*[F.struct(F.lit(w).alias("win"), F.lit(s).alias("seed")) for w in WINDOWS for s in SEEDS])
+    smp = (fit.select("*", F.explode(variants).alias("v"))
+              .filter((F.col("date") >= F.date_sub(fit_end, F.col("v.win")))
+                      & _sampled(F.col("date"), F.col("store_nbr"), F.col("v.seed")))
+              .groupBy("store_nbr", "family", F.weekday("date").alias("_dow"),
+                       F.col("v.win").alias("win"), F.col("v.seed").alias("seed"))
+              .agg(F.avg("sales").alias("m")))
+    vs = ho.select("*", F.weekday("date").alias("_dow"), F.explode(variants).alias("v")).select(
+        "store_nbr", "family", "date", "_dow", F.col("v.win").alias("win"), F.col("v.seed").alias("seed"))
+    p = vs.join(smp, ["store_nbr", "family", "_dow", "win", "seed"], "left").withColumn(
+        "pred", F.coalesce("m", F.lit(0.0)))
+    per_win = p.groupBy("store_nbr", "family", "date", "win").agg(F.avg("pred").alias("pred"))
+    return per_win.groupBy("store_nbr", "family", "date").agg(F.avg("pred").alias("pred"))
