@@ -79,22 +79,37 @@ def simplex_grid(n_models: int, steps: int) -> list[tuple[int, ...]]:
     return [(k,) + rest for k in range(steps + 1) for rest in simplex_grid(n_models - 1, steps - k)]
 
 
-def grid_scores(rows: DataFrame, y: str, preds: Sequence[str], grid: Sequence[Sequence[int]],
+def explode_simplex(df: DataFrame, names: Sequence[str], steps: int) -> DataFrame:
+    """Attach every integer weight vector with Σk = steps to each row, by
+    nested ``explode(sequence(..))`` generators (no literal grid, no join)."""
+    used = F.lit(0)
+    for n in names[:-1]:
+        df = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(steps) - used)).alias(n))
+        used = used + F.col(n)
+    return df.withColumn(names[-1], F.lit(steps) - used)
+
+
+def explode_grid(df: DataFrame, names: Sequence[str], grid: Sequence[Sequence[int]]) -> DataFrame:
+    """Attach an explicit (small) grid of integer weight vectors to each row."""
+    arr = F.array(*[F.struct(*[F.lit(int(k)).alias(n) for k, n in zip(g, names)]) for g in grid])
+    staged = df.select("*", F.explode(arr).alias("_g"))
+    return staged.select(*df.columns, *[F.col(f"_g.{n}").alias(n) for n in names])
+
+
+def grid_scores(rows: DataFrame, y: str, preds: Sequence[str], grid: Sequence[Sequence[int]] | None,
                 steps: int, names: Sequence[str] | None = None) -> DataFrame:
-    """RMSLE of every weight vector of ``grid`` (weights k/steps, clipped at 0).
+    """RMSLE of every weight vector (weights k/steps, blend clipped at 0).
 
-    The grid is a literal array exploded per row: rows × |grid| stay inside one
-    stage and are summed per grid point (partial aggregation), so only
-    |grid| rows are shuffled.
+    ``grid`` None means the full simplex. The grid is attached per row by a
+    generator, so rows × |grid| stay inside one stage and are summed per grid
+    point with partial aggregation: only |grid| rows are shuffled.
     """
     names = list(names or [f"w{i + 1}" for i in range(len(preds))])
-    arr = F.array(*[F.struct(*[F.lit(int(k)).alias(n) for k, n in zip(g, names)]) for g in grid])
-    staged = rows.select(y, *preds, F.explode(arr).alias("_g"))
-    blend = sum((F.col(f"_g.{n}").cast("double") / steps * F.col(p) for n, p in zip(names, preds)),
-                F.lit(0.0))
+    base = rows.select(y, *preds)
+    staged = explode_simplex(base, names, steps) if grid is None else explode_grid(base, names, grid)
+    blend = sum((F.col(n).cast("double") / steps * F.col(p) for n, p in zip(names, preds)), F.lit(0.0))
     err = squared_log_error(F.col(y), F.greatest(blend, F.lit(0.0)))
-    scored = staged.groupBy(*[F.col(f"_g.{n}").alias(n) for n in names]).agg(
-        F.sqrt(F.avg(err)).alias("rmsle"))
+    scored = staged.groupBy(*names).agg(F.sqrt(F.avg(err)).alias("rmsle"))
     return scored.select(*[(F.col(n) / steps).alias(n) for n in names], "rmsle")
 
 

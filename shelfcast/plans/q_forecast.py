@@ -295,7 +295,7 @@ SIMPLEX = fc.simplex_grid(4, 20)
 def blend_simplex(src):
     """Weights >= 0 summing to 1 that minimise RMSLE: exhaustive 0.05 simplex grid
     over the four predictors (1,771 points), argmin with tie-breaks."""
-    scores = fc.grid_scores(holdout_frame(src), "sales", PREDS, SIMPLEX, 20)
+    scores = fc.grid_scores(holdout_frame(src), "sales", PREDS, None, 20)
     return fc.best_of(scores, ["w1", "w2", "w3", "w4"])
 
 
@@ -303,7 +303,7 @@ def blend_simplex(src):
                                  .replace("g(w1", "WITH g(w1", 1) + ")\nSELECT * FROM sc WHERE rmsle < (SELECT MIN(rmsle) FROM sc) * 1.001"))
 def blend_near_best(src):
     """Simplex grid points within 0.1 % of the best score."""
-    scores = fc.grid_scores(holdout_frame(src), "sales", PREDS, SIMPLEX, 20)
+    scores = fc.grid_scores(holdout_frame(src), "sales", PREDS, None, 20)
     return fc.near_best(scores)
 
 
@@ -323,16 +323,14 @@ def blend_grid_hybrid(src):
     """Hybrid grid: HIGH-segment rows use α·fallback + (1−α)·global blend, other rows
     the global blend; α × simplex (step 0.1) = 726 points."""
     ho = holdout_frame(src)
-    arr = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("w1"), F.lit(c).alias("w2"),
-                             F.lit(d).alias("w3")) for a, b, c, d in HYB])
     x = ho.select("sales", (F.col("segment") == "HIGH").alias("hi"), "p_lag28", "p_mean28", "p_dow4",
-                  "p_fallback", F.explode(arr).alias("g"))
-    glob = (F.col("g.w1") * F.col("p_lag28") + F.col("g.w2") * F.col("p_mean28")
-            + F.col("g.w3") * F.col("p_dow4")) / 10.0
-    a = F.col("g.a") / 10.0
+                  "p_fallback", F.explode(F.sequence(F.lit(0), F.lit(10))).alias("a"))
+    x = fc.explode_simplex(x, ["w1", "w2", "w3"], 10)
+    glob = (F.col("w1") * F.col("p_lag28") + F.col("w2") * F.col("p_mean28")
+            + F.col("w3") * F.col("p_dow4")) / 10.0
+    a = F.col("a") / 10.0
     pred = F.when(F.col("hi"), a * F.col("p_fallback") + (1 - a) * glob).otherwise(glob)
-    scored = x.groupBy(F.col("g.a").alias("a"), F.col("g.w1").alias("w1"), F.col("g.w2").alias("w2"),
-                       F.col("g.w3").alias("w3")).agg(
+    scored = x.groupBy("a", "w1", "w2", "w3").agg(
         F.sqrt(F.avg(squared_log_error(F.col("sales"), F.greatest(pred, F.lit(0.0))))).alias("rmsle"))
     return scored.select((F.col("a") / 10.0).alias("alpha"), (F.col("w1") / 10.0).alias("w1"),
                          (F.col("w2") / 10.0).alias("w2"), (F.col("w3") / 10.0).alias("w3"), "rmsle")
