@@ -18,9 +18,9 @@ def std_from_sums(n: Column, s1: Column, s2: Column) -> Column:
     return F.when(n >= 2, F.sqrt(num / (n * (n - 1.0))))
 
 
-def std_samp(col: str, frame: WindowSpec | None = None) -> Column:
+def std_samp(col: str | Column, frame: WindowSpec | None = None) -> Column:
     """Sample std as a window expression over ``frame`` or as an aggregate."""
-    x = F.col(col).cast("double")
+    x = (F.col(col) if isinstance(col, str) else col).cast("double")
     if frame is None:
         return std_from_sums(F.count(x), F.sum(x), F.sum(x * x))
     return std_from_sums(F.count(x).over(frame), F.sum(x).over(frame), F.sum(x * x).over(frame))

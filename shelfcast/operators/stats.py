@@ -36,19 +36,19 @@ STAT_SPECS = {
 RECENT = {"store_family_recent", "store_family_dow_recent"}
 
 
-def _agg(kind: str, y: str) -> Column:
+def _agg(kind: str, y: Column) -> Column:
     if kind == "mean":
         return F.avg(y)
     if kind == "std":
         return std_samp(y)
     if kind == "median":
-        return F.percentile(F.col(y), F.lit(0.5))
+        return F.percentile(y, F.lit(0.5))
     if kind == "q25":
-        return F.percentile(F.col(y), F.lit(0.25))
+        return F.percentile(y, F.lit(0.25))
     if kind == "q75":
-        return F.percentile(F.col(y), F.lit(0.75))
+        return F.percentile(y, F.lit(0.75))
     if kind == "zero":
-        return F.avg((F.col(y) == 0).cast("double"))
+        return F.avg((y == 0).cast("double"))
     raise ValueError(kind)
 
 
@@ -57,29 +57,48 @@ def fit_target_stats(train: DataFrame, as_of: Column | None = None, target: str
     """Statistics of the target over rows with a known target and date <= as_of.
 
     ``train`` must carry ``cluster`` for the cluster statistic (skipped
-    otherwise). The recent statistics use date >= max(date) - 90 days.
+    otherwise). The recent statistics use date >= max(date) - 90 days; they
+    are conditional aggregates in the same pass as the all-time statistics
+    with the same keys, so there is one aggregation (one shuffle of partial
+    aggregates) per distinct key set, not one per statistic.
     """
     rows = train.filter(F.col(target).isNotNull())
     if as_of is not None:
         rows = rows.filter(F.col(date_col) <= as_of)
     rows = rows.withColumn(DOW, F.weekday(F.col(date_col)))
     recent_start = F.date_sub(rows.select(F.max(date_col)).scalar(), recent_days)
-    recent = rows.filter(F.col(date_col) >= recent_start)
-    out = {}
+    y = F.col(target)
+    y_recent = F.when(F.col(date_col) >= recent_start, y)
+    by_keys: dict[tuple, list] = {}
     for name, (keys, aggs) in STAT_SPECS.items():
         if any(k not in rows.columns for k in keys):
             continue
-        base = recent if name in RECENT else rows
-        out[name] = base.groupBy(*keys).agg(*[_agg(kind, target).alias(col) for col, kind in aggs])
+        col = y_recent if name in RECENT else y
+        by_keys.setdefault(tuple(keys), []).extend(
+            (name, out, _agg(kind, col).alias(out)) for out, kind in aggs)
+    out = {}
+    for keys, items in by_keys.items():
+        table = rows.groupBy(*keys).agg(*[expr for _n, _o, expr in items])
+        for name in dict.fromkeys(n for n, _o, _e in items):
+            cols = [o for n, o, _e in items if n == name]
+            t = table.select(*keys, *cols)
+            if name in RECENT:
+                # keys seen only before the recent window have no recent statistics
+                t = t.filter(F.col(cols[0]).isNotNull())
+            out[name] = t
     return out
 
 
 def apply_target_stats(df: DataFrame, stats: dict[str, DataFrame], date_col: str = "date") -> DataFrame:
     """Left-join every fitted statistic on its keys (absent ones are skipped)."""
     out = df.withColumn(DOW, F.weekday(F.col(date_col)))
+    joined: dict[tuple, DataFrame] = {}
     for name, (keys, _aggs) in STAT_SPECS.items():
         if name in stats and all(k in out.columns for k in keys):
-            out = out.join(stats[name], keys, "left")
+            k = tuple(keys)
+            joined[k] = stats[name] if k not in joined else joined[k].join(stats[name], list(k), "full")
+    for keys, table in joined.items():
+        out = out.join(table, list(keys), "left")
     return out.drop(DOW)
 
 

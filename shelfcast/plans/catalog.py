@@ -61,7 +61,7 @@ def runner(entry: Entry) -> Callable[[SparkSession, str], DataFrame]:
 def load_all() -> dict[str, Entry]:
     """Import the modules that register queries."""
     from shelfcast.plans import (  # noqa: F401
-        q_sources, q_features, q_grains, q_stats, q_forecast, q_reports, q_models)
+        q_sources, q_features, q_grains, q_stats, q_matrix, q_forecast, q_reports, q_models)
     return REGISTRY
 
 

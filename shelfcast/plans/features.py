@@ -80,6 +80,7 @@ def build_features(src: PanelSources, as_of: Column | None = None,
     ``as_of`` (default train_end) bounds the rows the target statistics see,
     so a validation fold passes its own training end.
     """
+    src = src.materialized()
     as_of = src.train_end if as_of is None else as_of
     stores = src.stores
     panel = src.panel.join(stores, "store_nbr", "left")

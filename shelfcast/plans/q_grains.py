@@ -95,7 +95,7 @@ def holiday_type(src):
     return grains.holiday_calendar(src.calendar, src.holidays).select("date", "holiday_type")
 
 
-@register("holiday_local_match", sql("""
+HOL_LOCAL_SQL = """
 , sd AS (SELECT DISTINCT s.store_nbr, c.date FROM series s CROSS JOIN cal c),
 f AS (
   SELECT sd.store_nbr, sd.date,
@@ -106,7 +106,10 @@ f AS (
     CAST(EXISTS (SELECT 1 FROM holidays h WHERE h.date = sd.date AND h.locale = 'Local'
                  AND h.locale_name = st.city) AS INTEGER) AS is_local_holiday
   FROM sd JOIN stores st USING (store_nbr))
-SELECT *, GREATEST(is_national_holiday, is_regional_holiday, is_local_holiday) AS is_effective_holiday FROM f"""))
+SELECT *, GREATEST(is_national_holiday, is_regional_holiday, is_local_holiday) AS is_effective_holiday FROM f"""
+
+
+@register("holiday_local_match", sql(HOL_LOCAL_SQL))
 def holiday_local_match(src):
     """Store-day national / regional (state) / local (city) and effective holiday flags."""
     days = grains.store_days(src.series, src.first_date, src.panel_end)

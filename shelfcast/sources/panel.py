@@ -60,6 +60,29 @@ class PanelSources:
         self.spark = spark
         self.sf_dir = sf_dir
         self.horizon = horizon
+        self.is_materialized = False
+
+    def materialized(self) -> "PanelSources":
+        """A copy whose dense panel is checkpointed into the shared checkpoint
+        folder and whose date bounds are constants.
+
+        For multi-branch jobs (feature matrix, model fits) the panel would
+        otherwise be rebuilt from the line items in every branch. The
+        checkpoint keeps the (store, family) partitioning, so series windows
+        over it need no exchange; two dates are read back to the driver.
+        """
+        if self.is_materialized:
+            return self
+        from shelfcast.session import cut_lineage
+        m = PanelSources(self.spark, self.sf_dir, self.horizon)
+        panel = cut_lineage(self.panel)
+        lo, hi = panel.agg(F.min("date"), F.max(F.when(F.col("sales").isNotNull(), F.col("date")))).first()
+        m.__dict__["panel"] = panel
+        m.__dict__["series"] = panel.select("store_nbr", "family").distinct()
+        m.__dict__["first_date"] = F.lit(lo)
+        m.__dict__["train_end"] = F.lit(hi)
+        m.is_materialized = True
+        return m
 
     def table(self, name: str) -> DataFrame:
         return read_parquet_table(self.spark, self.sf_dir, name)
