@@ -61,16 +61,19 @@ def tag_folds(df: DataFrame, max_date: Column, min_date: Column, date_col: str =
     # last fold that still has training rows
     max_fold = F.least(F.floor((F.datediff(max_date, min_date) - (val_days - 1) - gap_days)
                                / val_days), F.lit(n_splits - 1)).cast("int")
-    train_tags = F.when(last_train_fold >= 0, F.transform(
-        F.sequence(F.lit(0), last_train_fold),
-        lambda i: F.struct(i.alias("fold"), F.lit("train").alias("role"))
-    )).otherwise(F.array().cast("array<struct<fold:int,role:string>>"))
-    val_tags = F.when((dd >= 0) & (val_fold <= F.lit(n_splits - 1)), F.array(
-        F.struct(val_fold.alias("fold"), F.lit("val").alias("role"))
-    )).otherwise(F.array().cast("array<struct<fold:int,role:string>>"))
-    tagged = df.select("*", F.explode(F.concat(train_tags, val_tags)).alias("_tag"))
+    # fold numbers first (they use the scalar max_date), then the tag arrays
+    staged = df.select("*", last_train_fold.alias("_ltf"), val_fold.alias("_vf"), dd.alias("_dd"),
+                       max_fold.alias("_mf"))
+    empty = F.array().cast("array<struct<fold:int,role:string>>")
+    train_tags = F.when(F.col("_ltf") >= 0, F.transform(
+        F.sequence(F.lit(0), F.col("_ltf")),
+        lambda i: F.struct(i.alias("fold"), F.lit("train").alias("role")))).otherwise(empty)
+    val_tags = F.when((F.col("_dd") >= 0) & (F.col("_vf") <= F.lit(n_splits - 1)), F.array(
+        F.struct(F.col("_vf").alias("fold"), F.lit("val").alias("role")))).otherwise(empty)
+    tagged = staged.select("*", F.explode(F.concat(train_tags, val_tags)).alias("_tag"))
     return (tagged.select("*", F.col("_tag.fold").alias("fold"), F.col("_tag.role").alias("role"))
-                  .drop("_tag").filter(F.col("fold") <= max_fold))
+                  .filter(F.col("fold") <= F.col("_mf"))
+                  .drop("_tag", "_ltf", "_vf", "_dd", "_mf"))
 
 
 def fold_counts(tagged: DataFrame, date_col: str = "date") -> DataFrame:

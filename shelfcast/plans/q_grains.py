@@ -208,3 +208,69 @@ def hier_type_family(src):
 def _hier(src):
     p = src.panel.join(src.stores, "store_nbr", "left")
     return grains.hierarchical_tables(p)
+
+
+# ------------------------------------------------ transactions forecast grid
+TX_GRID_SQL = """
+, st AS (SELECT DISTINCT store_nbr FROM series),
+hd AS (SELECT date FROM cal, bounds b WHERE date > b.train_end),
+g AS (SELECT st.store_nbr, hd.date FROM st CROSS JOIN hd),
+lastn AS (
+  SELECT store_nbr,
+    AVG(transactions) FILTER (WHERE rk <= 7) AS m7, AVG(transactions) FILTER (WHERE rk <= 14) AS m14,
+    AVG(transactions) FILTER (WHERE rk <= 28) AS m28
+  FROM (SELECT store_nbr, transactions, ROW_NUMBER() OVER (PARTITION BY store_nbr ORDER BY date DESC) AS rk
+        FROM transactions) WHERE rk <= 50 GROUP BY 1)"""
+
+
+@register("tx_forecast_grid", sql(TX_GRID_SQL + """
+SELECT g.store_nbr, g.date, CAST(isodow(g.date) - 1 AS INTEGER) AS dow, CAST(month(g.date) AS INTEGER) AS month,
+  CAST(day(g.date) AS INTEGER) AS day, CAST(weekofyear(g.date) AS INTEGER) AS week,
+  CAST(isodow(g.date) >= 6 AS INTEGER) AS is_weekend,
+  t16.transactions AS tx_lag_16, t21.transactions AS tx_lag_21, t28.transactions AS tx_lag_28,
+  t35.transactions AS tx_lag_35, ROUND(l.m7, 6) AS tx_last_mean_7, ROUND(l.m14, 6) AS tx_last_mean_14,
+  ROUND(l.m28, 6) AS tx_last_mean_28
+FROM g
+LEFT JOIN transactions t16 ON t16.store_nbr = g.store_nbr AND t16.date = g.date - 16
+LEFT JOIN transactions t21 ON t21.store_nbr = g.store_nbr AND t21.date = g.date - 21
+LEFT JOIN transactions t28 ON t28.store_nbr = g.store_nbr AND t28.date = g.date - 28
+LEFT JOIN transactions t35 ON t35.store_nbr = g.store_nbr AND t35.date = g.date - 35
+LEFT JOIN lastn l ON l.store_nbr = g.store_nbr"""))
+def tx_forecast_grid(src):
+    """Store × horizon-day grid with calendar parts, transactions k days before
+    by date lookup (self equi-join; absent -> null) and last-N known means."""
+    return tx_grid(src)
+
+
+def tx_grid(src):
+    from shelfcast.operators.forecast import last_n_mean
+    stores = src.series.select("store_nbr").distinct()
+    grid = stores.select("store_nbr", F.explode(F.sequence(F.date_add(src.train_end, 1),
+                                                           src.panel_end)).alias("date"))
+    tx = src.transactions
+    out = grid.select("store_nbr", "date", F.weekday("date").alias("dow"), F.month("date").alias("month"),
+                      F.dayofmonth("date").alias("day"), F.weekofyear("date").alias("week"),
+                      (F.weekday("date") >= 5).cast("int").alias("is_weekend"))
+    for k in (16, 21, 28, 35):
+        look = tx.select("store_nbr", F.date_add("date", k).alias("date"),
+                         F.col("transactions").alias(f"tx_lag_{k}"))
+        out = out.join(look, ["store_nbr", "date"], "left")
+    last50 = tx.withColumn("_rk", F.row_number().over(
+        __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("store_nbr")
+        .orderBy(F.col("date").desc()))).filter(F.col("_rk") <= 50)
+    for n in (7, 14, 28):
+        out = out.join(last_n_mean(last50, ["store_nbr"], "transactions", n, f"tx_last_mean_{n}"),
+                       "store_nbr", "left")
+    return out
+
+
+@register("tx_forecast_applied", sql(TX_GRID_SQL + """
+SELECT p.store_nbr, p.family, p.date, ROUND(COALESCE(l.m7, 0.0), 6) AS transactions_pred
+FROM panel p JOIN bounds b ON p.date > b.train_end LEFT JOIN lastn l ON l.store_nbr = p.store_nbr"""))
+def tx_forecast_applied(src):
+    """Horizon panel rows with the store-day transactions forecast (last-7 known
+    mean of the grid), looked up by (store, date) with default 0."""
+    g = tx_grid(src).select("store_nbr", "date", F.col("tx_last_mean_7").alias("transactions_pred"))
+    h = src.horizon_rows().select("store_nbr", "family", "date")
+    return h.join(g, ["store_nbr", "date"], "left").select(
+        "store_nbr", "family", "date", F.coalesce("transactions_pred", F.lit(0.0)).alias("transactions_pred"))

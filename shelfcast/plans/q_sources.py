@@ -157,3 +157,36 @@ def train_horizon_union(src):
     horizon = src.horizon_rows()
     return train.unionByName(horizon, allowMissingColumns=True).select(
         "store_nbr", "family", "date", "sales", "onpromotion", "transactions")
+
+
+# ------------------------------------------------------------------- folds
+FOLDS_SQL = """
+, fd AS (SELECT CAST(i AS INTEGER) AS fold, b.train_end - CAST(16 * i AS INTEGER) AS val_end,
+                b.train_end - CAST(16 * i AS INTEGER) - 15 AS val_start,
+                b.train_end - CAST(16 * i AS INTEGER) - 31 AS tr_end
+         FROM bounds b, range(0, 5) t(i)),
+ok AS (SELECT fd.* FROM fd WHERE fd.tr_end >= (SELECT MIN(date) FROM train)),
+tg AS (SELECT ok.fold, CASE WHEN t.date <= ok.tr_end THEN 'train' ELSE 'val' END AS role, t.date
+       FROM train t JOIN ok ON t.date <= ok.tr_end OR t.date BETWEEN ok.val_start AND ok.val_end)"""
+
+
+def tagged_folds(src):
+    from shelfcast.operators.folds import tag_folds
+    t = src.train_rows()
+    return tag_folds(t, src.train_end, src.first_date)
+
+
+@register("ts_folds", sql(FOLDS_SQL + "\nSELECT fold, role, date, COUNT(*) AS n_rows FROM tg GROUP BY ALL"))
+def ts_folds(src):
+    """Expanding-window folds with a 16-day gap: every training row tagged
+    (fold, role) by a generator, counted per (fold, role, date)."""
+    return tagged_folds(src).groupBy("fold", "role", "date").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("ts_fold_counts", sql(FOLDS_SQL + """
+SELECT fold, role, COUNT(*) AS n_rows, MIN(date) AS min_date, MAX(date) AS max_date,
+  COUNT(DISTINCT date) AS n_dates FROM tg GROUP BY ALL"""))
+def ts_fold_counts(src):
+    """Rows, first/last date and number of dates per (fold, role)."""
+    from shelfcast.operators.folds import fold_counts
+    return fold_counts(tagged_folds(src))
