@@ -34,6 +34,7 @@ STAT_SPECS = {
                        [("cluster_family_mean", "mean"), ("cluster_family_std", "std")]),
 }
 RECENT = {"store_family_recent", "store_family_dow_recent"}
+MERGED = "_by_keys"   # one table per key set, as aggregated (used by apply)
 
 
 def _agg(kind: str, y: Column) -> Column:
@@ -77,8 +78,10 @@ def fit_target_stats(train: DataFrame, as_of: Column | None = None, target: str
         by_keys.setdefault(tuple(keys), []).extend(
             (name, out, _agg(kind, col).alias(out)) for out, kind in aggs)
     out = {}
+    merged = {}
     for keys, items in by_keys.items():
         table = rows.groupBy(*keys).agg(*[expr for _n, _o, expr in items])
+        merged[keys] = table
         for name in dict.fromkeys(n for n, _o, _e in items):
             cols = [o for n, o, _e in items if n == name]
             t = table.select(*keys, *cols)
@@ -86,12 +89,19 @@ def fit_target_stats(train: DataFrame, as_of: Column | None = None, target: str
                 # keys seen only before the recent window have no recent statistics
                 t = t.filter(F.col(cols[0]).isNotNull())
             out[name] = t
+    out[MERGED] = merged
     return out
 
 
 def apply_target_stats(df: DataFrame, stats: dict[str, DataFrame], date_col: str = "date") -> DataFrame:
     """Left-join every fitted statistic on its keys (absent ones are skipped)."""
     out = df.withColumn(DOW, F.weekday(F.col(date_col)))
+    if MERGED in stats:
+        # one left join per key set, straight from its aggregation
+        for keys, table in stats[MERGED].items():
+            if all(k in out.columns for k in keys):
+                out = out.join(table, list(keys), "left")
+        return out.drop(DOW)
     joined: dict[tuple, DataFrame] = {}
     for name, (keys, _aggs) in STAT_SPECS.items():
         if name in stats and all(k in out.columns for k in keys):

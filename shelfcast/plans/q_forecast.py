@@ -22,7 +22,9 @@ SW = "PARTITION BY store_nbr, family ORDER BY date"
 def holdout_frame(src):
     """Validation rows (last 16 known days) with four statistical predictors,
     the hurdle parts and the series segment, all fitted on rows up to the
-    fold's training end (max - 31 days)."""
+    fold's training end (max - 31 days). Several branches read the panel, so
+    it is materialized once."""
+    src = src.materialized()
     fit_end, val_start, val_end = holdout_bounds(src.train_end)
     w = series.series_window()
     dow4 = series.mean_ignoring_nulls([F.lag("sales", 7 * k).over(w) for k in series.SAME_DOW_MEAN_WEEKS])
@@ -110,6 +112,7 @@ LEFT JOIN fdm ON fdm.family = h.family AND fdm._dow = h._dow
 LEFT JOIN fmm ON fmm.family = h.family"""))
 def fallback_forecast_q(src):
     """Horizon forecast by the hierarchical recent-mean fallback."""
+    src = src.materialized()
     return fc.fallback_forecast(src.train_rows(), src.horizon_rows(), src.train_end)
 
 
@@ -126,6 +129,7 @@ pr AS (SELECT h.*, COALESCE(sfd.m, sfm.m, 0.0) * 0.01 - 0.005 AS raw FROM h
 def _horizon_raw(src):
     """Horizon fallback forecast scaled to the order of magnitude of a share
     (×0.01 − 0.005), so clipping and the 0.01 threshold both have work."""
+    src = src.materialized()
     f = fc.fallback_forecast(src.train_rows(), src.horizon_rows(), src.train_end)
     return f.withColumn("raw", F.col("pred") * 0.01 - 0.005)
 
@@ -159,6 +163,7 @@ sub AS (
 
 def submission_frame(src):
     """(id, sales) of the horizon: fallback forecast, post-processed."""
+    src = src.materialized()
     f = fc.fallback_forecast(src.train_rows(), src.horizon_rows(), src.train_end)
     return src.with_id(f).select("id", postprocess(F.col("pred")).alias("sales"))
 
@@ -458,6 +463,7 @@ SELECT store_nbr, family, date, ROUND(AVG(pred), 6) AS pred FROM pw GROUP BY ALL
 def seed_average(src):
     """Mean over seeds, then over variants: per (window, seed) a series×weekday mean
     over a deterministic 70 % row sample; long format, two group-bys."""
+    src = src.materialized()
     fit_end, _, _ = holdout_bounds(src.train_end)
     ho = holdout_frame(src).select("store_nbr", "family", "date", "sales")
     fit = src.train_rows().filter(F.col("date") <= fit_end)
