@@ -480,3 +480,14 @@ def seed_average(src):
         "pred", F.coalesce("m", F.lit(0.0)))
     per_win = p.groupBy("store_nbr", "family", "date", "win").agg(F.avg("pred").alias("pred"))
     return per_win.groupBy("store_nbr", "family", "date").agg(F.avg("pred").alias("pred"))
+
+
+@register("rmsle_by_segment", sql(HOLDOUT_SQL + f"""
+SELECT segment, ROUND({rmsle_sql('p_fallback')}, 6) AS rmsle_fallback, ROUND({rmsle_sql('p_lag28')}, 6) AS rmsle_lag28,
+  COUNT(*) AS n FROM ho GROUP BY ROLLUP (segment)"""))
+def rmsle_by_segment(src):
+    """RMSLE per series segment and overall (null segment) in one rollup."""
+    ho = holdout_frame(src)
+    return ho.rollup("segment").agg(rmsle("sales", "p_fallback").alias("rmsle_fallback"),
+                                    rmsle("sales", "p_lag28").alias("rmsle_lag28"),
+                                    F.count(F.lit(1)).alias("n"))
