@@ -50,6 +50,19 @@ GLM_FEATURES = [
 ]
 
 
+# Parameter tiers by Tweedie variance power (cut at 1.1 and 1.3): lower powers
+# model heavier-volume series and get less regularisation.
+POWER_PARAMS = [
+    (1.1, {"reg": 1e-4, "max_iter": 15}),
+    (1.3, {"reg": 1e-3, "max_iter": 15}),
+    (9.9, {"reg": 1e-2, "max_iter": 15}),
+]
+
+
+def params_for_power(power: float) -> dict:
+    return next(p for cut, p in POWER_PARAMS if power <= cut)
+
+
 @dataclass
 class ModelData:
     train: DataFrame          # rows up to the fold's training end (trailing window)

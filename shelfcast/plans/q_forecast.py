@@ -491,3 +491,21 @@ def rmsle_by_segment(src):
     return ho.rollup("segment").agg(rmsle("sales", "p_fallback").alias("rmsle_fallback"),
                                     rmsle("sales", "p_lag28").alias("rmsle_lag28"),
                                     F.count(F.lit(1)).alias("n"))
+
+
+PRED_BINS = 100
+
+
+@register("prediction_histogram", sql(SUB_SQL + f""",
+mm AS (SELECT MIN(sales) AS lo, MAX(sales) AS hi FROM sub),
+b AS (SELECT CAST(LEAST(FLOOR((s.sales - mm.lo) / NULLIF(mm.hi - mm.lo, 0) * {PRED_BINS}), {PRED_BINS - 1}) AS INTEGER) AS bin
+      FROM sub s, mm)
+SELECT bin, COUNT(*) AS n FROM b GROUP BY bin"""))
+def prediction_histogram(src):
+    """Equal-width histogram (100 bins) of the submission predictions."""
+    s = submission_frame(src)
+    lo = s.select(F.min("sales")).scalar()
+    hi = s.select(F.max("sales")).scalar()
+    b = F.least(F.floor(F.try_divide(F.col("sales") - lo, hi - lo) * PRED_BINS),
+                F.lit(PRED_BINS - 1)).cast("int")
+    return s.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))

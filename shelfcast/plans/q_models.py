@@ -101,7 +101,7 @@ def fit_segments(src):
     def task(name, power):
         def run():
             part = tr.filter(F.col("segment") == name)
-            model = ml.tweedie_pipeline(ml.glm_features(md), power).fit(part)
+            model = ml.tweedie_pipeline(ml.glm_features(md), power, **ml.params_for_power(power)).fit(part)
             return ml.predict_clipped(model, va.filter(F.col("segment") == name)) \
                 .withColumn("segment", F.lit(name))
         return run
@@ -124,7 +124,8 @@ def fit_multi_seed(src):
 
     def task(power, seed):
         def run():
-            model = ml.tweedie_pipeline(ml.glm_features(md), power).fit(ml.hashed_sample(md.train, seed))
+            model = ml.tweedie_pipeline(ml.glm_features(md), power, **ml.params_for_power(power)).fit(
+                ml.hashed_sample(md.train, seed))
             return ml.predict_clipped(model, md.valid).select(
                 *KEY, "sales", "pred", F.lit(power).alias("power"), F.lit(seed).alias("seed"))
         return run
