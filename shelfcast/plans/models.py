@@ -69,6 +69,7 @@ class ModelData:
     valid: DataFrame          # the 16 validation days
     horizon: DataFrame        # rows after train_end (no target)
     features: list[str]
+    known: DataFrame | None = None   # every known row in the trailing window of train_end (refit)
 
 
 def model_data(src: PanelSources, trailing_days: int = 730) -> ModelData:
@@ -87,7 +88,8 @@ def model_data(src: PanelSources, trailing_days: int = 730) -> ModelData:
                             fit_end, trailing_days)
     valid = matrix.filter(F.col("date").between(val_start, val_end))
     horizon = matrix.filter(F.col("date") > src.train_end)
-    return ModelData(train, valid, horizon, cols)
+    known = trailing_window(matrix.filter(F.col("sales").isNotNull()), src.train_end, trailing_days)
+    return ModelData(train, valid, horizon, cols, known)
 
 
 def assembler(features: Sequence[str]) -> VectorAssembler:

@@ -293,3 +293,11 @@ def model_save_load(src):
     return j.agg(F.count(F.lit(1)).alias("n_rows"),
                  F.max(F.abs(F.col("pred_a") - F.col("pred_b"))).alias("max_abs_diff"),
                  F.min("pred_a").alias("min_pred"))
+
+
+@register("forecast_submission")
+def forecast_submission(src):
+    """The full forecast job: holdout fits, blend weights, refit, horizon
+    submission rows (id, key, sales) with the chosen weights."""
+    from shelfcast.plans.forecast_job import run_forecast
+    return run_forecast(src, data(src))
