@@ -324,11 +324,13 @@ def interp_lookup(src):
     lo = bp.select(F.min("score")).scalar()
     hi = bp.select(F.max("score")).scalar()
     top = bp.select(F.max("rnk")).scalar()
-    hit = (F.col("query_score") >= F.col("s0")) & (F.col("query_score") < F.col("s1"))
-    inner = q.join(F.broadcast(seg.filter(F.col("s1").isNotNull())), hit, "left").select(
-        "query_score", (F.col("r0") + (F.col("r1") - F.col("r0")) * (F.col("query_score") - F.col("s0"))
-                        / (F.col("s1") - F.col("s0"))).alias("_mid"))
+    qs = q.select("query_score").scalar()
+    # the breakpoint segment containing the query score, as a scalar subquery
+    hit = F.col("s1").isNotNull() & (qs >= F.col("s0")) & (qs < F.col("s1"))
+    mid = (seg.filter(hit).orderBy("s0").limit(1)
+              .select(F.col("r0") + (F.col("r1") - F.col("r0")) * (qs - F.col("s0"))
+                      / (F.col("s1") - F.col("s0"))).scalar())
     rank = (F.when(F.col("query_score") <= lo, F.lit(1.0))
             .when(F.col("query_score") >= hi, top)
-            .otherwise(F.col("_mid")))
-    return inner.select("query_score", rank.alias("rank"))
+            .otherwise(mid))
+    return q.select("query_score", rank.alias("rank"))
