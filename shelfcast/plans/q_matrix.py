@@ -14,6 +14,8 @@ from shelfcast.plans.q_features import PAYDAY_SQL
 from shelfcast.plans.q_grains import HOL_LOCAL_SQL, OIL_SQL
 
 KEY = ["store_nbr", "family", "date"]
+# features per aggregation pass of the profile (keeps each generated method small)
+PROFILE_CHUNK = 24
 SW = "PARTITION BY store_nbr, family ORDER BY date"
 INTERACTIONS = ["sales_velocity_16_28", "sales_velocity_16_42", "sales_yoy_change", "promo_x_sf_mean",
                 "promo_x_sf_dow_mean", "lag16_to_mean_ratio", "dow_trend_3w_4w", "dow_yoy_ratio",
@@ -62,10 +64,19 @@ LEFT JOIN hol ON hol.store_nbr = lg.store_nbr AND hol.date = lg.date
 LEFT JOIN pay ON pay.date = lg.date"""
 
 
+def feature_table(src):
+    """The assembled feature matrix (as of train_end), checkpointed once per
+    session and shared by the queries that read it."""
+    import os
+    from shelfcast.session import cut_lineage, session_table
+    return session_table(src.spark, ("features", os.path.abspath(src.sf_dir)),
+                         lambda: cut_lineage(build_features(src)))
+
+
 @register("interaction_features", sql(INTERACTION_SQL))
 def interaction_features(src):
     """Velocities, ratios, promotion and oil/holiday interactions from the assembled matrix."""
-    return build_features(src).select(*KEY, *INTERACTIONS)
+    return feature_table(src).select(*KEY, *INTERACTIONS)
 
 
 def feature_profile(matrix):
@@ -77,15 +88,22 @@ def feature_profile(matrix):
     cols = [f.name for f in matrix.schema.fields
             if f.name not in ("id", "date", "sales", "store_nbr") and f.name not in CATEGORICAL
             and isinstance(f.dataType, (T.DoubleType, T.IntegerType, T.LongType))]
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs.append(F.struct(F.lit(c).alias("feature"), F.count(x).alias("n_non_null"),
-                             F.avg(x).alias("mean"), F.min(x).alias("min"),
-                             F.max(x).alias("max")).alias(f"_s{i}"))
-    wide = matrix.agg(*aggs)
-    return wide.select(F.explode(F.array(*[F.col(f"_s{i}") for i in range(len(cols))])).alias("s")) \
-        .select("s.*")
+    parts = []
+    for start in range(0, len(cols), PROFILE_CHUNK):
+        chunk = cols[start:start + PROFILE_CHUNK]
+        aggs = []
+        for i, c in enumerate(chunk):
+            x = F.col(c).cast("double")
+            aggs.append(F.struct(F.lit(c).alias("feature"), F.count(x).alias("n_non_null"),
+                                 F.avg(x).alias("mean"), F.min(x).alias("min"),
+                                 F.max(x).alias("max")).alias(f"_s{i}"))
+        wide = matrix.agg(*aggs)
+        parts.append(wide.select(F.explode(F.array(*[F.col(f"_s{i}") for i in range(len(chunk))]))
+                                 .alias("s")).select("s.*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 @register("feature_matrix")
@@ -97,7 +115,7 @@ def feature_matrix(src):
     (lag_features, rolling_features, oil_features, holiday_*, tx_features,
     hier_*, target_stats_applied, interaction_features, ...); the full matrix
     is ``plans.features.training_matrix(build_features(src))``."""
-    return feature_profile(training_matrix(build_features(src)))
+    return feature_profile(training_matrix(feature_table(src)))
 
 
 @register("category_codes", sql("""

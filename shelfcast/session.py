@@ -69,3 +69,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def sf_label(sf_dir: str) -> str:
     base = os.path.basename(os.path.normpath(sf_dir))
     return base[2:] if base.startswith("sf") else base
+
+
+_SESSION_TABLES: dict = {}
+
+
+def session_table(spark: SparkSession, key: tuple, build):
+    """A checkpointed intermediate table shared by the queries of one session.
+
+    ``build`` returns the (already checkpointed) value; it runs once per
+    application and key, like writing a temporary table that later queries of
+    the same job read. Keys include the input directory.
+    """
+    k = (spark.sparkContext.applicationId,) + tuple(key)
+    if k not in _SESSION_TABLES:
+        _SESSION_TABLES[k] = build()
+    return _SESSION_TABLES[k]

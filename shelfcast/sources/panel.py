@@ -73,10 +73,17 @@ class PanelSources:
         """
         if self.is_materialized:
             return self
-        from shelfcast.session import cut_lineage
+        import os
+        from shelfcast.session import cut_lineage, session_table
         m = PanelSources(self.spark, self.sf_dir, self.horizon)
-        panel = cut_lineage(self.panel)
-        lo, hi = panel.agg(F.min("date"), F.max(F.when(F.col("sales").isNotNull(), F.col("date")))).first()
+
+        def build():
+            panel = cut_lineage(self.panel)
+            lo, hi = panel.agg(F.min("date"),
+                               F.max(F.when(F.col("sales").isNotNull(), F.col("date")))).first()
+            return panel, lo, hi
+        panel, lo, hi = session_table(
+            self.spark, ("panel", os.path.abspath(self.sf_dir), self.horizon), build)
         m.__dict__["panel"] = panel
         m.__dict__["series"] = panel.select("store_nbr", "family").distinct()
         m.__dict__["first_date"] = F.lit(lo)
