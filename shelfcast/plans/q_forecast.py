@@ -150,7 +150,7 @@ sfm AS (SELECT store_nbr, family, AVG(sales) AS m FROM rec GROUP BY 1, 2),
 fdm AS (SELECT family, _dow, AVG(sales) AS m FROM rec GROUP BY 1, 2),
 fmm AS (SELECT family, AVG(sales) AS m FROM rec GROUP BY 1),
 h AS (SELECT p.store_nbr, p.family, p.date, isodow(p.date) - 1 AS _dow,
-        CAST((p.date - b.d0) AS BIGINT) * 1000000 + CAST(p.store_nbr AS BIGINT) * 1000 + fa.family_code AS id
+        (CAST((p.date - b.d0) AS BIGINT) * (SELECT MAX(store_nbr) + 1 FROM stores) + CAST(p.store_nbr AS BIGINT)) * (SELECT COUNT(*) FROM families) + fa.family_code AS id
       FROM panel p JOIN families fa USING (family) CROSS JOIN bounds b WHERE p.date > b.train_end),
 sub AS (
   SELECT h.id, CASE WHEN GREATEST(COALESCE(sfd.m, sfm.m, fdm.m, fmm.m, 0.0), 0.0) < 0.01 THEN 0.0

@@ -14,7 +14,7 @@ EVENT_START, EVENT_END = "1998-04-16", "1998-05-15"
 
 
 @register("scan_sales", sql("""
-SELECT CAST((t.date - b.d0) AS BIGINT) * 1000000 + CAST(t.store_nbr AS BIGINT) * 1000 + f.family_code AS id,
+SELECT (CAST((t.date - b.d0) AS BIGINT) * (SELECT MAX(store_nbr) + 1 FROM stores) + CAST(t.store_nbr AS BIGINT)) * (SELECT COUNT(*) FROM families) + f.family_code AS id,
        t.date, t.store_nbr, t.family, t.sales, t.onpromotion
 FROM train t JOIN families f USING (family) CROSS JOIN bounds b"""))
 def scan_sales(src):
@@ -24,7 +24,7 @@ def scan_sales(src):
 
 
 @register("scan_horizon", sql("""
-SELECT CAST((p.date - b.d0) AS BIGINT) * 1000000 + CAST(p.store_nbr AS BIGINT) * 1000 + f.family_code AS id,
+SELECT (CAST((p.date - b.d0) AS BIGINT) * (SELECT MAX(store_nbr) + 1 FROM stores) + CAST(p.store_nbr AS BIGINT)) * (SELECT COUNT(*) FROM families) + f.family_code AS id,
        p.date, p.store_nbr, p.family, p.onpromotion
 FROM panel p JOIN families f USING (family) CROSS JOIN bounds b WHERE p.date > b.train_end"""))
 def scan_horizon(src):

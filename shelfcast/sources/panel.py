@@ -163,11 +163,15 @@ class PanelSources:
             (F.dense_rank().over(_global_order("family")) - 1).alias("family_code"))
 
     def with_id(self, df: DataFrame) -> DataFrame:
-        """Deterministic row id from the key: days since start, store, family code."""
+        """Deterministic row id from the key (mixed radix, no collisions):
+        id = (days since start · n_stores + store_nbr) · n_families + family code,
+        with n_stores = max store key + 1 and n_families from the family table
+        (both scalar subqueries)."""
         days = F.datediff(F.col("date"), self.first_date).cast("long")
+        n_store = self.stores.select((F.max("store_nbr") + 1).cast("long")).scalar()
+        n_fam = self.families.select(F.count(F.lit(1)).cast("long")).scalar()
         return (df.join(self.families, "family", "left")
-                  .withColumn("id", days * F.lit(1_000_000)
-                              + F.col("store_nbr").cast("long") * F.lit(1000)
+                  .withColumn("id", (days * n_store + F.col("store_nbr").cast("long")) * n_fam
                               + F.col("family_code").cast("long"))
                   .drop("family_code"))
 
