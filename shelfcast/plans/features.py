@@ -41,18 +41,60 @@ def date_grain_table(src: PanelSources) -> DataFrame:
     return calendar.join(oil, "date", "left").join(hol, "date", "left")
 
 
+def by_weekday(table: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """Weekday statistics (keys + _dow) turned into one row per key with an
+    array of 7 values per statistic, so they join on the coarser key and the
+    row's weekday picks its element (no join on the weekday)."""
+    aggs = [F.array(*[F.max(F.when(F.col(stats.DOW) == d, F.col(c))) for d in range(7)]).alias(f"_{c}_by_dow")
+            for c in cols]
+    return table.groupBy(*keys).agg(*aggs)
+
+
+def pick_weekday(cols: list[str], date_col: str = "date") -> list[Column]:
+    return [F.col(f"_{c}_by_dow")[F.weekday(date_col)].alias(c) for c in cols]
+
+
 def store_day_table(src: PanelSources, panel_with_stores: DataFrame,
-                    hier: dict[str, DataFrame]) -> DataFrame:
-    """Transactions, store and city totals, location holiday flags per (store, day)."""
+                    hier: dict[str, DataFrame], st: dict | None = None) -> DataFrame:
+    """Transactions, store and city totals, location holiday flags and the
+    store statistics per (store, day): everything keyed by store reaches the
+    panel through this one table and one join."""
     days = grains.store_days(src.series, src.first_date, src.panel_end)
     tx = grains.transaction_features(days, src.transactions).drop("transactions")
     loc = grains.holiday_location_flags(days, src.stores, src.holidays)
     store = hier["store"].drop("store_total")
     city = (hier["city"].drop("city_total")
             .join(src.stores.select("store_nbr", "city"), "city").drop("city"))
-    return (tx.join(loc, ["store_nbr", "date"], "left")
-              .join(store, ["store_nbr", "date"], "left")
-              .join(city, ["store_nbr", "date"], "left"))
+    out = (tx.join(loc, ["store_nbr", "date"], "left")
+             .join(store, ["store_nbr", "date"], "left")
+             .join(city, ["store_nbr", "date"], "left"))
+    if st is not None:
+        m = st[stats.MERGED]
+        out = out.join(m[("store_nbr",)], "store_nbr", "left")
+        wd = by_weekday(m[("store_nbr", stats.DOW)], ["store_nbr"], ["store_dow_mean"])
+        out = out.join(wd, "store_nbr", "left").select(
+            "*", *pick_weekday(["store_dow_mean"])).drop("_store_dow_mean_by_dow")
+    return out
+
+
+def family_day_table(hier: dict[str, DataFrame], st: dict) -> DataFrame:
+    """Family national totals and the family statistics per (family, day):
+    families × days rows, independent of the number of stores."""
+    m = st[stats.MERGED]
+    wd = by_weekday(m[("family", stats.DOW)], ["family"], ["family_dow_mean"])
+    fam = (hier["family"].drop("family_national").join(m[("family",)], "family", "left")
+           .join(wd, "family", "left"))
+    return fam.select("*", *pick_weekday(["family_dow_mean"])).drop("_family_dow_mean_by_dow")
+
+
+def series_stats_table(st: dict) -> DataFrame:
+    """Per-series statistics (all-time, recent, zero ratio and the weekday
+    means as arrays) keyed by (store_nbr, family) only, the key the panel is
+    already partitioned by, so this join does not move the panel."""
+    m = st[stats.MERGED]
+    wd = by_weekday(m[("store_nbr", "family", stats.DOW)], ["store_nbr", "family"],
+                    ["sf_dow_mean", "sf_dow_recent_mean"])
+    return m[("store_nbr", "family")].join(wd, ["store_nbr", "family"], "full")
 
 
 def interaction_columns() -> list[Column]:
@@ -87,14 +129,21 @@ def build_features(src: PanelSources, as_of: Column | None = None,
     feats = series.add_series_features(panel, promo_predicate=promo_predicate)
     hier = grains.hierarchical_tables(panel)
     st = stats.fit_target_stats(panel.filter(F.col("date") <= src.train_end), as_of=as_of)
+    # join order: date grain (broadcast, bounded by days) and series statistics
+    # (same key as the panel's partitioning) first; then the one store-day join
+    # (the only exchange of the panel); then family-level tables, whose size
+    # is families × days (AQE broadcasts them when measured small).
     out = (feats.join(F.broadcast(date_grain_table(src)), "date", "left")
-                .join(store_day_table(src, panel, hier), ["store_nbr", "date"], "left")
-                .join(hier["family"].drop("family_national"), ["family", "date"], "left")
-                .join(hier["cluster_family"].drop("cluster_family_avg"),
+                .join(series_stats_table(st), ["store_nbr", "family"], "left")
+                .select("*", *pick_weekday(["sf_dow_mean", "sf_dow_recent_mean"]))
+                .drop("_sf_dow_mean_by_dow", "_sf_dow_recent_mean_by_dow")
+                .join(store_day_table(src, panel, hier, st), ["store_nbr", "date"], "left")
+                .join(family_day_table(hier, st), ["family", "date"], "left")
+                .join(hier["cluster_family"].drop("cluster_family_avg")
+                      .join(st[stats.MERGED][("cluster", "family")], ["cluster", "family"], "left"),
                       ["cluster", "family", "date"], "left")
                 .join(hier["type_family"].drop("type_family_avg"),
                       ["store_type", "family", "date"], "left"))
-    out = stats.apply_target_stats(out, st)
     out = out.withColumn("is_effective_holiday", F.greatest(
         "is_national_holiday", "is_regional_holiday", "is_local_holiday"))
     return out.select("*", *cal.cross_columns(), *interaction_columns())
