@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.moments import std_sql
@@ -256,8 +257,7 @@ def tx_grid(src):
                          F.col("transactions").alias(f"tx_lag_{k}"))
         out = out.join(look, ["store_nbr", "date"], "left")
     last50 = tx.withColumn("_rk", F.row_number().over(
-        __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("store_nbr")
-        .orderBy(F.col("date").desc()))).filter(F.col("_rk") <= 50)
+        Window.partitionBy("store_nbr").orderBy(F.col("date").desc()))).filter(F.col("_rk") <= 50)
     for n in (7, 14, 28):
         out = out.join(last_n_mean(last50, ["store_nbr"], "transactions", n, f"tx_last_mean_{n}"),
                        "store_nbr", "left")

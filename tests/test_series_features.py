@@ -54,6 +54,20 @@ def test_matches_pandas_shift_rolling(spark, sample_train):
                                    rtol=1e-9)
 
 
+def test_matches_pandas_lag_and_expanding(spark, sample_train):
+    out = series.add_aggregation_features(series.add_lag_features(sample_train, lags=[3]),
+                                          windows=[5], shift=2).toPandas()
+    pdf = sample_train.toPandas().sort_values(["store_nbr", "family", "date"])
+    g = pdf.groupby(["store_nbr", "family"])["sales"]
+    pdf["lag3"] = g.shift(3)
+    shifted = g.shift(2)
+    pdf["exp"] = shifted.groupby([pdf.store_nbr, pdf.family]).transform(
+        lambda s: s.expanding(min_periods=7).mean())
+    m = pdf.merge(out, on=["store_nbr", "family", "date"])
+    pd.testing.assert_series_equal(m["lag3"], m["sales_lag_3"], check_names=False)
+    pd.testing.assert_series_equal(m["exp"], m["sales_expanding_mean"], check_names=False, rtol=1e-12)
+
+
 def test_expanding_min_obs(spark):
     df = _single_series(spark, [1] * 40)
     out = series.add_aggregation_features(df).orderBy("date").toPandas()
