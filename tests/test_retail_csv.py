@@ -66,3 +66,16 @@ def test_retail_submission_keeps_file_ids(spark, raw_dir):
     ids = sorted(r.id for r in sub.collect())
     assert ids == list(range(1000, 1064))
     assert sub.filter(F.col("sales") < 0).count() == 0
+
+
+def test_feature_matrix_on_retail_files(spark, raw_dir):
+    from shelfcast.plans.features import build_features, feature_columns, training_matrix
+    m = training_matrix(build_features(RetailSources(spark, raw_dir)))
+    cols = feature_columns(m)
+    for c in ["day_of_week", "month", "sales_lag_16", "oil_lag_7", "oil_rolling_mean_28", "is_holiday",
+              "days_to_next_holiday", "transactions_lag_16", "sf_mean", "store_total_lag_16",
+              "is_effective_holiday", "payday_decay", "family_x_store_type"]:
+        assert c in m.columns, c
+    assert not {"sales", "id", "date"} & set(cols) and len(cols) > 100
+    assert m.count() == 46 * 4              # 30 train + 16 horizon days, 4 series
+    assert "transactions" not in m.columns   # same-day transactions are not a feature
