@@ -137,3 +137,14 @@ def test_series_do_not_mix_levels(spark):
     t = grains.hierarchical_tables(_panel_two_stores(spark))["store"].toPandas()
     low = t[t.store_nbr == 1]["store_total_lag_16"].dropna()
     assert low.max() < 2 * (10 + 60)
+
+
+def test_sql_views(spark):
+    from shelfcast.plans.views import register_views
+    names = register_views(spark, PanelSources(spark, SMOKE_DIR), prefix="t_")
+    assert "t_panel" in names
+    row = spark.sql("""SELECT COUNT(*) AS n, SUM(CASE WHEN sales IS NULL THEN 1 ELSE 0 END) AS h
+                       FROM t_panel""").first()
+    s = spark.sql("SELECT COUNT(DISTINCT store_nbr, family) AS s FROM t_panel").first().s
+    assert row.h == 16 * s
+    assert spark.sql("SELECT COUNT(*) FROM t_holiday_calendar WHERE is_holiday = 1").first()[0] > 0
