@@ -39,7 +39,7 @@ pc AS (
   FROM w LEFT JOIN rk ON rk.rn = w.rn)
 SELECT date, {_r('x', 'dcoilwtico')}, {_r('l7', 'oil_lag_7')}, {_r('l14', 'oil_lag_14')},
   {_r('m28', 'oil_rolling_mean_28')}, {_r('s28', 'oil_rolling_std_28')}, {_r('diff', 'oil_diff')},
-  CASE WHEN pct IS NULL THEN 1.0 WHEN pct <= 0.33 THEN 0.0 WHEN pct <= 0.66 THEN 1.0 ELSE 2.0 END AS oil_regime,
+  CAST(CASE WHEN pct IS NULL THEN 1.0 WHEN pct <= 0.33 THEN 0.0 WHEN pct <= 0.66 THEN 1.0 ELSE 2.0 END AS DOUBLE) AS oil_regime,
   {_r('COALESCE((x - x30) / (x30 + 1), 0.0)', 'oil_momentum_30d')},
   CAST(COALESCE(x > CASE WHEN n60 >= 20 THEN ma60 END, false) AS INTEGER) AS oil_above_60d_ma
 FROM pc"""

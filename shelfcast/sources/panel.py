@@ -223,7 +223,7 @@ class PanelSources:
                     .select(F.make_date("year", "r.month", "r.day").alias("date"),
                             "r.type", F.lit("National").alias("locale"),
                             F.lit("Ecuador").alias("locale_name"), "r.description",
-                            "r.transferred", F.col("r.rule").alias("h_seq")))
+                            "r.transferred", F.col("r.rule").cast("long").alias("h_seq")))
         region = self.table("region").select("r_regionkey", "r_name", years.alias("year"))
         regional = region.select(
             F.make_date("year", F.col("r_regionkey") + REGIONAL_FIRST_MONTH,
@@ -232,7 +232,7 @@ class PanelSources:
             F.col("r_name").alias("locale_name"),
             F.concat(F.lit("Fundacion de "), F.col("r_name")).alias("description"),
             F.lit(False).alias("transferred"),
-            (F.col("r_regionkey") + 100).alias("h_seq"))
+            (F.col("r_regionkey") + 100).cast("long").alias("h_seq"))
         nation = self.table("nation").select("n_nationkey", "n_name", years.alias("year"))
         local = nation.select(
             F.make_date("year", F.pmod(F.col("n_nationkey"), F.lit(12)) + 1,
@@ -241,7 +241,7 @@ class PanelSources:
             F.col("n_name").alias("locale_name"),
             F.concat(F.lit("Fiesta de "), F.col("n_name")).alias("description"),
             F.lit(False).alias("transferred"),
-            (F.col("n_nationkey") + 200).alias("h_seq"))
+            (F.col("n_nationkey") + 200).cast("long").alias("h_seq"))
         return national.unionByName(regional).unionByName(local)
 
     # -------------------------------------------------------------- combined
