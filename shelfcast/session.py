@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +44,9 @@ def get_spark(master: str | None = None, app: str = "shelfcast",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (local tests) a private folder is made.
+    Only a local session (tests, one machine) may go without: it gets a private
+    folder. On a cluster a folder of the driver's own disk would be lost to the
+    executors, so a missing setting is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="shelfcast-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -66,11 +71,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def sf_label(sf_dir: str) -> str:
-    base = os.path.basename(os.path.normpath(sf_dir))
-    return base[2:] if base.startswith("sf") else base
-
-
 _SESSION_TABLES: dict = {}
 
 
