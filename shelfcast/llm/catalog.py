@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.llm import exactdedup
+from shelfcast.llm import bpe, exactdedup, neardup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_byte_bpe": bpe.op2_byte_bpe,
+        "op3_minhash_inverted_join": neardup.op3_minhash_inverted_join,
         "op6_content_sort_dedup": exactdedup.op6_content_sort_dedup,
     }
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import tempfile
 import uuid
+import zipfile
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,6 +44,33 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+@functools.cache
+def _package() -> str:
+    """This package as a zip file, as ``--py-files`` would take it."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="shelfcast-py-"), "shelfcast.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(root)))
+    return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow``, after Spark has sent this package to the workers (once
+    an application)."""
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        sc.addPyFile(_package())
+        _SHIPPED.add(sc.applicationId)
+    return df.mapInArrow(run, schema)
+
+
 def partitions(spark: SparkSession) -> int:
     """How many partitions a shuffle of the session makes."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
