@@ -320,12 +320,13 @@ def _encoded(batches: Iterator[pa.RecordBatch], text: str, vocabulary: str) -> I
             yield batch.slice(a, b - a), own.encode_texts(read_texts(column.slice(a, b - a)))
 
 
-def encode(df: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
-    """``df`` without the text, with ``ids`` and each token's byte ``offsets``
-    (replacing columns of these names)."""
+def encode(df: DataFrame, text: str = "text", vocabulary: str = VOCABULARY, offsets: bool = True) -> DataFrame:
+    """``df`` without the text, with ``ids`` and, if asked for, each token's byte
+    ``offsets`` (replacing columns of these names)."""
     keep = [c for c in df.columns if c not in (text, "ids", "offsets")]
-    schema = T.StructType([df.schema[c] for c in keep]).add("ids", T.ArrayType(T.IntegerType())) \
-        .add("offsets", T.ArrayType(T.LongType()))
+    schema = T.StructType([df.schema[c] for c in keep]).add("ids", T.ArrayType(T.IntegerType()))
+    if offsets:
+        schema = schema.add("offsets", T.ArrayType(T.LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(vocabulary)
@@ -333,8 +334,9 @@ def encode(df: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) -> D
             ids = [np.frombuffer(p, dtype="<u4").astype(np.int32) for p in packed]
             columns = [rows.column(rows.schema.get_field_index(c)) for c in keep]
             columns.append(pa.array(ids, pa.list_(pa.int32())))
-            columns.append(pa.array([own.token_offsets(i) for i in ids], pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "ids", "offsets"])
+            if offsets:
+                columns.append(pa.array([own.token_offsets(i) for i in ids], pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
     return map_arrow(df.select(*keep, text), run, schema)
 

@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.llm import bpe, exactdedup, neardup
+import corpus_pipeline
+from shelfcast.llm import bpe, exactdedup, mixing, neardup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_byte_bpe": bpe.op2_byte_bpe,
         "op3_minhash_inverted_join": neardup.op3_minhash_inverted_join,
+        "op4_temperature_mix": mixing.op4_temperature_mix,
         "op6_content_sort_dedup": exactdedup.op6_content_sort_dedup,
+        "op10_subword_toxicity": toxicity.op10_subword_toxicity,
+        "pipeline": corpus_pipeline.run,
     }
 
 

@@ -42,11 +42,9 @@ def hot_groups(df: DataFrame, text: str, parts: int) -> DataFrame:
     number of pieces to cut them into. Fewer than ``4 * parts`` rows, since each
     holds more than a ``1 / (4 * parts)`` part of all rows."""
     counts = df.groupBy(F.sha2(_normalised(text), 256).alias("_xd_sha")).agg(F.count("*").alias("_xd_n"))
-    total = df.agg(F.count("*").alias("_xd_total"))
-    fair = F.greatest(F.col("_xd_total") / F.lit(HOT_PER_PARTITION * parts), F.lit(64.0))
-    return (counts.where(F.col("_xd_n") > 64).join(F.broadcast(total))  # one row
-            .where(F.col("_xd_n") > fair)
-            .select("_xd_sha", F.ceil(F.col("_xd_n") / fair).cast("int").alias("_xd_pieces")))
+    fair = max(df.count() / (HOT_PER_PARTITION * parts), 64.0)
+    return counts.where(F.col("_xd_n") > fair).select(
+        "_xd_sha", F.ceil(F.col("_xd_n") / F.lit(fair)).cast("int").alias("_xd_pieces"))
 
 
 def _runs(df: DataFrame, text: str, ident: str, keep: str, carry: list[str], heads_only: bool) -> DataFrame:
