@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from shelfcast.llm import bpe, exactdedup, mixing, neardup, toxicity
+from shelfcast.llm import bpe, exactdedup, fingerprint, hilbert, mixing, neardup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_minhash_inverted_join": neardup.op3_minhash_inverted_join,
         "op4_temperature_mix": mixing.op4_temperature_mix,
         "op6_content_sort_dedup": exactdedup.op6_content_sort_dedup,
+        "op7_bottom_k_fingerprints": fingerprint.op7_bottom_k_fingerprints,
+        "op8_hilbert_shards": hilbert.op8_hilbert_shards,
         "op10_subword_toxicity": toxicity.op10_subword_toxicity,
         "pipeline": corpus_pipeline.run,
     }
