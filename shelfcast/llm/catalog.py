@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from shelfcast.llm import bpe, exactdedup, fingerprint, hilbert, mixing, neardup, toxicity
+from shelfcast.llm import bpe, exactdedup, fingerprint, hilbert, langid, mixing, neardup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_byte_bpe": bpe.op2_byte_bpe,
         "op3_minhash_inverted_join": neardup.op3_minhash_inverted_join,
         "op4_temperature_mix": mixing.op4_temperature_mix,
+        "op5_rank_order_langid": langid.op5_rank_order_langid,
         "op6_content_sort_dedup": exactdedup.op6_content_sort_dedup,
         "op7_bottom_k_fingerprints": fingerprint.op7_bottom_k_fingerprints,
         "op8_hilbert_shards": hilbert.op8_hilbert_shards,
