@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from shelfcast.llm import bpe, exactdedup, fingerprint, hilbert, langid, mixing, neardup, toxicity
+from shelfcast.llm import bpe, exactdedup, fingerprint, hilbert, langid, mixing, neardup, toxicity, wrapper
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -19,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_content_sort_dedup": exactdedup.op6_content_sort_dedup,
         "op7_bottom_k_fingerprints": fingerprint.op7_bottom_k_fingerprints,
         "op8_hilbert_shards": hilbert.op8_hilbert_shards,
+        "op9_wrapper_induction": wrapper.op9_wrapper_induction,
         "op10_subword_toxicity": toxicity.op10_subword_toxicity,
         "pipeline": corpus_pipeline.run,
     }
