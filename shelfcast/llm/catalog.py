@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from shelfcast.llm import bpe, exactdedup, fingerprint, hilbert, langid, mixing, neardup, toxicity, wrapper
+from shelfcast.llm import bpe, exactdedup, fingerprint, hilbert, langid, mixing, neardup, toxicity, warc, wrapper
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_warc_derivatives": warc.op1_warc_derivatives,
         "op2_byte_bpe": bpe.op2_byte_bpe,
         "op3_minhash_inverted_join": neardup.op3_minhash_inverted_join,
         "op4_temperature_mix": mixing.op4_temperature_mix,
