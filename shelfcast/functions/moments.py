@@ -1,9 +1,8 @@
-"""Sample standard deviation from power sums.
+"""Sample standard deviation, null below two observations.
 
-sqrt((n·Σx² − (Σx)²) / (n·(n−1))), null below two observations. For
-integer-valued targets (unit sales) the sums are exact, so the result is the
-correctly rounded value whatever order the engine adds in; results therefore
-agree bit for bit across engines and across partitionings.
+Spark's ``stddev_samp`` keeps a running mean and the squared deviations from it,
+so large values elsewhere in a series cost a small window no digits; sums of
+squares would.
 """
 
 from __future__ import annotations
@@ -12,22 +11,7 @@ from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 
-def std_from_sums(n: Column, s1: Column, s2: Column) -> Column:
-    n = n.cast("double")
-    num = F.greatest(n * s2 - s1 * s1, F.lit(0.0))
-    return F.when(n >= 2, F.sqrt(num / (n * (n - 1.0))))
-
-
 def std_samp(col: str | Column, frame: WindowSpec | None = None) -> Column:
     """Sample std as a window expression over ``frame`` or as an aggregate."""
     x = (F.col(col) if isinstance(col, str) else col).cast("double")
-    if frame is None:
-        return std_from_sums(F.count(x), F.sum(x), F.sum(x * x))
-    return std_from_sums(F.count(x).over(frame), F.sum(x).over(frame), F.sum(x * x).over(frame))
-
-
-def std_sql(x: str, over: str = "") -> str:
-    """The same formula in SQL (used by the oracle)."""
-    n = f"CAST(COUNT({x}) {over} AS DOUBLE)"
-    s1, s2 = f"SUM({x}) {over}", f"SUM(({x}) * ({x})) {over}"
-    return f"CASE WHEN {n} >= 2 THEN SQRT(GREATEST({n} * {s2} - {s1} * {s1}, 0.0) / ({n} * ({n} - 1.0))) END"
+    return F.stddev_samp(x) if frame is None else F.stddev_samp(x).over(frame)

@@ -14,7 +14,7 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from shelfcast.functions.moments import std_from_sums, std_samp
+from shelfcast.functions.moments import std_samp
 
 SERIES_KEYS = ("store_nbr", "family")
 
@@ -37,49 +37,19 @@ def shifted_frame(w: WindowSpec, shift: int, length: int) -> WindowSpec:
     return w.rowsBetween(-(shift + length - 1), -shift)
 
 
-def running_sums(df: DataFrame, target: str, w: WindowSpec, tag: str | None = None) -> DataFrame:
-    """Add running count, sum and sum of squares of ``target`` per series.
+def frame_mean(col: str, w: WindowSpec, shift: int, length: int | None, min_obs: int = 1) -> Column:
+    """Mean over the shifted frame (``length`` None: everything up to ``shift``
+    rows back), null below ``min_obs`` observations.
 
-    A shifted rolling statistic then needs only lags of these three columns:
-    Σ over rows [i-(k+n-1), i-k] = C(i-k) - C(i-k-n). Running frames are
-    evaluated incrementally (O(1) per row) and lags are offsets, whereas a
-    sliding frame re-aggregates its whole length for every row, so the cost no
-    longer grows with the window length (365-day windows cost as much as
-    7-day ones). For integer-valued targets the sums are exact.
+    Spark evaluates a sliding frame afresh for each row, within one generated
+    loop: ``length`` additions a row, which a window of 90 days makes a few
+    microseconds. Differences of running sums would be cheaper, but they lose
+    the digits that a large early value takes.
     """
-    tag = tag or target
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    y = F.col(target).cast("double")
-    return df.select("*",
-                     F.count(y).over(run).alias(f"_{tag}_cn"),
-                     F.sum(F.coalesce(y, F.lit(0.0))).over(run).alias(f"_{tag}_c1"),
-                     F.sum(F.coalesce(y * y, F.lit(0.0))).over(run).alias(f"_{tag}_c2"))
-
-
-def frame_sums(w: WindowSpec, shift: int, length: int | None, tag: str):
-    """(n, Σx, Σx²) over rows [i-(shift+length-1), i-shift] from the running
-    sums of ``running_sums`` (``length`` None = everything up to i-shift)."""
-    def diff(c: str, zero):
-        hi = F.lag(c, shift).over(w)
-        if length is None:
-            return hi
-        return hi - F.coalesce(F.lag(c, shift + length).over(w), F.lit(zero))
-    n = F.coalesce(diff(f"_{tag}_cn", 0), F.lit(0))
-    return n, diff(f"_{tag}_c1", 0.0), diff(f"_{tag}_c2", 0.0)
-
-
-def frame_mean(w: WindowSpec, shift: int, length: int | None, tag: str, min_obs: int = 1) -> Column:
-    n, s1, _ = frame_sums(w, shift, length, tag)
-    return F.when(n >= min_obs, s1 / n.cast("double"))
-
-
-def frame_std(w: WindowSpec, shift: int, length: int | None, tag: str) -> Column:
-    n, s1, s2 = frame_sums(w, shift, length, tag)
-    return std_from_sums(n, s1, s2)
-
-
-def drop_running(df: DataFrame, tag: str) -> DataFrame:
-    return df.drop(f"_{tag}_cn", f"_{tag}_c1", f"_{tag}_c2")
+    frame = w.rowsBetween(Window.unboundedPreceding, -shift) if length is None else shifted_frame(w, shift, length)
+    x = F.col(col).cast("double")
+    mean = F.avg(x).over(frame)
+    return mean if min_obs <= 1 else F.when(F.count(x).over(frame) >= min_obs, mean)
 
 
 def lag_columns(target: str, lags: Iterable[int], w: WindowSpec,
@@ -92,19 +62,19 @@ def rolling_columns(target: str, windows: Iterable[int], w: WindowSpec,
                     mean_name: str = "{t}_rolling_mean_{n}",
                     std_name: str = "{t}_rolling_std_{n}") -> list[Column]:
     """Mean and sample std over the shifted frame (min 1 observation; the std
-    of one observation is null, as in pandas). Needs ``running_sums``."""
+    of one observation is null, as in pandas)."""
     cols = []
     for n in windows:
-        cols.append(frame_mean(w, shift, n, target).alias(mean_name.format(t=target, n=n)))
-        cols.append(frame_std(w, shift, n, target).alias(std_name.format(t=target, n=n)))
+        cols.append(frame_mean(target, w, shift, n).alias(mean_name.format(t=target, n=n)))
+        cols.append(std_samp(target, shifted_frame(w, shift, n)).alias(std_name.format(t=target, n=n)))
     return cols
 
 
 def expanding_mean(target: str, w: WindowSpec, shift: int = SAFE_SHIFT,
                    min_obs: int = EXPANDING_MIN_OBS) -> Column:
     """Mean of everything up to ``shift`` rows back, null below ``min_obs``
-    observations. Needs ``running_sums``."""
-    return frame_mean(w, shift, None, target, min_obs)
+    observations."""
+    return frame_mean(target, w, shift, None, min_obs)
 
 
 def mean_ignoring_nulls(cols: Sequence[Column]) -> Column:
@@ -125,8 +95,7 @@ def add_rolling_features(df: DataFrame, target: str = "sales",
                          windows: Sequence[int] = ROLLING_WINDOWS, shift: int = SAFE_SHIFT,
                          keys: Sequence[str] = SERIES_KEYS, date_col: str = "date") -> DataFrame:
     w = series_window(keys, date_col)
-    staged = running_sums(df, target, w)
-    return drop_running(staged.select("*", *rolling_columns(target, windows, w, shift)), target)
+    return df.select("*", *rolling_columns(target, windows, w, shift))
 
 
 def add_same_dow_features(df: DataFrame, target: str = "sales",
@@ -147,7 +116,7 @@ def add_aggregation_features(df: DataFrame, target: str = "sales",
                            mean_name="{t}_store_family_mean_{n}",
                            std_name="{t}_store_family_std_{n}")
     cols.append(expanding_mean(target, w, shift).alias(f"{target}_expanding_mean"))
-    return drop_running(running_sums(df, target, w).select("*", *cols), target)
+    return df.select("*", *cols)
 
 
 def add_rolling_minmax(df: DataFrame, target: str = "sales",
@@ -188,25 +157,21 @@ def add_promotion_features(df: DataFrame, col: str = "onpromotion", predicate: s
     Promotions are known for the horizon, so shifts below 16 are allowed.
     """
     w = series_window(keys, date_col)
-    staged = running_sums(df, col, w)
-    return drop_running(staged.select(
+    return df.select(
         "*",
         F.lag(col, 7).over(w).alias("promo_lag_7"),
         F.lag(col, 14).over(w).alias("promo_lag_14"),
-        frame_mean(w, 1, 14, col).alias("promo_rolling_14"),
-        promo_run_length(col, w, predicate).alias("promo_duration")), col)
+        frame_mean(col, w, 1, 14).alias("promo_rolling_14"),
+        promo_run_length(col, w, predicate).alias("promo_duration"))
 
 
 def add_series_features(df: DataFrame, target: str = "sales",
                         keys: Sequence[str] = SERIES_KEYS, date_col: str = "date",
                         promo_predicate: str = "eq1") -> DataFrame:
     """All series-window features over one partitioning (one exchange, one
-    sort): running sums first, then lags and frame differences."""
+    sort)."""
     w = series_window(keys, date_col)
-    staged = running_sums(df, target, w)
     has_promo = "onpromotion" in df.columns
-    if has_promo:
-        staged = running_sums(staged, "onpromotion", w)
     cols = lag_columns(target, LAG_DAYS, w)
     cols += rolling_columns(target, ROLLING_WINDOWS, w)
     cols += [F.lag(target, k).over(w).alias(f"{target}_lag_dow_{wk}w") for wk, k in SAME_DOW_LAGS]
@@ -219,7 +184,6 @@ def add_series_features(df: DataFrame, target: str = "sales",
     if has_promo:
         cols += [F.lag("onpromotion", 7).over(w).alias("promo_lag_7"),
                  F.lag("onpromotion", 14).over(w).alias("promo_lag_14"),
-                 frame_mean(w, 1, 14, "onpromotion").alias("promo_rolling_14"),
+                 frame_mean("onpromotion", w, 1, 14).alias("promo_rolling_14"),
                  promo_run_length("onpromotion", w, promo_predicate).alias("promo_duration")]
-    out = drop_running(staged.select("*", *cols), target)
-    return drop_running(out, "onpromotion") if has_promo else out
+    return df.select("*", *cols)

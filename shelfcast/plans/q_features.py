@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions import calendar as cal
 from shelfcast.functions.metrics import rmsle, rmsle_by
-from shelfcast.functions.moments import std_samp, std_sql
+from shelfcast.functions.moments import std_samp
 from shelfcast.operators import series
 from shelfcast.operators.folds import holdout_bounds
 from shelfcast.plans.catalog import register
@@ -129,7 +129,7 @@ def _rolling_sql(windows, mean_name, std_name) -> str:
     cols = []
     for n in windows:
         cols.append(_r(f"AVG(sales) {_frame(16, n)}", mean_name.format(n=n)))
-        cols.append(_r(std_sql("sales", _frame(16, n)), std_name.format(n=n)))
+        cols.append(_r("STDDEV_SAMP(sales) " + _frame(16, n), std_name.format(n=n)))
     return ", ".join(cols)
 
 
@@ -199,7 +199,7 @@ def _minmax_sql() -> str:
     for n in (7, 28, 365):
         f = _frame(16, n)
         cols += [f"MIN(sales) {f} AS sales_rolling_min_{n}", f"MAX(sales) {f} AS sales_rolling_max_{n}",
-                 _r(f"({std_sql('sales', f)}) / NULLIF(AVG(sales) {f}, 0)", f"sales_rolling_cv_{n}")]
+                 _r(f"(STDDEV_SAMP(sales) {f}) / NULLIF(AVG(sales) {f}, 0)", f"sales_rolling_cv_{n}")]
     return "SELECT store_nbr, family, date, sales, " + ", ".join(cols) + " FROM panel"
 
 
@@ -210,8 +210,8 @@ def rolling_minmax(src):
 
 
 @register("series_cv", sql("""
-SELECT store_nbr, family, ROUND(AVG(sales), 6) AS mean_sales, ROUND(""" + std_sql("sales") + """, 6) AS std_sales,
-  ROUND((""" + std_sql("sales") + """) / NULLIF(AVG(sales), 0), 6) AS cv
+SELECT store_nbr, family, ROUND(AVG(sales), 6) AS mean_sales, ROUND(STDDEV_SAMP(sales), 6) AS std_sales,
+  ROUND((STDDEV_SAMP(sales)) / NULLIF(AVG(sales), 0), 6) AS cv
 FROM train GROUP BY 1, 2"""))
 def series_cv(src):
     """Per-series coefficient of variation over the training days."""

@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shelfcast.functions.moments import std_sql
 from shelfcast.operators import grains
 from shelfcast.plans.catalog import register
 from shelfcast.plans.oracle import sql
@@ -23,7 +22,7 @@ w AS (
   SELECT date, x, rn,
     LAG(x, 7) OVER (ORDER BY date) AS l7, LAG(x, 14) OVER (ORDER BY date) AS l14,
     AVG(x) OVER (ORDER BY date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS m28,
-    {std_sql('x', 'OVER (ORDER BY date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING)')} AS s28,
+    {'STDDEV_SAMP(x) OVER (ORDER BY date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING)'} AS s28,
     x - LAG(x, 1) OVER (ORDER BY date) AS diff,
     LAG(x, 1) OVER (ORDER BY date) AS prev, LAG(x, 30) OVER (ORDER BY date) AS x30,
     AVG(x) OVER (ORDER BY date ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING) AS ma60,

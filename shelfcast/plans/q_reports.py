@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.metrics import rmsle
-from shelfcast.functions.moments import std_samp, std_sql
+from shelfcast.functions.moments import std_samp
 from shelfcast.operators import clean
 from shelfcast.plans.catalog import register
 from shelfcast.plans.oracle import sql
@@ -235,7 +235,7 @@ def _describe_sql() -> str:
     for c in NUMERIC:
         x = f"CAST({c} AS DOUBLE)"
         parts.append(f"""SELECT '{c}' AS column_name, COUNT({c}) AS count, ROUND(AVG({x}), 4) AS mean,
-  ROUND({std_sql(x)}, 4) AS std, ROUND(MIN({x}), 4) AS min, ROUND(quantile_cont({x}, 0.25), 4) AS p25,
+  ROUND(STDDEV_SAMP({x}), 4) AS std, ROUND(MIN({x}), 4) AS min, ROUND(quantile_cont({x}, 0.25), 4) AS p25,
   ROUND(quantile_cont({x}, 0.5), 4) AS p50, ROUND(quantile_cont({x}, 0.75), 4) AS p75, ROUND(MAX({x}), 4) AS max FROM m""")
     return """
 , m AS (SELECT t.sales, t.onpromotion, o.dcoilwtico, x.transactions FROM train t

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfcast.functions.moments import std_sql
 from shelfcast.operators import stats
 from shelfcast.plans.catalog import register
 from shelfcast.plans.oracle import sql
@@ -16,7 +15,7 @@ rc AS (SELECT * FROM tr WHERE date >= (SELECT MAX(date) FROM tr) - 90)"""
 
 KIND_SQL = {
     "mean": "ROUND(AVG(sales), 6)",
-    "std": "ROUND(" + std_sql("sales") + ", 6)",
+    "std": "ROUND(STDDEV_SAMP(sales), 6)",
     "median": "ROUND(quantile_cont(sales, 0.5), 6)",
     "q25": "ROUND(quantile_cont(sales, 0.25), 6)",
     "q75": "ROUND(quantile_cont(sales, 0.75), 6)",

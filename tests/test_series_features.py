@@ -107,3 +107,26 @@ def test_no_leak_after_cutoff(spark, sample_train):
     cols = [c for c in a.columns if c not in ("sales", "id")]
     diff = a.filter(keep).select(*cols).exceptAll(b.filter(keep).select(*cols))
     assert diff.count() == 0
+
+
+def test_large_early_value_costs_no_digits(spark):
+    """A spike of 1e5 and values near 1e6 leave later small windows exact."""
+    values = [100_000.37] + [1e6 + i / 7 for i in range(40)] + [0.1 + 0.01 * (i % 5) for i in range(60)]
+    df = _single_series(spark, values)
+    out = series.add_aggregation_features(series.add_rolling_features(df), windows=[30]).orderBy("date").toPandas()
+    shifted = pd.Series(values).shift(16)
+    for n, mean, std in ((7, "sales_rolling_mean_7", "sales_rolling_std_7"),
+                         (30, "sales_store_family_mean_30", "sales_store_family_std_30")):
+        for i in range(16, len(values)):
+            window = shifted[max(16, i - n + 1):i + 1]
+            assert out[mean][i] == pytest.approx(window.mean(), rel=1e-9)
+            if len(window) > 1:
+                # two-pass formula in long decimals as the reference value
+                assert out[std][i] == pytest.approx(_exact_std(window.tolist()), rel=1e-9)
+
+
+def _exact_std(values):
+    from fractions import Fraction
+    xs = [Fraction(v) for v in values]
+    mean = sum(xs) / len(xs)
+    return float(sum((x - mean) ** 2 for x in xs) / (len(xs) - 1)) ** 0.5
