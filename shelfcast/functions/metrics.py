@@ -23,29 +23,67 @@ def rmsle_by(df: DataFrame, y: str, p: str, by: list[str]) -> DataFrame:
     return df.groupBy(*by).agg(rmsle(y, p).alias("rmsle"), F.count(F.lit(1)).alias("n"))
 
 
-def f1_at(y_bin: Column, score: Column, threshold: Column) -> tuple[Column, Column, Column]:
-    """Conditional counts (tp, fp, fn) of the rule score >= threshold."""
-    pred = score >= threshold
-    tp = F.count_if(pred & (y_bin == 1))
-    fp = F.count_if(pred & (y_bin == 0))
-    fn = F.count_if(~pred & (y_bin == 1))
-    return tp, fp, fn
+BUCKETS = 1024
 
 
-def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Exact ROC AUC by the rank-sum (Mann-Whitney) formula with tied ranks averaged.
+def counts_before(per_value: DataFrame, value: str, count: str, by: list[str] = ()) -> DataFrame:
+    """Adds ``before``: how many rows of the group have a smaller value.
 
-    Ranks come from a running count over the distinct scores: the data is
-    first reduced to one row per score (partial aggregation), so the single
-    ordered window runs over distinct scores only.
+    ``per_value`` has one row per group and value. The values of a group are cut
+    into ``BUCKETS`` ranges between its smallest and largest one; each range is a
+    window of its own, and only the totals of the ranges are added up in one
+    place, so no task sees all values.
     """
-    per_score = df.groupBy(F.col(score).alias("_s")).agg(
+    by = list(by)
+    staged = per_value if by else per_value.withColumn("_g", F.lit(0))
+    by = by or ["_g"]
+    ends = staged.groupBy(*by).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    share = F.try_divide(F.col(value) - F.col("_lo"), F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0)))
+    bucket = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
+    # one row a group on the right: Spark broadcasts it by its size
+    placed = staged.join(ends, by).withColumn("_bucket", bucket).drop("_lo", "_hi")
+    order = Window.partitionBy(*by).orderBy("_bucket")
+    totals = placed.groupBy(*by, "_bucket").agg(F.sum(count).alias("_sum")).select(
+        *by, "_bucket", (F.sum("_sum").over(order) - F.col("_sum")).alias("_offset"))
+    inside = Window.partitionBy(*by, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    out = placed.join(totals, [*by, "_bucket"]).withColumn(
+        "before", F.col("_offset") + F.coalesce(F.sum(count).over(inside), F.lit(0))).drop("_offset", "_bucket")
+    return out.drop("_g")
+
+
+def quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] = ()) -> DataFrame:
+    """Exact quantiles with linear interpolation, one row a group and columns
+    ``q0``, ``q1``, ... in the order of ``probs``. Values are first counted
+    (partial aggregation), so what moves is one row per distinct value."""
+    by = list(by)
+    per_value = df.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    ranked = counts_before(per_value, "_v", "_n", by)
+    size = per_value.groupBy(*by).agg(F.sum("_n").alias("_all"))
+    ranked = ranked.join(size, by) if by else ranked.withColumn("_all", size.select("_all").scalar())
+
+    def at(rank):
+        hit = (F.col("before") <= rank) & (rank < F.col("before") + F.col("_n"))
+        return F.max(F.when(hit, F.col("_v")))
+
+    cols = []
+    for i, p in enumerate(probs):
+        place = F.lit(float(p)) * (F.col("_all") - 1)
+        cols += [at(F.floor(place)).alias(f"_a{i}"), at(F.ceil(place)).alias(f"_b{i}"),
+                 F.max(place - F.floor(place)).alias(f"_f{i}")]
+    out = ranked.groupBy(*by).agg(*cols)
+    return out.select(*by, *[(F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}")) * F.col(f"_f{i}")).alias(f"q{i}")
+                             for i in range(len(probs))])
+
+
+def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
+    """Exact ROC AUC by the rank-sum (Mann-Whitney) formula with tied ranks
+    averaged. The rows are first reduced to one per distinct score; ranks come
+    from ``counts_before``."""
+    per_score = df.groupBy(F.col(score).cast("double").alias("_s")).agg(
         F.count(F.lit(1)).alias("_n"),
         F.count_if(F.col(label) == 1).alias("_pos"))
-    w = Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = per_score.select(
-        "_n", "_pos",
-        (F.coalesce(F.sum("_n").over(w), F.lit(0)) + (F.col("_n") + 1) / 2.0).alias("_avg_rank"))
+    ranked = counts_before(per_score, "_s", "_n").withColumn("_avg_rank", F.col("before") + (F.col("_n") + 1) / 2.0)
     return ranked.agg(
         F.sum("_pos").alias("n_pos"),
         (F.sum("_n") - F.sum("_pos")).alias("n_neg"),

@@ -154,25 +154,29 @@ def holiday_location_flags(store_days: DataFrame, stores: DataFrame, holidays: D
 
 
 # ------------------------------------------------------------ transactions
-def store_days(series: DataFrame, start: Column, end: Column) -> DataFrame:
+def store_days(stores: DataFrame, start: Column, end: Column) -> DataFrame:
     """Every (store, day) of the panel span, generated from the store list."""
-    stores = series.select("store_nbr").distinct()
     return stores.select("store_nbr", F.explode(F.sequence(start, end)).alias("date"))
 
 
-def transactions_last_mean(tx: DataFrame, n_last: int = TX_IMPUTE_LAST) -> DataFrame:
-    """Per store: mean of the last ``n_last`` known daily transactions."""
+def transactions_last_mean(tx: DataFrame, n_last: int = TX_IMPUTE_LAST, as_of: Column | None = None) -> DataFrame:
+    """Per store: mean of the last ``n_last`` known daily transactions (up to ``as_of``)."""
+    if as_of is not None:
+        tx = tx.filter(F.col("date") <= as_of)
     w = Window.partitionBy("store_nbr").orderBy(F.col("date").desc())
     ranked = tx.filter(F.col("transactions").isNotNull()).withColumn("_rk", F.row_number().over(w))
     return ranked.filter(F.col("_rk") <= n_last).groupBy("store_nbr").agg(
         F.avg("transactions").alias("tx_last28_mean"))
 
 
-def transaction_features(days: DataFrame, tx: DataFrame) -> DataFrame:
+def transaction_features(days: DataFrame, tx: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Store-day transactions: impute gaps with the store's last-28 mean (0 if
-    none), lags 16/21/28, rolling means after a shift of 16, ratios."""
+    none), lags 16/21/28, rolling means after a shift of 16, ratios.
+
+    ``as_of`` bounds the days that the imputed mean and the store's mean see,
+    so a validation fold's own days don't enter its features."""
     imputed = (days.join(tx, ["store_nbr", "date"], "left")
-               .join(transactions_last_mean(tx), "store_nbr", "left")
+               .join(transactions_last_mean(tx, as_of=as_of), "store_nbr", "left")
                .select("store_nbr", "date",
                        F.coalesce(F.col("transactions").cast("double"), F.col("tx_last28_mean"),
                                   F.lit(0.0)).alias("transactions")))
@@ -180,7 +184,8 @@ def transaction_features(days: DataFrame, tx: DataFrame) -> DataFrame:
     cols = [F.lag("transactions", k).over(w).alias(f"transactions_lag_{k}") for k in TX_LAGS]
     cols += [F.avg("transactions").over(shifted_frame(w, SAFE_SHIFT, n))
              .alias(f"transactions_rolling_mean_{n}") for n in TX_ROLLING]
-    cols.append(F.avg("transactions").over(Window.partitionBy("store_nbr")).alias("_store_mean"))
+    seen = F.col("transactions") if as_of is None else F.when(F.col("date") <= as_of, F.col("transactions"))
+    cols.append(F.avg(seen).over(Window.partitionBy("store_nbr")).alias("_store_mean"))
     staged = imputed.select("store_nbr", "date", "transactions", *cols)
     return staged.select(
         "store_nbr", "date", "transactions",

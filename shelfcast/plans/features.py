@@ -55,12 +55,13 @@ def pick_weekday(cols: list[str], date_col: str = "date") -> list[Column]:
 
 
 def store_day_table(src: PanelSources, panel_with_stores: DataFrame,
-                    hier: dict[str, DataFrame], st: dict | None = None) -> DataFrame:
+                    hier: dict[str, DataFrame], st: dict | None = None,
+                    as_of: Column | None = None) -> DataFrame:
     """Transactions, store and city totals, location holiday flags and the
     store statistics per (store, day): everything keyed by store reaches the
     panel through this one table and one join."""
-    days = grains.store_days(src.series, src.first_date, src.panel_end)
-    tx = grains.transaction_features(days, src.transactions).drop("transactions")
+    days = grains.store_days(src.store_list, src.first_date, src.panel_end)
+    tx = grains.transaction_features(days, src.transactions, as_of).drop("transactions")
     loc = grains.holiday_location_flags(days, src.stores, src.holidays)
     store = hier["store"].drop("store_total")
     city = (hier["city"].drop("city_total")
@@ -137,7 +138,7 @@ def build_features(src: PanelSources, as_of: Column | None = None,
                 .join(series_stats_table(st), ["store_nbr", "family"], "left")
                 .select("*", *pick_weekday(["sf_dow_mean", "sf_dow_recent_mean"]))
                 .drop("_sf_dow_mean_by_dow", "_sf_dow_recent_mean_by_dow")
-                .join(store_day_table(src, panel, hier, st), ["store_nbr", "date"], "left")
+                .join(store_day_table(src, panel, hier, st, as_of), ["store_nbr", "date"], "left")
                 .join(family_day_table(hier, st), ["family", "date"], "left")
                 .join(hier["cluster_family"].drop("cluster_family_avg")
                       .join(st[stats.MERGED][("cluster", "family")], ["cluster", "family"], "left"),
@@ -154,10 +155,6 @@ def feature_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in NON_FEATURES]
 
 
-def numeric_feature_columns(df: DataFrame) -> list[str]:
-    return [c for c in feature_columns(df) if c not in CATEGORICAL]
-
-
 def training_matrix(features: DataFrame) -> DataFrame:
     """Null -> 0 on numeric features (categoricals keep their values)."""
     return fill_missing_features(features, exclude=NON_FEATURES + CATEGORICAL)

@@ -11,7 +11,7 @@ on both sides; DuckDB ``isodow`` is 1..7, so weekday (Monday = 0) is
 from __future__ import annotations
 
 BASE = """
-fact AS (
+fact AS MATERIALIZED (
   SELECT CAST(s.s_nationkey AS INTEGER) AS store_nbr, p.p_type AS family,
          CAST(l.l_shipdate AS DATE) AS date, SUM(l.l_quantity) AS sales,
          CAST(COUNT(*) FILTER (WHERE l.l_discount >= CAST(0.09 AS DOUBLE)) AS INTEGER) AS onpromotion
@@ -24,8 +24,8 @@ bounds AS (
 days AS (
   SELECT CAST(b.d0 + CAST(t.i AS INTEGER) AS DATE) AS date
   FROM bounds b, LATERAL generate_series(0, (b.train_end - b.d0) + 16) AS t(i)),
-series AS (SELECT DISTINCT store_nbr, family FROM fact),
-panel AS (
+series AS (SELECT DISTINCT store_nbr, family FROM fact, bounds WHERE date <= train_end + 16),
+panel AS MATERIALIZED (
   SELECT s.store_nbr, s.family, d.date,
          CASE WHEN d.date <= b.train_end THEN COALESCE(f.sales, CAST(0 AS DOUBLE)) END AS sales,
          COALESCE(f.onpromotion, 0) AS onpromotion

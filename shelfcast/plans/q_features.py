@@ -226,12 +226,13 @@ def holdout_naive(src):
     """Validation rows of the last 16 known days with the lag-28 forecast and
     shifted rolling means (one series window over the dense panel)."""
     w = series.series_window()
-    feats = src.panel.select(
+    _, val_start, val_end = holdout_bounds(src.train_end)
+    recent = src.panel.filter(F.col("date").between(F.date_sub(val_start, 28), val_end))   # the longest look back
+    feats = recent.select(
         *KEY, "sales",
         F.lag("sales", 16).over(w).alias("sales_lag_16"),
         F.lag("sales", 28).over(w).alias("sales_lag_28"),
         F.avg("sales").over(series.shifted_frame(w, 16, 7)).alias("sales_rolling_mean_7"))
-    _, val_start, val_end = holdout_bounds(src.train_end)
     return feats.filter(F.col("date").between(val_start, val_end))
 
 

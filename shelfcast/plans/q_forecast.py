@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shelfcast.functions.metrics import rmsle, roc_auc, squared_log_error
+from shelfcast.functions.metrics import quantiles, rmsle, roc_auc, squared_log_error
 from shelfcast.operators import forecast as fc
 from shelfcast.operators import series
 from shelfcast.operators.clean import postprocess
@@ -17,6 +17,7 @@ from shelfcast.plans.oracle import sql
 
 PREDS = ["p_lag28", "p_mean28", "p_dow4", "p_fallback"]
 SW = "PARTITION BY store_nbr, family ORDER BY date"
+LOOK_BACK = max(7 * max(series.SAME_DOW_MEAN_WEEKS), 16 + 28 - 1)
 
 
 def holdout_frame(src):
@@ -28,7 +29,9 @@ def holdout_frame(src):
     fit_end, val_start, val_end = holdout_bounds(src.train_end)
     w = series.series_window()
     dow4 = series.mean_ignoring_nulls([F.lag("sales", 7 * k).over(w) for k in series.SAME_DOW_MEAN_WEEKS])
-    feats = src.panel.select(
+    # the longest look back is 43 days, so no window needs the years before
+    recent = src.panel.filter(F.col("date").between(F.date_sub(val_start, LOOK_BACK), val_end))
+    feats = recent.select(
         "store_nbr", "family", "date", "sales",
         F.coalesce(F.lag("sales", 28).over(w), F.lit(0.0)).alias("p_lag28"),
         F.coalesce(F.avg("sales").over(series.shifted_frame(w, 16, 28)), F.lit(0.0)).alias("p_mean28"),
@@ -181,8 +184,9 @@ SELECT COUNT(*) AS n_rows, ROUND(AVG(sales), 6) AS mean_pred, ROUND(quantile_con
 def prediction_summary(src):
     """Rows, mean, median, min, max and zero share of the submission."""
     s = submission_frame(src)
+    median = quantiles(s, "sales", [0.5]).select("q0").scalar()
     return s.agg(F.count(F.lit(1)).alias("n_rows"), F.avg("sales").alias("mean_pred"),
-                 F.percentile(F.col("sales"), F.lit(0.5)).alias("median_pred"),
+                 F.max(median).alias("median_pred"),
                  F.min("sales").alias("min_pred"), F.max("sales").alias("max_pred"),
                  F.avg((F.col("sales") == 0).cast("double")).alias("zero_share"))
 
@@ -192,10 +196,8 @@ SELECT ROUND(quantile_cont(sales, 0.25), 6) AS q25, ROUND(quantile_cont(sales, 0
   ROUND(quantile_cont(sales, 0.75), 6) AS q75 FROM sub"""))
 def prediction_quartiles(src):
     """Box-plot quartiles of the submission (exact, linear interpolation)."""
-    s = submission_frame(src)
-    q = F.percentile(F.col("sales"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return s.agg(q.alias("q")).select(F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"),
-                                      F.col("q")[2].alias("q75"))
+    return quantiles(submission_frame(src), "sales", [0.25, 0.5, 0.75]).select(
+        F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75"))
 
 
 @register("family_segments", sql("""

@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfcast.operators import grains
+from shelfcast.operators.series import shifted_frame
 from shelfcast.plans.catalog import register
 from shelfcast.plans.oracle import sql
 from shelfcast.plans.panelplan import oil_dense
@@ -112,7 +113,7 @@ SELECT *, GREATEST(is_national_holiday, is_regional_holiday, is_local_holiday) A
 @register("holiday_local_match", sql(HOL_LOCAL_SQL))
 def holiday_local_match(src):
     """Store-day national / regional (state) / local (city) and effective holiday flags."""
-    days = grains.store_days(src.series, src.first_date, src.panel_end)
+    days = grains.store_days(src.store_list, src.first_date, src.panel_end)
     loc = grains.holiday_location_flags(days, src.stores, src.holidays)
     nat = grains.holiday_calendar(src.calendar, src.holidays).select("date", "is_national_holiday")
     out = loc.join(nat, "date", "left")
@@ -156,7 +157,7 @@ FROM f"""
 @register("tx_features", sql(_tx_sql()))
 def tx_features(src):
     """Store-day transactions (imputed), lags 16/21/28, shifted means, ratios."""
-    days = grains.store_days(src.series, src.first_date, src.panel_end)
+    days = grains.store_days(src.store_list, src.first_date, src.panel_end)
     return grains.transaction_features(days, src.transactions)
 
 
@@ -243,24 +244,57 @@ def tx_forecast_grid(src):
 
 
 def tx_grid(src):
-    from shelfcast.operators.forecast import last_n_mean
-    stores = src.series.select("store_nbr").distinct()
+    stores = src.store_list
     grid = stores.select("store_nbr", F.explode(F.sequence(F.date_add(src.train_end, 1),
                                                            src.panel_end)).alias("date"))
     tx = src.transactions
     out = grid.select("store_nbr", "date", F.weekday("date").alias("dow"), F.month("date").alias("month"),
                       F.dayofmonth("date").alias("day"), F.weekofyear("date").alias("week"),
                       (F.weekday("date") >= 5).cast("int").alias("is_weekend"))
-    for k in (16, 21, 28, 35):
-        look = tx.select("store_nbr", F.date_add("date", k).alias("date"),
-                         F.col("transactions").alias(f"tx_lag_{k}"))
-        out = out.join(look, ["store_nbr", "date"], "left")
-    last50 = tx.withColumn("_rk", F.row_number().over(
-        Window.partitionBy("store_nbr").orderBy(F.col("date").desc()))).filter(F.col("_rk") <= 50)
-    for n in (7, 14, 28):
-        out = out.join(last_n_mean(last50, ["store_nbr"], "transactions", n, f"tx_last_mean_{n}"),
-                       "store_nbr", "left")
-    return out
+    # each day's count goes to the four days that look back on it: one lookup
+    lags = (16, 21, 28, 35)
+    ahead = tx.select("store_nbr", "transactions", "date", F.explode(F.array(*map(F.lit, lags))).alias("_k"))
+    look = (ahead.select("store_nbr", F.date_add("date", F.col("_k")).alias("date"), "_k", "transactions")
+            .filter(F.col("date") > src.train_end).groupBy("store_nbr", "date")
+            .agg(*[F.max(F.when(F.col("_k") == k, F.col("transactions"))).alias(f"tx_lag_{k}") for k in lags]))
+    rank = F.row_number().over(Window.partitionBy("store_nbr").orderBy(F.col("date").desc()))
+    last = (tx.withColumn("_rk", rank).filter(F.col("_rk") <= 28).groupBy("store_nbr")
+            .agg(*[F.avg(F.when(F.col("_rk") <= n, F.col("transactions"))).alias(f"tx_last_mean_{n}")
+                   for n in (7, 14, 28)]))
+    return out.join(look, ["store_nbr", "date"], "left").join(last, "store_nbr", "left")
+
+
+TX_FEATURE_SQL = ", ".join(f"LAG(x.transactions, {k}) OVER w AS tx_lag_{k}" for k in (16, 21, 28, 35)) + ", " + ", ".join(
+    f"ROUND(AVG(x.transactions) OVER (PARTITION BY d.store_nbr ORDER BY d.date ROWS BETWEEN {15 + n} PRECEDING "
+    f"AND 16 PRECEDING), 6) AS tx_rolling_mean_{n}" for n in (7, 14, 28))
+
+
+@register("tx_forecast_features", sql(f"""
+, d AS (SELECT st.store_nbr, c.date FROM (SELECT DISTINCT store_nbr FROM series) st CROSS JOIN cal c)
+SELECT d.store_nbr, d.date, CAST(x.transactions AS DOUBLE) AS transactions,
+  CAST(isodow(d.date) - 1 AS INTEGER) AS dow, CAST(month(d.date) AS INTEGER) AS month,
+  CAST(day(d.date) AS INTEGER) AS day, CAST(weekofyear(d.date) AS INTEGER) AS week,
+  CAST(isodow(d.date) >= 6 AS INTEGER) AS is_weekend, {TX_FEATURE_SQL}
+FROM d LEFT JOIN transactions x USING (store_nbr, date)
+WINDOW w AS (PARTITION BY d.store_nbr ORDER BY d.date)"""))
+def tx_forecast_features(src):
+    """Features of the transactions forecaster: calendar parts, lags by day and
+    shifted means for every store and day, one definition for training and horizon."""
+    return tx_feature_frame(src)
+
+
+def tx_feature_frame(src):
+    days = grains.store_days(src.store_list, src.first_date, src.panel_end)
+    tx = days.join(src.transactions, ["store_nbr", "date"], "left")
+    w = Window.partitionBy("store_nbr").orderBy("date")
+    return tx.select(
+        "store_nbr", "date", F.col("transactions").cast("double").alias("transactions"),
+        F.weekday("date").alias("dow"), F.month("date").alias("month"),
+        F.dayofmonth("date").alias("day"), F.weekofyear("date").alias("week"),
+        (F.weekday("date") >= 5).cast("int").alias("is_weekend"),
+        *[F.lag("transactions", k).over(w).cast("double").alias(f"tx_lag_{k}") for k in (16, 21, 28, 35)],
+        *[F.avg("transactions").over(shifted_frame(w, 16, n)).alias(f"tx_rolling_mean_{n}")
+          for n in (7, 14, 28)])
 
 
 @register("tx_forecast_applied", sql(TX_GRID_SQL + """

@@ -67,9 +67,8 @@ LEFT JOIN pay ON pay.date = lg.date"""
 def feature_table(src):
     """The assembled feature matrix (as of train_end), checkpointed once per
     session and shared by the queries that read it."""
-    import os
     from shelfcast.session import cut_lineage, session_table
-    return session_table(src.spark, ("features", os.path.abspath(src.sf_dir)),
+    return session_table(src.spark, ("features", type(src).__name__, *src.options().values()), src.sf_dir,
                          lambda: cut_lineage(build_features(src)))
 
 
@@ -139,14 +138,9 @@ def category_codes(src):
                  F.concat_ws("_", "family", "store_type").alias("family_x_store_type"),
                  F.concat_ws("_", "family", F.col("cluster").cast("string")).alias("family_x_cluster"),
                  F.concat_ws("_", F.col("dow").cast("string"), "family").alias("dow_x_family"))
-    parts = []
-    for c in CATEGORICAL:
-        numeric = c == "cluster"
-        parts.append(t.select(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"),
-                              (F.col(c) if numeric else F.lit(0)).cast("int").alias("kn"),
-                              (F.lit("") if numeric else F.col(c)).alias("k")).distinct())
-    v = parts[0]
-    for p in parts[1:]:
-        v = v.unionByName(p)
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"),
+                               (F.col(c) if c == "cluster" else F.lit(0)).cast("int").alias("kn"),
+                               F.lit("").alias("k") if c == "cluster" else F.col(c).alias("k")) for c in CATEGORICAL])
+    v = t.select(F.explode(pairs).alias("p")).select("p.*").distinct()
     w = Window.partitionBy("feature").orderBy("kn", "k")
     return v.select("feature", "value", (F.dense_rank().over(w) - 1).cast("int").alias("code"))

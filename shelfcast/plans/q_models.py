@@ -21,18 +21,16 @@ from shelfcast.plans import models as ml
 from shelfcast.plans.catalog import register
 from shelfcast.plans.oracle import sql
 from shelfcast.plans.q_forecast import holdout_frame
-from shelfcast.session import cut_lineage, ensure_checkpoint_dir
+from shelfcast.plans.q_grains import tx_feature_frame
+from shelfcast.session import cut_lineage, ensure_checkpoint_dir, session_table
 
-_CACHE: dict = {}
 KEY = ["store_nbr", "family", "date"]
 
 
 def data(src) -> ml.ModelData:
     """Model data of this session and directory (checkpointed once per session)."""
-    k = (src.spark.sparkContext.applicationId, src.sf_dir)
-    if k not in _CACHE:
-        _CACHE[k] = ml.model_data(src)
-    return _CACHE[k]
+    return session_table(src.spark, ("models", type(src).__name__, *src.options().values()), src.sf_dir,
+                         lambda: ml.model_data(src))
 
 
 @register("fit_tweedie")
@@ -190,22 +188,6 @@ def fit_tx_forecast(src):
         "store_nbr", "date", F.greatest(F.col("pred"), F.lit(0.0)).alias("transactions_pred"))
 
 
-def tx_feature_frame(m):
-    """Store-day transactions with calendar parts, lags by date and shifted means
-    (one definition for training and horizon rows)."""
-    days = grains.store_days(m.series, m.first_date, m.panel_end)
-    tx = days.join(m.transactions, ["store_nbr", "date"], "left")
-    w = Window.partitionBy("store_nbr").orderBy("date")
-    return tx.select(
-        "store_nbr", "date", F.col("transactions").cast("double").alias("transactions"),
-        F.weekday("date").alias("dow"), F.month("date").alias("month"),
-        F.dayofmonth("date").alias("day"), F.weekofyear("date").alias("week"),
-        (F.weekday("date") >= 5).cast("int").alias("is_weekend"),
-        *[F.lag("transactions", k).over(w).cast("double").alias(f"tx_lag_{k}") for k in (16, 21, 28, 35)],
-        *[F.avg("transactions").over(shifted_frame(w, 16, n)).alias(f"tx_rolling_mean_{n}")
-          for n in (7, 14, 28)])
-
-
 @register("tune_params")
 def tune_params(src):
     """Seeded random search: 4 trials of (variance power, regularisation), each

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shelfcast.functions.metrics import rmsle
+from shelfcast.functions.metrics import quantiles, rmsle
 from shelfcast.functions.moments import std_samp
 from shelfcast.operators import clean
 from shelfcast.plans.catalog import register
@@ -249,18 +249,14 @@ def eda_describe(src):
     from shelfcast.plans.panelplan import oil_file_filled
     t = (src.train_rows().join(oil_file_filled(src), "date", "left")
          .join(src.transactions, ["store_nbr", "date"], "left"))
-    per_col = []
-    for c in NUMERIC:
-        x = F.col(c).cast("double")
-        q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        per_col.append(t.agg(
-            F.count(c).alias("count"), F.avg(x).alias("mean"), std_samp(c).alias("std"),
-            F.min(x).alias("min"), q.alias("_q"), F.max(x).alias("max")
-        ).select(F.lit(c).alias("column_name"), "count", "mean", "std", "min",
-                 F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"), "max"))
-    out = per_col[0]
-    for d in per_col[1:]:
-        out = out.unionByName(d)
+    long = t.select(*[F.col(c).cast("double") for c in NUMERIC]).unpivot([], NUMERIC, "column_name", "x")
+    x = F.col("x")
+    moments = long.groupBy("column_name").agg(
+        F.count(x).alias("count"), F.avg(x).alias("mean"), std_samp("x").alias("std"),
+        F.min(x).alias("min"), F.max(x).alias("max"))
+    q = quantiles(long, "x", [0.25, 0.5, 0.75], ["column_name"]).withColumnsRenamed(
+        {"q0": "p25", "q1": "p50", "q2": "p75"})
+    out = moments.join(q, "column_name", "left")
     # sums of non-integer prices depend on the addition order in the last
     # bits; 4 decimals is the precision the report is compared at
     stats_cols = ["mean", "std", "min", "p25", "p50", "p75", "max"]
@@ -296,18 +292,22 @@ def eda_filtered(src):
                                                "store_type")
 
 
-@register("interp_lookup", sql("""
+SCORES_SQL = """
 , f AS (SELECT store_nbr, family, date, sales, LAG(sales, 28) OVER (PARTITION BY store_nbr, family ORDER BY date) AS pred FROM panel),
 v AS (SELECT f.* FROM f, bounds b WHERE f.date BETWEEN b.train_end - 15 AND b.train_end),
 sc AS (SELECT family, SQRT(AVG(POW(ln(1 + GREATEST(COALESCE(pred, 0), 0)) - ln(1 + sales), 2))) AS score FROM v GROUP BY family),
 bp AS (SELECT score, CAST(ROW_NUMBER() OVER (ORDER BY score, family) AS DOUBLE) AS rnk FROM sc),
 seg AS (SELECT score AS s0, rnk AS r0, LEAD(score) OVER (ORDER BY score, rnk) AS s1, LEAD(rnk) OVER (ORDER BY score, rnk) AS r1 FROM bp),
-q AS (SELECT SQRT(AVG(POW(ln(1 + 0.0) - ln(1 + sales), 2))) AS query_score FROM v)
-SELECT ROUND(q.query_score, 6) AS query_score,
-  ROUND(CASE WHEN q.query_score <= (SELECT MIN(score) FROM bp) THEN 1.0
+q AS (SELECT SQRT(AVG(POW(ln(1 + 0.0) - ln(1 + sales), 2))) AS query_score FROM v)"""
+RANK_SQL = """CASE WHEN q.query_score <= (SELECT MIN(score) FROM bp) THEN 1.0
              WHEN q.query_score >= (SELECT MAX(score) FROM bp) THEN (SELECT MAX(rnk) FROM bp)
              ELSE (SELECT r0 + (r1 - r0) * (q.query_score - s0) / NULLIF(s1 - s0, 0) FROM seg
-                   WHERE s1 IS NOT NULL AND q.query_score >= s0 AND q.query_score < s1 ORDER BY s0 LIMIT 1) END, 6) AS rank
+                   WHERE s1 IS NOT NULL AND q.query_score >= s0 AND q.query_score < s1 ORDER BY s0 LIMIT 1) END"""
+
+
+@register("interp_lookup", sql(SCORES_SQL + """
+SELECT ROUND(q.query_score, 6) AS query_score,
+  ROUND(""" + RANK_SQL + """, 6) AS rank
 FROM q"""))
 def interp_lookup(src):
     """Piecewise-linear score -> rank: the zero forecast's holdout RMSLE placed on
@@ -334,3 +334,26 @@ def interp_lookup(src):
             .when(F.col("query_score") >= hi, top)
             .otherwise(mid))
     return q.select("query_score", rank.alias("rank"))
+
+
+@register("score_table", sql(SCORES_SQL + """,
+own AS (SELECT CAST('zero forecast' AS VARCHAR) AS label, """ + RANK_SQL + """ AS rank, query_score AS score FROM q),
+every AS (
+  SELECT family AS label, CAST(ROW_NUMBER() OVER (ORDER BY score, family) AS DOUBLE) AS rank, score FROM sc
+  UNION ALL SELECT label, rank, score FROM own)
+SELECT label, ROUND(rank, 6) AS rank, ROUND(score, 6) AS score, ROUND(score - (SELECT score FROM own), 6) AS vs_own,
+  score < (SELECT score FROM own) AS better,
+  CAST(ROW_NUMBER() OVER (ORDER BY rank, label) AS INTEGER) AS place FROM every"""))
+def score_table(src):
+    """The reference scores with the own score appended at its interpolated
+    rank, sorted again by rank; differences to the own score."""
+    own = interp_lookup(src).select(F.lit("zero forecast").alias("label"), "rank", F.col("query_score").alias("score"))
+    v = holdout_naive(src).withColumn("pred", F.coalesce(F.col("sales_lag_28"), F.lit(0.0)))
+    sc = v.groupBy("family").agg(rmsle("sales", "pred").alias("score"))
+    # one row a family: a dimension, ordered in one place
+    ranked = sc.select(F.col("family").alias("label"),
+                       F.row_number().over(Window.orderBy("score", "family")).cast("double").alias("rank"), "score")
+    mine = own.select("score").scalar()
+    return ranked.unionByName(own).select(
+        "label", "rank", "score", (F.col("score") - mine).alias("vs_own"), (F.col("score") < mine).alias("better"),
+        F.row_number().over(Window.orderBy("rank", "label")).alias("place"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import re
 import tempfile
 
@@ -71,17 +70,34 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def input_state(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and modification times of the files under ``path``, listed
+    by Spark's file system layer (no job, any store Spark can read)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    listing = root.getFileSystem(conf).listFiles(root, True)
+    found = []
+    while listing.hasNext():
+        f = listing.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
 _SESSION_TABLES: dict = {}
 
 
-def session_table(spark: SparkSession, key: tuple, build):
+def session_table(spark: SparkSession, key: tuple, path: str, build):
     """A checkpointed intermediate table shared by the queries of one session.
 
     ``build`` returns the (already checkpointed) value; it runs once per
-    application and key, like writing a temporary table that later queries of
-    the same job read. Keys include the input directory.
+    application, key and state of the files under ``path``, like writing a
+    temporary table that later queries of the same job read. When the inputs
+    change the table is built anew and the former one is let go.
     """
-    k = (spark.sparkContext.applicationId,) + tuple(key)
-    if k not in _SESSION_TABLES:
-        _SESSION_TABLES[k] = build()
-    return _SESSION_TABLES[k]
+    k = (spark.sparkContext.applicationId, path) + tuple(key)
+    state = input_state(spark, path)
+    held = _SESSION_TABLES.get(k)
+    if held is None or held[0] != state:
+        _SESSION_TABLES.pop(k, None)
+        held = _SESSION_TABLES[k] = (state, build())
+    return held[1]

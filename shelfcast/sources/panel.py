@@ -73,9 +73,8 @@ class PanelSources:
         """
         if self.is_materialized:
             return self
-        import os
         from shelfcast.session import cut_lineage, session_table
-        m = PanelSources(self.spark, self.sf_dir, self.horizon)
+        m = type(self)(self.spark, self.sf_dir, **self.options())
 
         def build():
             panel = cut_lineage(self.panel)
@@ -83,7 +82,7 @@ class PanelSources:
                                F.max(F.when(F.col("sales").isNotNull(), F.col("date")))).first()
             return panel, lo, hi
         panel, lo, hi = session_table(
-            self.spark, ("panel", os.path.abspath(self.sf_dir), self.horizon), build)
+            self.spark, ("panel", type(self).__name__, *self.options().values()), self.sf_dir, build)
         m.__dict__["panel"] = panel
         m.__dict__["series"] = panel.select("store_nbr", "family").distinct()
         m.__dict__["first_date"] = F.lit(lo)
@@ -91,6 +90,10 @@ class PanelSources:
         m.is_materialized = True
         return m
 
+    def options(self) -> dict:
+        """What a copy of these sources is made with."""
+        return {"horizon": self.horizon}
+
     def table(self, name: str) -> DataFrame:
         return read_parquet_table(self.spark, self.sf_dir, name)
 
@@ -110,6 +113,12 @@ class PanelSources:
                        F.count_if(F.col("l_discount") >= F.lit(PROMO_DISCOUNT))
                         .cast("int").alias("onpromotion")))
 
+    @property
+    def panel_fact(self) -> DataFrame:
+        """The fact up to the panel's last day. Line items shipped later are in
+        no panel; the bound stands on the ship date, below the joins."""
+        return self.sales_fact.filter(F.col("date") <= self.panel_end)
+
     @cached_property
     def first_date(self) -> Column:
         """First ship date: a scalar subquery reading one line-item column."""
@@ -128,9 +137,17 @@ class PanelSources:
     def series(self) -> DataFrame:
         # count(*) keeps Catalyst from collapsing this into a second scan of the
         # line items: the fact's exchange is reused instead.
-        return (self.sales_fact.groupBy("store_nbr", "family")
+        return (self.panel_fact.groupBy("store_nbr", "family")
                 .agg(F.count(F.lit(1)).alias("_n")).select("store_nbr", "family"))
 
+    @cached_property
+    def store_list(self) -> DataFrame:
+        """Stores that sell in the panel: suppliers semi-joined with the line
+        items' supplier keys (two columns read, nothing aggregated)."""
+        li = self.table("lineitem").where(F.to_date("l_shipdate") <= self.panel_end)
+        return (self.table("supplier").join(li, F.col("s_suppkey") == F.col("l_suppkey"), "left_semi")
+                .select(F.col("s_nationkey").cast("int").alias("store_nbr")).distinct())
+
     @cached_property
     def calendar(self) -> DataFrame:
         """One row per day of the panel (date grain; bounded by the date span)."""
@@ -145,7 +162,7 @@ class PanelSources:
         missing train days are 0, horizon days have sales null. The result is
         clustered by (store_nbr, family), the key of every series window.
         """
-        dense = densify(self.sales_fact, ["store_nbr", "family"], "date",
+        dense = densify(self.panel_fact, ["store_nbr", "family"], "date",
                         self.first_date, self.panel_end,
                         {"sales": 0.0, "onpromotion": 0})
         in_train = F.col("date") <= self.train_end
@@ -157,7 +174,9 @@ class PanelSources:
     @cached_property
     def families(self) -> DataFrame:
         """Family code = rank of the family name (a small dimension)."""
-        fam = self.sales_fact.select("family").distinct()
+        part = self.table("part")
+        fam = (part.join(self.table("lineitem"), F.col("p_partkey") == F.col("l_partkey"), "left_semi")
+               .select(F.col("p_type").alias("family")).distinct())
         return fam.select(
             "family",
             (F.dense_rank().over(_global_order("family")) - 1).alias("family_code"))

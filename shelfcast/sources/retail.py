@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.operators.clean import clean_holidays, forward_back_fill
 from shelfcast.operators.densify import densify
-from shelfcast.sources.panel import HORIZON, PanelSources
+from shelfcast.sources.panel import PanelSources
 from shelfcast.sources.tables import read_retail_csv
 
 
@@ -55,10 +55,18 @@ def load_raw_data(spark: SparkSession, raw_dir: str) -> tuple[DataFrame, DataFra
 class RetailSources(PanelSources):
     """``PanelSources`` over the retail CSV layout."""
 
-    def __init__(self, spark: SparkSession, raw_dir: str, horizon: int = HORIZON):
-        super().__init__(spark, raw_dir, horizon)
+    def __init__(self, spark: SparkSession, raw_dir: str):
+        super().__init__(spark, raw_dir)
         self.raw_dir = raw_dir
 
+    def options(self) -> dict:
+        return {}
+
+    @property
+    def panel_end(self) -> Column:
+        """The last day of test.csv: the horizon is as long as the file says."""
+        return read_retail_csv(self.spark, self.raw_dir, "test").select(F.max("date")).scalar()
+
     @cached_property
     def sales_fact(self) -> DataFrame:
         train = load_train(self.spark, self.raw_dir).select("store_nbr", "family", "date", "sales",
@@ -85,6 +93,16 @@ class RetailSources(PanelSources):
                             F.when(in_train, F.col("sales")).alias("sales"),
                             F.coalesce("onpromotion", F.lit(0)).cast("int").alias("onpromotion"))
 
+    @cached_property
+    def store_list(self) -> DataFrame:
+        return self.series.select("store_nbr").distinct()
+
+    @cached_property
+    def families(self) -> DataFrame:
+        """Not needed for ids here (the files have their own); codes as in the panel."""
+        fam = self.sales_fact.select("family").distinct()
+        return fam.select("family", (F.dense_rank().over(Window.orderBy("family")) - 1).alias("family_code"))
+
     @cached_property
     def stores(self) -> DataFrame:
         return load_stores(self.spark, self.raw_dir)
@@ -107,17 +125,3 @@ class RetailSources(PanelSources):
                .unionByName(read_retail_csv(self.spark, self.raw_dir, "test")
                             .select("id", "date", "store_nbr", "family")))
         return df.join(ids, ["date", "store_nbr", "family"], "left")
-
-    def materialized(self) -> "RetailSources":
-        if self.is_materialized:
-            return self
-        from shelfcast.session import cut_lineage
-        m = RetailSources(self.spark, self.raw_dir, self.horizon)
-        panel = cut_lineage(self.panel)
-        lo, hi = panel.agg(F.min("date"), F.max(F.when(F.col("sales").isNotNull(), F.col("date")))).first()
-        m.__dict__["panel"] = panel
-        m.__dict__["series"] = panel.select("store_nbr", "family").distinct()
-        m.__dict__["first_date"] = F.lit(lo)
-        m.__dict__["train_end"] = F.lit(hi)
-        m.is_materialized = True
-        return m
