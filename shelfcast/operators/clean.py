@@ -113,8 +113,9 @@ def trailing_window(df: DataFrame, max_date: Column, days: int = TRAILING_DAYS,
 
 
 def postprocess(pred: Column, threshold: float = PREDICTION_CLIP_THRESHOLD) -> Column:
-    """Clip at 0 and set values below ``threshold`` to 0."""
-    p = F.greatest(pred, F.lit(0.0))
+    """Clip at 0 and set values below ``threshold`` to 0; a missing prediction
+    stays null."""
+    p = F.when(pred.isNotNull(), F.greatest(pred, F.lit(0.0)))
     return F.when(p < F.lit(threshold), F.lit(0.0)).otherwise(p)
 
 

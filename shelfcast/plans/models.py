@@ -19,12 +19,13 @@ from typing import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.operators.clean import trailing_window
+from shelfcast.functions.calendar import EVENT_END, EVENT_START
+from shelfcast.operators.clean import mask_date_range, trailing_window
 from shelfcast.operators.folds import holdout_bounds
 from shelfcast.plans.features import CATEGORICAL, NON_FEATURES, build_features, training_matrix
 from shelfcast.session import cut_lineage
@@ -35,6 +36,8 @@ FIT_THREADS = 4
 # Feature columns never used by the models: identifiers, and flags that are
 # constant by construction of the panel.
 DROP = set(NON_FEATURES) | set(CATEGORICAL) | {"store_nbr"}
+TREE_COUNT = 40            # most trees of a boosted model; early stopping ends sooner
+GROWN = 1.1                # trees of a refit, as a multiple of the early-stopped count
 
 
 # Compact feature set of the linear (GLM) models: levels, weekly shape,
@@ -70,6 +73,7 @@ class ModelData:
     horizon: DataFrame        # rows after train_end (no target)
     features: list[str]
     known: DataFrame | None = None   # every known row in the trailing window of train_end (refit)
+    categorical: list[str] | None = None
 
 
 def model_data(src: PanelSources, trailing_days: int = 730) -> ModelData:
@@ -77,19 +81,34 @@ def model_data(src: PanelSources, trailing_days: int = 730) -> ModelData:
 
     Training rows: date <= val_start - 16 - 1 and within the trailing window
     (the 730-day window is applied after the features, never before the
-    364-day lags are computed)."""
+    364-day lags are computed), without the days of the event period and
+    without the days before a series' first sale.
+
+    Two matrices: target statistics as of the fold's training end for training
+    and validation, and as of the last known day for the refit and the horizon.
+    """
     src = src.materialized()
     fit_end, val_start, val_end = holdout_bounds(src.train_end)
-    feats = build_features(src, as_of=fit_end)
-    matrix = training_matrix(feats)
-    cols = [c for c, t in matrix.dtypes if c not in DROP and t in ("double", "int", "bigint")]
-    matrix = cut_lineage(matrix.select("store_nbr", "family", "date", "sales", *cols))
-    train = trailing_window(matrix.filter((F.col("date") <= fit_end) & F.col("sales").isNotNull()),
-                            fit_end, trailing_days)
-    valid = matrix.filter(F.col("date").between(val_start, val_end))
-    horizon = matrix.filter(F.col("date") > src.train_end)
-    known = trailing_window(matrix.filter(F.col("sales").isNotNull()), src.train_end, trailing_days)
-    return ModelData(train, valid, horizon, cols, known)
+    first = src.panel.groupBy("store_nbr", "family").agg(
+        F.min(F.when(F.col("sales") > 0, F.col("date"))).alias("_first_sale"))
+
+    def matrix(as_of):
+        m = training_matrix(build_features(src, as_of=as_of))
+        cols = [c for c, t in m.dtypes if c not in DROP and t in ("double", "int", "bigint")]
+        rows = m.select("store_nbr", "date", "sales", *CATEGORICAL, *cols).withColumn("cluster", F.col("cluster").cast("string"))
+        return cut_lineage(rows.join(first, ["store_nbr", "family"], "left")), cols
+
+    def usable(rows, end):
+        """Rows a model may learn from."""
+        began = F.col("_first_sale").isNull() | (F.col("date") >= F.col("_first_sale"))
+        rows = rows.filter(F.col("sales").isNotNull() & (F.col("date") <= end) & began)
+        return trailing_window(mask_date_range(rows, EVENT_START, EVENT_END), end, trailing_days)
+
+    at_fit, cols = matrix(fit_end)
+    at_end, _ = matrix(src.train_end)
+    valid = at_fit.filter(F.col("date").between(val_start, val_end))
+    horizon = at_end.filter(F.col("date") > src.train_end)
+    return ModelData(usable(at_fit, fit_end), valid, horizon, cols, usable(at_end, src.train_end), list(CATEGORICAL))
 
 
 def assembler(features: Sequence[str]) -> VectorAssembler:
@@ -107,16 +126,31 @@ def tweedie_pipeline(features: Sequence[str], power: float = 1.5, reg: float = 1
     return Pipeline(stages=[assembler(features), scaler, glm])
 
 
-def gbt_pipeline(features: Sequence[str], label: str, max_iter: int = 20, depth: int = 5,
+def gbt_pipeline(features: Sequence[str], label: str, max_iter: int = TREE_COUNT, depth: int = 5,
                  subsample: float = 0.8, seed: int = SEED, step: float = 0.1,
-                 validation_col: str | None = None) -> Pipeline:
+                 validation_col: str | None = None, categorical: Sequence[str] = (),
+                 min_instances: int = 1, bins: int = 64) -> Pipeline:
+    """Boosted trees. Categorical columns are indexed on the training rows (in
+    alphabetical order; unseen values get a place of their own) and keep their
+    nominal kind in the assembled vector, so trees split on sets of categories."""
     kw = {}
+    indexed = [f"{c}_idx" for c in categorical]
+    first = [StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep",
+                           stringOrderType="alphabetAsc")] if indexed else []
     if validation_col:
         kw = {"validationIndicatorCol": validation_col, "validationTol": 0.01}
     gbt = GBTRegressor(labelCol=label, featuresCol="features", maxIter=max_iter, maxDepth=depth,
                        subsamplingRate=subsample, seed=seed, stepSize=step, predictionCol="raw_pred",
-                       maxBins=64, **kw)
-    return Pipeline(stages=[assembler(features), gbt])
+                       maxBins=bins, minInstancesPerNode=min_instances, **kw)
+    return Pipeline(stages=[*first, assembler([*features, *indexed]), gbt])
+
+
+def tree_bins(md: "ModelData", least: int = 64) -> int:
+    """Bins for the trees: as many as the largest category set needs."""
+    if not md.categorical:
+        return least
+    sizes = md.train.agg(*[F.count_distinct(c) for c in md.categorical]).first()
+    return max(least, *(n + 2 for n in sizes))
 
 
 def predict_clipped(model: PipelineModel, df: DataFrame, col: str = "pred",
@@ -137,12 +171,27 @@ def fit_tweedie(md: ModelData, power: float = 1.5) -> PipelineModel:
 
 def fit_gbt_log1p(md: ModelData, **kw) -> PipelineModel:
     """Trees on log1p(target): minimising squared error there is RMSLE."""
-    return gbt_pipeline(md.features, "log_sales", **kw).fit(
+    return gbt_pipeline(md.features, "log_sales", categorical=md.categorical or (), bins=tree_bins(md), **kw).fit(
         md.train.withColumn("log_sales", F.log1p("sales")))
 
 
+def fit_gbt_early_stopped(md: ModelData, max_iter: int = TREE_COUNT) -> tuple[PipelineModel, int]:
+    """Trees on log1p(target), stopped when the validation days no longer gain;
+    the model and how many trees it kept."""
+    both = md.train.withColumn("is_val", F.lit(False)).unionByName(
+        md.valid.filter(F.col("sales").isNotNull()).withColumn("is_val", F.lit(True)))
+    model = gbt_pipeline(md.features, "log_sales", max_iter=max_iter, validation_col="is_val",
+                         categorical=md.categorical or (), bins=tree_bins(md)).fit(both.withColumn("log_sales", F.log1p("sales")))
+    return model, model.stages[-1].getNumTrees
+
+
+def refit_data(md: ModelData) -> ModelData:
+    """Every known row as training rows."""
+    return ModelData(md.known, md.valid, md.horizon, md.features, md.known, md.categorical)
+
+
 def fit_gbt_raw(md: ModelData, **kw) -> PipelineModel:
-    return gbt_pipeline(md.features, "sales", **kw).fit(md.train)
+    return gbt_pipeline(md.features, "sales", categorical=md.categorical or (), bins=tree_bins(md), **kw).fit(md.train)
 
 
 def fit_zero_classifier(md: ModelData) -> PipelineModel:
@@ -167,11 +216,6 @@ def hashed_sample(df: DataFrame, seed: int, fraction_pct: int = 70) -> DataFrame
     return df.filter(h < fraction_pct)
 
 
-def rmsle_of(df: DataFrame, pred: str = "pred") -> Column:
-    from shelfcast.functions.metrics import rmsle
-    return rmsle("sales", pred)
-
-
 def ridge_stack(oof: DataFrame, preds: Sequence[str], reg: float = 0.1) -> PipelineModel:
     """Ridge regression (elastic net 0) on out-of-fold predictions."""
     lr = LinearRegression(labelCol="sales", featuresCol="features", regParam=reg, elasticNetParam=0.0,

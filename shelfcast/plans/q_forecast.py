@@ -11,7 +11,7 @@ from shelfcast.functions.metrics import quantiles, rmsle, roc_auc, squared_log_e
 from shelfcast.operators import forecast as fc
 from shelfcast.operators import series
 from shelfcast.operators.clean import postprocess
-from shelfcast.operators.folds import GAP_DAYS, VAL_DAYS, holdout_bounds
+from shelfcast.operators.folds import GAP_DAYS, VAL_DAYS, holdout_bounds, tag_holdout
 from shelfcast.plans.catalog import register
 from shelfcast.plans.oracle import sql
 
@@ -119,33 +119,6 @@ def fallback_forecast_q(src):
     return fc.fallback_forecast(src.train_rows(), src.horizon_rows(), src.train_end)
 
 
-POST_SQL = """
-, rec AS (SELECT t.*, isodow(t.date) - 1 AS _dow FROM train t, bounds b WHERE t.date >= b.train_end - 90),
-sfd AS (SELECT store_nbr, family, _dow, AVG(sales) AS m FROM rec GROUP BY 1, 2, 3),
-sfm AS (SELECT store_nbr, family, AVG(sales) AS m FROM rec GROUP BY 1, 2),
-h AS (SELECT p.store_nbr, p.family, p.date, isodow(p.date) - 1 AS _dow FROM panel p, bounds b WHERE p.date > b.train_end),
-pr AS (SELECT h.*, COALESCE(sfd.m, sfm.m, 0.0) * 0.01 - 0.005 AS raw FROM h
-       LEFT JOIN sfd ON sfd.store_nbr = h.store_nbr AND sfd.family = h.family AND sfd._dow = h._dow
-       LEFT JOIN sfm ON sfm.store_nbr = h.store_nbr AND sfm.family = h.family)"""
-
-
-def _horizon_raw(src):
-    """Horizon fallback forecast scaled to the order of magnitude of a share
-    (×0.01 − 0.005), so clipping and the 0.01 threshold both have work."""
-    src = src.materialized()
-    f = fc.fallback_forecast(src.train_rows(), src.horizon_rows(), src.train_end)
-    return f.withColumn("raw", F.col("pred") * 0.01 - 0.005)
-
-
-@register("postprocess", sql(POST_SQL + """
-SELECT store_nbr, family, date, ROUND(raw, 6) AS raw,
-  ROUND(CASE WHEN GREATEST(raw, 0.0) < 0.01 THEN 0.0 ELSE GREATEST(raw, 0.0) END, 6) AS pred FROM pr"""))
-def postprocess_q(src):
-    """Clip predictions at 0 and zero those below 0.01."""
-    r = _horizon_raw(src)
-    return r.select("store_nbr", "family", "date", "raw", postprocess(F.col("raw")).alias("pred"))
-
-
 SUB_SQL = """
 , rec AS (SELECT t.*, isodow(t.date) - 1 AS _dow FROM train t, bounds b WHERE t.date >= b.train_end - 90),
 sfd AS (SELECT store_nbr, family, _dow, AVG(sales) AS m FROM rec GROUP BY 1, 2, 3),
@@ -177,6 +150,15 @@ def submission(src):
     return submission_frame(src)
 
 
+@register("postprocess", sql(SUB_SQL.replace("SELECT h.id, CASE", "SELECT h.store_nbr, h.family, h.date, COALESCE(sfd.m, sfm.m, fdm.m, fmm.m, 0.0) AS raw, CASE") + """
+SELECT store_nbr, family, date, ROUND(raw, 6) AS raw, ROUND(sales, 6) AS pred FROM sub"""))
+def postprocess_q(src):
+    """Horizon predictions before and after clipping at 0 and zeroing below 0.01."""
+    src = src.materialized()
+    f = fc.fallback_forecast(src.train_rows(), src.horizon_rows(), src.train_end)
+    return f.select("store_nbr", "family", "date", F.col("pred").alias("raw"), postprocess(F.col("pred")).alias("pred"))
+
+
 @register("prediction_summary", sql(SUB_SQL + """
 SELECT COUNT(*) AS n_rows, ROUND(AVG(sales), 6) AS mean_pred, ROUND(quantile_cont(sales, 0.5), 6) AS median_pred,
   ROUND(MIN(sales), 6) AS min_pred, ROUND(MAX(sales), 6) AS max_pred,
@@ -371,19 +353,35 @@ def segment_assembly(src):
 
 
 # ------------------------------------------------------------------ hurdle
-HARD = "CASE WHEN p_nonzero >= 0.5 THEN amount ELSE 0.0 END"
-SOFT = "(p_nonzero * amount)"
-
-
-@register("hurdle_hard", sql(HOLDOUT_SQL + f"\nSELECT store_nbr, family, date, ROUND({HARD}, 6) AS pred FROM ho"))
+# written out for the oracle: the threshold is the first maximum of F1
+BEST_T_SQL = HOLDOUT_SQL + """
+, f1t(threshold) AS (VALUES (0.30), (0.35), (0.40), (0.45), (0.50), (0.55), (0.60), (0.65), (0.70), (0.75)),
+f1c AS (SELECT CAST(f1t.threshold AS DOUBLE) AS threshold,
+          2.0 * COUNT(*) FILTER (WHERE ho.p_nonzero >= f1t.threshold AND ho.sales > 0) AS tp2,
+          COUNT(*) FILTER (WHERE ho.p_nonzero >= f1t.threshold) + COUNT(*) FILTER (WHERE ho.sales > 0) AS n_both
+        FROM ho CROSS JOIN f1t GROUP BY 1),
+bt AS (SELECT threshold AS t FROM f1c ORDER BY COALESCE(tp2 / NULLIF(n_both, 0), 0.0) DESC, threshold LIMIT 1),
+hu AS (SELECT ho.store_nbr, ho.family, ho.date, ho.sales, ho.p_fallback,
+         CASE WHEN ho.p_nonzero < bt.t THEN 0.0 ELSE ho.amount END AS hard, ho.amount * ho.p_nonzero AS soft
+       FROM ho CROSS JOIN bt)"""
+
+
+def best_threshold(ho):
+    """Threshold with the highest F1 (the first of equals) as a scalar."""
+    sweep = fc.f1_sweep(ho, (F.col("sales") > 0).cast("int"), F.col("p_nonzero"))
+    return sweep.orderBy(F.col("f1").desc(), F.col("threshold").asc()).limit(1).select(
+        F.col("threshold").cast("double")).scalar()
+
+
+@register("hurdle_hard", sql(BEST_T_SQL + "\nSELECT store_nbr, family, date, ROUND(hard, 6) AS pred FROM hu"))
 def hurdle_hard(src):
-    """Hard hurdle: amount when P(non-zero) >= 0.5, else 0."""
+    """Hard hurdle: amount when P(non-zero) reaches the best F1 threshold, else 0."""
     ho = holdout_frame(src)
     return ho.select("store_nbr", "family", "date",
-                     fc.hurdle_hard(F.col("p_nonzero"), F.col("amount")).alias("pred"))
+                     fc.hurdle_hard(F.col("p_nonzero"), F.col("amount"), best_threshold(ho)).alias("pred"))
 
 
-@register("hurdle_soft", sql(HOLDOUT_SQL + f"\nSELECT store_nbr, family, date, ROUND({SOFT}, 6) AS pred FROM ho"))
+@register("hurdle_soft", sql(BEST_T_SQL + "\nSELECT store_nbr, family, date, ROUND(soft, 6) AS pred FROM hu"))
 def hurdle_soft(src):
     """Soft hurdle: P(non-zero) × amount."""
     ho = holdout_frame(src)
@@ -391,25 +389,63 @@ def hurdle_soft(src):
                      fc.hurdle_soft(F.col("p_nonzero"), F.col("amount")).alias("pred"))
 
 
-HURDLE_METHODS = {"hard": HARD, "soft": SOFT, "baseline": "p_fallback",
-                  "blend": f"(0.5 * {SOFT} + 0.5 * p_fallback)"}
-
-
-@register("hurdle_select", sql(HOLDOUT_SQL + ", sc AS (" + " UNION ALL ".join(
-    f"SELECT '{m}' AS method, {rmsle_sql(e)} AS rmsle FROM ho" for m, e in HURDLE_METHODS.items()) + """)
+@register("hurdle_select", sql(BEST_T_SQL + """
+, e AS (SELECT POW(ln(1 + hard) - ln(1 + sales), 2) AS h, POW(ln(1 + soft) - ln(1 + sales), 2) AS s,
+          POW(ln(1 + p_fallback) - ln(1 + sales), 2) AS b,
+          POW(ln(1 + (hard + p_fallback) / 2) - ln(1 + sales), 2) AS m FROM hu),
+sc AS (SELECT 'hard' AS method, SQRT(AVG(h)) AS rmsle FROM e UNION ALL SELECT 'soft', SQRT(AVG(s)) FROM e
+       UNION ALL SELECT 'baseline', SQRT(AVG(b)) FROM e UNION ALL SELECT 'blend', SQRT(AVG(m)) FROM e)
 SELECT method, ROUND(rmsle, 6) AS rmsle, method = (SELECT method FROM sc ORDER BY rmsle, method LIMIT 1) AS selected FROM sc"""))
 def hurdle_select(src):
-    """Scores of hard / soft / baseline / 50-50 and the selected (lowest RMSLE) method."""
+    """Scores of hard / soft / baseline / half hard and half baseline, and the
+    selected (lowest RMSLE) method."""
     ho = holdout_frame(src)
     p, a = F.col("p_nonzero"), F.col("amount")
-    exprs = {"hard": fc.hurdle_hard(p, a), "soft": fc.hurdle_soft(p, a), "baseline": F.col("p_fallback"),
-             "blend": 0.5 * fc.hurdle_soft(p, a) + 0.5 * F.col("p_fallback")}
-    long = ho.agg(*[rmsle("sales", e).alias(m) for m, e in exprs.items()]).unpivot(
-        [], list(exprs), "method", "rmsle")
+    hard = fc.hurdle_hard(p, a, best_threshold(ho))
+    exprs = {"hard": hard, "soft": fc.hurdle_soft(p, a), "baseline": F.col("p_fallback"),
+             "blend": 0.5 * hard + 0.5 * F.col("p_fallback")}
+    long = ho.select("sales", *[e.alias(m) for m, e in exprs.items()]).agg(
+        *[rmsle("sales", m).alias(m) for m in exprs]).unpivot([], list(exprs), "method", "rmsle")
     best = fc.best_of(long, ["method"]).select("method").scalar()
     return long.select("method", "rmsle", (F.col("method") == best).alias("selected"))
 
 
+@register("low_method_selection", sql(HOLDOUT_SQL + """
+, low AS (SELECT * FROM ho WHERE segment = 'LOW'),
+g AS (SELECT CAST(i AS INTEGER) AS k FROM generate_series(0, 20) AS t(i)),
+bl AS (SELECT g.k, SQRT(AVG(POW(ln(1 + (g.k / 20.0) * p_fallback + (1 - g.k / 20.0) * p_mean28) - ln(1 + sales), 2))) AS r
+       FROM low CROSS JOIN g GROUP BY g.k),
+pick AS (SELECT k, r FROM bl ORDER BY r, k LIMIT 1),
+s AS (SELECT (SELECT r FROM bl WHERE k = 20) AS stat, (SELECT r FROM bl WHERE k = 0) AS other, pick.r AS blend, pick.k / 20.0 AS alpha FROM pick)
+SELECT ROUND(stat, 6) AS rmsle_stat, ROUND(other, 6) AS rmsle_mean28, ROUND(blend, 6) AS rmsle_blend, ROUND(alpha, 6) AS alpha,
+  CASE WHEN blend < stat AND blend < other THEN 'blend' WHEN stat < other THEN 'stat' ELSE 'mean28' END AS method FROM s"""))
+def low_method_selection(src):
+    """Method of the LOW segment: the statistical means, the 28-day mean, or
+    their best blend (21 weights), whichever scores best there; a blend must
+    beat both."""
+    low = holdout_frame(src).filter(F.col("segment") == "LOW")
+    scores = fc.grid_scores(low, "sales", ["p_fallback", "p_mean28"], None, 20)
+    wide = scores.agg(F.max(F.when(F.col("w1") == 1, F.col("rmsle"))).alias("rmsle_stat"),
+                      F.max(F.when(F.col("w1") == 0, F.col("rmsle"))).alias("rmsle_mean28"),
+                      F.min(F.struct("rmsle", "w1")).alias("b"))
+    stat, other, blend = F.col("rmsle_stat"), F.col("rmsle_mean28"), F.col("b.rmsle")
+    method = (F.when((blend < stat) & (blend < other), F.lit("blend")).when(stat < other, F.lit("stat"))
+              .otherwise(F.lit("mean28")))
+    return wide.select("rmsle_stat", "rmsle_mean28", blend.alias("rmsle_blend"), F.col("b.w1").alias("alpha"),
+                       method.alias("method"))
+
+
+@register("holdout_roles", sql("""
+SELECT CASE WHEN t.date <= b.train_end - 31 THEN 'train' WHEN t.date >= b.train_end - 15 THEN 'val' ELSE 'gap' END AS role,
+  COUNT(*) AS n_rows, MIN(t.date) AS min_date, MAX(t.date) AS max_date, COUNT(DISTINCT t.date) AS n_dates
+FROM train t, bounds b GROUP BY 1"""))
+def holdout_roles(src):
+    """Every known row with its role in the holdout split, counted by role."""
+    tagged = tag_holdout(src.train_rows(), src.train_end)
+    return tagged.groupBy("role").agg(F.count(F.lit(1)).alias("n_rows"), F.min("date").alias("min_date"),
+                                      F.max("date").alias("max_date"), F.count_distinct("date").alias("n_dates"))
+
+
 @register("f1_threshold", sql(HOLDOUT_SQL + """
 , t(threshold) AS (VALUES """ + ", ".join(f"({t})" for t in fc.F1_THRESHOLDS) + """),
 c AS (SELECT CAST(t.threshold AS DOUBLE) AS threshold,

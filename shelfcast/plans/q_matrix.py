@@ -133,6 +133,10 @@ SELECT feature, value, CAST(DENSE_RANK() OVER (PARTITION BY feature ORDER BY kn,
 def category_codes(src):
     """Category code tables fitted on the training rows: sorted categories
     (numbers in numeric order), code = position; unseen values map to null."""
+    return fit_codes(src)
+
+
+def fit_codes(src):
     t = src.train_rows().join(src.stores, "store_nbr").withColumn("dow", F.weekday("date"))
     t = t.select("family", "store_type", "cluster", "city", "state",
                  F.concat_ws("_", "family", "store_type").alias("family_x_store_type"),
@@ -144,3 +148,48 @@ def category_codes(src):
     v = t.select(F.explode(pairs).alias("p")).select("p.*").distinct()
     w = Window.partitionBy("feature").orderBy("kn", "k")
     return v.select("feature", "value", (F.dense_rank().over(w) - 1).cast("int").alias("code"))
+
+
+def apply_codes(df, codes):
+    """Each categorical column's code as ``<column>_code`` (null if unseen). The
+    code tables are dimensions; each becomes one map, looked up in place."""
+    out = []
+    for c in CATEGORICAL:
+        own = codes.filter(F.col("feature") == c)
+        lookup = own.select(F.map_from_entries(F.collect_list(F.struct("value", "code")))).scalar()
+        out.append(F.try_element_at(lookup, F.col(c).cast("string")).alias(f"{c}_code"))
+    return df.select("*", *out)
+
+
+_CODE_SQL = """
+, seen AS (SELECT DISTINCT t.family, s.store_type, s.cluster, s.city, s.state, CAST(isodow(t.date) - 1 AS VARCHAR) AS dow
+           FROM train t JOIN stores s USING (store_nbr)),
+c_family AS (SELECT v, ROW_NUMBER() OVER (ORDER BY v) - 1 AS c FROM (SELECT DISTINCT family AS v FROM seen)),
+c_store_type AS (SELECT v, ROW_NUMBER() OVER (ORDER BY v) - 1 AS c FROM (SELECT DISTINCT store_type AS v FROM seen)),
+c_cluster AS (SELECT v, ROW_NUMBER() OVER (ORDER BY v) - 1 AS c FROM (SELECT DISTINCT cluster AS v FROM seen)),
+c_city AS (SELECT v, ROW_NUMBER() OVER (ORDER BY v) - 1 AS c FROM (SELECT DISTINCT city AS v FROM seen)),
+c_state AS (SELECT v, ROW_NUMBER() OVER (ORDER BY v) - 1 AS c FROM (SELECT DISTINCT state AS v FROM seen)),
+c_ft AS (SELECT v, ROW_NUMBER() OVER (ORDER BY v) - 1 AS c FROM (SELECT DISTINCT family || '_' || store_type AS v FROM seen)),
+c_fc AS (SELECT v, ROW_NUMBER() OVER (ORDER BY v) - 1 AS c FROM (SELECT DISTINCT family || '_' || CAST(cluster AS VARCHAR) AS v FROM seen)),
+c_df AS (SELECT v, ROW_NUMBER() OVER (ORDER BY v) - 1 AS c FROM (SELECT DISTINCT dow || '_' || family AS v FROM seen))
+SELECT p.store_nbr, p.family, p.date, CAST(c_family.c AS INTEGER) AS family_code, CAST(c_store_type.c AS INTEGER) AS store_type_code,
+  CAST(c_cluster.c AS INTEGER) AS cluster_code, CAST(c_city.c AS INTEGER) AS city_code, CAST(c_state.c AS INTEGER) AS state_code,
+  CAST(c_ft.c AS INTEGER) AS family_x_store_type_code, CAST(c_fc.c AS INTEGER) AS family_x_cluster_code,
+  CAST(c_df.c AS INTEGER) AS dow_x_family_code
+FROM panel p JOIN stores s USING (store_nbr)
+LEFT JOIN c_family ON c_family.v = p.family LEFT JOIN c_store_type ON c_store_type.v = s.store_type
+LEFT JOIN c_cluster ON c_cluster.v = s.cluster LEFT JOIN c_city ON c_city.v = s.city LEFT JOIN c_state ON c_state.v = s.state
+LEFT JOIN c_ft ON c_ft.v = p.family || '_' || s.store_type
+LEFT JOIN c_fc ON c_fc.v = p.family || '_' || CAST(s.cluster AS VARCHAR)
+LEFT JOIN c_df ON c_df.v = CAST(isodow(p.date) - 1 AS VARCHAR) || '_' || p.family"""
+
+
+@register("category_encoded", sql(_CODE_SQL))
+def category_encoded(src):
+    """Every panel row with the codes of its eight categorical features, fitted
+    on the training rows and reused on the horizon."""
+    from shelfcast.functions import calendar as cal
+    src = src.materialized()
+    p = src.panel.join(src.stores, "store_nbr")
+    rows = apply_codes(p.select("*", *cal.cross_columns()), fit_codes(src))
+    return rows.select(*KEY, *[f"{c}_code" for c in CATEGORICAL])

@@ -4,17 +4,21 @@ ensembles, tuning, importances, stacking, save/load (inventory 12, 97, 125,
 
 from __future__ import annotations
 
+import json
 import os
 import random
+import re
 import uuid
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.metrics import rmsle
-from shelfcast.operators import grains
+from shelfcast.operators import forecast as fc
 from shelfcast.operators.folds import holdout_bounds
 from shelfcast.operators.series import series_window, shifted_frame
 from shelfcast.plans import models as ml
@@ -65,22 +69,49 @@ def fit_zero_classifier(src):
 
 @register("fit_early_stop_refit")
 def fit_early_stop_refit(src):
-    """Early stopping on the validation rows, then a refit on all known rows
-    with int(1.1 × trees used)."""
+    """Early stopping on the validation rows, then a refit on every known row
+    (gap and validation days, too) with int(1.1 × trees kept). Only the early
+    stopped model has a validation score: the refit has seen those days, so it
+    gets the mean of its horizon predictions instead."""
     md = data(src)
-    both = md.train.withColumn("is_val", F.lit(False)).unionByName(
-        md.valid.filter(F.col("sales").isNotNull()).withColumn("is_val", F.lit(True)))
-    both = both.withColumn("log_sales", F.log1p("sales"))
-    es = ml.gbt_pipeline(md.features, "log_sales", max_iter=40, validation_col="is_val").fit(both)
-    used = es.stages[-1].getNumTrees
-    refit_trees = max(1, int(used * 1.1))
-    refit = ml.gbt_pipeline(md.features, "log_sales", max_iter=refit_trees).fit(both.drop("is_val"))
-    scores = []
-    for phase, model, n in [("early_stopped", es, used), ("refit", refit, refit_trees)]:
-        p = ml.predict_clipped(model, md.valid, log_target=True)
-        scores.append(p.agg(rmsle("sales", "pred").alias("rmsle_valid")).select(
-            F.lit(phase).alias("phase"), F.lit(n).alias("n_trees"), "rmsle_valid"))
-    return scores[0].unionByName(scores[1])
+    es, used = ml.fit_gbt_early_stopped(md)
+    trees = max(1, int(used * ml.GROWN))
+    refit = ml.fit_gbt_log1p(ml.refit_data(md), max_iter=trees)
+    score = ml.predict_clipped(es, md.valid, log_target=True).agg(rmsle("sales", "pred").alias("rmsle_valid"))
+    ahead = ml.predict_clipped(refit, md.horizon, log_target=True).agg(F.avg("pred").alias("mean_horizon"))
+    return score.select(F.lit("early_stopped").alias("phase"), F.lit(used).alias("n_trees"), "rmsle_valid",
+                        F.lit(None).cast("double").alias("mean_horizon")).unionByName(
+        ahead.select(F.lit("refit").alias("phase"), F.lit(trees).alias("n_trees"),
+                     F.lit(None).cast("double").alias("rmsle_valid"), "mean_horizon"))
+
+
+@register("fit_hurdle")
+def fit_hurdle(src):
+    """Fitted hurdle: probability of a sale × amount fitted on the positive
+    rows. The F1 best threshold and the method (hard, soft, plain regression,
+    half hard and half regression) are chosen on the validation days, both
+    parts are refitted on all known rows, and the horizon is predicted."""
+    md = data(src)
+
+    def parts(d, rows):
+        clf = ml.fit_zero_classifier(d)
+        positive = ml.ModelData(d.train.filter(F.col("sales") > 0), d.valid, d.horizon, d.features, d.known)
+        amount, base = ml.fit_tweedie(positive, 1.3), ml.fit_tweedie(d, 1.2)
+        p = clf.transform(rows).select(*KEY, vector_to_array("prob")[1].alias("p"))
+        return (ml.predict_clipped(amount, rows, "amount").join(p, KEY)
+                .join(ml.predict_clipped(base, rows, "baseline").drop("sales"), KEY))
+
+    val = cut_lineage(parts(md, md.valid))
+    sweep = fc.f1_sweep(val, (F.col("sales") > 0).cast("int"), F.col("p"))
+    t = float(sweep.orderBy(F.col("f1").desc(), F.col("threshold").asc()).first().threshold)
+    hard = fc.hurdle_hard(F.col("p"), F.col("amount"), t)
+    methods = {"hard": hard, "soft": fc.hurdle_soft(F.col("p"), F.col("amount")), "baseline": F.col("baseline"),
+               "blend": 0.5 * hard + 0.5 * F.col("baseline")}
+    scores = val.agg(*[rmsle("sales", e).alias(m) for m, e in methods.items()]).first().asDict()
+    best = min(scores, key=lambda m: (scores[m], m))
+    ahead = parts(ml.refit_data(md), md.horizon)
+    return ahead.select(*KEY, methods[best].alias("pred"), F.lit(best).alias("method"), F.lit(t).alias("threshold"),
+                        F.lit(float(scores[best])).alias("rmsle_valid"))
 
 
 SEGMENT_POWER = {"HIGH": 1.1, "MEDIUM": 1.3, "LOW": 1.5}
@@ -111,13 +142,15 @@ def fit_segments(src):
     return out
 
 
-POWERS, SEEDS = [1.1, 1.3, 1.5], [1, 2, 3]
+# fixed values: variance powers and seeds of the ensemble
+POWERS, SEEDS = [1.1, 1.2, 1.3, 1.4, 1.5], [42, 123, 2024]
 
 
 @register("fit_multi_seed")
 def fit_multi_seed(src):
     """Powers × seeds: each GLM sees a deterministic 70 % hashed sample (bagging);
-    predictions are averaged over seeds, then over powers (long format)."""
+    predictions are averaged over seeds, and the powers are blended by weights
+    that go with the inverse of their validation error."""
     md = data(src)
 
     def task(power, seed):
@@ -131,8 +164,11 @@ def fit_multi_seed(src):
     long = preds[0]
     for p in preds[1:]:
         long = long.unionByName(p)
-    per_power = long.groupBy(*KEY, "sales", "power").agg(F.avg("pred").alias("pred"))
-    return per_power.groupBy(*KEY, "sales").agg(F.avg("pred").alias("pred"))
+    per_power = cut_lineage(long.groupBy(*KEY, "sales", "power").agg(F.avg("pred").alias("pred")))
+    weight = per_power.groupBy("power").agg((1.0 / rmsle("sales", "pred")).alias("w"))
+    # one row a power
+    return (per_power.join(F.broadcast(weight), "power").groupBy(*KEY, "sales")
+            .agg((F.sum(F.col("pred") * F.col("w")) / F.sum("w")).alias("pred")))
 
 
 @register("fit_per_horizon")
@@ -184,53 +220,93 @@ def fit_tx_forecast(src):
     glm.getStages()[-1].setLabelCol("transactions")
     model = glm.fit(train)
     horizon = grid.filter(F.col("date") > m.train_end).fillna(0.0, fcols)
+    clipped = F.greatest(F.col("pred"), F.lit(0.0))
+    checked = model.transform(known.filter(F.col("date") > cutoff).fillna(0.0, fcols))
+    error = checked.select(F.sqrt(F.avg(F.pow(clipped - F.col("transactions"), F.lit(2.0))))).first()[0]
     return model.transform(horizon).select(
-        "store_nbr", "date", F.greatest(F.col("pred"), F.lit(0.0)).alias("transactions_pred"))
+        "store_nbr", "date", clipped.alias("transactions_pred"), F.lit(float(error)).alias("rmse_valid"))
 
 
-@register("tune_params")
-def tune_params(src):
-    """Seeded random search: 4 trials of (variance power, regularisation), each
-    scored by the mean RMSLE over 2 time folds with a 16-day gap."""
-    md = data(src)
+@register("tx_forecast_fitted")
+def tx_forecast_fitted(src):
+    """Horizon panel rows with the fitted transactions forecast, looked up by
+    store and date (0 where the store has none)."""
+    found = fit_tx_forecast(src).select("store_nbr", "date", "transactions_pred")
+    return src.horizon_rows().select(*KEY).join(found, ["store_nbr", "date"], "left").select(
+        *KEY, F.coalesce("transactions_pred", F.lit(0.0)).alias("transactions_pred"))
+
+
+# fixed values: trials and folds of the search
+N_TRIALS, N_FOLDS = 50, 3
+SPACES = {
+    "tweedie": lambda rng: {"power": round(rng.uniform(1.1, 1.8), 3), "reg": round(10 ** rng.uniform(-3, -1), 6)},
+    "gbt_log1p": lambda rng: {"depth": rng.randint(3, 8), "step": round(10 ** rng.uniform(-1.5, -0.5), 4),
+                              "subsample": round(rng.uniform(0.5, 1.0), 2), "min_instances": rng.randint(1, 50)},
+}
+
+
+def tune(md, estimator: str = "tweedie", trials: int = N_TRIALS, folds: int = N_FOLDS, max_iter: int = 15):
+    """Seeded random search over an estimator's space: every trial is scored by
+    its mean RMSLE over time folds with a 16-day gap. Trials run from a thread
+    pool. A GLM that does not converge scores null and is recorded with its
+    error; any other failure ends the search."""
     rng = random.Random(ml.SEED)
-    trials = [(i, round(rng.uniform(1.1, 1.8), 3), round(10 ** rng.uniform(-3, -1), 6)) for i in range(4)]
+    drawn = [(i, SPACES[estimator](rng)) for i in range(trials)]
     max_date = md.train.select(F.max("date")).scalar()
-    folds = []
-    for f in range(2):
+    bins = ml.tree_bins(md)
+    parts = []
+    for f in range(folds):
         v_end = F.date_sub(max_date, 16 * f)
         v_start = F.date_sub(v_end, 15)
-        tr = md.train.filter(F.col("date") <= F.date_sub(v_start, 16))
-        va = md.train.filter(F.col("date").between(v_start, v_end))
-        folds.append((f, tr, va))
+        parts.append((f, md.train.filter(F.col("date") <= F.date_sub(v_start, 16)),
+                      md.train.filter(F.col("date").between(v_start, v_end))))
 
-    def task(trial, power, reg, fold, tr, va):
+    def task(trial, params, fold, tr, va):
         def run():
             try:
-                model = ml.tweedie_pipeline(ml.glm_features(md), power, reg).fit(tr)
-            except Exception:  # noqa: BLE001 - a diverging trial scores null, ranks last
-                return src.spark.createDataFrame(
-                    [(trial, power, reg, fold, None)],
-                    "trial int, variance_power double, reg_param double, fold int, rmsle double")
-            p = ml.predict_clipped(model, va)
-            return p.agg(rmsle("sales", "pred").alias("rmsle")).select(
-                F.lit(trial).alias("trial"), F.lit(power).alias("variance_power"),
-                F.lit(reg).alias("reg_param"), F.lit(fold).alias("fold"), "rmsle")
+                if estimator == "tweedie":
+                    model = ml.tweedie_pipeline(ml.glm_features(md), **params, max_iter=max_iter).fit(tr)
+                else:
+                    model = ml.gbt_pipeline(md.features, "log_sales", max_iter=max_iter, categorical=md.categorical or (),
+                                            bins=bins, **params).fit(tr.withColumn("log_sales", F.log1p("sales")))
+                score = ml.predict_clipped(model, va, log_target=estimator != "tweedie").agg(
+                    rmsle("sales", "pred")).first()[0]
+                return trial, json.dumps(params, sort_keys=True), fold, score, None
+            except (PySparkException, Py4JJavaError) as e:
+                if not re.search("Sum of weights cannot be zero|singular|not converge|infinity|NaN", str(e), re.I):
+                    raise
+                return trial, json.dumps(params, sort_keys=True), fold, None, str(e)[:200]
         return run
-    res = ml.parallel([task(t, p, r, f, tr, va) for t, p, r in trials for f, tr, va in folds])
-    allr = res[0]
-    for r in res[1:]:
-        allr = allr.unionByName(r)
-    per = allr.groupBy("trial", "variance_power", "reg_param").agg(F.avg("rmsle").alias("cv_rmsle"))
-    # one row per trial (a parameter): a global ordering window is bounded
+    return ml.parallel([task(t, p, f, tr, va) for t, p in drawn for f, tr, va in parts])
+
+
+def _ranked_trials(src, rows):
+    """Mean score a trial, best first; the trials are a parameter's worth of rows."""
+    res = src.spark.createDataFrame(rows, "trial int, params string, fold int, rmsle double, error string")
+    per = res.groupBy("trial", "params").agg(F.when(F.count("rmsle") == F.count(F.lit(1)), F.avg("rmsle")).alias("cv_rmsle"),
+                                             F.max("error").alias("error"))
     return per.withColumn("rank", F.row_number().over(
         Window.orderBy(F.col("cv_rmsle").asc_nulls_last(), "trial")))
 
 
+@register("tune_params")
+def tune_params(src):
+    """Random search of the Tweedie GLM's variance power and regularisation (6
+    trials, 2 folds; ``tune`` takes any number, 50 and 3 by default)."""
+    return _ranked_trials(src, tune(data(src), "tweedie", trials=6, folds=2))
+
+
+@register("tune_trees")
+def tune_trees(src):
+    """Random search of the boosted trees' depth, step, sample and leaf size (3
+    trials, 2 folds, 8 trees; parameters of ``tune``)."""
+    return _ranked_trials(src, tune(data(src), "gbt_log1p", trials=3, folds=2, max_iter=8))
+
+
 def _importances(src):
     md = data(src)
     model = ml.fit_gbt_raw(md, max_iter=15)
-    return ml.importance_table(src.spark, model, md.features)
+    return ml.importance_table(src.spark, model, [*md.features, *(md.categorical or [])])
 
 
 @register("feature_importance")
@@ -251,13 +327,11 @@ def importance_by_category(src):
 @register("stack_ridge")
 def stack_ridge(src):
     """Ridge regression on the holdout predictions of the statistical
-    predictors (out of fold for the fitted statistics): coefficients."""
+    predictors (out of fold for the fitted statistics): its predictions."""
     ho = holdout_frame(src)
     preds = ["p_lag28", "p_mean28", "p_dow4", "p_fallback"]
     model = ml.ridge_stack(ho, preds)
-    lr = model.stages[-1]
-    rows = [(p, float(c)) for p, c in zip(preds, lr.coefficients.toArray())] + [("intercept", float(lr.intercept))]
-    return src.spark.createDataFrame(rows, "term string, coefficient double")
+    return model.transform(ho).select(*KEY, "sales", F.greatest(F.col("pred"), F.lit(0.0)).alias("pred"))
 
 
 @register("model_save_load")

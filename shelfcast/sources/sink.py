@@ -12,18 +12,21 @@ from shelfcast.operators.clean import postprocess
 
 
 def submission_rows(horizon: DataFrame, predictions: DataFrame, key=("store_nbr", "family", "date"),
-                    pred: str = "pred") -> DataFrame:
+                    pred: str = "pred", keep=()) -> DataFrame:
     """(id, sales) for every horizon row; predictions are joined on the key,
     never aligned by position. A horizon row without a prediction is an error
     (checked with an anti-join, which Spark evaluates distributed)."""
     joined = horizon.join(predictions.select(*key, pred), list(key), "left")
-    return joined.select("id", postprocess(F.col(pred)).alias("sales"), F.col(pred).isNull().alias("_missing"))
+    return joined.select("id", *keep, postprocess(F.col(pred)).alias("sales"), F.col(pred).isNull().alias("_missing"))
 
 
 def write_submission(rows: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Write (id, sales); refuses when any horizon row has no prediction."""
-    missing = rows.filter(F.col("_missing")).limit(1).count() if "_missing" in rows.columns else 0
-    if missing:
+    """Write (id, sales); refuses when any horizon row has no prediction or no
+    id. ``rows`` should be read from a checkpoint: they are checked, then written."""
+    bad = F.col("sales").isNull() | F.col("id").isNull()
+    if "_missing" in rows.columns:
+        bad = bad | F.col("_missing")
+    if not rows.filter(bad).isEmpty():
         raise ValueError("horizon rows without a prediction")
     out = rows.select("id", "sales")
     writer = out.write.mode("overwrite")

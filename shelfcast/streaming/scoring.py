@@ -5,8 +5,7 @@ lookup -> post-process -> (id, sales)) runs on every new file of a folder:
 ``readStream`` of parquet horizon rows, a stateless stream-static join with
 the fitted lookup tables (computed once by a batch job and broadcast only
 when AQE measures them small), and a ``foreachBatch`` sink that writes each
-micro-batch idempotently by batch id. The checkpoint location must be the
-shared folder (``spark.checkpoint.dir``) so a restarted query resumes.
+micro-batch idempotently by batch id.
 """
 
 from __future__ import annotations
@@ -17,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.operators.clean import postprocess
-from shelfcast.session import ensure_checkpoint_dir
 
 HORIZON_SCHEMA = "id long, date date, store_nbr int, family string, onpromotion int"
 
@@ -47,10 +45,13 @@ def score(rows: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def start_scoring(spark: SparkSession, input_dir: str, output_dir: str,
-                  tables: dict[str, DataFrame], checkpoint: str | None = None,
+                  tables: dict[str, DataFrame], checkpoint: str,
                   trigger_once: bool = True):
-    """Start the streaming query; returns the ``StreamingQuery``."""
-    ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "scoring-stream")
+    """Start the streaming query; returns the ``StreamingQuery``.
+
+    ``checkpoint`` must be the same path in every run of this stream, on storage
+    that all runs share: a restart resumes from it. (The session's checkpoint
+    folder is a new one in each application, so it can't serve.)"""
     stream = spark.readStream.schema(HORIZON_SCHEMA).parquet(input_dir)
     scored = score(stream, tables)
 
@@ -58,6 +59,6 @@ def start_scoring(spark: SparkSession, input_dir: str, output_dir: str,
         # one folder per batch id: a replayed batch overwrites itself
         batch.write.mode("overwrite").parquet(os.path.join(output_dir, f"batch={batch_id}"))
 
-    writer = scored.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
+    writer = scored.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if trigger_once else writer.trigger(processingTime="1 minute")
     return writer.start()
