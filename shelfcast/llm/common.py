@@ -29,8 +29,10 @@ def ascii_lower(c: Column) -> Column:
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, small: bool = False) -> DataFrame:
     """``df`` as a Parquet table in the shared checkpoint folder, reread.
+    ``small``: in no more files than the cluster has cores, for tables of which
+    a partition would hold next to nothing.
 
     Cuts the lineage: what follows reads files every executor sees, so a lost
     executor costs its running tasks only. The folder is the cluster's
@@ -40,6 +42,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
     schema = df.schema
+    if small:
+        df = df.coalesce(spark.sparkContext.defaultParallelism)
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 

@@ -183,7 +183,7 @@ def _across(lists: DataFrame) -> DataFrame:
 def link_components(sets: DataFrame, texts: DataFrame, text: str, ident: str) -> DataFrame:
     """``(node, component)`` of all sets that are linked with another one."""
     lists = written(prefix_postings(sets).withColumn("component", F.col("node")), "lists")
-    members = written(_hub_pairs(lists), "hub-pairs")
+    members = written(_hub_pairs(lists), "hub-pairs", small=True)
     wanted = members.select(F.col("node").alias(ident)).distinct()
     full = written(_full_sets(texts.join(wanted, ident, "left_semi"), text, ident).dropDuplicates(["node"]), "sets")
     # count collisions before the full sets are compared
@@ -192,8 +192,7 @@ def link_components(sets: DataFrame, texts: DataFrame, text: str, ident: str) ->
 
     lists = written(_rarest_shingles(_labelled(lists, comps), full), "rare-lists")
     for pairs_of in (_hub_pairs, _across):
-        named = written(_labelled(lists, comps), "named-lists")
-        more = _links(pairs_of(named).where("hub <> node"), full)
+        more = _links(pairs_of(_labelled(lists, comps)).where("hub <> node"), full)
         known = comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
         comps = components(known.unionByName(more))
     return comps
