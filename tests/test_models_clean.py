@@ -93,3 +93,54 @@ def test_missing_feature_guard_and_fill(spark):
     df = spark.createDataFrame([(1, None, "x")], "a int, b double, c string")
     out = clean.fill_missing_features(clean.ensure_columns(df, ["a", "z"]), exclude=["c"]).first()
     assert out.z == 0 and out.b == 0.0 and out.c == "x"
+
+
+def test_trees_split_on_categories_and_take_unseen_ones(spark, model_frame):
+    """The target depends on the category only, in no order of its codes."""
+    level = F.when(F.col("c") == "b", 90.0).otherwise(10.0)
+    df = model_frame.withColumn("c", F.element_at(F.array(*map(F.lit, "abcd")), (F.dayofyear("date") % 4 + 1).cast("int")))
+    df = df.withColumn("sales", level)
+    md = ml.ModelData(df, df, df, ["f1"], df, ["c"])
+    model = ml.fit_gbt_raw(md, max_iter=10)
+    got = ml.predict_clipped(model, df).join(df.select("date", "c"), "date")
+    assert got.filter(F.abs(F.col("pred") - F.col("sales")) > 5).count() == 0
+    imp = {r.feature: r.share for r in ml.importance_table(spark, model, ["f1", "c"]).collect()}
+    assert imp["c"] > 0.9
+    assert ml.predict_clipped(model, df.withColumn("c", F.lit("new"))).filter(F.col("pred").isNull()).count() == 0
+
+
+def test_early_stopping_keeps_fewer_trees(spark, model_frame):
+    noise = model_frame.withColumn("sales", F.rand(3) * 100)
+    md = ml.ModelData(noise.filter(F.dayofyear("date") % 2 == 0), noise.filter(F.dayofyear("date") % 2 == 1),
+                      noise, ["f1", "f2", "f3"])
+    _, used = ml.fit_gbt_early_stopped(md, max_iter=30)
+    assert 1 <= used < 30
+
+
+def test_codes_of_unseen_values_are_null(spark):
+    from shelfcast.plans.q_matrix import CATEGORICAL, apply_codes
+    codes = spark.createDataFrame([(c, v, i) for c in CATEGORICAL for i, v in enumerate(["1", "2"])],
+                                  "feature string, value string, code int")
+    df = spark.createDataFrame([tuple("2" for _ in CATEGORICAL), tuple("9" for _ in CATEGORICAL)],
+                               ", ".join(f"{c} string" for c in CATEGORICAL))
+    rows = apply_codes(df, codes).select(*[f"{c}_code" for c in CATEGORICAL]).collect()
+    assert set(rows[0]) == {1} and set(rows[1]) == {None}
+
+
+def test_missing_prediction_stays_null(spark):
+    df = spark.createDataFrame([(None,), (-1.0,), (0.005,), (0.5,)], "p double")
+    assert [r[0] for r in df.select(clean.postprocess(F.col("p"))).collect()] == [None, 0.0, 0.0, 0.5]
+
+
+def test_features_of_a_fold_do_not_see_its_days(spark):
+    """Perturbation: changing sales and transactions after the fold's training
+    end changes no feature of its validation days, apart from the lags of the
+    gap days that are known by then."""
+    from shelfcast.operators import grains
+    days = spark.sql("SELECT explode(sequence(date'2020-01-01', date'2020-03-31')) AS date").withColumn("store_nbr", F.lit(1))
+    tx = days.withColumn("transactions", F.dayofyear("date") * 3)
+    cut = F.lit(dt.date(2020, 2, 28))
+    changed = tx.withColumn("transactions", F.when(F.col("date") > cut, 10 ** 6).otherwise(F.col("transactions")))
+    a, b = (grains.transaction_features(days, t, cut).filter(F.col("date") <= F.date_add(cut, 16)).drop("transactions")
+            for t in (tx, changed))
+    assert a.exceptAll(b).count() == 0

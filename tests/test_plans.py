@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+import pytest
+
 import __spark_entry__ as entry
 from conftest import SMOKE_DIR
 
@@ -30,3 +32,28 @@ def test_blend_grid_is_generated_not_joined(spark):
     p = _plan(entry.queries()["blend_simplex"](spark, SMOKE_DIR))
     assert "Generate" in p
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_store_list_does_not_aggregate_line_items(spark):
+    """The stores come from the suppliers by a semi join; no sum of quantities."""
+    p = _plan(entry.queries()["tx_features"](spark, SMOKE_DIR))
+    assert "LeftSemi" in p and "l_quantity" not in p
+
+
+def test_auc_and_quantiles_have_no_global_window_over_values(spark):
+    from pyspark.sql import functions as F
+    from shelfcast.functions.metrics import quantiles, roc_auc
+    df = spark.range(5000).select((F.col("id") % 2).cast("int").alias("y"), (F.col("id") * 0.37).alias("s"))
+    for out in (roc_auc(df, "y", "s"), quantiles(df, "s", [0.5])):
+        windows = re.findall(r"Window \[.*", _plan(out))
+        assert windows
+        for w in windows:
+            # ordered by value within a bucket, or by bucket over the buckets' totals
+            assert "_bucket" in w
+    assert list(quantiles(df, "s", [0.0, 0.25, 1.0]).first()) == pytest.approx([0.0, 4999 * 0.25 * 0.37, 4999 * 0.37])
+
+
+def test_describe_reads_the_panel_once(spark):
+    p = _plan(entry.queries()["eda_describe"](spark, SMOKE_DIR))
+    assert "Expand" in p or "Generate" in p
+    assert "ObjectHashAggregate" not in p

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import shutil
 import tempfile
 
 import numpy as np
@@ -79,3 +80,26 @@ def test_feature_matrix_on_retail_files(spark, raw_dir):
     assert not {"sales", "id", "date"} & set(cols) and len(cols) > 100
     assert m.count() == 46 * 4              # 30 train + 16 horizon days, 4 series
     assert "transactions" not in m.columns   # same-day transactions are not a feature
+
+
+def test_horizon_is_as_long_as_the_file_says(spark, raw_dir):
+    """20 days in test.csv give 20 submission rows a series."""
+    d = shutil.copytree(raw_dir, tempfile.mkdtemp(prefix="raw20-") + "/raw")
+    rows = [(1000 + i * 4 + j, dt.date(2017, 1, 31) + dt.timedelta(days=i), s, f, 0)
+            for i in range(20) for j, (s, f) in enumerate([(1, "GROCERY I"), (1, "BEVERAGES"),
+                                                            (2, "GROCERY I"), (2, "BEVERAGES")])]
+    _write_csv(spark.createDataFrame(rows, "id long, date date, store_nbr int, family string, onpromotion int"), f"{d}/test.csv")
+    sub = load_all()["submission"].fn(RetailSources(spark, d))
+    assert sorted(r.id for r in sub.collect()) == list(range(1000, 1080))
+
+
+def test_replaced_inputs_give_new_results(spark, raw_dir):
+    """Session tables follow the files under their path."""
+    d = shutil.copytree(raw_dir, tempfile.mkdtemp(prefix="rawnew-") + "/raw")
+    before = load_all()["submission"].fn(RetailSources(spark, d)).agg(F.sum("sales")).first()[0]
+    text = spark.read.option("header", True).csv(f"{d}/train.csv").toPandas()
+    text["sales"] = text["sales"].astype(float) * 10
+    text.to_csv(f"{d}/train.csv", index=False)
+    spark.catalog.refreshByPath(d)
+    after = load_all()["submission"].fn(RetailSources(spark, d)).agg(F.sum("sales")).first()[0]
+    assert after == pytest.approx(10 * before, rel=1e-6)

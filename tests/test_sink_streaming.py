@@ -6,6 +6,7 @@ import glob
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.sources import PanelSources
@@ -46,3 +47,13 @@ def test_streaming_scores_like_batch(spark):
     expected = score(horizon, tables)
     assert got.count() == horizon.count()
     assert got.exceptAll(expected).count() == 0
+
+
+def test_missing_prediction_is_an_error(spark):
+    h = spark.createDataFrame([(i, 1, "A", i) for i in range(4)], "id long, store_nbr int, family string, date int")
+    p = spark.createDataFrame([(1, "A", i, 1.0 if i else None) for i in range(3)],
+                              "store_nbr int, family string, date int, pred double")
+    rows = submission_rows(h, p, keep=["date"])
+    assert {(r.id, r.sales) for r in rows.collect()} == {(0, None), (1, 1.0), (2, 1.0), (3, None)}
+    with pytest.raises(ValueError):
+        write_submission(rows, tempfile.mkdtemp(prefix="sub-") + "/s")
