@@ -44,8 +44,8 @@ BUCKETS = 1 << 18
 NGRAMS = (3, 4, 5)
 DIMENSIONS = 8
 WINDOW_WORDS = 8
-FIT_ROWS = 2500       # a class
-FIT_CHARS = 20_000
+FIT_ROWS = 2000       # a class
+FIT_CHARS = 6_000
 ROUNDS = (3, 9)       # on random windows, on the highest windows
 BATCH = 1 << 20
 _FACTORS = np.random.default_rng(41).integers(1, 1 << 32, max(NGRAMS), dtype=np.uint32) | np.uint32(1)
@@ -71,22 +71,23 @@ class Grams:
         total = np.bincount(self.words, weights=of_bucket[self.buckets], minlength=n)
         return total / np.maximum(np.bincount(self.words, minlength=n), 1)
 
-    def window_scores(self, of_bucket: np.ndarray) -> np.ndarray:
-        """Mean over the window that ends at each word."""
-        sums = np.concatenate([[0.0], np.cumsum(self.word_scores(of_bucket))])
-        at = np.arange(1, len(sums))
-        first = np.repeat(self.cuts[:-1], np.diff(self.cuts))
-        return (sums[at] - sums[np.maximum(first, at - WINDOW_WORDS)]) / WINDOW_WORDS
-
     def best(self, of_bucket: np.ndarray) -> np.ndarray:
         """Highest window of each text; 0 for a text without words."""
         out = np.zeros(len(self.cuts) - 1)
         filled = np.flatnonzero(np.diff(self.cuts))
         if len(filled):
-            out[filled] = np.maximum.reduceat(self.window_scores(of_bucket), self.cuts[filled])
+            out[filled] = np.maximum.reduceat(window_scores(self.word_scores(of_bucket), self.cuts), self.cuts[filled])
         return out
 
 
+def window_scores(words: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Mean over the window that ends at each word and stays in its text."""
+    sums = np.concatenate([[0.0], np.cumsum(words)])
+    at = np.arange(1, len(sums))
+    first = np.repeat(cuts[:-1], np.diff(cuts))
+    return (sums[at] - sums[np.maximum(first, at - WINDOW_WORDS)]) / WINDOW_WORDS
+
+
 def grams_of(texts: list[str]) -> Grams:
     """All texts laid end to end, every run of other characters as one mark."""
     lowered = [f" {t.lower()} " for t in texts]
@@ -144,14 +145,36 @@ def constant(share: float) -> Model:
                  float(np.log(share / (1 - share))))
 
 
+def _by_word(texts: list[str], run: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets of all texts in the order of words, where each word's begin, and
+    where each text's words begin; put together from runs of texts, four bytes
+    an n-gram."""
+    grams, sizes, cuts = [], [], [np.zeros(1, dtype=np.int64)]
+    for a in range(0, len(texts), run):
+        part = grams_of(texts[a:a + run])
+        grams.append(part.buckets[np.argsort(part.words, kind="stable")].astype(np.int32))
+        sizes.append(np.bincount(part.words, minlength=int(part.cuts[-1])))
+        cuts.append(part.cuts[1:] + cuts[-1][-1])
+    starts = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]) if sizes else np.zeros(1, dtype=np.int64)
+    return np.concatenate(grams) if grams else np.zeros(0, np.int32), starts, np.concatenate(cuts)
+
+
+def _word_scores(grams: np.ndarray, starts: np.ndarray, of_bucket: np.ndarray, run: int = 1 << 16) -> np.ndarray:
+    """Mean of the buckets' values by word (every word has an n-gram)."""
+    out = np.zeros(len(starts) - 1)
+    for a in range(0, len(out), run):
+        b = min(a + run, len(out))
+        values = of_bucket[grams[starts[a]:starts[b]]]
+        out[a:b] = np.add.reduceat(values, starts[a:b] - starts[a]) / np.diff(starts[a:b + 1])
+    return out
+
+
 def fit(texts: list[str], toxic: np.ndarray, share: float, seed: int = 5) -> Model:
     """Train on texts with labels 0 and 1; ``share``: of toxic labels among all."""
     rng = np.random.default_rng(seed)
-    every = grams_of(texts)
-    by_word = np.argsort(every.words, kind="stable")
-    grams, starts = every.buckets[by_word], np.searchsorted(every.words[by_word], np.arange(every.cuts[-1] + 1))
-    has = np.flatnonzero(np.diff(every.cuts))
-    first, past = every.cuts[:-1][has], every.cuts[1:][has]
+    grams, starts, cuts = _by_word(texts)
+    has = np.flatnonzero(np.diff(cuts))
+    first, past = cuts[:-1][has], cuts[1:][has]
     label = toxic[has].astype(np.int64)
     embedding = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS))
     weights = rng.normal(0, 0.5, (DIMENSIONS, 2))
@@ -163,7 +186,7 @@ def fit(texts: list[str], toxic: np.ndarray, share: float, seed: int = 5) -> Mod
         return rng.integers(first, past)
 
     def highest_ends() -> np.ndarray:
-        scores = every.window_scores(embedding @ (weights[:, 1] - weights[:, 0]))
+        scores = window_scores(_word_scores(grams, starts, embedding @ (weights[:, 1] - weights[:, 0])), cuts)
         return np.array([a + int(np.argmax(scores[a:b])) for a, b in zip(first, past)])
 
     def learn(ends: np.ndarray, y: np.ndarray, begin: np.ndarray) -> None:
@@ -204,7 +227,10 @@ def fit(texts: list[str], toxic: np.ndarray, share: float, seed: int = 5) -> Mod
         learn(np.concatenate([high, random_ends()[clean]]), np.concatenate([label, label[clean]]),
               np.concatenate([first, first[clean]]))
     model = Model(embedding.astype(np.float32), weights, 1.0, 0.0)
-    model.slope, model.offset = _curve(every.best(model.of_bucket()), toxic, share)
+    best = np.zeros(len(texts))
+    if len(has):
+        best[has] = np.maximum.reduceat(window_scores(_word_scores(grams, starts, model.of_bucket()), cuts), first)
+    model.slope, model.offset = _curve(best, toxic, share)
     return model
 
 
