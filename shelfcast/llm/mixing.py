@@ -146,10 +146,13 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", ident: str =
                .withColumn("_mx_left", F.col("_mx_rest") - F.sum("_mx_n").over(shuffled) + F.col("_mx_n"))
                .where("_mx_left > 0").select("_mx_key", "_mx_block", "_mx_left"))
     decided = blocks.drop("_mx_n").join(sources, "_mx_key").join(partial, ["_mx_key", "_mx_block"], "left")
-    rows = keyed(df.select(*dict.fromkeys([*carry, text, source, ident]))).join(decided, ["_mx_key", "_mx_block"])
+    # what the order of rows needs of the text is taken before rows are moved
+    rows = (keyed(df).withColumn("_mx_tie", F.xxhash64(F.col(text))).select(
+        *dict.fromkeys([*carry, ident]), "_mx_key", "_mx_n", "_mx_block", "_mx_tie")
+        .join(decided, ["_mx_key", "_mx_block"]))
     whole = rows.where("_mx_passes > 0").withColumn("epoch", F.explode(F.sequence(F.lit(1).cast("long"), "_mx_passes")))
     in_block = Window.partitionBy("_mx_key", "_mx_block").orderBy(
-        F.xxhash64(F.col(ident), turn, F.lit(seed)), F.col(ident), F.xxhash64(F.col(text)))
+        F.xxhash64(F.col(ident), turn, F.lit(seed)), F.col(ident), "_mx_tie")
     cut = (rows.where("_mx_left is not null")
            .withColumn("_mx_sum", F.sum("_mx_n").over(in_block.rowsBetween(Window.unboundedPreceding, 0)))
            .where("_mx_sum <= _mx_left").drop("_mx_sum").withColumn("epoch", turn))
