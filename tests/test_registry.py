@@ -16,7 +16,9 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 SAMPLE = ["scan_sales", "merged_panel", "lag_features", "rolling_features", "promotion_features",
           "oil_features", "holiday_flags", "holiday_distance", "tx_features", "hier_city",
           "stats_store_family", "target_stats_applied", "blend_grid_alpha", "hurdle_select", "auc",
-          "eda_oil_corr", "eda_promo_impact", "ts_fold_counts", "tx_forecast_grid", "submission"]
+          "eda_oil_corr", "eda_promo_impact", "ts_fold_counts", "tx_forecast_grid", "submission",
+          "hurdle_hard", "low_method_selection", "holdout_roles", "category_encoded", "score_table",
+          "tx_forecast_features", "prediction_quartiles", "eda_describe"]
 
 
 def _norm(v):
