@@ -261,14 +261,20 @@ def fit_rows(docs: DataFrame, labels: DataFrame, text: str = "text", ident: str
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     if len(counts) < 2:
         return constant(share), share
-    rows = (docs.where(F.length(text) <= FIT_CHARS).select(ident, text).join(known, ident)
-            .withColumn("_order", F.xxhash64(ident)).select("_toxic", "_order", text))
-    picked = [r for y in (0, 1) for r in
-              rows.where(F.col("_toxic") == y).orderBy("_order", text).limit(FIT_ROWS).collect()]
+    # identifiers are chosen without their texts; only the chosen rows' texts move
+    short = docs.where(F.length(text) <= FIT_CHARS)
+    named = short.select(ident).distinct().join(known, ident)
+    chosen = [r for y in (0, 1) for r in named.where(F.col("_toxic") == y).orderBy(
+        F.xxhash64(ident, F.lit(29)), ident).limit(FIT_ROWS).collect()]
+    if not chosen:
+        return constant(share), share
+    few = docs.sparkSession.createDataFrame(chosen, named.schema)        # at most FIT_ROWS a class
+    picked = sorted(short.select(ident, text).join(F.broadcast(few), ident).groupBy(ident).agg(
+        F.min("_toxic").alias("y"), F.min(text).alias("t")).select("y", "t", ident).collect(), key=lambda r: (r[0], r[2]))
     toxic = np.array([r[0] for r in picked], dtype=np.int64)
     if len(set(toxic.tolist())) < 2:
         return constant(share), share
-    return fit([r[2] for r in picked], toxic, share), share
+    return fit([r[1] for r in picked], toxic, share), share
 
 
 def score(df: DataFrame, model: Model, text: str = "text", to: str = "score") -> DataFrame:
