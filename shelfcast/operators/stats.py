@@ -93,23 +93,47 @@ def fit_target_stats(train: DataFrame, as_of: Column | None = None, target: str
     return out
 
 
+def by_weekday(table: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """Weekday statistics (keys + _dow) turned into one row per key with an
+    array of 7 values per statistic, so they join on the coarser key and the
+    row's weekday picks its element (no join on the weekday)."""
+    aggs = [F.array(*[F.max(F.when(F.col(DOW) == d, F.col(c))) for d in range(7)]).alias(f"_{c}_by_dow")
+            for c in cols]
+    return table.groupBy(*keys).agg(*aggs)
+
+
+def pick_weekday(cols: list[str], date_col: str = "date") -> list[Column]:
+    return [F.col(f"_{c}_by_dow")[F.weekday(date_col)].alias(c) for c in cols]
+
+
 def apply_target_stats(df: DataFrame, stats: dict[str, DataFrame], date_col: str = "date") -> DataFrame:
-    """Left-join every fitted statistic on its keys (absent ones are skipped)."""
-    out = df.withColumn(DOW, F.weekday(F.col(date_col)))
-    if MERGED in stats:
-        # one left join per key set, straight from its aggregation
-        for keys, table in stats[MERGED].items():
-            if all(k in out.columns for k in keys):
-                out = out.join(table, list(keys), "left")
-        return out.drop(DOW)
-    joined: dict[tuple, DataFrame] = {}
+    """Left-join every fitted statistic on its keys (absent ones are skipped).
+
+    Weekday statistics ride on the table of the same keys without the weekday,
+    as arrays: one join per key set without weekdays, none on a key as coarse
+    as seven days."""
+    tables = stats.get(MERGED) or _merged_by_keys(stats)
+    out = df
+    for base in dict.fromkeys(tuple(k for k in keys if k != DOW) for keys in tables):
+        if any(k not in df.columns for k in base):
+            continue
+        plain, daily = tables.get(base), tables.get((*base, DOW))
+        cols = [c for c in daily.columns if c not in (*base, DOW)] if daily is not None else []
+        folded = by_weekday(daily, list(base), cols) if cols else None
+        table = plain if folded is None else folded if plain is None else plain.join(folded, list(base), "full")
+        out = out.join(table, list(base), "left").select("*", *pick_weekday(cols, date_col)).drop(
+            *[f"_{c}_by_dow" for c in cols])
+    return out
+
+
+def _merged_by_keys(stats: dict[str, DataFrame]) -> dict[tuple, DataFrame]:
+    """The statistics' tables put together by key set."""
+    tables: dict[tuple, DataFrame] = {}
     for name, (keys, _aggs) in STAT_SPECS.items():
-        if name in stats and all(k in out.columns for k in keys):
+        if name in stats:
             k = tuple(keys)
-            joined[k] = stats[name] if k not in joined else joined[k].join(stats[name], list(k), "full")
-    for keys, table in joined.items():
-        out = out.join(table, list(keys), "left")
-    return out.drop(DOW)
+            tables[k] = stats[name] if k not in tables else tables[k].join(stats[name], list(k), "full")
+    return tables
 
 
 def stat_columns() -> list[str]:

@@ -41,19 +41,6 @@ def date_grain_table(src: PanelSources) -> DataFrame:
     return calendar.join(oil, "date", "left").join(hol, "date", "left")
 
 
-def by_weekday(table: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
-    """Weekday statistics (keys + _dow) turned into one row per key with an
-    array of 7 values per statistic, so they join on the coarser key and the
-    row's weekday picks its element (no join on the weekday)."""
-    aggs = [F.array(*[F.max(F.when(F.col(stats.DOW) == d, F.col(c))) for d in range(7)]).alias(f"_{c}_by_dow")
-            for c in cols]
-    return table.groupBy(*keys).agg(*aggs)
-
-
-def pick_weekday(cols: list[str], date_col: str = "date") -> list[Column]:
-    return [F.col(f"_{c}_by_dow")[F.weekday(date_col)].alias(c) for c in cols]
-
-
 def store_day_table(src: PanelSources, panel_with_stores: DataFrame,
                     hier: dict[str, DataFrame], st: dict | None = None,
                     as_of: Column | None = None) -> DataFrame:
@@ -72,9 +59,9 @@ def store_day_table(src: PanelSources, panel_with_stores: DataFrame,
     if st is not None:
         m = st[stats.MERGED]
         out = out.join(m[("store_nbr",)], "store_nbr", "left")
-        wd = by_weekday(m[("store_nbr", stats.DOW)], ["store_nbr"], ["store_dow_mean"])
+        wd = stats.by_weekday(m[("store_nbr", stats.DOW)], ["store_nbr"], ["store_dow_mean"])
         out = out.join(wd, "store_nbr", "left").select(
-            "*", *pick_weekday(["store_dow_mean"])).drop("_store_dow_mean_by_dow")
+            "*", *stats.pick_weekday(["store_dow_mean"])).drop("_store_dow_mean_by_dow")
     return out
 
 
@@ -82,10 +69,10 @@ def family_day_table(hier: dict[str, DataFrame], st: dict) -> DataFrame:
     """Family national totals and the family statistics per (family, day):
     families × days rows, independent of the number of stores."""
     m = st[stats.MERGED]
-    wd = by_weekday(m[("family", stats.DOW)], ["family"], ["family_dow_mean"])
+    wd = stats.by_weekday(m[("family", stats.DOW)], ["family"], ["family_dow_mean"])
     fam = (hier["family"].drop("family_national").join(m[("family",)], "family", "left")
            .join(wd, "family", "left"))
-    return fam.select("*", *pick_weekday(["family_dow_mean"])).drop("_family_dow_mean_by_dow")
+    return fam.select("*", *stats.pick_weekday(["family_dow_mean"])).drop("_family_dow_mean_by_dow")
 
 
 def series_stats_table(st: dict) -> DataFrame:
@@ -93,7 +80,7 @@ def series_stats_table(st: dict) -> DataFrame:
     means as arrays) keyed by (store_nbr, family) only, the key the panel is
     already partitioned by, so this join does not move the panel."""
     m = st[stats.MERGED]
-    wd = by_weekday(m[("store_nbr", "family", stats.DOW)], ["store_nbr", "family"],
+    wd = stats.by_weekday(m[("store_nbr", "family", stats.DOW)], ["store_nbr", "family"],
                     ["sf_dow_mean", "sf_dow_recent_mean"])
     return m[("store_nbr", "family")].join(wd, ["store_nbr", "family"], "full")
 
@@ -136,7 +123,7 @@ def build_features(src: PanelSources, as_of: Column | None = None,
     # is families × days (AQE broadcasts them when measured small).
     out = (feats.join(F.broadcast(date_grain_table(src)), "date", "left")
                 .join(series_stats_table(st), ["store_nbr", "family"], "left")
-                .select("*", *pick_weekday(["sf_dow_mean", "sf_dow_recent_mean"]))
+                .select("*", *stats.pick_weekday(["sf_dow_mean", "sf_dow_recent_mean"]))
                 .drop("_sf_dow_mean_by_dow", "_sf_dow_recent_mean_by_dow")
                 .join(store_day_table(src, panel, hier, st, as_of), ["store_nbr", "date"], "left")
                 .join(family_day_table(hier, st), ["family", "date"], "left")

@@ -57,3 +57,20 @@ def test_describe_reads_the_panel_once(spark):
     p = _plan(entry.queries()["eda_describe"](spark, SMOKE_DIR))
     assert "Expand" in p or "Generate" in p
     assert "ObjectHashAggregate" not in p
+
+
+def test_target_statistics_join_on_no_weekday_key(spark):
+    """Weekday statistics ride on their coarse key's table: four joins."""
+    from pyspark.sql import functions as F
+    from shelfcast.operators import stats
+    train = spark.range(400).select(
+        (F.col("id") % 3).cast("int").alias("store_nbr"), (F.col("id") % 2).cast("string").alias("family"),
+        F.lit(1).alias("cluster"), F.date_add(F.lit("2020-01-01"), (F.col("id") % 60).cast("int")).alias("date"),
+        F.col("id").cast("double").alias("sales"))
+    fitted = stats.fit_target_stats(train)
+    out = stats.apply_target_stats(train, fitted)
+    assert set(stats.stat_columns()) <= set(out.columns) and out.count() == 400
+    logical = out._jdf.queryExecution().optimizedPlan().toString()
+    assert logical.count("Join LeftOuter") == 4
+    alone = stats.apply_target_stats(train, {k: v for k, v in fitted.items() if k != stats.MERGED})
+    assert alone.select(*out.columns).exceptAll(out).count() == 0
