@@ -29,10 +29,16 @@ def ascii_lower(c: Column) -> Column:
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
-def written(df: DataFrame, name: str, small: bool = False) -> DataFrame:
+def few(df: DataFrame, per_core: int) -> DataFrame:
+    """``df`` in at most so many partitions a core, without a shuffle: for tables
+    of which a shuffle partition would hold next to nothing, and writing a file
+    of it would cost more than its rows."""
+    return df.coalesce(per_core * df.sparkSession.sparkContext.defaultParallelism)
+
+
+def written(df: DataFrame, name: str, per_core: int | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared checkpoint folder, reread.
-    ``small``: in no more files than the cluster has cores, for tables of which
-    a partition would hold next to nothing.
+    ``per_core``: see ``few``.
 
     Cuts the lineage: what follows reads files every executor sees, so a lost
     executor costs its running tasks only. The folder is the cluster's
@@ -42,8 +48,8 @@ def written(df: DataFrame, name: str, small: bool = False) -> DataFrame:
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
     schema = df.schema
-    if small:
-        df = df.coalesce(spark.sparkContext.defaultParallelism)
+    if per_core:
+        df = few(df, per_core)
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 

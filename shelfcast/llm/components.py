@@ -15,7 +15,7 @@ def components(links: DataFrame, most_rounds: int = 100) -> DataFrame:
     Each round's table is written, and only its count and checksum reach the
     driver. Nodes without links don't appear; an empty table gives one."""
     edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                    .distinct(), "links", small=True)
+                    .distinct(), "links", per_core=1)
     seen = _mark(edges)
     for _ in range(most_rounds):
         if seen[0] == 0:
@@ -26,7 +26,7 @@ def components(links: DataFrame, most_rounds: int = 100) -> DataFrame:
         root = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(root, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(root.select("u", F.col("m").alias("v"))).distinct())
-        edges = written(small, "links", small=True)
+        edges = written(small, "links", per_core=1)
         now = _mark(edges)
         if now == seen:
             break
