@@ -89,13 +89,13 @@ def prefix_postings(sets: DataFrame) -> DataFrame:
     """``(list, node, n, central)``: every set under the rare prefix of its
     (coordinate, value) pairs, in its own size class and the next. ``central``
     is how often its pairs occur in all."""
-    posted = sets.select("node", "n", F.posexplode("signature").alias("k", "v")).select(
-        "node", "n", F.shiftleft(F.col("k").cast("long"), 32).bitwiseOR(
+    posted = sets.select("node", F.posexplode("signature").alias("k", "v")).select(
+        "node", F.shiftleft(F.col("k").cast("long"), 32).bitwiseOR(
             F.col("v").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("pair"))
     shared = posted.groupBy("pair").agg(F.count("*").alias("freq")).where("freq > 1")
-    ranked = (posted.join(shared, "pair").groupBy("node", "n")
+    ranked = (posted.join(shared, "pair").groupBy("node")
               .agg(F.sort_array(F.collect_list(F.struct("freq", "pair"))).alias("pairs"),  # at most COORDINATES
-                   F.sum("freq").alias("central")))
+                   F.sum("freq").alias("central")).join(sets.select("node", "n"), "node"))
     room = F.lit(PREFIX - COORDINATES) + F.size("pairs")
     size_class = F.floor(F.log("n") / F.log(F.lit(4 / 3)) + 1e-9).cast("int")
     return (ranked.where(room > 0)
@@ -185,7 +185,9 @@ def link_components(sets: DataFrame, texts: DataFrame, text: str, ident: str) ->
     lists = written(prefix_postings(sets).withColumn("component", F.col("node")), "lists", per_core=4)
     members = written(_hub_pairs(lists), "hub-pairs", per_core=1)
     wanted = members.select(F.col("node").alias(ident)).distinct()
-    full = written(_full_sets(texts.join(wanted, ident, "left_semi"), text, ident).dropDuplicates(["node"]), "sets", per_core=4)
+    # the join is dealt alike at every size, not broadcast while the list is short
+    needed = texts.select(ident, text).join(wanted.hint("merge"), ident, "left_semi")
+    full = written(_full_sets(needed, text, ident).dropDuplicates(["node"]), "sets", per_core=4)
     # count collisions before the full sets are compared
     first = _collisions(members.where("hub <> node").where(_fits()), sets)
     comps = components(_links(first, full))
