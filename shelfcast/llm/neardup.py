@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm import shingles
-from shelfcast.llm.common import few, map_arrow, table, written
+from shelfcast.llm.common import map_arrow, table, written
 from shelfcast.llm.components import components
 
 SIMILARITY = 75          # per cent
@@ -182,17 +182,17 @@ def _across(lists: DataFrame) -> DataFrame:
 
 def link_components(sets: DataFrame, texts: DataFrame, text: str, ident: str) -> DataFrame:
     """``(node, component)`` of all sets that are linked with another one."""
-    lists = written(prefix_postings(sets).withColumn("component", F.col("node")), "lists", per_core=4)
-    members = written(_hub_pairs(lists), "hub-pairs", per_core=1)
+    lists = written(prefix_postings(sets).withColumn("component", F.col("node")), "lists")
+    members = written(_hub_pairs(lists), "hub-pairs")
     wanted = members.select(F.col("node").alias(ident)).distinct()
     # the join is dealt alike at every size, not broadcast while the list is short
     needed = texts.select(ident, text).join(wanted.hint("merge"), ident, "left_semi")
-    full = written(_full_sets(needed, text, ident).dropDuplicates(["node"]), "sets", per_core=4)
+    full = written(_full_sets(needed, text, ident).dropDuplicates(["node"]), "sets")
     # count collisions before the full sets are compared
     first = _collisions(members.where("hub <> node").where(_fits()), sets)
     comps = components(_links(first, full))
 
-    lists = written(_rarest_shingles(_labelled(lists, comps), full), "rare-lists", per_core=4)
+    lists = written(_rarest_shingles(_labelled(lists, comps), full), "rare-lists")
     for pairs_of in (_hub_pairs, _across):
         more = _links(pairs_of(_labelled(lists, comps)).where("hub <> node"), full)
         known = comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
@@ -206,8 +206,7 @@ def near_duplicates(df: DataFrame, text: str = "text", ident: str = "doc_id") ->
     usable = rows.where(F.col(ident).isNotNull() & (F.col("n_shingles") > 0))
     # a signature follows from the set, so any of a class will do
     sets = written(usable.groupBy("set_key").agg(
-        F.min(ident).alias("node"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")), "classes",
-                   per_core=4)
+        F.min(ident).alias("node"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")), "classes")
     comps = link_components(sets.select("node", "n", "signature"), df, text, ident)
     named = sets.select("set_key", "node").join(comps, "node", "left").select(
         "set_key", F.coalesce("component", "node").alias("component_id"))
@@ -215,7 +214,7 @@ def near_duplicates(df: DataFrame, text: str = "text", ident: str = "doc_id") ->
         ident, "n_shingles", F.col(ident).alias("component_id"))
     out = usable.select(ident, "n_shingles", "set_key").join(named, "set_key").select(
         ident, "n_shingles", "component_id").unionByName(empty)
-    return few(out, 4).withColumn("kept", F.coalesce(F.col(ident) == F.col("component_id"), F.lit(True)))
+    return out.withColumn("kept", F.coalesce(F.col(ident) == F.col("component_id"), F.lit(True)))
 
 
 def drop_near_duplicates(df: DataFrame, text: str = "text", ident: str = "doc_id") -> DataFrame:
