@@ -1,10 +1,13 @@
 """Main text of web pages by wrapper induction.
 
 A page is read into a tree of its block elements; texts between block borders
-are its leaves. Parts that are never the article are left out while reading:
-menus, page headers and footers, sidebars, notices, adverts, forms, scripts,
-styles and reader comments, told by element, role or class. Runs of siblings of
-one kind are folded into one node, so that lists of any length align.
+are its leaves. Scripts, styles and the like are skipped. Menus, page headers and
+footers, sidebars, notices, adverts, forms and reader comments, told by element,
+role or class, are marked: they stay in the tree and are dropped after the
+alignment. Never marked are body, main and article elements and what holds the
+page's article (``_settle``); a host's pages decide together on nodes that align.
+Runs of siblings of one kind are folded into one node, so that lists of any
+length align.
 
 Pages of a host are aligned by simple tree matching: nodes match if their labels
 are equal, and children by the largest order-keeping matching of their subtrees.
@@ -63,6 +66,9 @@ pagination popup promo promotion recommended related share sharing sidebar signu
 subscribe subscription toolbar""".split())
 PAGE_WORDS = frozenset("alert banner footer header masthead widget widgets".split())   # outside of an article
 CONTENT = ("article", "main")
+# parts named by their element or as comments; other marks are classes that page wrappers have as well
+SURE = NEVER - {"fieldset", "form", "dialog"}
+SURE_WORDS = frozenset("comment comments commentlist disqus".split())
 # a start tag of the key ends an open element of its values
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
           "th": ("td", "th"), "tbody": ("tbody", "thead", "tr", "td", "th"), "tfoot": ("tbody", "tr", "td", "th")}
@@ -70,39 +76,108 @@ BARRIERS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("ta
             "th": ("table",), "tbody": ("table",), "tfoot": ("table",)}
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""")
 ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+# class words that say what a wrapper is with or without
+MODIFIER = re.compile(r"(?<!\S)(?:no|non|not|without|with|has|hide)[-_]\S*|\S+[-_]free(?!\S)", re.I)
 WORD_CUT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    """A block element: label, children (nodes, or the number of a text)."""
+    """A block element or a listed one: label, children (nodes, or the number of
+    a text). ``listed``: 0, 1 if on the lists, 2 if surely so; ``marked`` as of
+    the whole page."""
 
-    __slots__ = ("tag", "label", "kids", "content")
+    __slots__ = ("tag", "label", "kids", "content", "listed", "marked", "own", "live", "articles")
 
-    def __init__(self, tag: str, label: str, content: bool):
+    def __init__(self, tag: str, label: str, content: bool, own: bool = False, listed: int = 0):
         self.tag, self.label, self.kids, self.content = tag, label, [], content
+        self.own, self.listed, self.marked = own, listed, listed > 0    # own: an article or main itself
+        self.live = self.articles = 0
 
 
 def _attributes(raw: str) -> dict[str, str]:
     return {k.lower(): entities.unescape(v.strip("\"'")) for k, v in ATTRIBUTE.findall(raw)} if raw and not raw.isspace() else {}
 
 
-def _left_out(tag: str, given: dict[str, str], content: bool) -> bool:
-    if tag in NEVER or (tag == "header" and not content):
-        return True
+def _listed(tag: str, given: dict[str, str], content: bool) -> int:
+    """0 if an element isn't on the lists, 2 if it surely is boilerplate, else 1."""
+    role = given.get("role", "").lower()
+    if tag in ("html", "body", *CONTENT) or role in CONTENT:
+        return 0
+    if tag in SURE and not (tag == "header" and content) or role in ROLES - {"dialog", "form"}:
+        return 2
+    if tag in NEVER and tag != "header":
+        return 1
     if not given:
-        return False
-    if given.get("role", "").lower() in ROLES or "hidden" in given or given.get("aria-hidden") == "true":
-        return True
-    words = {w.lower() for k in ("class", "id") if k in given for w in WORD_CUT.split(given[k])}
-    return bool(words & WORDS) or (not content and bool(words & PAGE_WORDS))
+        return 0
+    named = [MODIFIER.sub(" ", given[k]) for k in ("class", "id") if k in given]
+    words = {w.lower() for n in named for w in WORD_CUT.split(n)}
+    if words & SURE_WORDS:
+        return 2
+    return int(role in ROLES or "hidden" in given or given.get("aria-hidden") == "true" or bool(words & WORDS)
+               or (not content and bool(words & PAGE_WORDS)))
+
+
+def _label(tag: str, given: dict[str, str], listed: int) -> str:
+    """Tag and words of the class; listed nodes align with listed ones only."""
+    return ".".join([tag, *sorted({w.lower() for w in WORD_CUT.split(given.get("class", "")) if w})]) + "!" * (listed > 0)
+
+
+def _settle(root: Node, texts: list[str]) -> None:
+    """Take the marks from nodes that hold the page's article: a main element;
+    articles with more text than those outside of marked nodes (for sure
+    boilerplate: if there are none outside); or more than half of the page's
+    text where no other article holds it (not for sure boilerplate)."""
+    free = 0        # text of articles outside of marked nodes
+
+    def main(node: Node) -> int:
+        """The text in main elements below."""
+        if node.own and not node.label.startswith("article"):
+            return weight(node)
+        held = sum(main(kid) for kid in node.kids if not isinstance(kid, int))
+        if held:
+            node.marked = False
+        return held
+
+    def weight(node: Node) -> int:
+        return sum(len(texts[kid]) if isinstance(kid, int) else weight(kid) for kid in node.kids)
+
+    def weigh(node: Node, marked: bool, inside: bool) -> None:
+        """``live``: text without what is surely boilerplate; ``articles``: text in articles."""
+        nonlocal free
+        marked, inside = marked or node.marked, inside or node.own
+        node.live = node.articles = 0
+        for kid in node.kids:
+            if isinstance(kid, int):
+                n = len(texts[kid])
+                node.live += n
+                if inside:
+                    node.articles += n
+                    free += 0 if marked else n
+            else:
+                weigh(kid, marked, inside)
+                node.live += kid.live if kid.listed < 2 or not kid.marked else 0
+                node.articles += kid.articles
+
+    def decide(node: Node, holds) -> None:
+        for kid in node.kids:
+            if not isinstance(kid, int):
+                kid.marked = kid.marked and not holds(node, kid)
+                decide(kid, holds)
+
+    main(root)
+    weigh(root, False, False)
+    decide(root, lambda node, kid: not node.content and kid.articles > free and (kid.listed < 2 or not free))
+    free = 0
+    weigh(root, False, False)
+    decide(root, lambda node, kid: kid.listed < 2 and (node.content or not free) and 2 * kid.live > root.live)
 
 
 def read(page: str) -> tuple[Node, list[str]]:
     """The tree of a page's blocks and its texts in page order."""
     root = Node("body", "body", False)
     stack, texts, run = [root], [], []
-    deep: Counter = Counter()    # open elements below the deepest level
-    skipping: list[str] = []     # open elements from the one that is left out on
+    deep: Counter = Counter()    # open elements below the deepest level, by node and tag
+    inline: Counter = Counter()  # open nodes that aren't blocks, by tag
     at, end = 0, len(page)
 
     def flush() -> None:
@@ -116,7 +191,11 @@ def read(page: str) -> tuple[Node, list[str]]:
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag == tag:
                 flush()
+                for node in stack[i:]:
+                    inline[node.tag] -= node.tag not in BLOCKS
                 del stack[i:]
+                for key in [k for k in deep if k[0] > i]:
+                    del deep[key]
                 return
             if stack[i].tag in barriers:
                 return
@@ -125,7 +204,7 @@ def read(page: str) -> tuple[Node, list[str]]:
         lt = page.find("<", at)
         if lt < 0:
             lt = end
-        if lt > at and not skipping:
+        if lt > at:
             run.append(entities.unescape(page[at:lt]))
         if lt == end:
             break
@@ -139,7 +218,7 @@ def read(page: str) -> tuple[Node, list[str]]:
             at = end if at < 0 else at + 1
             continue
         if not (after.isascii() and after.isalpha()) and not (after == "/" and page[lt + 2:lt + 3].isalpha()):
-            if lt + 1 < end and not skipping:
+            if lt + 1 < end:
                 run.append("<")
             at = lt + 1
             continue
@@ -148,37 +227,34 @@ def read(page: str) -> tuple[Node, list[str]]:
             break
         at, closing, tag = m.end(), m[1] == "/", m[2].lower()
         if closing:
-            if skipping:
-                if tag in skipping:
-                    del skipping[len(skipping) - 1 - skipping[::-1].index(tag):]
-                elif tag in CONTENT and any(n.tag == tag for n in stack[1:]):
-                    skipping.clear()         # an element left open ends with what holds it
-                    close(tag)
-            elif deep[tag]:
+            if deep[len(stack), tag] > 0:
                 flush()
-                deep[tag] -= 1
-            elif tag in BLOCKS:
+                deep[len(stack), tag] -= 1
+            elif tag in BLOCKS or inline[tag]:
                 close(tag, CONTENT if tag not in CONTENT else ())
             continue
         if tag in RAW:
             stop = re.compile(rf"</{tag}[\s/>]", re.I).search(page, at)
             at = end if stop is None else page.find(">", stop.start()) + 1 or end
             continue
-        if skipping:
-            if tag not in VOID and not m[3].endswith("/"):
-                if tag == "p" and skipping[-1] == "p" or tag == "li" and skipping[-1] == "li":
-                    skipping.pop()
-                skipping.append(tag)
-            continue
+        if stack[-1].tag == "head" and (tag in BLOCKS or tag in ("html", "body")):
+            close("head")
         given = _attributes(m[3])
         inside = stack[-1].content
-        if tag not in VOID and _left_out(tag, given, inside):
-            flush()
-            skipping.append(tag)
-            continue
+        listed = 0 if tag in VOID or (m[3].endswith("/") and tag not in BLOCKS) else _listed(tag, given, inside)
         if tag == "br":
             run.append(" ")
+        if tag not in BLOCKS and not listed and not (inline[tag] and tag not in VOID and not m[3].endswith("/")):
+            continue
         if tag not in BLOCKS:
+            flush()
+            if len(stack) >= DEEPEST and (not listed or len(stack) > DEEPEST):
+                deep[len(stack), tag] += 1
+                continue
+            node = Node(tag, _label(tag, given, listed), inside, False, listed)
+            stack[-1].kids.append(node)
+            stack.append(node)
+            inline[tag] += 1
             continue
         if tag not in ("html", "body"):
             close("p", ("article", "main", "section", "td", "th", "li", "div", "table"))
@@ -187,45 +263,55 @@ def read(page: str) -> tuple[Node, list[str]]:
         flush()
         if tag in VOID or tag in ("html", "body"):
             continue
-        if len(stack) >= DEEPEST:
-            deep[tag] += 1
+        if len(stack) >= DEEPEST and (not listed or len(stack) > DEEPEST):
+            deep[len(stack), tag] += 1
             continue
-        kinds = sorted({w.lower() for w in WORD_CUT.split(given.get("class", "")) if w})
-        content = inside or tag in CONTENT or given.get("role", "").lower() in CONTENT
-        node = Node(tag, ".".join([tag, *kinds]), content)
+        own = tag in CONTENT or given.get("role", "").lower() in CONTENT
+        node = Node(tag, _label(tag, given, listed), inside or own, own, listed)
         stack[-1].kids.append(node)
         stack.append(node)
     flush()
+    _settle(root, texts)
     return root, texts
 
 
 class Folded:
     """A node of the folded tree: runs of siblings of one label in one; ``texts``
-    are the numbers of its own texts. ``weight``: nodes below."""
+    are the numbers of its own texts. ``weight``: nodes below. ``article``: holds
+    an article or main."""
 
-    __slots__ = ("label", "kids", "texts", "content", "weight")
+    __slots__ = ("label", "kids", "texts", "content", "weight", "marked", "article")
 
     def __init__(self, label: str, nodes: list[Node]):
         self.label, self.kids, self.texts = label, [], []
         self.content = any(n.content for n in nodes)
+        self.marked = nodes[0].marked
         run: list[Node] = []
         for kid in (k for n in nodes for k in n.kids):
             if isinstance(kid, int):
                 self.texts.append(kid)
                 continue
-            if run and run[0].label != kid.label:
+            if run and (run[0].label, run[0].marked) != (kid.label, kid.marked):
                 self.kids.append(Folded(run[0].label, run))
                 run = []
             run.append(kid)
         if run:
             self.kids.append(Folded(run[0].label, run))
         self.weight = 1 + sum(k.weight for k in self.kids)
+        self.article = any(n.own for n in nodes) or any(k.article for k in self.kids)
 
     def walk(self) -> Iterator[Folded]:
         yield self
         for kid in self.kids:
             yield from kid.walk()
 
+    def unmarked(self, marked) -> Iterator[Folded]:
+        """The nodes that aren't below one for which ``marked`` holds."""
+        if not marked(self):
+            yield self
+            for kid in self.kids:
+                yield from kid.unmarked(marked)
+
     def all_texts(self) -> list[int]:
         return sorted(t for n in self.walk() for t in n.texts)
 
@@ -275,13 +361,16 @@ class Wrapper:
         model = max(different, key=lambda p: p.tree.weight)
         self.tree = model.tree
         seen: dict[int, Counter] = {id(n): Counter() for n in self.tree.walk()}
+        votes: Counter = Counter()
         for page in different:
             for own, other in align(self.tree, page.tree)[1]:
+                votes[id(own)] += 1 if other.marked else -1
                 if other.texts:
                     seen[id(own)][page.of(other)] += 1
+        self.marked = {id(n) for n in self.tree.walk() if votes[id(n)] > 0 or (n.marked and not votes[id(n)])}
         self.template: dict[int, tuple[str, ...]] = {}
         varying: dict[int, float] = {}
-        for node in self.tree.walk():
+        for node in self.tree.unmarked(lambda n: id(n) in self.marked):
             counts = seen[id(node)]
             n = sum(counts.values())
             if not n:
@@ -318,14 +407,18 @@ class Wrapper:
         return {id(node)}
 
     def text(self, page: Page) -> str:
-        """The page's texts under the content root that aren't template."""
+        """The page's texts under the content root that are neither template nor
+        below a marked node. A node that aligns is marked as in the wrapper,
+        unless it holds an article here."""
         pairs = align(self.tree, page.tree)[1]
         template = {t for own, other in pairs if self.template.get(id(own)) == page.of(other) for t in other.texts}
+        marked = {id(other): id(own) in self.marked for own, other in pairs if not other.article}
+        visible = {t for n in page.tree.unmarked(lambda n: marked.get(id(n), n.marked)) for t in n.texts}
         roots = [other for own, other in pairs if id(own) in self.content]
-        if not roots or not any(r.all_texts() for r in roots):
+        if not any(visible.intersection(r.all_texts()) for r in roots):
             # the wrapper doesn't fit this page: its own article, or all of it
             roots = [n for n in page.tree.walk() if n.content and n.label.split(".")[0] in CONTENT] or [page.tree]
-        keep = {t for r in roots for t in r.all_texts()} - template
+        keep = ({t for r in roots for t in r.all_texts()} & visible) - template
         return "\n".join(page.texts[t] for t in sorted(keep))
 
 

@@ -87,3 +87,27 @@ def test_odd_rows(spark):
     got = sorted(((r.page_id or 0, r.text) for r in out.collect()))
     assert got == sorted([(1, ""), (2, "two"), (2, "two"), (0, "n")] + [(10 + i, f"hot {i}") for i in range(400)])
     assert w.extract(df.limit(0)).count() == 0
+
+
+def test_marks_are_never_on_what_holds_the_article():
+    inner = "<nav>m</nav><{0}><h1>T</h1><p>A text of some words</p><div class='ad'>Buy</div></{0}><div class='sidebar'>side</div>"
+    for around in ("<body class='single no-sidebar'>{}</body>", "<body><div id='page' class='with-sidebar'>{}</div></body>",
+                   "<body><div class='ad-free'>{}</div></body>", "<body><form action='/'>{}</form></body>",
+                   "<body><div class='sidebar right'><form>{}</form></div></body>", "<body class='login ad'><div id='comments'>{}</div></body>",
+                   "<html class='cookie'><body>{}</body></html>"):
+        for tag in ("article", "main", "article class='post no-comments ad'"):
+            page = around.format(inner.format(tag).replace(f"</{tag}>", f"</{tag.split()[0]}>"))
+            assert text(page) == "T\nA text of some words", page
+    plain_page = "<form><nav>m</nav><div class='text'><p>A text of some words</p></div><div class='ad'>Buy</div></form>"
+    assert text(plain_page) == "A text of some words"
+    # inside an article; comments and related posts stay dropped
+    assert text("<article><div class='promo body'><p>A text of some words</p></div><p>end</p></article>") == "A text of some words\nend"
+    assert text("<article><p>Post</p></article><section id='comments'><article><p>A much longer comment</p></article></section>") == "Post"
+    assert text("<p>One text of words <span class='ad'>Buy <span>now</span> it</span> two") == "One text of words\ntwo"
+
+
+def test_hosts_pages_decide_on_marks_that_align():
+    page = "<body><nav>m</nav><div class='ad'>Buy {}</div><article><p>Text {}</p></article></body>"
+    cut = "<body><nav>m</nav><div class='ad'>Buy"
+    pages = [page.format(i, i) for i in range(5)]
+    assert text(cut, *pages) == ""
