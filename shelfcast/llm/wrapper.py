@@ -13,12 +13,12 @@ Pages of a host are aligned by simple tree matching: nodes match if their labels
 are equal, and children by the largest order-keeping matching of their subtrees.
 A bounded sample of a host's pages (``SAMPLE``, documented; different texts only)
 makes its wrapper: of the page with the largest tree, the texts that stay the
-same over the aligned pages are template, the varying ones are slots, and the
-lowest node that holds all slots is the content root (or the article or main
-elements, if they hold half of the slots' text). Every page is aligned with its host's wrapper; its
-text is what lies under the content root and isn't template. What is inside an
+same over the aligned pages are template. Every page is aligned with its host's
+wrapper; its text is all that is neither template nor below a marked node, so
+that what varies or doesn't align is kept wherever it stands. What is inside an
 article or main element is never taken for template, as pages of a host may be
-copies of each other.
+copies of each other. Fewer than ``SEEN`` different pages give no template; the
+page's own article and main elements are its text then, if they hold half of it.
 
 Pages are dealt by host; hosts with more than a quarter of a partition's fair
 share of the pages (fewer than four a partition, hence a broadcast) are cut into
@@ -312,9 +312,6 @@ class Folded:
             for kid in self.kids:
                 yield from kid.unmarked(marked)
 
-    def all_texts(self) -> list[int]:
-        return sorted(t for n in self.walk() for t in n.texts)
-
 
 def align(a: Folded, b: Folded) -> tuple[int, list[tuple[Folded, Folded]]]:
     """Simple tree matching: the size of the largest order-keeping matching with
@@ -354,7 +351,7 @@ class Page:
 
 class Wrapper:
     """Made from some pages of a host: the model tree, the texts that are
-    template by its nodes, and the nodes that hold the content."""
+    template by its nodes, and the nodes that are marked."""
 
     def __init__(self, pages: list[Page]):
         different = list({tuple(p.texts): p for p in pages}.values())
@@ -368,57 +365,30 @@ class Wrapper:
                 if other.texts:
                     seen[id(own)][page.of(other)] += 1
         self.marked = {id(n) for n in self.tree.walk() if votes[id(n)] > 0 or (n.marked and not votes[id(n)])}
+        self.induced = len(different) >= SEEN
         self.template: dict[int, tuple[str, ...]] = {}
-        varying: dict[int, float] = {}
-        for node in self.tree.unmarked(lambda n: id(n) in self.marked):
+        for node in self.tree.walk():
             counts = seen[id(node)]
             n = sum(counts.values())
-            if not n:
+            if node.content or n < SEEN or n < MATCHED * len(different):
                 continue
             text, most = counts.most_common(1)[0]
-            if not node.content and n >= SEEN and n >= MATCHED * len(different) and most >= SAME * n:
+            if most >= SAME * n:
                 self.template[id(node)] = text
-            else:
-                varying[id(node)] = sum(len(t) * c for text, c in counts.items() for t in text) / n
-        self.content = self._content(varying)
-
-    def _content(self, varying: dict[int, float]) -> set[int]:
-        """The highest article or main elements if they hold half of the varying
-        text, else the lowest node that holds all of it."""
-        mass: dict[int, float] = {}
-
-        def weigh(node: Folded) -> float:
-            mass[id(node)] = varying.get(id(node), 0.0) + sum(map(weigh, node.kids))
-            return mass[id(node)]
-
-        total = weigh(self.tree)
-        marked, todo = [], [self.tree]
-        while todo:
-            node = todo.pop()
-            if node.content:
-                marked.append(node)
-            else:
-                todo += node.kids
-        if marked and sum(mass[id(n)] for n in marked) >= 0.5 * total:
-            return {id(n) for n in marked}
-        node = self.tree
-        while (big := max(node.kids, key=lambda k: mass[id(k)], default=None)) is not None and mass[id(big)] >= 0.999 * total > 0:
-            node = big
-        return {id(node)}
 
     def text(self, page: Page) -> str:
-        """The page's texts under the content root that are neither template nor
-        below a marked node. A node that aligns is marked as in the wrapper,
-        unless it holds an article here."""
+        """The page's texts that are neither template nor below a marked node. A
+        node that aligns is marked as in the wrapper, unless it holds an article
+        here."""
         pairs = align(self.tree, page.tree)[1]
         template = {t for own, other in pairs if self.template.get(id(own)) == page.of(other) for t in other.texts}
         marked = {id(other): id(own) in self.marked for own, other in pairs if not other.article}
-        visible = {t for n in page.tree.unmarked(lambda n: marked.get(id(n), n.marked)) for t in n.texts}
-        roots = [other for own, other in pairs if id(own) in self.content]
-        if not any(visible.intersection(r.all_texts()) for r in roots):
-            # the wrapper doesn't fit this page: its own article, or all of it
-            roots = [n for n in page.tree.walk() if n.content and n.label.split(".")[0] in CONTENT] or [page.tree]
-        keep = ({t for r in roots for t in r.all_texts()} & visible) - template
+        nodes = list(page.tree.unmarked(lambda n: marked.get(id(n), n.marked)))
+        keep = {t for n in nodes for t in n.texts} - template
+        if not self.induced:
+            own = {t for n in nodes if n.content for t in n.texts}
+            if 2 * sum(len(page.texts[t]) for t in own) >= sum(len(page.texts[t]) for t in keep) and own:
+                keep = own
         return "\n".join(page.texts[t] for t in sorted(keep))
 
 

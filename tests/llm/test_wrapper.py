@@ -111,3 +111,13 @@ def test_hosts_pages_decide_on_marks_that_align():
     cut = "<body><nav>m</nav><div class='ad'>Buy"
     pages = [page.format(i, i) for i in range(5)]
     assert text(cut, *pages) == ""
+
+
+def test_what_varies_or_does_not_align_is_kept():
+    page = ("<body><div class='top'>My site</div><nav>m</nav><h1>Title {0}</h1><div class='lead'>Lead {0}</div>"
+            "<article class='post'><p>A long text of article {0} with words</p></article>{1}<div class='end'>All rights</div></body>")
+    pages = [page.format(i, "") for i in range(6)]
+    extra = "<article class='post sticky'><p>Sticky</p></article><div class='odd'><p>Odd part</p><article class='post'>More</article></div>"
+    own = page.format(9, extra)
+    assert text(own, *pages) == "Title 9\nLead 9\nA long text of article 9 with words\nSticky\nOdd part\nMore"
+    assert text(pages[2], *pages, own) == "Title 2\nLead 2\nA long text of article 2 with words"
