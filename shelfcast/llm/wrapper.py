@@ -11,8 +11,9 @@ length align.
 
 Pages of a host are aligned by simple tree matching: nodes match if their labels
 are equal, and children by the largest order-keeping matching of their subtrees.
-A bounded sample of a host's pages (``SAMPLE``, documented; different texts only)
-makes its wrapper: of the page with the largest tree, the texts that stay the
+A bounded sample of a host's pages makes its wrapper: the ``SAMPLE`` smallest by
+a hash of their texts, of equal texts one page only, so that the same pages are
+taken however many rows or partitions there are. Of the page with the largest tree, the texts that stay the
 same over the aligned pages are template. Every page is aligned with its host's
 wrapper; its text is all that is neither template nor below a marked node, so
 that what varies or doesn't align is kept wherever it stands. What is inside an
@@ -20,9 +21,10 @@ article or main element is never taken for template, as pages of a host may be
 copies of each other. Fewer than ``SEEN`` different pages give no template; the
 page's own article and main elements are its text then, if they hold half of it.
 
-Pages are dealt by host; hosts with more than a quarter of a partition's fair
-share of the pages (fewer than four a partition, hence a broadcast) are cut into
-pieces by a hash of the page, each with a sample of its own.
+Pages are dealt by host and sorted by the hash of their texts; hosts with more
+than a quarter of a partition's fair share of the pages (fewer than four a
+partition, hence a broadcast) are cut into pieces by a hash of the page. Every
+piece gets its host's sample, so that all have the same wrapper.
 
 Defined cases: null html is empty and has an empty text; a null url, or one
 without a host, belongs to one host without name; a page alone on its host is its
@@ -32,13 +34,14 @@ repeated results; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -305,6 +308,10 @@ class Folded:
         for kid in self.kids:
             yield from kid.walk()
 
+    def shape(self) -> tuple:
+        """What tells trees of the same texts apart."""
+        return (self.label, self.marked, self.content, tuple(self.texts), *(kid.shape() for kid in self.kids))
+
     def unmarked(self, marked) -> Iterator[Folded]:
         """The nodes that aren't below one for which ``marked`` holds."""
         if not marked(self):
@@ -396,6 +403,45 @@ def _host():
     return F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+def texts_key(page: Page) -> int:
+    """A hash of a page's texts."""
+    made = hashlib.blake2b(digest_size=8)
+    for t in page.texts:
+        made.update(t.encode("utf-8", "replace") + b"\n")
+    return int.from_bytes(made.digest(), "big", signed=True)
+
+
+def _decoded(source: bytes | None) -> str:
+    return "" if source is None else source.decode("utf-8", "replace")
+
+
+def _keyed(rows: DataFrame, unless: str | None = None) -> DataFrame:
+    """``rows`` with the hash of each page's texts as ``key``, null where the
+    column ``unless`` is set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sources = batch.column(batch.schema.get_field_index("html")).cast(pa.binary())
+            skip = batch.column(batch.schema.get_field_index(unless)).is_valid().to_pylist() if unless else [False] * len(sources)
+            keys = [None if no else texts_key(Page(_decoded(source.as_py()))) for no, source in zip(skip, sources)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names=[*batch.schema.names, "key"])
+
+    return map_arrow(rows, run, T.StructType([*rows.schema.fields, T.StructField("key", T.LongType())]))
+
+
+def _samples(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """``(host, html, key)``: the sample of each hot host, chosen by hashes before
+    any page moves."""
+    own = rows.join(F.broadcast(hot.select("host")), "host").select("host", "html", F.xxhash64("html").alias("page"))
+    each = _keyed(own).groupBy("host", "key").agg(F.min("page").alias("page"))
+    least = each
+    # in two steps, so that a host's candidates from all partitions don't meet in one task
+    for by in (["host", F.pmod("key", F.lit(16))], ["host"]):
+        least = least.withColumn("at", F.row_number().over(Window.partitionBy(*by).orderBy("key"))).where(F.col("at") <= SAMPLE)
+    chosen = written(least.select("host", "key", "page"), "wrapper-samples")
+    pages = own.join(F.broadcast(chosen), ["host", "page"])
+    return pages.groupBy("host", "key").agg(F.min("html").alias("html"))
+
+
 def extract(pages: DataFrame, ident: str = "page_id") -> DataFrame:
     """``(ident, url, text, n_chars)`` of a table with ``url`` and ``html``."""
     parts = partitions(pages.sparkSession)
@@ -405,19 +451,25 @@ def extract(pages: DataFrame, ident: str = "page_id") -> DataFrame:
     hot = written(hosts.where(F.col("n") > fair).select(
         "host", F.ceil(F.col("n") / F.lit(fair)).cast("int").alias("pieces")), "hot-hosts")
     piece = F.coalesce(F.pmod(F.xxhash64(ident, F.lit(3)), F.col("pieces")).cast("int"), F.lit(0))
-    dealt = (rows.join(F.broadcast(hot), "host", "left").withColumn("piece", piece).drop("pieces")
-             .repartition(parts, "host", "piece").sortWithinPartitions("host", "piece", ident, F.xxhash64("html")))
+    # kind 0: a page of the sample, for each piece; 1: a page of a hot host; 2: of any other host
+    every = _keyed(rows.join(F.broadcast(hot), "host", "left").withColumn("piece", piece), "pieces").withColumn(
+        "kind", F.when(F.col("pieces").isNull(), 2).otherwise(1)).drop("pieces")
+    samples = _samples(rows, hot).join(F.broadcast(hot), "host").select(
+        F.lit(None).cast(pages.schema[ident].dataType).alias(ident), F.lit(None).cast("string").alias("url"), "html", "host",
+        "key", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.lit(0).alias("kind"))
+    dealt = (every.unionByName(samples).repartition(parts, "host", "piece")
+             .sortWithinPartitions("host", "piece", F.col("kind") > 0, "key", F.xxhash64("html"), ident))
     schema = T.StructType([pages.schema[ident], T.StructField("url", T.StringType()),
                            T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             get = lambda c: batch.column(batch.schema.get_field_index(c))
-            hosts, pieces, urls, sources = get("host"), get("piece"), get("url"), get("html").cast(pa.binary())
+            hosts, pieces, kinds, keys = get("host"), get("piece"), get("kind"), get("key")
+            urls, sources = get("url"), get("html").cast(pa.binary())
             for i in range(batch.num_rows):
-                source = sources[i].as_py()
-                yield (hosts[i].as_py(), pieces[i].as_py()), get(ident)[i], urls[i].as_py(), (
-                    "" if source is None else source.decode("utf-8", "replace"))
+                yield ((hosts[i].as_py(), pieces[i].as_py()), kinds[i].as_py(), keys[i].as_py(), get(ident)[i],
+                       urls[i].as_py(), _decoded(sources[i].as_py()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -431,29 +483,41 @@ def extract(pages: DataFrame, ident: str = "page_id") -> DataFrame:
             return made
 
         batch_type: list = []
-        key, wrapper, waiting = None, None, []
+        group, wrapper = None, None
+        sample: dict[int, Page] = {}    # by key, in its order
+        waiting: list[tuple] = []       # rows of the sample's texts
+        shapes: dict[tuple, Page] = {}  # their pages, each once
 
         def settle() -> None:
-            nonlocal wrapper, waiting
-            wrapper = Wrapper([p for *_, p in waiting])
-            out.extend((i, url, wrapper.text(p)) for i, url, p in waiting)
-            waiting = []
-
-        for own, i, url, source in groups(batches):
+            nonlocal wrapper
+            wrapper = Wrapper(list(sample.values()))
+            made = {shape: wrapper.text(page) for shape, page in shapes.items()}
+            out.extend((i, url, made[shape]) for i, url, shape in waiting)
+            waiting.clear()
+            shapes.clear()
+            sample.clear()
+
+        for own, kind, key, i, url, source in groups(batches):
             if not batch_type:
                 batch_type.append(i.type)
-            if own != key:
+            if own != group:
                 if waiting:
                     settle()
-                key, wrapper = own, None
-            page = Page(source)
+                group, wrapper = own, None
+                sample.clear()
+            if kind == 0:
+                sample[key] = Page(source)
+                continue
+            if wrapper is None and (kind == 1 or (key not in sample and len(sample) == SAMPLE)):
+                settle()
             if wrapper is not None:
-                out.append((i, url, wrapper.text(page)))
+                out.append((i, url, wrapper.text(Page(source))))
             else:
-                waiting.append((i, url, page))
-                if len(waiting) == SAMPLE:
-                    settle()
-            if len(out) >= OUT_ROWS:
+                page = Page(source)
+                shape = key, hash(page.tree.shape())
+                sample.setdefault(key, shapes.setdefault(shape, page))
+                waiting.append((i, url, shape))
+            while len(out) >= OUT_ROWS:
                 yield sent()
         if waiting:
             settle()

@@ -121,3 +121,30 @@ def test_what_varies_or_does_not_align_is_kept():
     own = page.format(9, extra)
     assert text(own, *pages) == "Title 9\nLead 9\nA long text of article 9 with words\nSticky\nOdd part\nMore"
     assert text(pages[2], *pages, own) == "Title 2\nLead 2\nA long text of article 2 with words"
+
+
+def test_one_wrapper_a_host_from_different_pages(spark):
+    def page(i):
+        return f"<body><div class='top'>My site</div><div class='text'><p>Text {i} of its own</p></div><p class='end'>Rights</p></body>"
+
+    copies = [(i, "http://a.com/", page(0)) for i in range(60)]
+    rows = copies + [(100 + i, "http://a.com/", page(i)) for i in range(1, 30)]
+    # the same page with other markup, and a null
+    rows += [(200, "http://a.com/", page(3).replace("<p>", "<article>").replace("</p></div>", "</article></div>")), (300, "http://b.com/", None)]
+    # a hot host with the same pages, cut into pieces
+    hot = [(1000 + i, "http://a.com/", page(i % 29)) for i in range(600)]
+    schema = "page_id long, url string, html string"
+
+    def got(rows, parts):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            return {r.page_id: r.text for r in w.extract(spark.createDataFrame(rows, schema)).collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+
+    small, large, many = got(rows, 2), got(rows + hot, 2), got(rows + hot, 7)
+    assert small[5] == "Text 0 of its own" and small[110] == "Text 10 of its own" and small[200] == "Text 3 of its own"
+    assert small[300] == "" and len(small) == len(rows) and len(large) == len(rows) + len(hot)
+    assert {k: large[k] for k in small} == small and many == large
+    assert all(large[1000 + i] == f"Text {i % 29} of its own" for i in range(600))
