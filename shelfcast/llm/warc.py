@@ -48,6 +48,8 @@ BREAKS = frozenset("""address article aside blockquote body br caption dd detail
 footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td
 tfoot th thead title tr ul""".split())
 SILENT = frozenset(("script", "style", "noscript", "template"))
+# elements whose content is no markup, up to their own end tag: left out, or text
+RAW = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for t in ("script", "style", "title", "textarea")}
 MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.S)
 HREF = re.compile(r"""(?:^|\s)(?:href|src)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 META_CHARSET = re.compile(rb"""<meta[^>]+charset\s*=\s*["']?\s*([a-zA-Z0-9_\-:.]+)""", re.I)
@@ -61,18 +63,25 @@ def derived_id(record_id: str, kind: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{record_id} {kind}')}>"
 
 
-def fields_of(headers: str) -> dict[str, str]:
-    """Named fields, the first of each name; lines that go on are joined."""
-    out: dict[str, str] = {}
+def fields_of(headers: str) -> dict[str, str | list[str]]:
+    """Named fields, repeated ones as lists in their order, under the first
+    spelling of the name; lines that go on are joined."""
+    every: dict[str, tuple[str, list[str]]] = {}
     for line in re.sub(r"\r?\n[ \t]+", " ", headers or "").splitlines():
         name, colon, value = line.partition(":")
         if colon:
-            out.setdefault(name.strip(), value.strip())
-    return out
+            every.setdefault(name.strip().lower(), (name.strip(), []))[1].append(value.strip())
+    return {name: values[0] if len(values) == 1 else values for name, values in every.values()}
+
 
+def field_values(fields: dict[str, str | list[str]], name: str) -> list[str]:
+    found = next((v for k, v in fields.items() if k.lower() == name.lower()), [])
+    return [found] if isinstance(found, str) else found
 
-def field(fields: dict[str, str], name: str) -> str:
-    return next((v for k, v in fields.items() if k.lower() == name.lower()), "")
+
+def field(fields: dict[str, str | list[str]], name: str) -> str:
+    """The first value of a field, empty if there is none."""
+    return next(iter(field_values(fields, name)), "")
 
 
 def _unchunked(body: bytes) -> bytes:
@@ -98,7 +107,7 @@ def _inflated(body: bytes, kind: str) -> bytes:
     return body
 
 
-def http_parts(block: bytes) -> tuple[str, dict[str, str], bytes, bytes]:
+def http_parts(block: bytes) -> tuple[str, dict[str, str | list[str]], bytes, bytes]:
     """Status line, header fields, payload as sent, and the body decoded."""
     if not block.startswith(b"HTTP/"):
         return "", {}, block, block
@@ -106,15 +115,15 @@ def http_parts(block: bytes) -> tuple[str, dict[str, str], bytes, bytes]:
     status, _, rest = head.decode("latin-1").partition("\r\n")
     fields = fields_of(rest)
     body = payload
-    if "chunked" in field(fields, "Transfer-Encoding").lower():
+    if "chunked" in ", ".join(field_values(fields, "Transfer-Encoding")).lower():
         body = _unchunked(body)
-    kind = field(fields, "Content-Encoding").lower()
+    kind = ", ".join(field_values(fields, "Content-Encoding")).lower()
     if "gzip" in kind or "deflate" in kind:
         body = _inflated(body, kind)
     return status, fields, payload, body
 
 
-def charset_of(fields: dict[str, str], body: bytes) -> str:
+def charset_of(fields: dict[str, str | list[str]], body: bytes) -> str:
     named = re.search(r"charset\s*=\s*[\"']?([^\s;\"']+)", field(fields, "Content-Type"), re.I)
     meta = None if named else META_CHARSET.search(body[:4096])
     name = named[1] if named else meta[1].decode() if meta else "utf-8"
@@ -136,14 +145,16 @@ def page_parts(page: str, uri: str) -> tuple[str, str, list[str]]:
             lines.append(line)
         return line
 
-    for m in MARKUP.finditer(page):
-        tag = (m[2] or "").lower()
-        if silent:                       # inside a script or style only its end counts
+    pos = 0
+    while m := MARKUP.search(page, pos):
+        tag, pos = (m[2] or "").lower(), m.end()
+        raw = RAW[tag].search(page, pos) if tag in RAW and not m[1] else None
+        if raw:
+            pos = raw.end()
+        if silent:                       # inside a template only its end counts
             if m[1] and tag == silent:
                 silent, at = "", m.end()
             continue
-        if m.start() < at:
-            continue
         if m.start() > at:
             run.append(html.unescape(page[at:m.start()]))
         at = m.end()
@@ -155,7 +166,14 @@ def page_parts(page: str, uri: str) -> tuple[str, str, list[str]]:
                 title = line
         if m[1]:
             continue
-        if tag in SILENT:
+        if raw:
+            if tag not in SILENT:
+                run.append(html.unescape(page[m.end():raw.start()]))
+            if tag in BREAKS:
+                line = flush()
+                title = title or line
+            at = pos
+        elif tag in SILENT:
             silent = tag
         elif m[3] and tag in ("a", "area", "link", "img", "iframe"):
             for raw in HREF.findall(m[3]):

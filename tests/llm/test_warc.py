@@ -107,3 +107,21 @@ def test_files(spark, tmp_path):
     members = b"".join(gzip.compress(bytes(r.value, "utf-8", "surrogateescape") + b"\n") for r in warc.wire(made.limit(1)).collect())
     assert [r[1] for r in warc.parsed(members * 2)] == ["response", "response"]
     assert warc.derive(warc.responses(pages.limit(0))).count() == 0
+
+
+def test_scripts_are_no_markup():
+    page = ("<title>a <b c &amp; d</title><p>one<script>for(i=0;i<n;i++){f()}</script>two <a href=x>link</a><style>p::after{content:'<b'}</STYLE >"
+            "<script>a<b; var s='</p>'; <!-- </script><p>three <template><script>if(i<n)'</template>'</script><p>no</template><noscript><p>no</noscript>"
+            "<textarea>x <y </textarea><p>four</p><script>if (a<b) '</scripted>' </script\n><p>five<script>i<n")
+    text, title, links = warc.page_parts(page, "http://e.org/")
+    assert text == "a <b c & d\nonetwo link\nthree x <y\nfour\nfive"
+    assert title == "a <b c & d" and links == ["http://e.org/x"]
+
+
+def test_repeated_fields():
+    head = "HTTP/1.1 200 OK\r\nSet-Cookie: a=1\r\nLink: </x>\r\nset-cookie: b=2\r\nLink: </y>\r\nContent-Encoding: identity\r\nContent-Type: text/html\r\n\r\n<p>x"
+    own = "WARC-Type: response\nWARC-Concurrent-To: <urn:1>\nWARC-Concurrent-To: <urn:2>"
+    about = json.loads(warc.derivatives("<r>", "u", "d", own, head.encode())[0][5])
+    assert about["warc_headers"] == {"WARC-Type": "response", "WARC-Concurrent-To": ["<urn:1>", "<urn:2>"]}
+    assert about["http_headers"]["Set-Cookie"] == ["a=1", "b=2"] and about["http_headers"]["Link"] == ["</x>", "</y>"]
+    assert warc.field(about["http_headers"], "set-cookie") == "a=1" and about["http_headers"]["Content-Type"] == "text/html"
