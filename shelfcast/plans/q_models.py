@@ -291,16 +291,16 @@ def _ranked_trials(src, rows):
 
 @register("tune_params")
 def tune_params(src):
-    """Random search of the Tweedie GLM's variance power and regularisation (6
-    trials, 2 folds; ``tune`` takes any number, 50 and 3 by default)."""
-    return _ranked_trials(src, tune(data(src), "tweedie", trials=6, folds=2))
+    """Random search of the Tweedie GLM's variance power and regularisation (the
+    50 trials and 3 folds of ``tune``)."""
+    return _ranked_trials(src, tune(data(src), "tweedie"))
 
 
 @register("tune_trees")
 def tune_trees(src):
-    """Random search of the boosted trees' depth, step, sample and leaf size (3
-    trials, 2 folds, 8 trees; parameters of ``tune``)."""
-    return _ranked_trials(src, tune(data(src), "gbt_log1p", trials=3, folds=2, max_iter=8))
+    """Random search of the boosted trees' depth, step, sample and leaf size (the
+    50 trials and 3 folds of ``tune``, all trees)."""
+    return _ranked_trials(src, tune(data(src), "gbt_log1p", max_iter=ml.TREE_COUNT))
 
 
 def _importances(src):
