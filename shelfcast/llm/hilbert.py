@@ -1,8 +1,8 @@
 """Sharding along a Hilbert curve.
 
-Several metadata dimensions are quantised into ``2 ** BITS`` cells by their
-approximate quantiles (texts by their leading bytes as a number, which keeps
-their order), the cells' Hilbert index is computed in numpy, and the rows are
+Several metadata dimensions are quantised into ``2 ** BITS`` cells, numbers by
+their approximate quantiles, texts by exact ones of the whole values in the order
+of their bytes; the cells' Hilbert index is computed in numpy, and the rows are
 sorted by it: rows near each other in all dimensions come to lie near each
 other. Equal indices are ordered by a hash of the identifier, so a frequent cell
 is spread over sort partitions like anything else. The sorted order is cut into
@@ -22,6 +22,7 @@ leave shards empty; an empty table gives an empty table.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,12 +38,6 @@ SHARDS = 24
 ACCURACY = 2000          # of the quantiles: one part in so many
 
 
-def leading_bytes(c: Column) -> Column:
-    """The first six bytes of a text as a number; the order of texts is kept."""
-    head = F.hex(F.substring(c.cast("binary"), 1, 6))
-    return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
-
-
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     """Position on the curve of points with coordinates ``cells[row, dimension]``
     below ``2 ** bits`` (Skilling's transform, all rows at once)."""
@@ -70,21 +65,54 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def _cuts(df: DataFrame, dims: dict[str, Column], bits: int) -> list[np.ndarray]:
+def _text_cuts(df: DataFrame, c: Column, bits: int) -> list[bytes]:
+    """Upper bounds of cells among a text's values: each that passes another
+    ``2 ** bits``-th of the rows. Values are counted and sorted by ranges; a sum
+    a range is put together, and the bounds come to the driver."""
+    cells = 1 << bits
+    counts = df.select(c.cast("binary").alias("v")).where(F.col("v").isNotNull()).groupBy("v").agg(F.count("*").alias("n"))
+    ranges = written(counts.repartitionByRange(partitions(df.sparkSession), "v").withColumn("part", F.spark_partition_id()),
+                     "hilbert-texts", per_core=2)
+    sums = ranges.groupBy("part").agg(F.sum("n").alias("rows"))
+    before = sums.select("part", (F.sum("rows").over(Window.orderBy("part")) - F.col("rows")).alias("before"),
+                         F.sum("rows").over(Window.partitionBy()).alias("total"))
+    upto = F.sum("n").over(Window.partitionBy("part").orderBy("v")) + F.col("before")
+    share = lambda rows: F.floor(rows * F.lit(cells) / F.col("total"))
+    passed = ranges.join(F.broadcast(before), "part").withColumn("upto", upto).where(
+        F.least(share(F.col("upto")), F.lit(cells - 1)) > share(F.col("upto") - F.col("n")))
+    return sorted(bytes(r.v) for r in passed.select("v").collect())
+
+
+def _cuts(df: DataFrame, dims: dict[str, Column], bits: int) -> list[np.ndarray | list[bytes]]:
     """Up to ``2 ** bits - 1`` distinct upper bounds of cells a dimension."""
     points = [i / (1 << bits) for i in range(1, 1 << bits)]
-    row = df.agg(*[F.percentile_approx(c.cast("double"), F.array(*map(F.lit, points)), F.lit(ACCURACY)).alias(d)
-                   for d, c in dims.items()]).first()
-    return [np.unique(np.array(row[d] or [], dtype=np.float64)) for d in dims]
+    texts = _texts(df, dims)
+    numbers = [F.percentile_approx(c.cast("double"), F.array(*map(F.lit, points)), F.lit(ACCURACY)).alias(d)
+               for d, c in dims.items() if d not in texts]
+    row = df.agg(*numbers).first() if numbers else {}
+    return [_text_cuts(df, c, bits) if d in texts else np.unique(np.array(row[d] or [], dtype=np.float64))
+            for d, c in dims.items()]
+
+
+def _texts(df: DataFrame, dims: dict[str, Column]) -> set[str]:
+    """The dimensions that are texts."""
+    kinds = df.select(*[c.alias(d) for d, c in dims.items()]).schema
+    return {f.name for f in kinds if isinstance(f.dataType, (T.StringType, T.BinaryType))}
+
+
+def _text_cells(column: pa.Array, cuts: list[bytes]) -> np.ndarray:
+    coded = column.dictionary_encode()
+    cells = np.array([0, *[bisect_left(cuts, v) for v in coded.dictionary.to_pylist()]], dtype=np.int64)
+    return cells[coded.indices.fill_null(-1).to_numpy(zero_copy_only=False) + 1]
 
 
 def shard(df: DataFrame, dims: dict[str, Column], ident: str, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
     """``df`` with ``hilbert`` (the index), ``shard`` and ``slot`` (replacing
-    columns of these names). ``dims``: a numeric column for each dimension."""
+    columns of these names). ``dims``: a numeric or text column for each dimension."""
     if bits * len(dims) > 62:
         raise ValueError("at most 62 bits in all")
     keep = [c for c in df.columns if c not in ("hilbert", "shard", "slot")]
-    cuts = _cuts(df, dims, bits)
+    cuts, texts = _cuts(df, dims, bits), _texts(df, dims)
     names = [f"_hb_{i}" for i in range(len(dims))]
     schema = T.StructType([df.schema[c] for c in keep]).add("hilbert", T.LongType())
 
@@ -93,12 +121,16 @@ def shard(df: DataFrame, dims: dict[str, Column], ident: str, shards: int = SHAR
             cells = np.zeros((batch.num_rows, len(names)), dtype=np.int64)
             for d, name in enumerate(names):
                 column = batch.column(batch.schema.get_field_index(name))
+                if isinstance(cuts[d], list):
+                    cells[:, d] = _text_cells(column, cuts[d])
+                    continue
                 values = np.nan_to_num(column.to_numpy(zero_copy_only=False).astype(np.float64), nan=-np.inf)
                 cells[:, d] = np.searchsorted(cuts[d], values)
             kept = [batch.column(batch.schema.get_field_index(c)) for c in keep]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(hilbert_index(cells, bits))], names=[*keep, "hilbert"])
 
-    placed = df.select(*keep, *[c.cast("double").alias(n) for n, c in zip(names, dims.values())])
+    placed = df.select(*keep, *[c.cast("binary" if d in texts else "double").alias(n)
+                                for n, (d, c) in zip(names, dims.items())])
     order = ["hilbert", F.xxhash64(ident), F.col(ident), F.xxhash64(*keep)]
     # the number of a row within its sort partition, and the partition's, in one
     sorted_rows = written(map_arrow(placed, run, schema)
@@ -143,7 +175,7 @@ def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "source", "lang", (F.octet_length(text) + F.lit(8)).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"))
-    dims = {"source": leading_bytes(F.col("source")), "lang": leading_bytes(F.col("lang")), "size": F.col("size")}
+    dims = {"source": F.col("source"), "lang": F.col("lang"), "size": F.col("size")}
     return shard(docs, dims, "doc_id").select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "hilbert")

@@ -65,3 +65,18 @@ def test_pruning(spark, tmp_path):
             inside = inside.where(F.col(c).between(lo, hi))
         assert {r.shard for r in inside.select("shard").distinct().collect()} <= need
         assert len(need) <= 24
+
+
+def test_texts_with_a_common_start_are_told_apart(spark):
+    names = [f"commoncrawl-2023-{i:02}" for i in range(8)]
+    rows = [(i, names[i % 8], i // 8) for i in range(800)] + [(900, None, 1), (901, "", 2)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    dims = {"source": F.col("source"), "size": F.col("size")}
+    cuts = hilbert._cuts(df, dims, 5)[0]
+    # the last value needs no bound
+    assert cuts == [n.encode() for n in names[:-1]] or cuts == [n.encode() for n in names]
+    out = hilbert.shard(df, dims, "doc_id", shards=64)
+    zones = hilbert.zones(out, ["source"])
+    for name in names:
+        assert hilbert.needed(zones, source=(name, name)).count() <= 24
+    assert out.count() == 802
