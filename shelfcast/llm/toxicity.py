@@ -13,9 +13,11 @@ round takes the window a toxic text now scores highest in, and for clean texts
 their highest and a random one. A logistic curve over the windows' best logits,
 fitted with the labels' class shares restored, turns it into a probability.
 
-The model is fit on a bounded sample of labelled rows: at most ``FIT_ROWS`` a
-class, those of the smallest hash, of at most ``FIT_CHARS`` characters. Scoring
-covers all rows and whole texts. As the model is linear after the embedding, a
+The model is fit on a bounded sample of labelled rows of every length: at most
+``FIT_ROWS`` a class, those of the smallest hash. Of these the first that hold
+``FIT_CHARS`` characters together are trained on (a single text of more isn't);
+the curve is fitted on all of them, whole texts scored in tasks, since a text's
+highest window rises with its length. Scoring covers all rows and whole texts. As the model is linear after the embedding, a
 worker needs one number a bucket (a megabyte).
 
 Defined cases: null and empty texts score what a text without known words does;
@@ -45,7 +47,7 @@ NGRAMS = (3, 4, 5)
 DIMENSIONS = 8
 WINDOW_WORDS = 8
 FIT_ROWS = 2000       # a class
-FIT_CHARS = 6_000
+FIT_CHARS = 5_000_000 # a class, all its texts together
 ROUNDS = (3, 9)       # on random windows, on the highest windows
 BATCH = 1 << 20
 _FACTORS = np.random.default_rng(41).integers(1, 1 << 32, max(NGRAMS), dtype=np.uint32) | np.uint32(1)
@@ -262,19 +264,46 @@ def fit_rows(docs: DataFrame, labels: DataFrame, text: str = "text", ident: str
     if len(counts) < 2:
         return constant(share), share
     # identifiers are chosen without their texts; only the chosen rows' texts move
-    short = docs.where(F.length(text) <= FIT_CHARS)
-    named = short.select(ident).distinct().join(known, ident)
-    chosen = [r for y in (0, 1) for r in named.where(F.col("_toxic") == y).orderBy(
-        F.xxhash64(ident, F.lit(29)), ident).limit(FIT_ROWS).collect()]
-    if not chosen:
+    texts = docs.where(F.col(text).isNotNull())
+    named = texts.groupBy(ident).agg(F.max(F.length(text)).alias("_chars")).join(known, ident)
+    chosen, trained = [], []
+    for y in (0, 1):
+        rows = named.where(F.col("_toxic") == y).orderBy(F.xxhash64(ident, F.lit(29)), ident).limit(FIT_ROWS).collect()
+        chosen += rows
+        held = 0
+        for r in (r for r in rows if r["_chars"] <= FIT_CHARS):
+            held += r["_chars"]
+            if held > FIT_CHARS:
+                break
+            trained.append(r)
+    if {r["_toxic"] for r in trained} != {0, 1}:
         return constant(share), share
-    few = docs.sparkSession.createDataFrame(chosen, named.schema)        # at most FIT_ROWS a class
-    picked = sorted(short.select(ident, text).join(F.broadcast(few), ident).groupBy(ident).agg(
-        F.min("_toxic").alias("y"), F.min(text).alias("t")).select("y", "t", ident).collect(), key=lambda r: (r[0], r[2]))
-    toxic = np.array([r[0] for r in picked], dtype=np.int64)
-    if len(set(toxic.tolist())) < 2:
-        return constant(share), share
-    return fit([r[1] for r in picked], toxic, share), share
+
+    def sample(rows: list) -> DataFrame:
+        few = docs.sparkSession.createDataFrame(rows, named.schema)      # at most FIT_ROWS a class
+        return texts.select(ident, text).join(F.broadcast(few), ident).groupBy(ident).agg(
+            F.min("_toxic").alias("y"), F.min(text).alias("t"))
+
+    picked = sorted(sample(trained).select("y", "t", ident).collect(), key=lambda r: (r[0], r[2]))
+    model = fit([r[1] for r in picked], np.array([r[0] for r in picked], dtype=np.int64), share)
+    found = _best_logits(sample(chosen).select("y", "t"), model).collect()
+    model.slope, model.offset = _curve(np.array([r["best"] for r in found]), np.array([r["y"] for r in found], dtype=np.int64), share)
+    return model, share
+
+
+def _best_logits(rows: DataFrame, model: Model) -> DataFrame:
+    """``(y, best)``: the logit of each text's highest window."""
+    sent = rows.sparkSession.sparkContext.broadcast(model.of_bucket())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(1).cast(pa.binary())
+            for a, b in slices(column, BATCH):
+                best = grams_of(read_texts(column.slice(a, b - a))).best(sent.value)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).cast(pa.int32()), pa.array(best, pa.float64())],
+                                                 names=["y", "best"])
+
+    return map_arrow(rows.select(F.col("y").cast("int").alias("y"), "t"), run, "y int, best double")
 
 
 def score(df: DataFrame, model: Model, text: str = "text", to: str = "score") -> DataFrame:

@@ -71,3 +71,20 @@ def test_held_out_accuracy(spark):
     auc = (s[y == 1][:, None] > s[y == 0][None, :]).mean()
     assert auc > 0.9
     assert np.mean((s >= 0.5)[y == 0]) < 0.03
+
+
+def test_long_texts_train_and_calibrate(spark):
+    rng = np.random.default_rng(5)
+    words = np.array([f"w{a}{b}ord" for a in "abcdefgh" for b in "ijklmnop"])
+    docs, labels = [], []
+    for i in range(160):
+        text = list(rng.choice(words, 1200))
+        if i % 2:
+            text[int(rng.integers(0, 1200))] = "hatefulness"
+        docs.append((i, " ".join(text)))
+        labels.append((i, i % 2))
+    assert min(len(t) for _, t in docs) > 6_000
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    model, share = toxicity.fit_rows(df, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = {r.doc_id: r.score for r in toxicity.score(df, model).collect()}
+    assert all((got[i] >= 0.5) == (i % 2 == 1) for i in range(160))
