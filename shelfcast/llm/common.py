@@ -36,9 +36,9 @@ def few(df: DataFrame, per_core: int) -> DataFrame:
     return df.coalesce(per_core * df.sparkSession.sparkContext.defaultParallelism)
 
 
-def written(df: DataFrame, name: str, per_core: int | None = None) -> DataFrame:
+def written(df: DataFrame, name: str, per_core: int | None = None, compression: str | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared checkpoint folder, reread.
-    ``per_core``: see ``few``.
+    ``per_core``: see ``few``. ``compression``: other than the session's.
 
     Cuts the lineage: what follows reads files every executor sees, so a lost
     executor costs its running tasks only. The folder is the cluster's
@@ -50,7 +50,7 @@ def written(df: DataFrame, name: str, per_core: int | None = None) -> DataFrame:
     schema = df.schema
     if per_core:
         df = few(df, per_core)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(schema).parquet(path)
 
 
