@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from shelfcast.llm import alignment, bpe, exactdedup, fingerprint, hilbert, langid, mixing, neardup, prefixtrie, toxicity, warc, wrapper
+from shelfcast.llm import alignment, bpe, exactdedup, fingerprint, hilbert, langid, mixing, neardup, prefixtrie, suffixdup, toxicity, warc, wrapper
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_hilbert_shards": hilbert.op8_hilbert_shards,
         "op9_wrapper_induction": wrapper.op9_wrapper_induction,
         "op10_subword_toxicity": toxicity.op10_subword_toxicity,
+        "op11_suffix_dedup": suffixdup.op11_suffix_dedup,
         "op12_merge_path_alignment": alignment.op12_merge_path_alignment,
         "op13_conversation_trie": prefixtrie.op13_conversation_trie,
         "pipeline": corpus_pipeline.run,
