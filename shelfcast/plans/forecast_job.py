@@ -19,7 +19,7 @@ from shelfcast.operators import forecast as fc
 from shelfcast.plans import models as ml
 from shelfcast.session import cut_lineage
 from shelfcast.sources.panel import PanelSources
-from shelfcast.sources.sink import save_json, submission_rows, write_submission
+from shelfcast.sources.sink import refuse_missing, save_json, submission_rows, write_submission
 
 KEY = ["store_nbr", "family", "date"]
 
@@ -46,6 +46,7 @@ def run_forecast(src: PanelSources, md: ml.ModelData | None = None,
     blend = fc.weighted_blend(["p_glm", "p_gbt"], [w_glm, w_gbt])
     horizon = src.with_id(src.horizon_rows().select(*KEY))
     rows = cut_lineage(submission_rows(horizon, ph.withColumn("pred", blend), keep=KEY))
+    refuse_missing(rows)
     if out_path:
         write_submission(rows, out_path)
         save_json(src.spark, {"w_glm": w_glm, "w_gbt": w_gbt, "trees": trees}, f"{out_path.rstrip('/')}-weights")

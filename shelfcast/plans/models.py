@@ -1,9 +1,8 @@
 """Distributed model fitting on the feature matrix with ``pyspark.ml``.
 
-* Tweedie GLM (log link) for the Tweedie objective of the original boosted
-  trees; ``GBTRegressor`` on log1p(target) for the squared-log-error
-  objective and on the raw target for the RMSE objective (Spark has no
-  Tweedie-loss trees).
+* Tweedie GLM (log link); trees boosted by Tweedie loss are in ``boosting``;
+  ``GBTRegressor`` on log1p(target) for the squared-log-error objective and on
+  the raw target for the RMSE objective.
 * The training matrix is checkpointed into the shared checkpoint folder
   before fitting (iterative algorithms re-read it many times; a lost
   executor then recomputes from the checkpoint, not from the raw scans).
@@ -19,13 +18,13 @@ from typing import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, LinearRegression
+from pyspark.ml.feature import StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions.calendar import EVENT_END, EVENT_START
-from shelfcast.operators.clean import mask_date_range, trailing_window
+from shelfcast.operators.clean import ensure_columns, mask_date_range, trailing_window
 from shelfcast.operators.folds import holdout_bounds
 from shelfcast.plans.features import CATEGORICAL, NON_FEATURES, build_features, training_matrix
 from shelfcast.session import cut_lineage
@@ -155,7 +154,10 @@ def tree_bins(md: "ModelData", least: int = 64) -> int:
 
 def predict_clipped(model: PipelineModel, df: DataFrame, col: str = "pred",
                     log_target: bool = False) -> DataFrame:
-    out = model.transform(df)
+    """Predictions, not below 0. A feature that ``df`` lacks is 0 throughout."""
+    needed = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
+    made = {c for s in model.stages if isinstance(s, StringIndexerModel) for c in s.getOutputCols()}
+    out = model.transform(ensure_columns(df, [c for c in needed if c not in made]))
     src_col = "raw_pred" if "raw_pred" in out.columns else "pred"
     p = F.expm1(F.col(src_col)) if log_target else F.col(src_col)
     return out.select("store_nbr", "family", "date", "sales", F.greatest(p, F.lit(0.0)).alias(col))
@@ -216,13 +218,6 @@ def hashed_sample(df: DataFrame, seed: int, fraction_pct: int = 70) -> DataFrame
     return df.filter(h < fraction_pct)
 
 
-def ridge_stack(oof: DataFrame, preds: Sequence[str], reg: float = 0.1) -> PipelineModel:
-    """Ridge regression (elastic net 0) on out-of-fold predictions."""
-    lr = LinearRegression(labelCol="sales", featuresCol="features", regParam=reg, elasticNetParam=0.0,
-                          predictionCol="pred")
-    return Pipeline(stages=[assembler(preds), lr]).fit(oof)
-
-
 def importance_table(spark, model: PipelineModel, features: Sequence[str]) -> DataFrame:
     """(feature, importance, share) of a tree model, from its importances vector."""
     imp = model.stages[-1].featureImportances.toArray().tolist()
@@ -232,20 +227,22 @@ def importance_table(spark, model: PipelineModel, features: Sequence[str]) -> Da
     return df.withColumn("share", F.try_divide(F.col("importance"), total))
 
 
-# Ordered substring rules that classify a feature name (first match wins).
-CATEGORY_RULES = [
-    ("lag", "lags"), ("rolling", "rolling"), ("expanding", "rolling"), ("store_family_", "rolling"),
-    ("promo", "promotion"), ("oil", "oil"), ("holiday", "holidays"), ("payday", "payday"),
-    ("quincena", "payday"), ("fin_de_mes", "payday"), ("transactions", "transactions"), ("tx_", "transactions"),
-    ("sf_", "target_stats"), ("family_", "target_stats"), ("store_", "target_stats"), ("cluster_", "target_stats"),
-    ("fourier", "calendar"), ("day", "calendar"), ("month", "calendar"), ("week", "calendar"),
-    ("year", "calendar"), ("quarter", "calendar"),
+# fixed values: a feature's class by the words in its name (any of the first
+# list, none of the second); the first class that fits
+FEATURE_CLASSES = [
+    ("Rolling stats", ["rolling", "expanding"], []),
+    ("Lag features", ["lag"], ["promo", "oil", "transact"]),
+    ("Temporal", ["day", "month", "year", "week", "quarter", "dow", "weekend", "sin", "cos"], []),
+    ("External", ["oil", "holiday", "transact"], []),
+    ("Promotion", ["promo"], []),
+    ("Cross", ["x_"], []),
 ]
+OTHER_CLASS = "Aggregation"
 
 
 def categorize(col: str = "feature") -> Column:
-    expr = None
-    for pattern, cat in CATEGORY_RULES:
-        cond = F.col(col).contains(pattern)
-        expr = F.when(cond, F.lit(cat)) if expr is None else expr.when(cond, F.lit(cat))
-    return expr.otherwise(F.lit("other"))
+    def holds(words: Sequence[str]) -> Column:
+        return F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(F.col(col), w))
+
+    return F.coalesce(*[F.when(holds(words) & ~holds(barred) if barred else holds(words), F.lit(name))
+                        for name, words, barred in FEATURE_CLASSES], F.lit(OTHER_CLASS))

@@ -10,6 +10,8 @@ on both sides; DuckDB ``isodow`` is 1..7, so weekday (Monday = 0) is
 
 from __future__ import annotations
 
+import re
+
 BASE = """
 fact AS MATERIALIZED (
   SELECT CAST(s.s_nationkey AS INTEGER) AS store_nbr, p.p_type AS family,
@@ -117,13 +119,17 @@ def _decimal_rounding(text: str) -> str:
         i = k
 
 
+def _evaluated_once(text: str) -> str:
+    """Every CTE is evaluated once, whatever the optimiser estimates: inlined
+    into several joins, a statistic would be planned anew in each of them."""
+    return re.sub(r"(?<=\w) AS \((?=\s*(?:SELECT|WITH)\b)", " AS MATERIALIZED (", text)
+
+
 def sql(body: str) -> str:
     """Prefix a query body with the base CTEs (the body may add its own
     CTEs after a leading comma: ``sql(", x AS (...) SELECT ...")``)."""
     body = _decimal_rounding(body.strip())
-    if body.startswith(","):
-        return "WITH " + BASE.strip() + body
-    return "WITH " + BASE.strip() + "\n" + body
+    return _evaluated_once("WITH " + BASE.strip() + ("" if body.startswith(",") else "\n") + body)
 
 
 def sub(body: str) -> str:

@@ -12,21 +12,23 @@ from shelfcast.operators import forecast as fc
 from shelfcast.operators import series
 from shelfcast.operators.clean import postprocess
 from shelfcast.operators.folds import GAP_DAYS, VAL_DAYS, holdout_bounds, tag_holdout
+from shelfcast.plans import blend_solver as blend_search
 from shelfcast.plans.catalog import register
 from shelfcast.plans.oracle import sql
+from shelfcast.session import cut_lineage
 
 PREDS = ["p_lag28", "p_mean28", "p_dow4", "p_fallback"]
 SW = "PARTITION BY store_nbr, family ORDER BY date"
 LOOK_BACK = max(7 * max(series.SAME_DOW_MEAN_WEEKS), 16 + 28 - 1)
 
 
-def holdout_frame(src):
-    """Validation rows (last 16 known days) with four statistical predictors,
-    the hurdle parts and the series segment, all fitted on rows up to the
-    fold's training end (max - 31 days). Several branches read the panel, so
-    it is materialized once."""
+def holdout_frame(src, back: int = 0):
+    """Validation rows (last 16 known days, or those ``back`` days earlier) with
+    four statistical predictors, the hurdle parts and the series segment, all
+    fitted on rows up to the fold's training end (31 days before the last
+    validation day). Several branches read the panel, so it is materialized once."""
     src = src.materialized()
-    fit_end, val_start, val_end = holdout_bounds(src.train_end)
+    fit_end, val_start, val_end = holdout_bounds(F.date_sub(src.train_end, back) if back else src.train_end)
     w = series.series_window()
     dow4 = series.mean_ignoring_nulls([F.lag("sales", 7 * k).over(w) for k in series.SAME_DOW_MEAN_WEEKS])
     # the longest look back is 43 days, so no window needs the years before
@@ -288,6 +290,18 @@ def blend_simplex(src):
     return fc.best_of(scores, ["w1", "w2", "w3", "w4"])
 
 
+@register("blend_solver")
+def blend_solver(src):
+    """Continuous search of the four predictors' weights from the best grid point,
+    equal weights and 20 Dirichlet draws: weights, RMSLE, and the grid's RMSLE."""
+    ho = cut_lineage(holdout_frame(src).select("sales", *PREDS))
+    names = ["w1", "w2", "w3", "w4"]
+    grid = fc.best_of(fc.grid_scores(ho, "sales", PREDS, None, 20), names).first()
+    score, weights = blend_search.best_weights(ho, "sales", PREDS, [[grid[n] for n in names]])
+    return src.spark.createDataFrame([(*map(float, weights), float(score), float(grid["rmsle"]))],
+                                     "w1 double, w2 double, w3 double, w4 double, rmsle double, rmsle_grid double")
+
+
 @register("blend_near_best", sql(HOLDOUT_SQL + ", sc AS (" + _grid_sql(PREDS, SIMPLEX, 20, ["w1", "w2", "w3", "w4"])[1:]
                                  .replace("g(w1", "WITH g(w1", 1) + ")\nSELECT * FROM sc WHERE rmsle < (SELECT MIN(rmsle) FROM sc) * 1.001"))
 def blend_near_best(src):

@@ -4,12 +4,15 @@ ensembles, tuning, importances, stacking, save/load (inventory 12, 97, 125,
 
 from __future__ import annotations
 
+import functools
 import json
+import math
 import os
 import random
 import re
 import uuid
 
+import numpy as np
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
@@ -21,7 +24,10 @@ from shelfcast.functions.metrics import rmsle
 from shelfcast.operators import forecast as fc
 from shelfcast.operators.folds import holdout_bounds
 from shelfcast.operators.series import series_window, shifted_frame
+from shelfcast.plans import blend_solver as blend_search
+from shelfcast.plans import boosting
 from shelfcast.plans import models as ml
+from shelfcast.plans import tuning
 from shelfcast.plans.catalog import register
 from shelfcast.plans.oracle import sql
 from shelfcast.plans.q_forecast import holdout_frame
@@ -44,6 +50,37 @@ def fit_tweedie(src):
     return ml.predict_clipped(ml.fit_tweedie(md, 1.5), md.valid)
 
 
+def boosted(src):
+    """Tweedie-loss trees of this session and directory (fitted once), and their
+    scores a round as a table."""
+    def build():
+        md = data(src)
+        model = boosting.fit(md.train, md.valid, md.features, md.categorical or (), power=1.5, rounds=ml.TREE_COUNT,
+                             bins=ml.tree_bins(md), seed=ml.SEED, **boosting.tier(1.5))
+        history = src.spark.createDataFrame(model.history, "round int, train_deviance double, rmsle_valid double")
+        return model, cut_lineage(history)
+
+    return session_table(src.spark, ("boosted", type(src).__name__, *src.options().values()), src.sf_dir, build)
+
+
+@register("fit_tweedie_boost")
+def fit_tweedie_boost(src):
+    """Trees boosted by Tweedie loss (variance power 1.5): validation predictions
+    of the best round, with their RMSLE."""
+    model, history = boosted(src)
+    best = history.agg(F.min("rmsle_valid")).scalar()
+    return model.predict(data(src).valid).select(*KEY, "sales", "pred", best.alias("rmsle_valid"))
+
+
+@register("boost_scores")
+def boost_scores(src):
+    """Staged scores of the Tweedie-loss trees: each round's deviance on the
+    training rows and RMSLE on the validation days, and whether it is the best."""
+    _, history = boosted(src)
+    best = history.agg(F.min_by("round", F.struct("rmsle_valid", "round"))).scalar()
+    return history.withColumn("is_best", F.col("round") == best)
+
+
 @register("fit_gbt_log1p")
 def fit_gbt_log1p(src):
     """Boosted trees on log1p(sales) (squared log error objective), expm1 back."""
@@ -143,14 +180,14 @@ def fit_segments(src):
 
 
 # fixed values: variance powers and seeds of the ensemble
-POWERS, SEEDS = [1.1, 1.2, 1.3, 1.4, 1.5], [42, 123, 2024]
+POWERS, SEEDS = [1.0, 1.1, 1.2, 1.3, 1.5], [42, 123, 777]
 
 
 @register("fit_multi_seed")
 def fit_multi_seed(src):
     """Powers × seeds: each GLM sees a deterministic 70 % hashed sample (bagging);
-    predictions are averaged over seeds, and the powers are blended by weights
-    that go with the inverse of their validation error."""
+    predictions are averaged over seeds, and the powers are blended by the weights
+    that the continuous search finds on the validation days."""
     md = data(src)
 
     def task(power, seed):
@@ -164,11 +201,13 @@ def fit_multi_seed(src):
     long = preds[0]
     for p in preds[1:]:
         long = long.unionByName(p)
-    per_power = cut_lineage(long.groupBy(*KEY, "sales", "power").agg(F.avg("pred").alias("pred")))
-    weight = per_power.groupBy("power").agg((1.0 / rmsle("sales", "pred")).alias("w"))
-    # one row a power
-    return (per_power.join(F.broadcast(weight), "power").groupBy(*KEY, "sales")
-            .agg((F.sum(F.col("pred") * F.col("w")) / F.sum("w")).alias("pred")))
+    averaged = long.groupBy(*KEY, "sales", "power").agg(F.avg("pred").alias("pred"))
+    names = [f"p{str(p).replace('.', '_')}" for p in POWERS]
+    wide = cut_lineage(averaged.groupBy(*KEY, "sales").agg(
+        *[F.max(F.when(F.col("power") == p, F.col("pred"))).alias(n) for p, n in zip(POWERS, names)]))
+    score, weights = blend_search.best_weights(wide, "sales", names)
+    return wide.select(*KEY, "sales", fc.weighted_blend(names, weights).alias("pred"),
+                       F.lit(float(score)).alias("rmsle_valid"))
 
 
 @register("fit_per_horizon")
@@ -289,11 +328,42 @@ def _ranked_trials(src, rows):
         Window.orderBy(F.col("cv_rmsle").asc_nulls_last(), "trial")))
 
 
+# the Tweedie GLM's search space; trials of a batch share their scans
+TWEEDIE_SPACE = {"power": tuning.Uniform(1.0, 2.0), "reg": tuning.Uniform(1e-4, 1e-1, log=True)}
+BATCH = 10
+
+
+def tune_tweedie(rows, features, trials: int = N_TRIALS, folds: int = N_FOLDS, seed: int = ml.SEED):
+    """Seeded search of the Tweedie GLM: ``(trial, params, fold, rmsle, error)``
+    of every trial and fold. Trials are proposed in batches, by the densities of
+    the trials before them; a batch is fitted on all folds in shared scans."""
+    search = tuning.Parzen(TWEEDIE_SPACE, seed)
+    out = []
+    while len(out) < trials * folds:
+        batch = [search.ask() for _ in range(min(BATCH, trials - len(out) // folds))]
+        _, scores = tuning.shared_fits(rows, features, batch, folds)
+        for params, per_fold in zip(batch, scores):
+            trial = len(out) // folds
+            search.tell(params, float(per_fold.mean()))
+            text = json.dumps({k: round(v, 9) for k, v in params.items()}, sort_keys=True)
+            out += [(trial, text, f, float(x) if math.isfinite(x) else None,
+                     None if math.isfinite(x) else "diverged") for f, x in enumerate(per_fold)]
+    return out
+
+
+def _fold_rows(md, features, folds: int = N_FOLDS):
+    """Features, label and fold flags of the training rows, checkpointed."""
+    flags = tuning.fold_flags(md.train.select(F.max("date")).scalar(), folds)
+    return cut_lineage(md.train.select(*features, "sales", *[c.alias(f"_fold{f}") for f, c in enumerate(flags)]))
+
+
 @register("tune_params")
 def tune_params(src):
-    """Random search of the Tweedie GLM's variance power and regularisation (the
-    50 trials and 3 folds of ``tune``)."""
-    return _ranked_trials(src, tune(data(src), "tweedie"))
+    """Model-based search of the Tweedie GLM's variance power and regularisation:
+    all 50 trials on all 3 folds, in shared scans of the training rows."""
+    md = data(src)
+    features = ml.glm_features(md)
+    return _ranked_trials(src, tune_tweedie(_fold_rows(md, features), features))
 
 
 @register("tune_trees")
@@ -317,21 +387,43 @@ def feature_importance(src):
 
 @register("importance_by_category")
 def importance_by_category(src):
-    """Tree importance summed per feature category (ordered substring rules)."""
+    """Tree importance summed per feature class (ordered word rules), largest first."""
     imp = _importances(src).withColumn("category", ml.categorize("feature"))
     return imp.groupBy("category").agg(F.sum("importance").alias("importance"),
                                        F.sum("share").alias("share"),
-                                       F.count(F.lit(1)).alias("n_features"))
+                                       F.count(F.lit(1)).alias("n_features")).orderBy(F.col("share").desc(), "category")
+
+
+STACKED = ["p_lag28", "p_mean28", "p_dow4", "p_fallback"]
+STACK_FOLDS, STACK_REG = 3, 0.1
+
+
+def ridge_coefficients(rows, preds, label: str = "sales", reg: float = STACK_REG) -> list[float]:
+    """Intercept and coefficients of a ridge regression, from the products of one
+    aggregate: the mean squared error plus ``reg`` times the squared coefficients
+    of the standardised predictors (the intercept isn't held back)."""
+    x = [F.col(c).cast("double") for c in preds] + [F.col(label).cast("double")]
+    n = len(x)
+    pairs = [(i, j) for i in range(n) for j in range(i, n)]
+    got = rows.filter(F.col(label).isNotNull()).agg(*[F.avg(c) for c in x], *[F.covar_pop(x[i], x[j]) for i, j in pairs]).first()
+    mean, cov = np.array(got[:n], dtype=float), np.zeros((n, n))
+    for (i, j), v in zip(pairs, got[n:]):
+        cov[i, j] = cov[j, i] = v
+    held = np.diag(cov)[:-1]
+    inner = cov[:-1, :-1] + reg * np.diag(held)
+    beta = np.linalg.lstsq(inner, cov[:-1, -1], rcond=None)[0]
+    return [float(mean[-1] - beta @ mean[:-1]), *map(float, beta)]
 
 
 @register("stack_ridge")
 def stack_ridge(src):
-    """Ridge regression on the holdout predictions of the statistical
-    predictors (out of fold for the fitted statistics): its predictions."""
-    ho = holdout_frame(src)
-    preds = ["p_lag28", "p_mean28", "p_dow4", "p_fallback"]
-    model = ml.ridge_stack(ho, preds)
-    return model.transform(ho).select(*KEY, "sales", F.greatest(F.col("pred"), F.lit(0.0)).alias("pred"))
+    """Cross-fitted stacking: the ridge is fitted on out-of-fold predictions of
+    the ``STACK_FOLDS`` 16-day windows before the holdout (each predicted from the
+    rows before its own gap) and predicts the holdout days, which it has not seen."""
+    folds = [holdout_frame(src, 16 * k).select("sales", *STACKED) for k in range(1, STACK_FOLDS + 1)]
+    beta = ridge_coefficients(functools.reduce(lambda a, b: a.unionByName(b), folds), STACKED)
+    value = sum((F.lit(b) * F.col(c) for b, c in zip(beta[1:], STACKED)), F.lit(beta[0]))
+    return holdout_frame(src).select(*KEY, "sales", F.greatest(value, F.lit(0.0)).alias("pred"))
 
 
 @register("model_save_load")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,6 +72,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_SHIPPED: set[str] = set()
+
+
+def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+    """``df.mapInArrow`` after Spark has sent this package to the workers (once
+    an application), as ``--py-files`` would."""
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        root = os.path.dirname(os.path.abspath(__file__))
+        path = os.path.join(tempfile.mkdtemp(prefix="shelfcast-py-"), "shelfcast.zip")
+        with zipfile.ZipFile(path, "w") as out:
+            for folder, _, names in os.walk(root):
+                for name in (n for n in names if n.endswith(".py")):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(root)))
+        sc.addPyFile(path)
+        _SHIPPED.add(sc.applicationId)
+    return df.mapInArrow(run, schema)
+
+
 def input_state(spark: SparkSession, path: str) -> tuple:
     """Names, sizes and modification times of the files under ``path``, listed
     by Spark's file system layer (no job, any store Spark can read)."""

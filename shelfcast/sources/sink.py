@@ -20,14 +20,19 @@ def submission_rows(horizon: DataFrame, predictions: DataFrame, key=("store_nbr"
     return joined.select("id", *keep, postprocess(F.col(pred)).alias("sales"), F.col(pred).isNull().alias("_missing"))
 
 
-def write_submission(rows: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Write (id, sales); refuses when any horizon row has no prediction or no
-    id. ``rows`` should be read from a checkpoint: they are checked, then written."""
+def refuse_missing(rows: DataFrame) -> None:
+    """An error if any horizon row has no prediction or no id. ``rows`` should be
+    read from a checkpoint: they are checked, then used."""
     bad = F.col("sales").isNull() | F.col("id").isNull()
     if "_missing" in rows.columns:
         bad = bad | F.col("_missing")
     if not rows.filter(bad).isEmpty():
         raise ValueError("horizon rows without a prediction")
+
+
+def write_submission(rows: DataFrame, path: str, fmt: str = "csv") -> None:
+    """Write (id, sales), none of them missing (``refuse_missing``)."""
+    refuse_missing(rows)
     out = rows.select("id", "sales")
     writer = out.write.mode("overwrite")
     if fmt == "csv":

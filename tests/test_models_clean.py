@@ -56,7 +56,7 @@ def test_categorize_rules(spark):
     df = spark.createDataFrame([("sales_lag_16",), ("oil_regime",), ("sf_mean",), ("payday_decay",), ("zzz",)],
                                "feature string")
     got = [r[0] for r in df.select(ml.categorize()).collect()]
-    assert got == ["lags", "oil", "target_stats", "payday", "other"]
+    assert got == ["Lag features", "External", "Aggregation", "Temporal", "Aggregation"]
 
 
 def test_interpolate_linear(spark):
