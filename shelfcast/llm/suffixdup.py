@@ -9,7 +9,9 @@ the corpus. Three steps:
   Contexts are dealt by their anchor's hash, equal ones are put together: all but
   the earliest are repeats as they stand, and an anchor with one context only has
   nothing to sort. So what is sorted is where repeated passages begin, end or
-  differ, however often they are repeated.
+  differ, however often they are repeated. Anchors with very many contexts are
+  dealt in pieces, of which the earliest meet again; where their contexts differ,
+  they are cut and dealt by almost all of their strings' bytes.
 * Sort. A task's contexts, anchor by anchor, are suffix-sorted (``descending``).
   The suffixes at the S* places (a byte that is smaller than the one before and,
   past equal ones, than the one after) are sorted as tuples of place and bytes,
@@ -35,6 +37,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import math
 import tempfile
 from collections.abc import Iterator
 
@@ -52,6 +55,8 @@ GRAM = 32
 CHUNK = 1 << 20           # bytes of texts anchored at once
 SORTED = 3 << 18          # bytes of contexts sorted at once; one anchor's go together
 RUN = 1 << 18             # S* tuples of a sorted run
+STEP = 8                  # starts of a run, where an anchor's contexts are cut
+SAMPLE, LEAST_SAMPLED, HOT_PER_PARTITION = 0.02, 16, 4
 SPILL = 64 << 20          # bytes of queues held in memory
 RESULTS = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept_sha256": "string"}
 _BYTES = np.random.default_rng(271828).integers(1, 1 << 64, 256, dtype=np.uint64)
@@ -295,11 +300,13 @@ def repeats(contexts: list[bytes], starts: np.ndarray) -> list[np.ndarray]:
 
 # --- anchors ---------------------------------------------------------------
 
-def anchored(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Contexts of texts laid end to end: anchor hash, digest, text, first start in
-    the text, number of starts."""
+def anchored(data: np.ndarray, cuts: np.ndarray, mixed_keys: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Contexts of texts laid end to end: anchor hash, key, digest, text, first
+    start in the text, number of starts. The key is the anchor's hash; contexts of
+    ``mixed_keys`` are cut into runs of ``STEP`` starts, by their distance from the
+    anchor, whose key is the hash of what all strings of a run cover."""
     n = len(data)
-    empty = tuple(np.zeros(0, dtype=t) for t in (np.int64, np.int64, np.int64, np.int64, np.int64))
+    empty = tuple(np.zeros(0, dtype=np.int64) for _ in range(6))
     if n < LENGTH:
         return empty
     up, down = _powers(1 << max(20, n.bit_length()))
@@ -323,22 +330,39 @@ def anchored(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, ...]:
         return empty
     anchors = (best[starts] & low).astype(np.int64)
     text = np.searchsorted(cuts, starts, side="right") - 1
-    begins = np.flatnonzero(np.concatenate([[True], (anchors[1:] != anchors[:-1]) | (text[1:] != text[:-1])]))
+    breaks = np.concatenate([[True], (anchors[1:] != anchors[:-1]) | (text[1:] != text[:-1])])
+    many = np.isin(grams[anchors].view(np.int64), mixed_keys) if mixed_keys is not None and len(mixed_keys) else None
+    if many is not None:
+        part = (anchors - starts) // STEP
+        breaks[1:] |= many[1:] & (part[1:] != part[:-1])
+    begins = np.flatnonzero(breaks)
     ends = np.append(begins[1:], len(starts))
     first, count = starts[begins], ends - begins
     anchor = anchors[begins]
+    key = grams[anchor].copy()
+    if many is not None and (cut := np.flatnonzero(many[begins])).size:
+        low = anchor[cut] - part[begins[cut]] * STEP
+        key[cut] = mixed(key[cut] ^ part[begins[cut]].astype(np.uint64)
+                         ^ mixed((sums[low + LENGTH - STEP + 1] - sums[low]) * down[low]))
     whole = mixed((sums[first + count + LENGTH - 1] - sums[first]) * down[first])
     digest = mixed(whole ^ ((anchor - first).astype(np.uint64) << np.uint64(32)) ^ count.astype(np.uint64))
-    return grams[anchor].view(np.int64), digest.view(np.int64), text[begins], first - cuts[text[begins]], count
+    return (grams[anchor].view(np.int64), key.view(np.int64), digest.view(np.int64), text[begins],
+            first - cuts[text[begins]], count)
 
 
-def contexts_of(df: DataFrame, keys: list[str]) -> DataFrame:
-    """``(keys, _sd_key, _sd_digest, _sd_first, _sd_n)`` of ``df(keys, _sd_text)``."""
+def contexts_of(df: DataFrame, keys: list[str], hot: dict[int, tuple[int, bool]] | None = None) -> DataFrame:
+    """``(keys, _sd_key, _sd_digest, _sd_first, _sd_n, _sd_pieces)`` of ``df(keys,
+    _sd_text)``. ``hot``: in how many pieces the contexts of an anchor are dealt,
+    and whether they differ so much that they are cut."""
+    hot = hot or {}
     schema = T.StructType([T.StructField(c, df.schema[c].dataType) for c in keys])
-    for name, kind in (("_sd_key", T.LongType()), ("_sd_digest", T.LongType()), ("_sd_first", T.LongType()), ("_sd_n", T.LongType())):
+    for name, kind in (("_sd_key", T.LongType()), ("_sd_digest", T.LongType()), ("_sd_first", T.LongType()), ("_sd_n", T.LongType()), ("_sd_pieces", T.LongType())):
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot_keys = np.array(sorted(hot), dtype=np.int64)
+        pieces = np.array([hot[k][0] for k in sorted(hot)], dtype=np.int64)
+        mixed_keys = np.array([k for k in sorted(hot) if hot[k][1]], dtype=np.int64)
         for batch in batches:
             column = batch.column(len(keys)).cast(pa.large_binary())
             for a, b in slices(column, CHUNK):
@@ -347,10 +371,12 @@ def contexts_of(df: DataFrame, keys: list[str]) -> DataFrame:
                 for at in range(0, max(1, len(data)), 8 * CHUNK):
                     some = data[at:at + 8 * CHUNK + LENGTH - 1]
                     own = np.clip(cuts - at, 0, len(some)) if len(cuts) == 2 else cuts
-                    key, digest, text, first, count = anchored(some, own)
+                    anchor, key, digest, text, first, count = anchored(some, own, mixed_keys)
                     ids = pa.array(text + a)
+                    at_hot = np.minimum(np.searchsorted(hot_keys, anchor), max(len(hot) - 1, 0))
+                    dealt = (np.where(hot_keys[at_hot] == anchor, pieces[at_hot], 1) if hot else np.ones(len(anchor), dtype=np.int64))
                     yield pa.RecordBatch.from_arrays([*(batch.column(k).take(ids) for k in range(len(keys))), pa.array(key),
-                                                      pa.array(digest), pa.array(first + (at if len(cuts) == 2 else 0)), pa.array(count)],
+                                                      pa.array(digest), pa.array(first + (at if len(cuts) == 2 else 0)), pa.array(count), pa.array(dealt)],
                                                      names=schema.fieldNames())
 
     return map_arrow(df.select(*keys, "_sd_text"), run, schema)
@@ -461,19 +487,46 @@ def _sorted_repeats(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return map_arrow(cuts.repartition(partitions(docs.sparkSession), "_sd_key").sortWithinPartitions(*order), sort, out_schema)
 
 
-def repeated_starts(docs: DataFrame) -> DataFrame:
-    """Runs ``(keys, _sd_first, _sd_n)`` of starts whose string also starts earlier."""
-    found = contexts_of(docs, KEYS)
+def hot_anchors(docs: DataFrame) -> dict[int, tuple[int, bool]]:
+    """Anchors that hold more than a quarter of a partition's fair share of the
+    contexts (hence a few a partition at most), by a sample of the documents: into
+    how many pieces to deal them, and whether many of their contexts differ. Only
+    how contexts are dealt depends on the sample, no result does."""
+    spark = docs.sparkSession
+    seen = (contexts_of(docs.sample(SAMPLE, seed=11), KEYS).groupBy("_sd_key", "_sd_digest").agg(F.count("*").alias("n"))
+            .groupBy("_sd_key").agg(F.sum("n").alias("n"), F.count("*").alias("different")))
+    seen = written(seen, "sampled-anchors", per_core=1)
+    fair = max((seen.agg(F.sum("n")).first()[0] or 0) / (HOT_PER_PARTITION * partitions(spark)), LEAST_SAMPLED)
+    return {r[0]: (math.ceil(r[1] / fair) + 1, r[2] >= fair) for r in seen.where(F.col("n") > fair).collect()}
+
+
+def _earliest(found: DataFrame, deal: list[str]) -> DataFrame:
+    """Whether a context is the earliest of its equals, and whether there are
+    others, among the contexts with the same ``deal``."""
     order = ["_sd_digest", F.col("_sd_id").asc_nulls_first(), "_sd_tie", "_sd_first"]
-    one = Window.partitionBy("_sd_key").orderBy(*order)
+    one = Window.partitionBy(*deal).orderBy(*order)
     whole = one.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     before: Column = F.lag("_sd_digest").over(one)
-    found = found.select(*KEYS, "_sd_key", "_sd_first", "_sd_n",
-                         F.coalesce(before != F.col("_sd_digest"), F.lit(True)).alias("_sd_earliest"),
-                         (F.min("_sd_digest").over(whole) != F.max("_sd_digest").over(whole)).alias("_sd_several"))
-    found = written(found.where("not _sd_earliest or _sd_several"), "contexts", compression="zstd")
+    return found.withColumns({
+        "_sd_earliest": F.coalesce(before != F.col("_sd_digest"), F.lit(True)),
+        "_sd_several": F.min("_sd_digest").over(whole) != F.max("_sd_digest").over(whole)})
+
+
+def repeated_starts(docs: DataFrame) -> DataFrame:
+    """Runs ``(keys, _sd_first, _sd_n)`` of starts whose string also starts earlier."""
+    found = contexts_of(docs, KEYS, hot_anchors(docs))
+    piece = F.pmod(F.xxhash64(*KEYS, "_sd_first"), F.col("_sd_pieces"))
+    found = _earliest(found.withColumn("_sd_piece", piece), ["_sd_key", "_sd_piece"])
+    dealt = F.col("_sd_pieces") > 1
+    found = written(found.where(~F.col("_sd_earliest") | F.col("_sd_several") | dealt)
+                    .select(*KEYS, "_sd_key", "_sd_digest", "_sd_first", "_sd_n", "_sd_earliest", "_sd_several", "_sd_pieces"),
+                    "contexts", compression="zstd")
+    # of an anchor dealt in pieces, the earliest of each piece meet
+    met = _earliest(found.where(F.col("_sd_earliest") & dealt).drop("_sd_earliest", "_sd_several"), ["_sd_key"])
+    found = found.where(~(F.col("_sd_earliest") & dealt)).unionByName(met)
     same = found.where("not _sd_earliest").select(*KEYS, "_sd_first", "_sd_n")
-    return same.unionByName(_sorted_repeats(docs, found.where("_sd_earliest and _sd_several")))
+    return same.unionByName(_sorted_repeats(docs, found.where("_sd_earliest and _sd_several").select(
+        *KEYS, "_sd_key", "_sd_first", "_sd_n")))
 
 
 def deduplicated(df: DataFrame, text: str = "text", ident: str = "doc_id", texts: bool = False) -> DataFrame:

@@ -92,17 +92,25 @@ def test_equal_strings_have_equal_anchors():
     texts = [bytes(rng.randrange(97, 101) for _ in range(rng.randrange(0, 300))) + common
              + bytes(rng.randrange(97, 101) for _ in range(rng.randrange(0, 300))) for _ in range(20)]
     cuts = np.cumsum([0] + [len(t) for t in texts])
-    key, _, text, first, count = sd.anchored(np.frombuffer(b"".join(texts), np.uint8), cuts)
-    assert count.sum() == sum(len(t) - LENGTH + 1 for t in texts)
-    holds = set()
-    for i, t in enumerate(texts):
-        at = t.index(common)
-        holds.add(key[(text == i) & (first <= at) & (at < first + count)].item())
-    assert len(holds) == 1
-
-
-@pytest.mark.parametrize("seed", [1, 2])
-def test_query_on_a_fixture(spark, tmp_path, seed):
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    every = np.unique(sd.anchored(data, cuts)[0])
+    for mixed in (None, every):                              # cut contexts, too
+        _, key, _, text, first, count = sd.anchored(data, cuts, mixed)
+        assert count.sum() == sum(len(t) - LENGTH + 1 for t in texts)
+        assert mixed is None or count.max() <= sd.STEP
+        holds = set()
+        for i, t in enumerate(texts):
+            at = t.index(common)
+            holds.add(key[(text == i) & (first <= at) & (at < first + count)].item())
+        assert len(holds) == 1
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_query_on_a_fixture(spark, tmp_path, monkeypatch, seed):
+    if seed == 3:                                            # every anchor is dealt in pieces, many are cut
+        monkeypatch.setattr(sd, "SAMPLE", 1.0)
+        monkeypatch.setattr(sd, "LEAST_SAMPLED", 1)
+        monkeypatch.setattr(sd, "HOT_PER_PARTITION", 1000)
     texts = made(seed)
     spark.createDataFrame([(3 * i - 50, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(
         4).write.parquet(f"{tmp_path}/documents.parquet")
