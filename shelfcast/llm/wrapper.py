@@ -13,13 +13,13 @@ Pages of a host are aligned by simple tree matching: nodes match if their labels
 are equal, and children by the largest order-keeping matching of their subtrees.
 A bounded sample of a host's pages makes its wrapper: the ``SAMPLE`` smallest by
 a hash of their texts, of equal texts one page only, so that the same pages are
-taken however many rows or partitions there are. Of the page with the largest tree, the texts that stay the
-same over the aligned pages are template. Every page is aligned with its host's
+taken however many rows or partitions there are. A text that comes at one place of
+the tree on nearly all of them is template, inside of articles, too; there, only
+pages with different articles count (less than half of their text in common), as
+pages of a host may be copies of each other. Every page is aligned with its host's
 wrapper; its text is all that is neither template nor below a marked node, so
-that what varies or doesn't align is kept wherever it stands. What is inside an
-article or main element is never taken for template, as pages of a host may be
-copies of each other. Fewer than ``SEEN`` different pages give no template; the
-page's own article and main elements are its text then, if they hold half of it.
+that what varies or doesn't align is kept wherever it stands. Fewer than ``SEEN``
+such pages give no template, and nothing but marked nodes is dropped then.
 
 Pages are dealt by host and sorted by the hash of their texts; hosts with more
 than a quarter of a partition's fair share of the pages (fewer than four a
@@ -40,6 +40,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -50,6 +51,7 @@ from shelfcast.llm.common import map_arrow, partitions, table, written
 SAMPLE = 24              # pages a host's wrapper is made from
 SEEN, MATCHED, SAME = 3, 0.6, 0.9    # pages, share of pages, share of equal texts that make template
 HOT_PER_PARTITION = 4
+CELLS = 1 << 18          # of a table of sizes held at once
 OUT_ROWS = 256
 DEEPEST = 150            # levels of the tree; what lies deeper belongs to the lowest one
 
@@ -58,7 +60,7 @@ figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li
 summary table tbody td tfoot th thead tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea noscript iframe xmp noembed noframes".split())
-NEVER = frozenset("""aside button canvas dialog embed fieldset footer form head iframe input menu nav noscript object
+NEVER = frozenset("""aside button canvas dialog embed fieldset footer form head header iframe input menu nav noscript object
 script search select style svg template textarea title video audio""".split())
 ROLES = frozenset("""alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search status
 toolbar""".split())
@@ -281,9 +283,9 @@ def read(page: str) -> tuple[Node, list[str]]:
 class Folded:
     """A node of the folded tree: runs of siblings of one label in one; ``texts``
     are the numbers of its own texts. ``weight``: nodes below. ``article``: holds
-    an article or main."""
+    an article or main. ``kind``: the labels of the whole subtree."""
 
-    __slots__ = ("label", "kids", "texts", "content", "weight", "marked", "article")
+    __slots__ = ("label", "kids", "texts", "content", "weight", "marked", "article", "kind")
 
     def __init__(self, label: str, nodes: list[Node]):
         self.label, self.kids, self.texts = label, [], []
@@ -302,6 +304,8 @@ class Folded:
             self.kids.append(Folded(run[0].label, run))
         self.weight = 1 + sum(k.weight for k in self.kids)
         self.article = any(n.own for n in nodes) or any(k.article for k in self.kids)
+        self.kind = hashlib.blake2b("\0".join([label, *(k.kind.hex() for k in self.kids)]).encode("utf-8", "replace"),
+                                    digest_size=16).digest()
 
     def walk(self) -> Iterator[Folded]:
         yield self
@@ -320,31 +324,110 @@ class Folded:
                 yield from kid.unmarked(marked)
 
 
-def align(a: Folded, b: Folded) -> tuple[int, list[tuple[Folded, Folded]]]:
-    """Simple tree matching: the size of the largest order-keeping matching with
-    equal labels, and its pairs."""
-    if a.label != b.label:
-        return 0, []
-    m, n = len(a.kids), len(b.kids)
-    score = [[0] * (n + 1) for _ in range(m + 1)]
-    held: dict[tuple[int, int], tuple[int, list]] = {}
-    for i in range(1, m + 1):
-        for j in range(1, n + 1):
-            best = max(score[i - 1][j], score[i][j - 1])
-            if a.kids[i - 1].label == b.kids[j - 1].label:
-                held[i, j] = align(a.kids[i - 1], b.kids[j - 1])
-                best = max(best, score[i - 1][j - 1] + held[i, j][0])
-            score[i][j] = best
-    pairs, i, j = [(a, b)], m, n
-    while i and j:
-        if score[i][j] == score[i - 1][j]:
-            i -= 1
-        elif score[i][j] == score[i][j - 1]:
-            j -= 1
-        else:
-            pairs += held[i, j][1]
-            i, j = i - 1, j - 1
-    return 1 + score[m][n], pairs
+class Matching:
+    """Simple tree matching: the largest order-keeping matching of two trees with
+    equal labels, and its pairs.
+
+    The size depends on the labels only, so it is worked out once for each two
+    kinds of subtrees. Equal subtrees at the beginnings and ends of two lists of
+    children match each other. Between them a row of the table of sizes is one
+    numpy expression (the best of the row above and of a match, then a running
+    maximum); large tables are never held: the list is halved where the sizes of
+    both halves add up best."""
+
+    def __init__(self):
+        self.sizes: dict[tuple[bytes, bytes], int] = {}
+
+    def size(self, a: Folded, b: Folded) -> int:
+        if a.label != b.label:
+            return 0
+        if a.kind == b.kind:
+            return a.weight
+        found = self.sizes.get((a.kind, b.kind))
+        if found is None:
+            front, x, y, back = self._trimmed(a.kids, b.kids)
+            found = 1 + sum(k.weight for k in a.kids[:front]) + sum(k.weight for k in a.kids[len(a.kids) - back:])
+            if x and y:
+                found += int(self._last_row(x, y, self._table(x, y))[-1])
+            self.sizes[a.kind, b.kind] = found
+        return found
+
+    def pairs(self, a: Folded, b: Folded) -> Iterator[tuple[Folded, Folded]]:
+        if a.label != b.label:
+            return
+        yield a, b
+        front, x, y, back = self._trimmed(a.kids, b.kids)
+        matched = [*zip(a.kids[:front], b.kids[:front]), *(self._matched(x, y) if x and y else ()),
+                   *(zip(a.kids[-back:], b.kids[-back:]) if back else ())]
+        for p, q in matched:
+            yield from self.pairs(p, q)
+
+    @staticmethod
+    def _trimmed(x: list[Folded], y: list[Folded]) -> tuple[int, list[Folded], list[Folded], int]:
+        """How many first and last children are equal subtrees, and what lies between."""
+        front, least = 0, min(len(x), len(y))
+        while front < least and x[front].kind == y[front].kind:
+            front += 1
+        back = 0
+        while back < least - front and x[-1 - back].kind == y[-1 - back].kind:
+            back += 1
+        return front, x[front:len(x) - back], y[front:len(y) - back], back
+
+    def _table(self, x: list[Folded], y: list[Folded]) -> dict[bytes, np.ndarray]:
+        """For each kind among ``x``, its sizes with each of ``y``."""
+        kinds = list({k.kind: k for k in y}.values())
+        place = {k.kind: i for i, k in enumerate(kinds)}
+        at = np.array([place[k.kind] for k in y])
+        return {k.kind: np.array([self.size(k, other) for other in kinds], dtype=np.int64)[at]
+                for k in {k.kind: k for k in x}.values()}
+
+    @staticmethod
+    def _next_row(row: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        new = row.copy()
+        np.maximum(new[1:], np.where(sizes > 0, row[:-1] + sizes, 0), out=new[1:])
+        return np.maximum.accumulate(new)
+
+    def _last_row(self, x: list[Folded], y: list[Folded], table: dict[bytes, np.ndarray], back: bool = False) -> np.ndarray:
+        row = np.zeros(len(y) + 1, dtype=np.int64)
+        for kid in reversed(x) if back else x:
+            row = self._next_row(row, table[kid.kind][::-1] if back else table[kid.kind])
+        return row
+
+    def _matched(self, x: list[Folded], y: list[Folded]) -> list[tuple[Folded, Folded]]:
+        """The pairs of the best matching of two lists."""
+        table = self._table(x, y)
+        out, todo = [], [(0, len(x), 0, len(y))]
+        while todo:
+            a, b, c, d = todo.pop()
+            if a == b or c == d:
+                continue
+            own = {k.kind: table[k.kind][c:d] for k in x[a:b]}
+            if (b - a) * (d - c) > CELLS and b - a > 1:
+                half = (a + b) // 2
+                up = self._last_row(x[a:half], y[c:d], own)
+                down = self._last_row(x[half:b], y[c:d], own, back=True)[::-1]
+                cut = c + int(np.argmax(up + down))
+                todo += [(a, half, c, cut), (half, b, cut, d)]
+                continue
+            rows = [np.zeros(d - c + 1, dtype=np.int64)]
+            for kid in x[a:b]:
+                rows.append(self._next_row(rows[-1], own[kid.kind]))
+            i, j = b - a, d - c
+            while i and j:
+                if rows[i][j] == rows[i - 1][j]:
+                    i -= 1
+                elif rows[i][j] == rows[i][j - 1]:
+                    j -= 1
+                else:
+                    i, j = i - 1, j - 1
+                    out.append((a + i, c + j))
+        return [(x[i], y[j]) for i, j in sorted(out)]
+
+
+def align(a: Folded, b: Folded, matching: Matching | None = None) -> tuple[int, list[tuple[Folded, Folded]]]:
+    """The size of the largest matching of two trees, and its pairs."""
+    pairs = list((matching or Matching()).pairs(a, b))
+    return len(pairs), pairs
 
 
 class Page:
@@ -356,6 +439,23 @@ class Page:
         return tuple(self.texts[t] for t in node.texts)
 
 
+def _articles(pages: list[Page]) -> list[Page]:
+    """Pages with different articles: of pages whose articles have more than half
+    of their text in common, the first."""
+    kept: list[tuple[Page, Counter]] = []
+    for page in pages:
+        own = Counter(page.texts[t] for n in page.tree.walk() if n.content for t in n.texts)
+        size = sum(len(t) * n for t, n in own.items())
+        for _, other in kept:
+            common = sum(len(t) * n for t, n in (own & other).items())
+            if 2 * common > min(size, sum(len(t) * n for t, n in other.items())):
+                break
+        else:
+            if own:
+                kept.append((page, own))
+    return [page for page, _ in kept]
+
+
 class Wrapper:
     """Made from some pages of a host: the model tree, the texts that are
     template by its nodes, and the nodes that are marked."""
@@ -363,39 +463,35 @@ class Wrapper:
     def __init__(self, pages: list[Page]):
         different = list({tuple(p.texts): p for p in pages}.values())
         model = max(different, key=lambda p: p.tree.weight)
-        self.tree = model.tree
+        self.tree, self.matching = model.tree, Matching()
+        articles = {id(p) for p in _articles(different)}
+        # of each node: pages that have it, and pages that have a text there;
+        # pages with different articles only, for nodes inside of articles
+        having: Counter = Counter()
         seen: dict[int, Counter] = {id(n): Counter() for n in self.tree.walk()}
         votes: Counter = Counter()
         for page in different:
-            for own, other in align(self.tree, page.tree)[1]:
+            for own, other in align(self.tree, page.tree, self.matching)[1]:
                 votes[id(own)] += 1 if other.marked else -1
-                if other.texts:
-                    seen[id(own)][page.of(other)] += 1
+                if other.texts and (id(page) in articles or not (own.content or other.content)):
+                    having[id(own)] += 1
+                    seen[id(own)].update(set(page.of(other)))
         self.marked = {id(n) for n in self.tree.walk() if votes[id(n)] > 0 or (n.marked and not votes[id(n)])}
-        self.induced = len(different) >= SEEN
-        self.template: dict[int, tuple[str, ...]] = {}
+        self.template: dict[int, set[str]] = {}
         for node in self.tree.walk():
-            counts = seen[id(node)]
-            n = sum(counts.values())
-            if node.content or n < SEEN or n < MATCHED * len(different):
-                continue
-            text, most = counts.most_common(1)[0]
-            if most >= SAME * n:
-                self.template[id(node)] = text
+            n = having[id(node)]
+            if n >= SEEN and n >= MATCHED * (len(articles) if node.content else len(different)):
+                self.template[id(node)] = {t for t, k in seen[id(node)].items() if k >= SEEN and k >= SAME * n}
 
     def text(self, page: Page) -> str:
         """The page's texts that are neither template nor below a marked node. A
         node that aligns is marked as in the wrapper, unless it holds an article
         here."""
-        pairs = align(self.tree, page.tree)[1]
-        template = {t for own, other in pairs if self.template.get(id(own)) == page.of(other) for t in other.texts}
+        pairs = align(self.tree, page.tree, self.matching)[1]
+        template = {t for own, other in pairs for t in other.texts if page.texts[t] in self.template.get(id(own), ())}
         marked = {id(other): id(own) in self.marked for own, other in pairs if not other.article}
-        nodes = list(page.tree.unmarked(lambda n: marked.get(id(n), n.marked)))
+        nodes = page.tree.unmarked(lambda n: marked.get(id(n), n.marked))
         keep = {t for n in nodes for t in n.texts} - template
-        if not self.induced:
-            own = {t for n in nodes if n.content for t in n.texts}
-            if 2 * sum(len(page.texts[t]) for t in own) >= sum(len(page.texts[t]) for t in keep) and own:
-                keep = own
         return "\n".join(page.texts[t] for t in sorted(keep))
 
 

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import html
+import random
 import re
+import time
+import tracemalloc
 
 from shelfcast.llm import wrapper as w
 
@@ -28,7 +31,7 @@ def test_cut_off_pages():
     assert text("<body><article><p>Some text &amp") == "Some text &"
     assert text('<body><article><p>Some text</p><a href="/x') == "Some text"
     assert text("<article><p>a</p><nav><ul><li>m</article>") == "a"
-    assert text("<article><p>a longer text</p><div class='ad'>b</article><p>after<p>that") == "a longer text"
+    assert text("<article><p>a longer text</p><div class='ad'>b</article><p>after<p>that") == "a longer text\nafter\nthat"
     assert text("") == text("<html></html>") == ""
     assert text("no tags at all") == "no tags at all"
     assert text("<article>" + "<div>" * 3000 + "deep" + "</div>" * 3000 + "</article>") == "deep"
@@ -148,3 +151,69 @@ def test_one_wrapper_a_host_from_different_pages(spark):
     assert small[300] == "" and len(small) == len(rows) and len(large) == len(rows) + len(hot)
     assert {k: large[k] for k in small} == small and many == large
     assert all(large[1000 + i] == f"Text {i % 29} of its own" for i in range(600))
+
+
+def test_a_lone_page_keeps_what_is_not_marked():
+    page = ("<body><nav>m</nav><h1>Title</h1><div class='lead'>Lead</div><article><p>A long text of an article</p></article>"
+            "<p>Last words</p><div class='ad'>Buy</div></body>")
+    assert text(page) == "Title\nLead\nA long text of an article\nLast words"
+
+
+def test_alignment_finds_what_no_list_names():
+    """Boilerplate without a telling element, role or class, outside of the article
+    and inside of it: the lists alone keep all of it."""
+    def page(i):
+        own = " ".join(f"word{i}x{k}" for k in range(12))
+        return (f"<body><div class='strip'>All the news</div><article><h1>Title {i}</h1><p>{own}</p><p>Thanks for reading our paper</p>"
+                f"<p>{own} again</p></article><p>Call the desk</p><div class='rest'><p>Follow us</p><p>Number {i}</p></div></body>")
+
+    pages = [page(i) for i in range(6)]
+    own = " ".join(f"word2x{k}" for k in range(12))
+    assert text(pages[2], *pages) == f"Title 2\n{own}\n{own} again\nNumber 2"
+    alone = text(pages[2])
+    assert all(x in alone for x in ("All the news", "Thanks for reading our paper", "Call the desk", "Follow us"))
+
+
+def size(a, b):
+    """Simple tree matching as it is defined."""
+    if a.label != b.label:
+        return 0
+    score = [[0] * (len(b.kids) + 1) for _ in range(len(a.kids) + 1)]
+    for i, x in enumerate(a.kids, 1):
+        for j, y in enumerate(b.kids, 1):
+            score[i][j] = max(score[i - 1][j], score[i][j - 1], score[i - 1][j - 1] + size(x, y) if x.label == y.label else 0)
+    return 1 + score[-1][-1]
+
+
+def made(rng, depth=0):
+    kids = "".join(made(rng, depth + 1) for _ in range(rng.randrange(0, 6 - depth)))
+    tag = rng.choice(["div", "section", "ul", "dl"])
+    return f"<{tag} class='{rng.choice('abc')}'>{kids}t</{tag}>"
+
+
+def test_matching_is_the_largest(monkeypatch):
+    for cells in (w.CELLS, 1):                               # with tables, and halved all the way
+        monkeypatch.setattr(w, "CELLS", cells)
+        rng = random.Random(4)
+        for _ in range(40):
+            a, b = w.Page(made(rng)).tree, w.Page(made(rng)).tree
+            found, pairs = w.align(a, b)
+            assert found == len(pairs) == size(a, b) == w.Matching().size(a, b)
+            order = {id(n): i for t in (a, b) for i, n in enumerate(t.walk())}
+            places = [(order[id(x)], order[id(y)]) for x, y in pairs]
+            assert places == sorted(places) and len({x for x, _ in places}) == len({y for _, y in places}) == len(places)
+            assert all(x.label == y.label for x, y in pairs)
+
+
+def test_wide_pages_align_in_little_time_and_space():
+    def page(n, odd):
+        rows = "".join(f"<dt class='{'k' if i % odd else 'q'}'>a{i}</dt><dd>b{i}</dd>" for i in range(n))
+        return w.Page(f"<body><div>top</div><dl>{rows}</dl></body>")
+
+    a, b = page(2500, 7), page(2400, 11)                     # 5,000 siblings that alternate and differ
+    tracemalloc.start()
+    began = time.monotonic()
+    found, pairs = w.align(a.tree, b.tree)
+    assert time.monotonic() - began < 30 and tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+    assert found == len(pairs) > 4000
