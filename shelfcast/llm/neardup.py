@@ -1,7 +1,7 @@
 """MinHash near-dedup by an inverted join over signature coordinates.
 
-Texts with equal shingle sets form one class, represented by its smallest
-identifier; everything below is on representatives.
+Texts with equal shingle sets form one class, a node with a number of its own;
+everything below is on nodes. Identifiers are put back at the end.
 
 * Post: every representative is posted under each (coordinate, value) pair of
   its signature. A pair of similar sets shares at least ``MATCHES`` of the
@@ -26,9 +26,10 @@ identifier; everything below is on representatives.
 No list is capped, no partner dropped, and no group is gathered in one task.
 
 Defined cases: null and empty texts, or texts of white space, have no shingles
-and are linked with nothing. Equal sets are linked. Rows that share an
-identifier share a component; a null identifier gets a null component and is
-kept. An empty table gives an empty table.
+and are linked with nothing. Equal sets are linked. Other rows that share an
+identifier share a component, whatever their texts; identifiers may be of any
+type that has an order. A null identifier gets a null component and is kept, and
+links nothing. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -68,17 +69,16 @@ def _summaries(df: DataFrame, text: str, ident: str) -> DataFrame:
     return map_arrow(df.select(ident, text), run, schema)
 
 
-def _full_sets(df: DataFrame, text: str, ident: str) -> DataFrame:
-    """``(node, shingles)``."""
+def _full_sets(df: DataFrame, text: str) -> DataFrame:
+    """``(set_key, shingles)``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, sets in shingles.sets_of(batch.column(1)):
+            for _, _, sets in shingles.sets_of(batch.column(0)):
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, b - a),
-                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["node", "shingles"])
+                    pa.array([shingles.set_key(s) for s in sets], pa.binary()),
+                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["set_key", "shingles"])
 
-    kind = df.schema[ident].dataType.simpleString()
-    return map_arrow(df.select(ident, text), run, f"node {kind}, shingles array<long>")
+    return map_arrow(df.select(text), run, "set_key binary, shingles array<long>")
 
 
 def similar(inter: Column, n: Column, m: Column) -> Column:
@@ -180,14 +180,18 @@ def _across(lists: DataFrame) -> DataFrame:
             .select("hub", "hub_n", "node", "n").distinct())
 
 
-def link_components(sets: DataFrame, texts: DataFrame, text: str, ident: str) -> DataFrame:
-    """``(node, component)`` of all sets that are linked with another one."""
+def link_components(classes: DataFrame, texts: DataFrame, text: str, ident: str) -> DataFrame:
+    """``(node, component)`` of all classes that are linked with another one;
+    ``classes(set_key, node, rep, n, signature)``, ``rep`` one of its identifiers."""
+    sets = classes.select("node", "n", "signature")
     lists = written(prefix_postings(sets).withColumn("component", F.col("node")), "lists")
     members = written(_hub_pairs(lists), "hub-pairs")
-    wanted = members.select(F.col("node").alias(ident)).distinct()
+    wanted = members.select("node").distinct().join(classes.select("node", "set_key", "rep"), "node")
     # the join is dealt alike at every size, not broadcast while the list is short
-    needed = texts.select(ident, text).join(wanted.hint("merge"), ident, "left_semi")
-    full = written(_full_sets(needed, text, ident).dropDuplicates(["node"]), "sets")
+    needed = texts.select(F.col(ident).alias("rep"), text).join(
+        wanted.select("rep").distinct().hint("merge"), "rep", "left_semi")
+    full = written(_full_sets(needed, text).join(wanted.select("set_key", "node").hint("merge"), "set_key")
+                   .dropDuplicates(["node"]).select("node", "shingles"), "sets")
     # count collisions before the full sets are compared
     first = _collisions(members.where("hub <> node").where(_fits()), sets)
     comps = components(_links(first, full))
@@ -204,14 +208,26 @@ def near_duplicates(df: DataFrame, text: str = "text", ident: str = "doc_id") ->
     """Per row: identifier, ``n_shingles``, ``component_id`` and ``kept``."""
     rows = written(_summaries(df, text, ident), "summaries")
     usable = rows.where(F.col(ident).isNotNull() & (F.col("n_shingles") > 0))
-    # a signature follows from the set, so any of a class will do
-    sets = written(usable.groupBy("set_key").agg(
-        F.min(ident).alias("node"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")), "classes")
-    comps = link_components(sets.select("node", "n", "signature"), df, text, ident)
-    named = sets.select("set_key", "node").join(comps, "node", "left").select(
-        "set_key", F.coalesce("component", "node").alias("component_id"))
+    # a signature follows from the set, so any of a class will do; numbered as they are written
+    classes = written(usable.groupBy("set_key").agg(
+        F.min(ident).alias("rep"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
+        .withColumn("node", F.monotonically_increasing_id()), "classes")
+    comps = link_components(classes, df, text, ident)
+    placed = usable.select(ident, "n_shingles", "set_key").join(classes.select("set_key", "node"), "set_key")
+    # identifiers with several texts link their classes
+    several = placed.groupBy(ident).agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
+    several = written(placed.join(several.select(ident, "a"), ident).select("a", F.col("node").alias("b")).where("a <> b"),
+                      "shared-identifiers", per_core=1)
+    if not several.isEmpty():
+        known = comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        comps = components(known.unionByName(several))
+    named = written(_labelled(classes.select("set_key", "node", "rep"), comps), "components")
+    # only components of several classes need the least identifier of all
+    least = named.groupBy("component").agg(F.min("rep").alias("component_id"), F.count("*").alias("classes")).where("classes > 1")
+    named = named.join(least.drop("classes"), "component", "left").select(
+        "set_key", F.coalesce("component_id", "rep").alias("component_id"))
     empty = rows.where(F.col(ident).isNull() | (F.col("n_shingles") == 0)).select(
-        ident, "n_shingles", F.col(ident).alias("component_id"))
+        ident, "n_shingles", "set_key").withColumn("component_id", F.col(ident)).drop("set_key")
     out = usable.select(ident, "n_shingles", "set_key").join(named, "set_key").select(
         ident, "n_shingles", "component_id").unionByName(empty)
     return out.withColumn("kept", F.coalesce(F.col(ident) == F.col("component_id"), F.lit(True)))

@@ -138,3 +138,25 @@ def test_components(spark):
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert got == {**{i: 0 for i in range(91)}, 200: 200, 300: 200, **{1000 + i: 1000 for i in range(50)}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def family(word, n=60):
+    return " ".join(f"{word}{i}" for i in range(n))
+
+
+def test_rows_that_share_an_identifier_share_a_component(spark):
+    a, b = family("a"), family("b")
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (4, family("c")), (None, a), (5, ""), (5, a)]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    component = {}
+    for r in got:
+        component.setdefault(r.doc_id, set()).add(r.component_id)
+    assert len(got) == len(rows)
+    assert component == {1: {1}, 2: {1}, 3: {1}, 4: {4}, None: {None}, 5: {1, 5}}   # 5: an empty text and a's
+
+
+def test_text_identifiers(spark):
+    rows = [("x9", family("a")), ("x10", family("a") + " more"), ("b", family("b")), ("ab", family("b")), ("c", "one two")]
+    got = {r.key: (r.component_id, r.kept) for r in neardup.near_duplicates(
+        spark.createDataFrame(rows, "key string, text string"), ident="key").collect()}
+    assert got == {"x9": ("x10", False), "x10": ("x10", True), "b": ("ab", False), "ab": ("ab", True), "c": ("c", True)}
