@@ -14,7 +14,7 @@ are the profiles, ``PROFILE`` n-grams a language.
 Defined cases: null texts and texts without letters are ``und`` with score 0, as
 is everything if no row is labelled; n-grams of equal count are ordered by their
 code points, equally near languages by name. Long texts are counted in windows
-of bounded size. Extra columns pass through ``predict``; those named like its
+that end with a word. Extra columns pass through ``predict``; those named like its
 results are replaced.
 """
 
@@ -85,11 +85,22 @@ def counted(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndar
     return distinct, np.bincount(place, weights=counts, minlength=len(distinct)).astype(np.int64)
 
 
+def windows(text: str) -> Iterator[str]:
+    """Parts of a text of ``WINDOW`` characters and up to the end of the word: no
+    n-gram goes on over a part's end."""
+    at = 0
+    while at < len(text):
+        end = min(at + WINDOW, len(text))
+        while end < len(text) and text[end - 1].isalpha():
+            end += 1
+        yield text[at:end]
+        at = end
+
+
 def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
     """N-grams of a text and their counts."""
     text = text.lower()
-    parts = [counted(_keys(np.frombuffer(text[a:a + WINDOW].encode("utf-32-le", "replace"), dtype=np.uint32)))
-             for a in range(0, len(text), WINDOW)]
+    parts = [counted(_keys(np.frombuffer(part.encode("utf-32-le", "replace"), dtype=np.uint32))) for part in windows(text)]
     if len(parts) == 1:
         return parts[0]
     if not parts:

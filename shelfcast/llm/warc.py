@@ -16,7 +16,9 @@ Defined cases: a null block is empty; records other than responses, and
 responses without an HTTP head, keep an empty HTTP part and their block is read
 as the page; bytes that don't fit the charset become U+FFFD; an unknown charset
 is read as UTF-8; a truncated chunked or compressed body is read as far as it
-goes. Pages with a null url have an empty URI. Repeated rows give repeated
+goes, a body of several gzip members to the end of the last. A body of an encoding
+that can't be undone (``br``, say) isn't converted: its text is empty, and the
+metadata names the encoding as ``undecoded``. Pages with a null url have an empty URI. Repeated rows give repeated
 records; an empty table gives an empty table; only the columns named above are
 read.
 """
@@ -43,6 +45,8 @@ from shelfcast.llm.common import map_arrow, slices, table
 VERSION = "WARC/1.1"
 FIELDS = "record_id string, type string, uri string, date string, headers string, block binary"
 BATCH = 1 << 20
+GZIP, FED = b"\x1f\x8b", 1 << 16          # how members begin; bytes fed to the decoder at once
+DECODED = ("gzip", "x-gzip", "deflate")
 PAGE_DATE = "2024-01-01T00:00:00Z"
 BREAKS = frozenset("""address article aside blockquote body br caption dd details div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td
@@ -98,8 +102,31 @@ def _unchunked(body: bytes) -> bytes:
     return b"".join(out)
 
 
+def members(data: bytes) -> Iterator[bytes]:
+    """The plain bytes of each gzip member, one after the other, and of what
+    follows the last. The data is fed in pieces, never copied as a whole; a
+    member that breaks off is read as far as it goes."""
+    view, at = memoryview(data), 0
+    while data[at:at + 2] == GZIP:
+        member, out = zlib.decompressobj(31), []
+        try:
+            while at < len(view) and not member.eof:
+                piece = view[at:at + FED]
+                out.append(member.decompress(piece))
+                at += len(piece)
+        except zlib.error:
+            at = len(view)
+        yield b"".join(out)
+        at -= len(member.unused_data)
+    if at < len(view):
+        yield data[at:]
+
+
 def _inflated(body: bytes, kind: str) -> bytes:
-    for bits in ((31,) if "gzip" in kind else (15, -15)):
+    """A body of one encoding, all its members."""
+    if kind.endswith("gzip"):
+        return b"".join(members(body)) if body[:2] == GZIP else body
+    for bits in (15, -15):
         try:
             return zlib.decompressobj(bits).decompress(body)
         except zlib.error:
@@ -107,8 +134,20 @@ def _inflated(body: bytes, kind: str) -> bytes:
     return body
 
 
+def encodings(fields: dict[str, str | list[str]]) -> list[str]:
+    """The body's encodings in the order they were applied."""
+    named = ",".join(field_values(fields, "Content-Encoding")).lower().split(",")
+    return [x for x in map(str.strip, named) if x and x != "identity"]
+
+
+def undecoded(fields: dict[str, str | list[str]]) -> str:
+    """The encodings that can't be undone here, if any: then the body isn't text."""
+    return ", ".join(x for x in encodings(fields) if x not in DECODED)
+
+
 def http_parts(block: bytes) -> tuple[str, dict[str, str | list[str]], bytes, bytes]:
-    """Status line, header fields, payload as sent, and the body decoded."""
+    """Status line, header fields, payload as sent, and the body decoded (empty
+    if it has an encoding that can't be undone)."""
     if not block.startswith(b"HTTP/"):
         return "", {}, block, block
     head, _, payload = block.partition(b"\r\n\r\n")
@@ -117,8 +156,9 @@ def http_parts(block: bytes) -> tuple[str, dict[str, str | list[str]], bytes, by
     body = payload
     if "chunked" in ", ".join(field_values(fields, "Transfer-Encoding")).lower():
         body = _unchunked(body)
-    kind = ", ".join(field_values(fields, "Content-Encoding")).lower()
-    if "gzip" in kind or "deflate" in kind:
+    if undecoded(fields):
+        return status, fields, payload, b""
+    for kind in reversed(encodings(fields)):
         body = _inflated(body, kind)
     return status, fields, payload, body
 
@@ -201,6 +241,8 @@ def derivatives(record_id: str, uri: str, date: str, headers: str, block: bytes)
     about = {"refers_to": record_id, "uri": uri, "date": date, "warc_headers": own, "http_status": status,
              "http_headers": fields, "payload_digest": source_digest, "payload_length": len(payload),
              "charset": charset, "title": title, "links": links}
+    if left := undecoded(fields):
+        about["undecoded"] = left
     out = []
     for kind, media, made in (("metadata", "application/json", json.dumps(about, ensure_ascii=False).encode()),
                               ("conversion", "text/plain; charset=utf-8", text.encode("utf-8", "replace"))):
@@ -289,12 +331,11 @@ def write(records: DataFrame, path: str, compression: str = "none") -> None:
 
 def parsed(data: bytes) -> Iterator[tuple]:
     """Records of a file's bytes, by their content lengths; files may consist of
-    compressed members."""
-    while data[:2] == b"\x1f\x8b":
-        member = zlib.decompressobj(31)
-        plain = member.decompress(data)
-        yield from parsed(plain)
-        data = member.unused_data
+    compressed members, each of whole records."""
+    if data[:2] == GZIP:
+        for plain in members(data):
+            yield from parsed(plain)
+        return
     at = 0
     while (at := data.find(b"WARC/1.", at)) >= 0:
         end = data.find(b"\r\n\r\n", at)

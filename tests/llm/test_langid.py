@@ -86,3 +86,12 @@ def test_held_out_accuracy(spark):
     got = langid.op5_rank_order_langid(spark, "/root/testdata/sf0.01").join(docs, "doc_id").where("held_out")
     right, n = got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double")), F.count("*")).first()
     assert n > 150 and right > 0.93
+
+
+def test_windows_change_nothing(monkeypatch):
+    text = "Ein Text — mit einigen Wörtern, 12 Zahlen und sehrlangenwörternohneende" * 3
+    whole = [x.tolist() for x in langid.grams(text)]
+    for size in (1, 2, 7, 10, 33):
+        monkeypatch.setattr(langid, "WINDOW", size)
+        assert "".join(langid.windows(text)) == text
+        assert [x.tolist() for x in langid.grams(text)] == whole

@@ -62,9 +62,23 @@ def test_stages_keep_columns_and_take_odd_tables(spark):
             assert out.count() <= (2 if name == "mixing" else 1) * table.count()
 
 
+def test_mixing_keeps_order_and_clashing_columns(spark):
+    rows = [(i, "some words " * (1 + i % 3), "en", "ab"[i % 4 == 0], 10, 7.5 + i, 100 + i, "p") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, weight double, epoch int, position string")
+    out = corpus_pipeline.mixed(spark, docs, SF)
+    assert out.columns == docs.columns
+    got = out.collect()
+    assert all((r.weight, r.epoch, r.position) == (7.5 + r.doc_id, 100 + r.doc_id, "p") for r in got)
+    places = {}
+    for r in mixing.mix(docs.drop("weight", "epoch", "position")).collect():
+        places.setdefault(r.doc_id, []).append(r.position)
+    want = [i for _, i in sorted((p, i) for i, ps in places.items() for p in ps)]
+    assert [r.doc_id for r in got] == want
+
+
 def test_all_queries_are_registered():
     names = list(__spark_entry__.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names and set(__spark_entry__.oracle_sql()) <= set(names)
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "exact dedup", "near dedup", "mixing", "bpe"]
