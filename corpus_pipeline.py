@@ -5,7 +5,7 @@ Each stage takes ``(spark, docs, sf_dir)``; its result is written as Parquet to
 the cluster's shared checkpoint folder and reread as the next one's ``docs``.
 All but the last return the columns of ``documents``. After the mixing stage a
 document comes as often as its source's weight calls for (once at least), and the
-rows of its files and of the encoded table are in the order of the mix.
+rows of each file are in the order of the mix.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import bpe, exactdedup, mixing, neardup, toxicity
-from shelfcast.llm.common import partitions, table, written
+from shelfcast.llm.common import table, written
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,13 +30,13 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixed rows, in the order of their places in the block permutations. The
-    mixer sees the columns under other names, so that none of its own replaces one."""
+    """The mixed rows. Blocks are dealt over the files by a hash, so that each file
+    has the sources at their weights; its rows lie in the order of their places in
+    the block permutations. The mixer sees the columns under other names, so that
+    none of its own replaces one."""
     own = {c: f"doc_{i}" for i, c in enumerate(docs.columns)}
     rows = mixing.mix(docs.withColumnsRenamed(own), own["text"], own["source"], own["doc_id"])
-    return (rows.repartitionByRange(partitions(spark), "position", own["doc_id"])
-            .sortWithinPartitions("position", own["doc_id"])
-            .select(*[F.col(new).alias(old) for old, new in own.items()]))
+    return rows.sortWithinPartitions("position", own["doc_id"]).select(*[F.col(new).alias(old) for old, new in own.items()])
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
