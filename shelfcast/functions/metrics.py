@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.session import cut_lineage
+
 
 def squared_log_error(y: Column | str, p: Column | str) -> Column:
     """(log1p(max(p, 0)) - log1p(y))^2; only the prediction is clipped."""
@@ -23,25 +25,24 @@ def rmsle_by(df: DataFrame, y: str, p: str, by: list[str]) -> DataFrame:
     return df.groupBy(*by).agg(rmsle(y, p).alias("rmsle"), F.count(F.lit(1)).alias("n"))
 
 
-BUCKETS = 1024
+def range_buckets(df: DataFrame, order: list[str]) -> DataFrame:
+    """``df`` cut into ranges of the columns ``order``, whose bounds Spark samples
+    from the rows: ``_bucket`` numbers them upwards. The ranges hold about equally
+    many rows however the values are spread. The table is checkpointed, so every
+    reader sees the same bounds."""
+    return cut_lineage(df.repartitionByRange(*order).withColumn("_bucket", F.spark_partition_id()))
 
 
 def counts_before(per_value: DataFrame, value: str, count: str, by: list[str] = ()) -> DataFrame:
     """Adds ``before``: how many rows of the group have a smaller value.
 
-    ``per_value`` has one row per group and value. The values of a group are cut
-    into ``BUCKETS`` ranges between its smallest and largest one; each range is a
-    window of its own, and only the totals of the ranges are added up in one
-    place, so no task sees all values.
+    ``per_value`` has one row per group and value. The rows are cut into ranges
+    by sampled bounds; each range is a window of its own, and only the totals of
+    the ranges are added up in one place, so no task sees all values.
     """
     by = list(by)
-    staged = per_value if by else per_value.withColumn("_g", F.lit(0))
+    placed = range_buckets(per_value if by else per_value.withColumn("_g", F.lit(0)), [*by, value])
     by = by or ["_g"]
-    ends = staged.groupBy(*by).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    share = F.try_divide(F.col(value) - F.col("_lo"), F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0)))
-    bucket = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
-    # one row a group on the right: Spark broadcasts it by its size
-    placed = staged.join(ends, by).withColumn("_bucket", bucket).drop("_lo", "_hi")
     order = Window.partitionBy(*by).orderBy("_bucket")
     totals = placed.groupBy(*by, "_bucket").agg(F.sum(count).alias("_sum")).select(
         *by, "_bucket", (F.sum("_sum").over(order) - F.col("_sum")).alias("_offset"))
@@ -59,7 +60,7 @@ def quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] = ())
     per_value = df.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("_v")).agg(
         F.count(F.lit(1)).alias("_n"))
     ranked = counts_before(per_value, "_v", "_n", by)
-    size = per_value.groupBy(*by).agg(F.sum("_n").alias("_all"))
+    size = ranked.groupBy(*by).agg(F.sum("_n").alias("_all"))
     ranked = ranked.join(size, by) if by else ranked.withColumn("_all", size.select("_all").scalar())
 
     def at(rank):

@@ -27,6 +27,9 @@ EXPANDING_MIN_OBS = 7
 SAME_DOW_LAGS = [(3, 21), (4, 28), (8, 56), (52, 364)]
 SAME_DOW_MEAN_WEEKS = [3, 4, 5, 6]
 
+# rows that a sliding frame adds up before runs are doubled
+FRAME_ROWS = 32
+
 
 def series_window(keys: Sequence[str] = SERIES_KEYS, date_col: str = "date") -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(date_col)
@@ -52,6 +55,79 @@ def frame_mean(col: str, w: WindowSpec, shift: int, length: int | None, min_obs:
     return mean if min_obs <= 1 else F.when(F.count(x).over(frame) >= min_obs, mean)
 
 
+def _joined(parts: Sequence[Column], ends: bool) -> Column:
+    """Statistics of adjoining runs of rows from those of each (null: no rows).
+    The squared deviations of the whole are those inside the runs plus those of
+    the runs' means: additions of what isn't negative, so no digits are lost."""
+    n = sum((F.coalesce(p["n"], F.lit(0)) for p in parts), F.lit(0))
+    s = sum((F.coalesce(p["s"], F.lit(0.0)) for p in parts), F.lit(0.0))
+    mean = F.try_divide(s, F.nullif(n, F.lit(0)))
+    q = sum((F.coalesce(p["q"] + p["n"] * F.pow(F.try_divide(p["s"], F.nullif(p["n"], F.lit(0))) - mean, F.lit(2.0)),
+                        F.lit(0.0)) for p in parts), F.lit(0.0))
+    out = [n.alias("n"), s.alias("s"), q.alias("q")]
+    if ends:
+        pick = (lambda f, k: f(*[p[k] for p in parts])) if len(parts) > 1 else lambda f, k: parts[0][k]
+        out += [pick(F.least, "lo").alias("lo"), pick(F.greatest, "hi").alias("hi")]
+    return F.struct(*out)
+
+
+def stat_mean(part: Column) -> Column:
+    return F.try_divide(part["s"], F.nullif(part["n"], F.lit(0)))
+
+
+def stat_std(part: Column) -> Column:
+    """Sample deviation, null below two observations."""
+    return F.when(part["n"] > 1, F.sqrt(part["q"] / (part["n"] - 1)))
+
+
+def add_window_statistics(df: DataFrame, target: str, windows: Sequence[int], shift: int = SAFE_SHIFT,
+                          keys: Sequence[str] = SERIES_KEYS, date_col: str = "date",
+                          ends: bool = False) -> DataFrame:
+    """``_stat_{n}`` for each window length: a struct of the number of values
+    ``n``, their sum ``s``, squared deviations ``q`` and, with ``ends``, smallest
+    ``lo`` and largest ``hi`` over the ``n`` rows that end ``shift`` rows back.
+
+    By doubling: the statistics of 2^k frames of ``FRAME_ROWS`` rows come from two
+    of 2^(k-1), one of them ``lag``ged; a window is put together from the runs of
+    the binary digits of its length in frames, and a sliding frame for the rest.
+    That is O(log n) a row, where a sliding frame is O(n), and one pass over the
+    sorted series a doubling, all with the same exchange and sort. A pass costs as
+    much as a frame of some dozens of rows, so windows below ``FRAME_ROWS`` are
+    plain sliding frames.
+    """
+    w = series_window(keys, date_col)
+    x = F.col(target).cast("double")
+
+    def framed(back: int, length: int) -> Column:
+        f = shifted_frame(w, back, length)
+        cols = [F.count(x).over(f).alias("n"), F.coalesce(F.sum(x).over(f), F.lit(0.0)).alias("s"),
+                F.coalesce(F.var_pop(x).over(f) * F.count(x).over(f), F.lit(0.0)).alias("q")]
+        return F.struct(*cols, *([F.min(x).over(f).alias("lo"), F.max(x).over(f).alias("hi")] if ends else []))
+
+    levels = max(n // FRAME_ROWS for n in windows).bit_length()
+    first, parts = {}, {n: [] for n in windows}
+    if levels:
+        first["_run_0"] = framed(0, FRAME_ROWS)
+    lagged = {}
+    for n in windows:
+        back = shift
+        for k in reversed(range(levels)):
+            if n // FRAME_ROWS >> k & 1:
+                lagged[f"_at_{k}_{back}"] = F.lag(f"_run_{k}", back).over(w)
+                parts[n].append(F.col(f"_at_{k}_{back}"))
+                back += FRAME_ROWS * 2 ** k
+        if n % FRAME_ROWS:
+            first[f"_rest_{n}"] = framed(back, n % FRAME_ROWS)
+            parts[n].append(F.col(f"_rest_{n}"))
+    out = df.withColumns(first)
+    for k in range(1, levels):
+        near, far = F.col(f"_run_{k - 1}"), F.col("_far")
+        out = out.withColumn("_far", F.lag(f"_run_{k - 1}", FRAME_ROWS * 2 ** (k - 1)).over(w))
+        out = out.withColumn(f"_run_{k}", _joined([near, far], ends)).drop("_far")
+    out = out.withColumns(lagged) if lagged else out
+    return out.select(*df.columns, *[_joined(parts[n], ends).alias(f"_stat_{n}") for n in windows])
+
+
 def lag_columns(target: str, lags: Iterable[int], w: WindowSpec,
                 name: str = "{t}_lag_{k}") -> list[Column]:
     return [F.lag(target, k).over(w).alias(name.format(t=target, k=k)) for k in lags]
@@ -123,16 +199,15 @@ def add_rolling_minmax(df: DataFrame, target: str = "sales",
                        windows: Sequence[int] = (7, 28, 365), shift: int = SAFE_SHIFT,
                        keys: Sequence[str] = SERIES_KEYS, date_col: str = "date") -> DataFrame:
     """Shifted rolling min / max and the coefficient of variation."""
-    w = series_window(keys, date_col)
+    stats = add_window_statistics(df, target, windows, shift, keys, date_col, ends=True)
     cols = []
     for n in windows:
-        frame = shifted_frame(w, shift, n)
-        cols += [F.min(target).over(frame).alias(f"{target}_rolling_min_{n}"),
-                 F.max(target).over(frame).alias(f"{target}_rolling_max_{n}"),
-                 F.try_divide(std_samp(target, frame),
-                              F.nullif(F.avg(target).over(frame), F.lit(0.0)))
+        part = F.col(f"_stat_{n}")
+        cols += [part["lo"].alias(f"{target}_rolling_min_{n}"),
+                 part["hi"].alias(f"{target}_rolling_max_{n}"),
+                 F.try_divide(stat_std(part), F.nullif(stat_mean(part), F.lit(0.0)))
                  .alias(f"{target}_rolling_cv_{n}")]
-    return df.select("*", *cols)
+    return stats.select(*df.columns, *cols)
 
 
 def promo_run_length(col: str, w: WindowSpec, predicate: str = "eq1") -> Column:

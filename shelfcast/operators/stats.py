@@ -8,12 +8,16 @@ measured size is below the broadcast threshold and otherwise shuffles.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from typing import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.moments import std_samp
+from shelfcast.operators.series import SAFE_SHIFT
 
 RECENT_DAYS = 90
+SMOOTHING = 1.0          # rows that the prior counts for
 DOW = "_dow"
 
 # name -> (keys, [(output column, aggregate kind)]) ; kinds: mean std median q25 q75 zero
@@ -138,3 +142,42 @@ def _merged_by_keys(stats: dict[str, DataFrame]) -> dict[tuple, DataFrame]:
 
 def stat_columns() -> list[str]:
     return [c for _k, aggs in STAT_SPECS.values() for c, _kind in aggs]
+
+
+def ordered_name(keys: Sequence[str]) -> str:
+    return "ordered_" + "_x_".join(keys)
+
+
+def ordered_category_stats(df: DataFrame, categories: Sequence[Sequence[str]], target: str = "sales",
+                           date_col: str = "date", gap: int = SAFE_SHIFT, smoothing: float = SMOOTHING) -> DataFrame:
+    """Each category set's mean target over earlier rows only, in time order,
+    drawn towards the mean of all earlier rows: ``(sum + smoothing * prior) /
+    (count + smoothing)`` as ``ordered_<names>``.
+
+    Earlier are the rows ``gap`` days back and more, so a row's value holds
+    neither its own target nor any that is unknown when a horizon row is
+    predicted. Rows without a target count for nothing; a row without earlier
+    ones has null; a null category has the prior.
+
+    Rows are added up to one a category and day before anything moves; running
+    sums are windows over those, one a category, as long as there are days.
+    The prior is one row a day, hence the broadcast.
+    """
+    y = F.col(target).cast("double")
+    day = F.unix_date(F.col(date_col))
+
+    def earlier(keys: Sequence[str]) -> list[Column]:
+        w = Window.partitionBy(*keys).orderBy(day).rangeBetween(Window.unboundedPreceding, -gap)
+        return [F.sum("_s").over(w), F.sum("_n").over(w)]
+
+    daily = df.groupBy(date_col).agg(F.sum(y).alias("_s"), F.count(y).alias("_n"))
+    s, n = earlier([])
+    prior = daily.select(date_col, F.try_divide(s, F.nullif(n, F.lit(0))).alias("_prior"))
+    out = df.join(F.broadcast(prior), date_col, "left")
+    for keys in categories:
+        sums = df.groupBy(*keys, date_col).agg(F.sum(y).alias("_s"), F.count(y).alias("_n"))
+        s, n = earlier(keys)
+        out = out.join(sums.select(*keys, date_col, s.alias("_es"), n.alias("_en")), [*keys, date_col], "left")
+        total, count = F.coalesce("_es", F.lit(0.0)), F.coalesce("_en", F.lit(0))
+        out = out.withColumn(ordered_name(keys), (total + smoothing * F.col("_prior")) / (count + smoothing)).drop("_es", "_en")
+    return out.drop("_prior")

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.metrics import rmsle
 from shelfcast.operators import forecast as fc
+from shelfcast.operators import stats
 from shelfcast.operators.folds import holdout_bounds
 from shelfcast.operators.series import series_window, shifted_frame
 from shelfcast.plans import blend_solver as blend_search
@@ -32,6 +33,7 @@ from shelfcast.plans.catalog import register
 from shelfcast.plans.oracle import sql
 from shelfcast.plans.q_forecast import holdout_frame
 from shelfcast.plans.q_grains import tx_feature_frame
+from shelfcast.plans.q_stats import ORDERED, ordered_category_stats
 from shelfcast.session import cut_lineage, ensure_checkpoint_dir, session_table
 
 KEY = ["store_nbr", "family", "date"]
@@ -95,6 +97,18 @@ def fit_gbt_raw(src):
     return ml.predict_clipped(ml.fit_gbt_raw(md, max_iter=15), md.valid)
 
 
+@register("fit_gbt_ordered")
+def fit_gbt_ordered(src):
+    """Boosted trees on raw sales whose categories enter as ordered target
+    statistics, not as sets of values: validation predictions."""
+    md = data(src)
+    names = [stats.ordered_name(c) for c in ORDERED]
+    encoded = cut_lineage(ordered_category_stats(src).fillna(0.0, names))
+    train, valid = (rows.join(encoded, KEY, "left") for rows in (md.train, md.valid))
+    model = ml.gbt_pipeline([*md.features, *names], "sales", max_iter=15).fit(train)
+    return ml.predict_clipped(model, valid)
+
+
 @register("fit_zero_classifier")
 def fit_zero_classifier(src):
     """Class-weighted logistic classifier of non-zero sales; P(non-zero) per validation row."""
@@ -225,7 +239,9 @@ def fit_per_horizon(src):
                  F.avg("sales").over(shifted_frame(w, h, 7)).alias(f"mean7_{h}"),
                  F.avg("sales").over(shifted_frame(w, h, 28)).alias(f"mean28_{h}"),
                  F.lag("sales", dow_lag).over(w).alias(f"dowlag_{h}")]
-    feats = m.panel.select(*KEY, "sales", *cols).fillna(0.0)
+    # the longest look back is 16 + 27 days
+    recent = m.panel.filter(F.col("date") >= F.date_sub(fit_end, 730 + 43))
+    feats = recent.select(*KEY, "sales", *cols).fillna(0.0)
     feats = cut_lineage(feats.filter(F.col("date") >= F.date_sub(fit_end, 730)))
     train = feats.filter((F.col("date") <= fit_end) & F.col("sales").isNotNull())
 

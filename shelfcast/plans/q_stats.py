@@ -13,23 +13,33 @@ TR = """
          FROM train t JOIN stores s USING (store_nbr) WHERE t.sales IS NOT NULL),
 rc AS (SELECT * FROM tr WHERE date >= (SELECT MAX(date) FROM tr) - 90)"""
 
-KIND_SQL = {
-    "mean": "ROUND(AVG(sales), 6)",
-    "std": "ROUND(STDDEV_SAMP(sales), 6)",
-    "median": "ROUND(quantile_cont(sales, 0.5), 6)",
-    "q25": "ROUND(quantile_cont(sales, 0.25), 6)",
-    "q75": "ROUND(quantile_cont(sales, 0.75), 6)",
-    "zero": "ROUND(AVG(CAST(sales = 0 AS DOUBLE)), 6)",
+STAT_SQL = {
+    "store_family": """SELECT store_nbr, family, ROUND(AVG(sales), 6) AS sf_mean,
+  ROUND(quantile_cont(sales, 0.5), 6) AS sf_median, ROUND(STDDEV_SAMP(sales), 6) AS sf_std,
+  ROUND(quantile_cont(sales, 0.25), 6) AS sf_q25, ROUND(quantile_cont(sales, 0.75), 6) AS sf_q75
+FROM tr GROUP BY store_nbr, family""",
+    "store_family_zero": """SELECT store_nbr, family,
+  ROUND(SUM(CASE WHEN sales = 0 THEN 1.0 ELSE 0.0 END) / COUNT(*), 6) AS sf_zero_ratio
+FROM tr GROUP BY store_nbr, family""",
+    "store_family_dow": """SELECT store_nbr, family, _dow, ROUND(AVG(sales), 6) AS sf_dow_mean
+FROM tr GROUP BY store_nbr, family, _dow""",
+    "family": """SELECT family, ROUND(AVG(sales), 6) AS family_mean, ROUND(STDDEV_SAMP(sales), 6) AS family_std
+FROM tr GROUP BY family""",
+    "family_dow": "SELECT family, _dow, ROUND(AVG(sales), 6) AS family_dow_mean FROM tr GROUP BY family, _dow",
+    "store": """SELECT store_nbr, ROUND(AVG(sales), 6) AS store_mean, ROUND(STDDEV_SAMP(sales), 6) AS store_std
+FROM tr GROUP BY store_nbr""",
+    "store_dow": "SELECT store_nbr, _dow, ROUND(AVG(sales), 6) AS store_dow_mean FROM tr GROUP BY store_nbr, _dow",
+    "store_family_recent": """SELECT store_nbr, family, ROUND(AVG(sales), 6) AS sf_recent_mean,
+  ROUND(STDDEV_SAMP(sales), 6) AS sf_recent_std
+FROM rc GROUP BY store_nbr, family""",
+    "store_family_dow_recent": """SELECT store_nbr, family, _dow, ROUND(AVG(sales), 6) AS sf_dow_recent_mean
+FROM rc GROUP BY store_nbr, family, _dow""",
+    "cluster_family": """SELECT cluster, family, ROUND(AVG(sales), 6) AS cluster_family_mean,
+  ROUND(STDDEV_SAMP(sales), 6) AS cluster_family_std
+FROM tr GROUP BY cluster, family""",
 }
 
 
-def stat_sql(name: str) -> str:
-    keys, aggs = stats.STAT_SPECS[name]
-    src = "rc" if name in stats.RECENT else "tr"
-    cols = ", ".join(f"{KIND_SQL[kind]} AS {col}" for col, kind in aggs)
-    return f"SELECT {', '.join(keys)}, {cols} FROM {src} GROUP BY {', '.join(keys)}"
-
-
 def fitted(src):
     """Statistics fitted on the training rows (cluster from the store table)."""
     train = src.train_rows().join(src.stores.select("store_nbr", "cluster"), "store_nbr", "left")
@@ -40,7 +50,7 @@ def _make(name: str, key: str, doc: str):
     def q(src):
         return fitted(src)[name]
     q.__doc__ = doc
-    register(key, sql(TR + "\n" + stat_sql(name)))(q)
+    register(key, sql(TR + "\n" + STAT_SQL[name]))(q)
 
 
 _make("store_family", "stats_store_family",
@@ -56,20 +66,26 @@ _make("store_family_dow_recent", "stats_recent_dow", "Per series and weekday mea
 _make("cluster_family", "stats_cluster_family", "Per cluster and family mean and std.")
 
 
-def _applied_sql() -> str:
-    ctes, joins, cols = [], [], []
-    for i, (name, (keys, aggs)) in enumerate(stats.STAT_SPECS.items()):
-        ctes.append(f"s{i} AS ({stat_sql(name)})")
-        cond = " AND ".join(f"s{i}.{k} = p.{k}" for k in keys)
-        joins.append(f"LEFT JOIN s{i} ON {cond}")
-        cols += [f"s{i}.{c}" for c, _k in aggs]
-    return (TR + ",\n" + ",\n".join(ctes) + """,
+APPLIED_SQL = TR + ",\n" + ",\n".join(f"st_{name} AS ({text})" for name, text in STAT_SQL.items()) + """,
 p AS (SELECT q.store_nbr, q.family, q.date, s.cluster, CAST(isodow(q.date) - 1 AS INTEGER) AS _dow
       FROM panel q JOIN stores s USING (store_nbr))
-SELECT p.store_nbr, p.family, p.date, """ + ", ".join(cols) + "\nFROM p " + "\n".join(joins))
-
-
-@register("target_stats_applied", sql(_applied_sql()))
+SELECT p.store_nbr, p.family, p.date, sf_mean, sf_median, sf_std, sf_q25, sf_q75, sf_zero_ratio, sf_dow_mean,
+  family_mean, family_std, family_dow_mean, store_mean, store_std, store_dow_mean, sf_recent_mean, sf_recent_std,
+  sf_dow_recent_mean, cluster_family_mean, cluster_family_std
+FROM p
+LEFT JOIN st_store_family USING (store_nbr, family)
+LEFT JOIN st_store_family_zero USING (store_nbr, family)
+LEFT JOIN st_store_family_dow USING (store_nbr, family, _dow)
+LEFT JOIN st_family USING (family)
+LEFT JOIN st_family_dow USING (family, _dow)
+LEFT JOIN st_store USING (store_nbr)
+LEFT JOIN st_store_dow USING (store_nbr, _dow)
+LEFT JOIN st_store_family_recent USING (store_nbr, family)
+LEFT JOIN st_store_family_dow_recent USING (store_nbr, family, _dow)
+LEFT JOIN st_cluster_family USING (cluster, family)"""
+
+
+@register("target_stats_applied", sql(APPLIED_SQL))
 def target_stats_applied(src):
     """Every panel row (train and horizon) with the 18 fitted statistics."""
     src = src.materialized()
@@ -78,3 +94,44 @@ def target_stats_applied(src):
         src.stores.select("store_nbr", "cluster"), "store_nbr", "left")
     return stats.apply_target_stats(p, st).select(
         "store_nbr", "family", "date", *stats.stat_columns())
+
+
+ORDERED = [("family",), ("store_type",), ("cluster",), ("city",), ("state",),
+           ("family", "store_type"), ("family", "cluster"), ("family", stats.DOW)]
+BEFORE = "ORDER BY date RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 16 DAYS PRECEDING"
+
+
+@register("ordered_category_stats", sql(f"""
+, p AS (SELECT q.*, s.store_type, s.cluster, s.city, s.state, CAST(isodow(q.date) - 1 AS INTEGER) AS _dow
+        FROM panel q JOIN stores s USING (store_nbr)),
+before AS (SELECT *, AVG(sales) OVER ({BEFORE}) AS prior,
+  SUM(sales) OVER f AS sum_f, COUNT(sales) OVER f AS n_f,
+  SUM(sales) OVER st AS sum_st, COUNT(sales) OVER st AS n_st,
+  SUM(sales) OVER cl AS sum_cl, COUNT(sales) OVER cl AS n_cl,
+  SUM(sales) OVER ci AS sum_ci, COUNT(sales) OVER ci AS n_ci,
+  SUM(sales) OVER sa AS sum_sa, COUNT(sales) OVER sa AS n_sa,
+  SUM(sales) OVER fst AS sum_fst, COUNT(sales) OVER fst AS n_fst,
+  SUM(sales) OVER fcl AS sum_fcl, COUNT(sales) OVER fcl AS n_fcl,
+  SUM(sales) OVER fd AS sum_fd, COUNT(sales) OVER fd AS n_fd
+  FROM p WINDOW f AS (PARTITION BY family {BEFORE}), st AS (PARTITION BY store_type {BEFORE}),
+    cl AS (PARTITION BY cluster {BEFORE}), ci AS (PARTITION BY city {BEFORE}), sa AS (PARTITION BY state {BEFORE}),
+    fst AS (PARTITION BY family, store_type {BEFORE}), fcl AS (PARTITION BY family, cluster {BEFORE}),
+    fd AS (PARTITION BY family, _dow {BEFORE}))
+SELECT store_nbr, family, date,
+  ROUND((COALESCE(sum_f, 0) + prior) / (n_f + 1), 6) AS ordered_family,
+  ROUND((COALESCE(sum_st, 0) + prior) / (n_st + 1), 6) AS ordered_store_type,
+  ROUND((COALESCE(sum_cl, 0) + prior) / (n_cl + 1), 6) AS ordered_cluster,
+  ROUND((COALESCE(sum_ci, 0) + prior) / (n_ci + 1), 6) AS ordered_city,
+  ROUND((COALESCE(sum_sa, 0) + prior) / (n_sa + 1), 6) AS ordered_state,
+  ROUND((COALESCE(sum_fst, 0) + prior) / (n_fst + 1), 6) AS ordered_family_x_store_type,
+  ROUND((COALESCE(sum_fcl, 0) + prior) / (n_fcl + 1), 6) AS ordered_family_x_cluster,
+  ROUND((COALESCE(sum_fd, 0) + prior) / (n_fd + 1), 6) AS "ordered_family_x__dow"
+FROM before"""))
+def ordered_category_stats(src):
+    """Ordered target statistics of the categories and their crosses: means over
+    rows at least 16 days earlier, for every panel row (train and horizon)."""
+    src = src.materialized()
+    rows = (src.panel.select("store_nbr", "family", "date", "sales").join(src.stores, "store_nbr", "left")
+            .withColumn(stats.DOW, F.weekday("date")))
+    return stats.ordered_category_stats(rows, ORDERED).select(
+        "store_nbr", "family", "date", *map(stats.ordered_name, ORDERED))

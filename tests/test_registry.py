@@ -18,7 +18,7 @@ SAMPLE = ["scan_sales", "merged_panel", "lag_features", "rolling_features", "pro
           "stats_store_family", "target_stats_applied", "blend_grid_alpha", "hurdle_select", "auc",
           "eda_oil_corr", "eda_promo_impact", "ts_fold_counts", "tx_forecast_grid", "submission",
           "hurdle_hard", "low_method_selection", "holdout_roles", "category_encoded", "score_table",
-          "tx_forecast_features", "prediction_quartiles", "eda_describe"]
+          "tx_forecast_features", "prediction_quartiles", "eda_describe", "rolling_minmax", "ordered_category_stats"]
 
 
 def _norm(v):
