@@ -18,11 +18,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import table
+from shelfcast.llm.common import partitions, table, written
 
 WIDTH = 5
 K = 128
-BUCKET_ROWS, MOST_BUCKETS = 512, 65_536
+STEP = 64
 
 
 def sketch(text: Column) -> Column:
@@ -88,39 +88,60 @@ def parsed(text: Column) -> Column:
         lambda i: F.shiftleft(half(i * 16 + 1), 32).bitwiseOR(half(i * 16 + 9))))
 
 
-def with_next(df: DataFrame, ident: str, columns: list[str]) -> DataFrame:
-    """``df`` with ``next_<column>`` of the row with the next smaller identifier
-    (of the largest one after the smallest; null identifiers come last, rows of
-    one identifier in the order of a hash).
-
-    Rows are dealt into ranges of identifiers, at most ``MOST_BUCKETS``; each
-    range is one window, and gets as a guest row the first row of the next
-    range. Only the numbers of ranges are put in order in one place.
+def _bounds(keys: DataFrame) -> DataFrame:
+    """One row: the smallest keys of as many ranges as a shuffle has partitions,
+    ascending (``bounds``), and every ``STEP``-th of them (``steps``). Spark's range
+    partitioning samples the keys; what it found is written, so all readers see
+    the same ranges."""
+    parts = partitions(keys.sparkSession)
+    lows = keys.repartitionByRange(parts, "_nx_key").groupBy(F.spark_partition_id()).agg(F.min("_nx_key").alias("low"))
+    bounds = lows.agg(F.sort_array(F.collect_list("low")).alias("bounds"))       # one a partition at most
+    return written(bounds.withColumn("steps", F.expr(f"filter(bounds, (b, i) -> i % {STEP} = 0)")), "ranges", per_core=1)
+
+
+def _in_ranges(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` with ``_nx_bucket``, the number of the range that ``_nx_key`` lies
+    in: among every ``STEP``-th bound first, then among the ``STEP`` that follow."""
+    key = F.col("_nx_key")
+    held = rows.withColumns({f"_nx_{c}": found.select(c).scalar() for c in ("bounds", "steps")})
+    held = held.withColumn("_nx_base", (F.size(F.filter("_nx_steps", lambda b: b <= key)) - 1) * STEP)
+    within = F.filter(F.slice("_nx_bounds", F.col("_nx_base") + 1, F.lit(STEP)), lambda b: b <= key)
+    return held.withColumn("_nx_bucket", F.col("_nx_base") + F.size(within)).drop("_nx_bounds", "_nx_steps", "_nx_base")
+
+
+def with_next(df: DataFrame, ident: str, columns: list[str], derived: dict[str, Column] | None = None) -> DataFrame:
+    """``df`` with ``derived`` columns, and with ``next_<column>`` for ``columns``
+    and the derived ones, of the row with the next smaller identifier (of the
+    largest one after the smallest; null identifiers come last, rows of one
+    identifier in the order of a hash of ``columns``). Identifiers may be of any
+    type that has an order.
+
+    Rows are dealt into ranges by sampled bounds; each range is one window, and
+    gets as a guest row the first row of the next range. Only one row a range is
+    put in order in one place. ``derived`` is computed once a row, after that.
     """
-    low, high, n = df.agg(F.min(ident), F.max(ident), F.count("*")).first()
-    buckets = min(MOST_BUCKETS, -(-n // BUCKET_ROWS)) or 1
-    width = (float(high) - float(low) + 1) / buckets if low is not None else 1.0
-    bucket = F.coalesce(F.floor((F.col(ident) - F.lit(low or 0)) / F.lit(width)).cast("int"), F.lit(-1))
-    tie = F.xxhash64(*columns)
-    rows = df.withColumn("_nx_bucket", bucket)
-    heads = rows.groupBy("_nx_bucket").agg(F.max_by(F.struct(*df.columns), F.struct(ident, F.bitwise_not(tie))).alias("_nx_row"))
-    numbers = rows.select("_nx_bucket").distinct()
-    order = Window.orderBy(F.col("_nx_bucket").desc())
-    following = numbers.select(F.col("_nx_bucket").alias("_nx_to"), F.coalesce(
-        F.lead("_nx_bucket").over(order), F.max("_nx_bucket").over(order.rowsBetween(
-            Window.unboundedPreceding, Window.unboundedFollowing))).alias("_nx_bucket"))
-    guests = heads.join(following, "_nx_bucket").select("_nx_row.*", F.col("_nx_to").alias("_nx_bucket"),
-                                                        F.lit(True).alias("_nx_guest"))
-    along = Window.partitionBy("_nx_bucket").orderBy("_nx_guest", F.col(ident).desc_nulls_last(), tie)
-    return (rows.withColumn("_nx_guest", F.lit(False)).unionByName(guests)
-            .withColumns({f"next_{c}": F.lead(c).over(along) for c in columns})
-            .where(~F.col("_nx_guest")).drop("_nx_bucket", "_nx_guest"))
+    derived = derived or {}
+    # ascending keys are descending rows, read backwards
+    keyed = df.withColumn("_nx_key", F.struct(F.col(ident).alias("id"), F.bitwise_not(F.xxhash64(*columns)).alias("tie")))
+    rows = _in_ranges(keyed, _bounds(keyed.select("_nx_key")))
+    heads = rows.groupBy("_nx_bucket").agg(F.max("_nx_key").alias("_nx_head"))
+    upwards = Window.orderBy("_nx_bucket")
+    # the range above a head's; the smallest range is followed by the largest's head
+    links = heads.select("_nx_bucket", "_nx_head", F.coalesce(
+        F.lead("_nx_bucket").over(upwards), F.min("_nx_bucket").over(upwards)).alias("_nx_to"))
+    guests = (rows.join(F.broadcast(links), "_nx_bucket")                        # one row a range
+              .where(F.col("_nx_key").eqNullSafe(F.col("_nx_head"))).dropDuplicates(["_nx_to"])
+              .drop("_nx_bucket", "_nx_head").withColumnRenamed("_nx_to", "_nx_bucket").withColumn("_nx_guest", F.lit(True)))
+    along = Window.partitionBy("_nx_bucket").orderBy("_nx_guest", F.col("_nx_key").desc())
+    return (rows.withColumn("_nx_guest", F.lit(False)).unionByName(guests).withColumns(derived)
+            .withColumns({f"next_{c}": F.lead(c).over(along) for c in [*columns, *derived]})
+            .where(~F.col("_nx_guest")).drop("_nx_bucket", "_nx_guest", "_nx_key"))
 
 
 def op7_bottom_k_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = with_next(docs.withColumn("sketch", sketch(F.col("text"))), "doc_id", ["text", "sketch"])
+    rows = with_next(docs, "doc_id", ["text"], {"sketch": sketch(F.col("text"))})
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))

@@ -40,8 +40,7 @@ def likeness(a, b):
     return 1.0 if not union else len(set(union) & set(a) & set(b)) / len(union)
 
 
-def test_query_on_a_fixture(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(fp, "BUCKET_ROWS", 4)
+def test_query_on_a_fixture(spark, tmp_path):
     rng = random.Random(4)
     texts = {}
     for i in rng.sample(range(5000), 40):
@@ -93,3 +92,34 @@ def test_odd_tables(spark, tmp_path):
     assert r.near_next == 1.0
     plan = fp.op7_bottom_k_fingerprints(spark, f"{tmp_path}/a")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("step", [2, 64])
+def test_next_row_of_any_identifiers(spark, monkeypatch, step):
+    """Texts as identifiers, one outlier, repeated identifiers, more ranges than a step holds."""
+    monkeypatch.setattr(fp, "STEP", step)
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        ids = [*range(300), 10**15]
+        for kind in ("long", "string"):
+            own = ids if kind == "long" else [f"doc-{i}" for i in ids]
+            df = spark.createDataFrame([(i, f"text of {i}") for i in own], f"key {kind}, text string")
+            got = {r.key: r for r in fp.with_next(df, "key", ["text"], {"long": F.upper("text")}).collect()}
+            order = sorted(own, reverse=True)
+            assert len(got) == len(own)
+            for at, i in enumerate(order):
+                after = f"text of {order[(at + 1) % len(order)]}"
+                assert (got[i].next_text, got[i].next_long, got[i].long) == (after, after.upper(), f"text of {i}".upper())
+        twice = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (2, "c"), (None, "d")], "key int, text string")
+        rows = fp.with_next(twice, "key", ["text"]).collect()
+        assert sorted(r.next_text for r in rows) == ["a", "b", "b", "c", "d"]
+        assert {r.text: r.next_text for r in rows}["d"] == "c"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_one_outlier_does_not_fill_one_range(spark):
+    df = spark.createDataFrame([(i, "t") for i in [*range(4000), 10**15]], "key long, text string")
+    keyed = df.select(F.struct(F.col("key").alias("id"), F.lit(0).cast("long").alias("tie")).alias("_nx_key"))
+    sizes = fp._in_ranges(keyed, fp._bounds(keyed)).groupBy("_nx_bucket").count().collect()
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 2400

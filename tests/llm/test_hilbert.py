@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from shelfcast.llm import hilbert
@@ -80,3 +81,61 @@ def test_texts_with_a_common_start_are_told_apart(spark):
     for name in names:
         assert hilbert.needed(zones, source=(name, name)).count() <= 24
     assert out.count() == 802
+
+
+def plain_index(point, bits):
+    """The curve's index of one point, bit by bit."""
+    x, n = list(point), len(point)
+    for level in reversed(range(1, bits)):
+        low = (1 << level) - 1
+        for d in range(n):
+            if x[d] >> level & 1:
+                x[0] ^= low
+            else:
+                swap = (x[0] ^ x[d]) & low
+                x[0], x[d] = x[0] ^ swap, x[d] ^ swap
+    for d in range(1, n):
+        x[d] ^= x[d - 1]
+    flip = 0
+    for level in range(1, bits):
+        if x[-1] >> level & 1:
+            flip ^= (1 << level) - 1
+    return int("".join(str((v ^ flip) >> b & 1) for b in reversed(range(bits)) for v in x), 2)
+
+
+def plain_cells(values, bits, text):
+    """Cells by exact quantiles: bounds are the values at each ``2 ** bits``-th part."""
+    known, cells = sorted(v for v in values if v is not None), 1 << bits
+    if text:
+        bounds = set()
+        for v in set(known):
+            upto = sum(w <= v for w in known)
+            if min(upto * cells // len(known), cells - 1) > (upto - known.count(v)) * cells // len(known):
+                bounds.add(v)
+    else:
+        bounds = {known[max(0, -(-len(known) * i // cells) - 1)] for i in range(1, cells)}
+    return [0 if v is None else sum(b < v for b in bounds) for v in values]
+
+
+def test_assignment_against_a_plain_version(spark, tmp_path):
+    rng = np.random.default_rng(17)
+    rows = [(int(i) * 3 + 1, "é" * int(rng.integers(0, 200)) if i % 40 else None,
+             None if i % 31 == 0 else f"src{int(rng.integers(0, 9)) ** 2 % 23}", ["en", "de", "fr", None][int(rng.integers(0, 4))])
+            for i in range(700)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.hilbert, r.shard, r.slot) for r in hilbert.op8_hilbert_shards(spark, str(tmp_path)).collect()}
+    sizes = [len((t or "").encode()) + 8 for _, t, _, _ in rows]
+    cells = list(zip(plain_cells([s and s.encode() for _, _, s, _ in rows], hilbert.BITS, True),
+                     plain_cells([g and g.encode() for *_, g in rows], hilbert.BITS, True),
+                     plain_cells(sizes, hilbert.BITS, False)))
+
+    def signed_hash(i):
+        h = xxhash.xxh64(i.to_bytes(8, "little"), seed=42).intdigest()
+        return h - (1 << 64) if h >> 63 else h
+
+    order = sorted((plain_index(c, hilbert.BITS), signed_hash(r[0]), r[0]) for c, r in zip(cells, rows))
+    n, taken = len(order), {}
+    for rank, (index, _, i) in enumerate(order):
+        shard = rank * hilbert.SHARDS // n
+        slot = taken[shard] = taken.get(shard, -1) + 1
+        assert got[i] == (index, shard, slot)

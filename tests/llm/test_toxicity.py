@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+import unicodedata
+
 import numpy as np
 import pytest
 
@@ -88,3 +91,41 @@ def test_long_texts_train_and_calibrate(spark):
     model, share = toxicity.fit_rows(df, spark.createDataFrame(labels, "doc_id long, toxic int"))
     got = {r.doc_id: r.score for r in toxicity.score(df, model).collect()}
     assert all((got[i] >= 0.5) == (i % 2 == 1) for i in range(160))
+
+
+def plain_score(model, text):
+    """The score by loops over words, n-grams and windows."""
+    values, factors = model.of_bucket().astype(float), [int(f) for f in toxicity._FACTORS]
+    words = "".join(c if unicodedata.category(c)[0] in "LMN" else " " for c in (text or "").lower()).split()
+    logits = []
+    for w in words:
+        marked, held = [32, *map(ord, w), 32], []
+        for n in toxicity.NGRAMS:
+            for i in range(len(marked) - n + 1):
+                h = sum(c * f for c, f in zip(marked[i:i + n], factors)) % 2**32
+                held.append(values[(((h ^ (h >> 15)) * 2654435769 + n) % 2**32) >> 14])
+        logits.append(sum(held) / len(held))
+    k = toxicity.WINDOW_WORDS
+    best = max((sum(logits[max(0, i - k + 1):i + 1]) / k for i in range(len(logits))), default=0.0)
+    return 1 / (1 + math.exp(-max(-40.0, min(40.0, model.slope * best + model.offset))))
+
+
+def test_scores_against_a_plain_version(spark, model):
+    own, texts, _ = model
+    odd = [None, "", " ", "!?", "a", "Ça  va\u0301 IDIOT!", "漢字 morons 12 😀 x-y_z", "ΟΔΟΣ ΣΑΣ", "river " * 30 + "stupidd " + "stone " * 30]
+    rows = list(enumerate(odd + texts[:120]))
+    got = {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), own).collect()}
+    for i, text in rows:
+        assert got[i] == pytest.approx(plain_score(own, text), abs=1e-5)
+
+
+def test_query_rows_against_a_plain_version(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    fitted, _ = toxicity.fit_rows(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    got = {r.doc_id: r for r in toxicity.op10_subword_toxicity(spark, folder).collect()}
+    texts = docs.collect()
+    assert len(got) == len(texts)
+    for r in texts:
+        assert got[r.doc_id].score == pytest.approx(plain_score(fitted, r.text), abs=1e-5)
+        assert got[r.doc_id].predicted == int(got[r.doc_id].score >= 0.5)
