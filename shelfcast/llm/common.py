@@ -81,6 +81,20 @@ def map_arrow(df: DataFrame, run, schema) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+HOT_KEYS = 1024
+
+
+def join_one(rows: DataFrame, one: DataFrame, key: str, total: int, freq: str = "freq") -> DataFrame:
+    """``rows`` joined with ``one``, which has a row a key and in ``freq`` the number
+    of its rows. Rows of frequent keys stay where they are: fewer than ``HOT_KEYS``
+    keys can hold more than that share of the ``total`` rows each, so those keys are
+    broadcast, and only the rows of others are dealt by the key."""
+    hot = F.col(freq) * F.lit(HOT_KEYS) > F.lit(total)
+    often = F.broadcast(one.where(hot))
+    rest = rows.join(F.broadcast(one.where(hot).select(key)), key, "left_anti")
+    return rows.join(often, key).unionByName(rest.join(one.where(~hot), key))
+
+
 def partitions(spark: SparkSession) -> int:
     """How many partitions a shuffle of the session makes."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

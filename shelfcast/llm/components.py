@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import written
+from shelfcast.llm.common import join_one, written
 
 
 def components(links: DataFrame, most_rounds: int = 100) -> DataFrame:
@@ -21,8 +21,9 @@ def components(links: DataFrame, most_rounds: int = 100) -> DataFrame:
         if seen[0] == 0:
             break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("freq"))
+        large = (join_one(both, least, "u", 2 * seen[0]).where("v > u")
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         root = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(root, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(root.select("u", F.col("m").alias("v"))).distinct())

@@ -42,13 +42,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm import shingles
-from shelfcast.llm.common import map_arrow, table, written
+from shelfcast.llm.common import join_one, map_arrow, table, written
 from shelfcast.llm.components import components
 
 SIMILARITY = 75          # per cent
 COORDINATES = 64
 MATCHES = 32
 PREFIX = COORDINATES - MATCHES + 1
+SPLIT = 48               # lists of more than this share of all postings are joined in pieces
 
 
 def _summaries(df: DataFrame, text: str, ident: str) -> DataFrame:
@@ -106,18 +107,19 @@ def prefix_postings(sets: DataFrame) -> DataFrame:
 
 
 def _open_lists(lists: DataFrame) -> DataFrame:
-    """Lists that hold several components."""
+    """Lists that hold several components, with their numbers of sets."""
     return (lists.groupBy("list").agg(F.min("component").alias("c0"), F.max("component").alias("c1"),
-                                      F.min("n").alias("least_n"),
+                                      F.min("n").alias("least_n"), F.count("*").alias("freq"),
                                       F.max(F.struct("central", -F.col("node"), "n", "node")).alias("h"))
             .where("c0 <> c1"))
 
 
-def _hub_pairs(lists: DataFrame) -> DataFrame:
+def _hub_pairs(lists: DataFrame, total: int) -> DataFrame:
     """``(hub, hub_n, node, n)``: each set with the most central set of each of
-    its open lists, once. A hub is paired with itself, too."""
-    hubs = _open_lists(lists).select("list", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n"))
-    return lists.join(hubs, "list").select("hub", "hub_n", "node", "n").distinct()
+    its open lists, once. A hub is paired with itself, too. ``total``: rows of
+    ``lists``; those of a frequent list stay where they are."""
+    hubs = _open_lists(lists).select("list", "freq", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n"))
+    return join_one(lists, hubs, "list", total).select("hub", "hub_n", "node", "n").distinct()
 
 
 def _fits() -> Column:
@@ -149,13 +151,13 @@ def _labelled(rows: DataFrame, comps: DataFrame) -> DataFrame:
         "component", F.coalesce("component", "node"))
 
 
-def _rarest_shingles(lists: DataFrame, full: DataFrame) -> DataFrame:
+def _rarest_shingles(lists: DataFrame, full: DataFrame, total: int) -> DataFrame:
     """The sets of open lists under the shingles of which two similar sets share
     at least one: with ``need`` the least overlap that a partner of the smallest
     size in question calls for, the ``n - need + 1`` rarest. Shingles of one
     set only come first in the order and don't make lists."""
-    opened = _open_lists(lists).select("list", "least_n")
-    rest = (lists.join(opened, "list").groupBy("node", "n", "central").agg(F.min("least_n").alias("least_n"))
+    opened = _open_lists(lists).select("list", "freq", "least_n")
+    rest = (join_one(lists, opened, "list", total).groupBy("node", "n", "central").agg(F.min("least_n").alias("least_n"))
             .withColumn("least_n", F.greatest("least_n", F.ceil(F.col("n") * SIMILARITY / 100))))
     need = F.ceil(SIMILARITY * (F.col("n") + F.col("least_n")) / (100 + SIMILARITY) - 1e-9)
     held = rest.withColumn("length", F.col("n") - need + 1).join(full, "node").select(
@@ -167,14 +169,21 @@ def _rarest_shingles(lists: DataFrame, full: DataFrame) -> DataFrame:
             .where("place <= length").select("list", "node", "n", "central", "place"))
 
 
-def _across(lists: DataFrame) -> DataFrame:
+def _across(lists: DataFrame, total: int) -> DataFrame:
     """Pairs of different components that share an open list and can be similar
-    by their sizes and their places in it."""
-    rows = lists.join(_open_lists(lists).select("list"), "list", "left_semi")
-    other = rows.select("list", F.col("node").alias("hub"), F.col("n").alias("hub_n"),
-                        F.col("component").alias("its"), F.col("place").alias("hub_place"))
+    by their sizes and their places in it. A list of more than a ``SPLIT``-th of
+    all postings is cut in pieces by a hash of the sets, and each two of its
+    pieces meet in a group of their own."""
+    opened = _open_lists(lists).select("list", "freq", F.greatest(
+        F.lit(1), F.ceil(F.col("freq") * SPLIT / F.lit(max(total, 1)))).cast("int").alias("pieces"))
+    rows = join_one(lists, opened, "list", total).withColumn(
+        "own", F.pmod(F.xxhash64("node", F.lit(11)), F.col("pieces")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
+    these = rows.select("list", "node", "n", "component", "place", F.col("own").alias("left"), every.alias("right"))
+    other = rows.select("list", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("component").alias("its"),
+                        F.col("place").alias("hub_place"), every.alias("left"), F.col("own").alias("right"))
     most = 1 + F.least(F.col("n") - F.col("place"), F.col("hub_n") - F.col("hub_place"))
-    return (rows.join(other, "list")
+    return (these.join(other, ["list", "left", "right"])
             .where((F.col("component") < F.col("its")) & _fits()
                    & (F.lit(100 + SIMILARITY) * most >= F.lit(SIMILARITY) * (F.col("n") + F.col("hub_n"))))
             .select("hub", "hub_n", "node", "n").distinct())
@@ -185,7 +194,8 @@ def link_components(classes: DataFrame, texts: DataFrame, text: str, ident: str)
     ``classes(set_key, node, rep, n, signature)``, ``rep`` one of its identifiers."""
     sets = classes.select("node", "n", "signature")
     lists = written(prefix_postings(sets).withColumn("component", F.col("node")), "lists")
-    members = written(_hub_pairs(lists), "hub-pairs")
+    total = lists.count()
+    members = written(_hub_pairs(lists, total), "hub-pairs")
     wanted = members.select("node").distinct().join(classes.select("node", "set_key", "rep"), "node")
     # the join is dealt alike at every size, not broadcast while the list is short
     needed = texts.select(F.col(ident).alias("rep"), text).join(
@@ -196,9 +206,10 @@ def link_components(classes: DataFrame, texts: DataFrame, text: str, ident: str)
     first = _collisions(members.where("hub <> node").where(_fits()), sets)
     comps = components(_links(first, full))
 
-    lists = written(_rarest_shingles(_labelled(lists, comps), full), "rare-lists")
+    lists = written(_rarest_shingles(_labelled(lists, comps), full, total), "rare-lists")
+    total = lists.count()
     for pairs_of in (_hub_pairs, _across):
-        more = _links(pairs_of(_labelled(lists, comps)).where("hub <> node"), full)
+        more = _links(pairs_of(_labelled(lists, comps), total).where("hub <> node"), full)
         known = comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
         comps = components(known.unionByName(more))
     return comps
