@@ -107,11 +107,12 @@ def prefix_postings(sets: DataFrame) -> DataFrame:
 
 
 def _open_lists(lists: DataFrame) -> DataFrame:
-    """Lists that hold several components, with their numbers of sets."""
-    return (lists.groupBy("list").agg(F.min("component").alias("c0"), F.max("component").alias("c1"),
-                                      F.min("n").alias("least_n"), F.count("*").alias("freq"),
-                                      F.max(F.struct("central", -F.col("node"), "n", "node")).alias("h"))
-            .where("c0 <> c1"))
+    """Lists that hold several components, with their numbers of sets. Written, as
+    it is read several times."""
+    return written(lists.groupBy("list").agg(F.min("component").alias("c0"), F.max("component").alias("c1"),
+                                             F.min("n").alias("least_n"), F.count("*").alias("freq"),
+                                             F.max(F.struct("central", -F.col("node"), "n", "node")).alias("h"))
+                   .where("c0 <> c1"), "open-lists")
 
 
 def _hub_pairs(lists: DataFrame, total: int) -> DataFrame:

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 
 from shelfcast.llm import neardup, shingles
+from shelfcast.llm.common import HOT_KEYS, join_one
 from shelfcast.llm.components import components
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -160,3 +161,33 @@ def test_text_identifiers(spark):
     got = {r.key: (r.component_id, r.kept) for r in neardup.near_duplicates(
         spark.createDataFrame(rows, "key string, text string"), ident="key").collect()}
     assert got == {"x9": ("x10", False), "x10": ("x10", True), "b": ("ab", False), "ab": ("ab", True), "c": ("c", True)}
+
+
+def test_rows_of_frequent_keys_stay_where_they_are(spark):
+    """A key with a third of all rows is broadcast, the others are dealt: the same
+    rows as a plain join, and keys that ``one`` doesn't have drop out."""
+    rows = spark.range(6 * HOT_KEYS).selectExpr("id", "if(id % 3 = 0, -1, id div 2) as key")
+    one = rows.groupBy("key").count().where("key % 5 <> 0").selectExpr("key", "count as freq", "key * 7 as what")
+    got = join_one(rows, one, "key", rows.count()).select("id", "key", "what").collect()
+    want = rows.join(one, "key").select("id", "key", "what").collect()
+    assert len(got) == len(want) > 4 * HOT_KEYS and set(got) == set(want)
+    assert sum(r.key == -1 for r in got) == 2 * HOT_KEYS
+
+
+def test_pieces_of_a_list_meet_each_other(spark):
+    """Lists with many components, one with most of the rows (so it is cut): the
+    pairs are those of all pairs of different components of each list."""
+    rng = random.Random(3)
+    rows = [(0, node, rng.choice([40, 45, 50, 70]), rng.randrange(100), node // 3, rng.randrange(8)) for node in range(90)]
+    rows += [(1 + node // 4, node, 50, 1, node // 2, 1) for node in range(90, 130)]
+    lists = spark.createDataFrame(rows, "list long, node long, n long, central long, component long, place long")
+    got = neardup._across(lists, len(rows))
+    want = set()
+    for a in rows:
+        for b in rows:
+            most = 1 + min(a[2] - a[5], b[2] - b[5])
+            if (a[0] == b[0] and a[4] < b[4] and 100 * min(a[2], b[2]) >= 75 * max(a[2], b[2])
+                    and 175 * most >= 75 * (a[2] + b[2])):
+                want.add((b[1], b[2], a[1], a[2]))
+    found_pairs = [tuple(r) for r in got.select("hub", "hub_n", "node", "n").collect()]
+    assert len(found_pairs) == len(want) and set(found_pairs) == want and len(want) > 1000
