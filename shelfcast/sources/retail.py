@@ -37,9 +37,12 @@ def load_oil(spark: SparkSession, raw_dir: str) -> DataFrame:
 
 def load_holidays(spark: SparkSession, raw_dir: str) -> DataFrame:
     """holidays_events.csv with its file order kept as ``h_seq`` (the first
-    row of a day decides its scope) and ``is_transferred``."""
+    row of a day decides its scope) and ``is_transferred``. The order is by file
+    name, start of the split and row, as Spark reads larger files first."""
     h = read_retail_csv(spark, raw_dir, "holidays_events")
-    return clean_holidays(h.withColumn("h_seq", F.monotonically_increasing_id()))
+    return clean_holidays(h.withColumn("h_seq", F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("row"))))
 
 
 def load_raw_data(spark: SparkSession, raw_dir: str) -> tuple[DataFrame, DataFrame]:

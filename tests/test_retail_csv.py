@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.plans.catalog import finalize, load_all
-from shelfcast.sources.retail import RetailSources, load_raw_data
+from shelfcast.sources.retail import RetailSources, load_holidays, load_raw_data
 
 
 def _write_csv(df, path):
@@ -103,3 +103,18 @@ def test_replaced_inputs_give_new_results(spark, raw_dir):
     spark.catalog.refreshByPath(d)
     after = load_all()["submission"].fn(RetailSources(spark, d)).agg(F.sum("sales")).first()[0]
     assert after == pytest.approx(10 * before, rel=1e-6)
+
+
+def test_holiday_order_over_several_files(spark, tmp_path):
+    """A folder of two files, the second one larger (Spark reads it first): the
+    first file's row of a day comes first, and rows of a file keep their order."""
+    folder = tmp_path / "holidays_events.csv"
+    folder.mkdir()
+    head = "date,type,locale,locale_name,description,transferred\n"
+    (folder / "a.csv").write_text(head + "2017-01-01,Holiday,Local,Quito,first,false\n")
+    (folder / "b.csv").write_text(head + "".join(
+        f"2017-01-01,Holiday,National,Ecuador,later {i:03d},false\n" for i in range(200)))
+    rows = load_holidays(spark, str(tmp_path)).orderBy("h_seq").collect()
+    assert [r.description for r in rows] == ["first", *(f"later {i:03d}" for i in range(200))]
+    first = load_holidays(spark, str(tmp_path)).groupBy("date").agg(F.min_by("locale", "h_seq").alias("locale")).collect()
+    assert [r.locale for r in first] == ["Local"]
