@@ -197,10 +197,13 @@ def fit_gbt_raw(md: ModelData, **kw) -> PipelineModel:
 
 
 def fit_zero_classifier(md: ModelData) -> PipelineModel:
-    """Non-zero classifier with class weights balancing the two classes."""
+    """Non-zero classifier with class weights balancing the two classes. Rows of
+    one class only have nothing to balance: they weigh 1, not 0, and the model
+    gives that class for certain."""
     share = md.train.select(F.avg((F.col("sales") > 0).cast("double"))).scalar()
     train = md.train.withColumn("is_nonzero", (F.col("sales") > 0).cast("double"))
-    train = train.withColumn("w", F.when(F.col("is_nonzero") == 1.0, 1.0 - share).otherwise(share))
+    balanced = F.when(F.col("is_nonzero") == 1.0, 1.0 - share).otherwise(share)
+    train = train.withColumn("w", F.when((share > 0) & (share < 1), balanced).otherwise(1.0))
     lr = LogisticRegression(labelCol="is_nonzero", featuresCol="features", weightCol="w",
                             maxIter=50, regParam=1e-3, probabilityCol="prob")
     return Pipeline(stages=[assembler(md.features), lr]).fit(train)

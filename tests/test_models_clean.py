@@ -117,6 +117,21 @@ def test_early_stopping_keeps_fewer_trees(spark, model_frame):
     assert 1 <= used < 30
 
 
+def one_class(model_frame, sales):
+    """Model data whose training rows all sell, or none does; validation has both."""
+    train = model_frame.withColumn("sales", F.expr(sales))
+    return ml.ModelData(train, model_frame.withColumn("sales", F.when(F.col("f1") > 0, F.col("sales")).otherwise(0.0)),
+                        model_frame, ["f1", "f2", "f3"], train, [])
+
+
+@pytest.mark.parametrize("sales, p", [("sales", 1.0), ("0 * sales", 0.0)])
+def test_zero_classifier_of_one_class(model_frame, monkeypatch, sales, p):
+    from shelfcast.plans import q_models
+    monkeypatch.setattr(q_models, "data", lambda src: one_class(model_frame, sales))
+    got = q_models.fit_zero_classifier(None).collect()
+    assert len(got) == 200 and {r.p_nonzero for r in got} == {p} and {r.is_nonzero for r in got} == {0, 1}
+
+
 def test_codes_of_unseen_values_are_null(spark):
     from shelfcast.plans.q_matrix import CATEGORICAL, apply_codes
     codes = spark.createDataFrame([(c, v, i) for c in CATEGORICAL for i, v in enumerate(["1", "2"])],
