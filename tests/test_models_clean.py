@@ -132,6 +132,23 @@ def test_zero_classifier_of_one_class(model_frame, monkeypatch, sales, p):
     assert len(got) == 200 and {r.p_nonzero for r in got} == {p} and {r.is_nonzero for r in got} == {0, 1}
 
 
+def test_hurdle_where_every_training_row_sells(spark, model_frame, monkeypatch):
+    """The probability is 1 then, so the hurdle is the amount alone, and the horizon is predicted whole."""
+    from shelfcast.plans import q_models
+    named = model_frame.withColumnsRenamed({"f1": "sales_lag_16", "f2": "onpromotion", "f3": "sf_mean"})
+    md = ml.ModelData(named.filter("date < '2017-06-01'"), named.filter("date >= '2017-06-01'"),
+                      named.withColumn("sales", F.lit(None).cast("double")), ["sales_lag_16", "onpromotion", "sf_mean"], named, [])
+    monkeypatch.setattr(q_models, "data", lambda src: md)
+    got = {r.date: r for r in q_models.fit_hurdle(None).collect()}
+    assert len(got) == 200 and {r.threshold for r in got.values()} == {min(q_models.fc.F1_THRESHOLDS)}
+    methods = {r.method for r in got.values()}
+    assert len(methods) == 1 and methods <= {"hard", "soft", "baseline", "blend"}
+    amount, base = (ml.predict_clipped(ml.fit_tweedie(ml.refit_data(md), power), md.horizon).collect() for power in (1.3, 1.2))
+    for a, b in zip(sorted(amount), sorted(base)):
+        expected = {"hard": a.pred, "soft": a.pred, "baseline": b.pred, "blend": 0.5 * a.pred + 0.5 * b.pred}
+        assert got[a.date].pred == pytest.approx(expected[got[a.date].method], rel=1e-6)
+
+
 def test_codes_of_unseen_values_are_null(spark):
     from shelfcast.plans.q_matrix import CATEGORICAL, apply_codes
     codes = spark.createDataFrame([(c, v, i) for c in CATEGORICAL for i, v in enumerate(["1", "2"])],
