@@ -205,14 +205,15 @@ def link_components(classes: DataFrame, texts: DataFrame, text: str, ident: str)
                    .dropDuplicates(["node"]).select("node", "shingles"), "sets")
     # count collisions before the full sets are compared
     first = _collisions(members.where("hub <> node").where(_fits()), sets)
-    comps = components(_links(first, full))
+    comps = written(components(_links(first, full)), "found", per_core=1)
 
     lists = written(_rarest_shingles(_labelled(lists, comps), full, total), "rare-lists")
     total = lists.count()
     for pairs_of in (_hub_pairs, _across):
         more = _links(pairs_of(_labelled(lists, comps), total).where("hub <> node"), full)
         known = comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        comps = components(known.unionByName(more))
+        # read by every use of the components, so that no plan holds their making
+        comps = written(components(known.unionByName(more)), "found", per_core=1)
     return comps
 
 

@@ -150,15 +150,18 @@ def constant(share: float) -> Model:
 def _by_word(texts: list[str], run: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Buckets of all texts in the order of words, where each word's begin, and
     where each text's words begin; put together from runs of texts, four bytes
-    an n-gram."""
-    grams, sizes, cuts = [], [], [np.zeros(1, dtype=np.int64)]
+    an n-gram. The runs are laid into one array: it is sized by the most n-grams
+    the texts can have, and what isn't filled takes no memory."""
+    grams = np.empty(len(NGRAMS) * sum(len(t.lower()) + 2 for t in texts), dtype=np.int32)
+    held, sizes, cuts = 0, [], [np.zeros(1, dtype=np.int64)]
     for a in range(0, len(texts), run):
         part = grams_of(texts[a:a + run])
-        grams.append(part.buckets[np.argsort(part.words, kind="stable")].astype(np.int32))
+        grams[held:held + len(part.buckets)] = part.buckets[np.argsort(part.words, kind="stable")]
+        held += len(part.buckets)
         sizes.append(np.bincount(part.words, minlength=int(part.cuts[-1])))
         cuts.append(part.cuts[1:] + cuts[-1][-1])
     starts = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]) if sizes else np.zeros(1, dtype=np.int64)
-    return np.concatenate(grams) if grams else np.zeros(0, np.int32), starts, np.concatenate(cuts)
+    return grams[:held], starts, np.concatenate(cuts)
 
 
 def _word_scores(grams: np.ndarray, starts: np.ndarray, of_bucket: np.ndarray, run: int = 1 << 16) -> np.ndarray:

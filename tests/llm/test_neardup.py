@@ -191,3 +191,15 @@ def test_pieces_of_a_list_meet_each_other(spark):
                 want.add((b[1], b[2], a[1], a[2]))
     found_pairs = [tuple(r) for r in got.select("hub", "hub_n", "node", "n").collect()]
     assert len(found_pairs) == len(want) and set(found_pairs) == want and len(want) > 1000
+
+
+def test_no_plan_holds_the_making_of_components(spark, monkeypatch):
+    """What link_components returns is a table that was written, so its readers only scan it."""
+    got, whole = [], neardup.link_components
+    monkeypatch.setattr(neardup, "link_components", lambda *a: got.append(whole(*a)) or got[-1])
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*words, f"end{i % 3}"])) for i in range(6)] + [(9, "alone")]
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.component_id for r in found if r.doc_id < 6} == {0} and len(found) == 7
+    plan = got[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Scan parquet" in plan and "Aggregate" not in plan and "Exchange" not in plan

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 import unicodedata
 
 import numpy as np
@@ -129,3 +130,17 @@ def test_query_rows_against_a_plain_version(spark):
     for r in texts:
         assert got[r.doc_id].score == pytest.approx(plain_score(fitted, r.text), abs=1e-5)
         assert got[r.doc_id].predicted == int(got[r.doc_id].score >= 0.5)
+
+
+def test_grams_are_held_once():
+    """The n-grams of the training texts are the driver's largest table: no second copy is made to join the runs."""
+    texts = [f"some words of text {i} and {'more ' * (i % 200)}İstanbul" for i in range(4000)]
+    toxicity.grams_of(texts[:2])                    # tables that are kept
+    tracemalloc.start()
+    grams, starts, cuts = toxicity._by_word(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.8 * grams.nbytes + 3 * (starts.nbytes + cuts.nbytes)
+    parts = [toxicity.grams_of(texts[a:a + 64]) for a in range(0, len(texts), 64)]
+    assert np.array_equal(grams, np.concatenate([p.buckets[np.argsort(p.words, kind="stable")] for p in parts]))
+    assert starts[-1] == len(grams) and len(starts) - 1 == cuts[-1] == sum(int(p.cuts[-1]) for p in parts)
