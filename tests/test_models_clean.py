@@ -149,6 +149,23 @@ def test_hurdle_where_every_training_row_sells(spark, model_frame, monkeypatch):
         assert got[a.date].pred == pytest.approx(expected[got[a.date].method], rel=1e-6)
 
 
+def test_hurdle_where_no_training_row_sells(model_frame, monkeypatch):
+    """The amount is 0 then: fitted on rows before June that never sell, chosen on
+    days that sell, refitted on rows of both kinds, or of the first kind only."""
+    from shelfcast.plans import q_models
+    named = model_frame.withColumnsRenamed({"f1": "sales_lag_16", "f2": "onpromotion", "f3": "sf_mean"})
+    late = named.withColumn("sales", F.when(F.col("date") >= "2017-06-01", F.col("sales")).otherwise(0.0))
+    never = named.withColumn("sales", F.lit(0.0))
+    horizon = named.withColumn("sales", F.lit(None).cast("double"))
+    for rows in (late, never):
+        md = ml.ModelData(rows.filter("date < '2017-06-01'"), rows.filter("date >= '2017-06-01'"), horizon,
+                          ["sales_lag_16", "onpromotion", "sf_mean"], rows, [])
+        monkeypatch.setattr(q_models, "data", lambda src: md)
+        got = q_models.fit_hurdle(None).collect()
+        assert len(got) == 200 and all(np.isfinite([r.pred, r.rmsle_valid]).all() and r.pred >= 0 for r in got)
+    assert {(r.pred, r.method, r.rmsle_valid) for r in got} == {(0.0, "hard", 0.0)}
+
+
 def test_codes_of_unseen_values_are_null(spark):
     from shelfcast.plans.q_matrix import CATEGORICAL, apply_codes
     codes = spark.createDataFrame([(c, v, i) for c in CATEGORICAL for i, v in enumerate(["1", "2"])],
