@@ -34,6 +34,7 @@ from shelfcast.plans.oracle import sql
 from shelfcast.plans.q_forecast import holdout_frame
 from shelfcast.plans.q_grains import tx_feature_frame
 from shelfcast.plans.q_stats import ORDERED, ordered_category_stats
+from shelfcast.plans.shared_trees import shared_trees
 from shelfcast.session import cut_lineage, ensure_checkpoint_dir, session_table
 
 KEY = ["store_nbr", "family", "date"]
@@ -307,13 +308,20 @@ SPACES = {
 
 def tune(md, estimator: str = "tweedie", trials: int = N_TRIALS, folds: int = N_FOLDS, max_iter: int = 15):
     """Seeded random search over an estimator's space: every trial is scored by
-    its mean RMSLE over time folds with a 16-day gap. Trials run from a thread
-    pool. A GLM that does not converge scores null and is recorded with its
-    error; any other failure ends the search."""
+    its mean RMSLE over time folds with a 16-day gap. GLMs are fitted from a
+    thread pool, trees of all trials and folds together. A GLM that does not
+    converge scores null and is recorded with its error; any other failure ends
+    the search."""
     rng = random.Random(ml.SEED)
     drawn = [(i, SPACES[estimator](rng)) for i in range(trials)]
+    if estimator != "tweedie":
+        categorical = md.categorical or []
+        rows = _fold_rows(md, dict.fromkeys([*KEY, *md.features, *categorical]), folds)
+        scores = shared_trees(rows, md.features, categorical, [p for _, p in drawn], folds, trees=max_iter,
+                              bins=ml.tree_bins(md), seed=ml.SEED)
+        return [(t, json.dumps(p, sort_keys=True), f, float(x) if math.isfinite(x) else None, None)
+                for t, p in drawn for f, x in enumerate(scores[t])]
     max_date = md.train.select(F.max("date")).scalar()
-    bins = ml.tree_bins(md)
     parts = []
     for f in range(folds):
         v_end = F.date_sub(max_date, 16 * f)
@@ -324,13 +332,8 @@ def tune(md, estimator: str = "tweedie", trials: int = N_TRIALS, folds: int = N_
     def task(trial, params, fold, tr, va):
         def run():
             try:
-                if estimator == "tweedie":
-                    model = ml.tweedie_pipeline(ml.glm_features(md), **params, max_iter=max_iter).fit(tr)
-                else:
-                    model = ml.gbt_pipeline(md.features, "log_sales", max_iter=max_iter, categorical=md.categorical or (),
-                                            bins=bins, **params).fit(tr.withColumn("log_sales", F.log1p("sales")))
-                score = ml.predict_clipped(model, va, log_target=estimator != "tweedie").agg(
-                    rmsle("sales", "pred")).first()[0]
+                model = ml.tweedie_pipeline(ml.glm_features(md), **params, max_iter=max_iter).fit(tr)
+                score = ml.predict_clipped(model, va).agg(rmsle("sales", "pred")).first()[0]
                 return trial, json.dumps(params, sort_keys=True), fold, score, None
             except (PySparkException, Py4JJavaError) as e:
                 if not re.search("Sum of weights cannot be zero|singular|not converge|infinity|NaN", str(e), re.I):
